@@ -18,12 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from germlight.llm._shared import ascii_lower, bounded_broadcast, let, table
+from germlight.llm._shared import ascii_lower, bounded_broadcast, checkpointed, let, table
 
 #: What separates words, after lower-casing.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, GRAM = 10, 5
 BROADCAST_ROWS = 500_000
+#: Distinct sets of windows up to which their lists of items are broadcast.
+BROADCAST_SETS = 20_000
 
 
 def words(text: Column) -> Column:
@@ -94,14 +96,17 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     seen = F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("s") >= 0, F.struct("len", "h", "window")))))
     per_doc = spans.groupBy("id", "th").agg(F.max("n_words").alias("n_words"), F.sum((F.col("s") < 0).cast("int")).alias("copies"), hits.alias("hits"), seen.alias("windows"))
     n_hit = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda x: F.sequence(x["s"], x["s"] + x["len"] - 1)))))
-    per_doc = per_doc.select("id", "n_words", "copies", n_hit.cast("long").alias("n_hit"), "windows", F.xxhash64("windows").alias("set"))
+    # One short row a document, read three times below; the texts are not.
+    per_doc = checkpointed(per_doc.select("id", "n_words", "copies", n_hit.cast("long").alias("n_hit"), "windows", F.xxhash64("windows").alias("set")))
 
     # Documents with the same windows have the same items: those are listed once for each set of windows.
     sets = per_doc.where(F.col("n_hit") > 0).groupBy("set").agg(F.first("windows").alias("windows"))
     of_window = bench.where(F.col("item_id").isNotNull()).select("len", "h", "window", F.col("item_id").cast("string").alias("item")).distinct()
     pairs = sets.select("set", F.explode("windows").alias("x")).select("set", "x.len", "x.h", "x.window").join(of_window, ["len", "h", "window"]).select("set", "item").distinct()
     lists = pairs.groupBy("set").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    full = per_doc.select("id", "n_words", "copies", "n_hit", "set").join(lists, "set", "left")
+    full = per_doc.where(F.col("n_hit") > 0).select("id", "n_words", "copies", "n_hit", "set").join(bounded_broadcast(lists, BROADCAST_SETS), "set", "left").drop("set")
+    clean = per_doc.where(F.col("n_hit") == 0).select("id", "n_words", "copies", "n_hit", F.lit(None).cast("array<string>").alias("items"))
+    full = clean.unionByName(full)
     items_ = F.coalesce("items", F.array().cast("array<string>"))
     return full.select(F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"), "n_hit", items_.alias("items"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select(
         id_col, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated")
