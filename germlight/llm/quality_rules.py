@@ -91,10 +91,22 @@ STANDARD = Policy("standard", 1, tuple(BIT))
 def rule_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, MEASURES and fail_bits (long; bit i: rule i failed) of every row. A narrow plan: no shuffle."""
     m = docs.select(F.col(id_col), measurements(F.col(text_col)).alias("_m"))
-    m = m.select(id_col, *(F.coalesce(F.col(f"_m.{'w.' if c in ('n_words', 'word_chars', 'n_repeat_words') else 'l.' if c in ('n_lines', 'n_dup_lines') else ''}{c}"), F.lit(0).cast("long")).alias(c) for c in MEASURES))
+    m = m.select(id_col, *_measures())
     return m.withColumn("fail_bits", fail_bits())
 
 
+def keep(docs: DataFrame, policy: Policy = STANDARD, text_col: str = "text") -> DataFrame:
+    """The rows of docs that pass, with all their columns."""
+    # explode() of one struct computes the measurements once; a plain projection would be copied into the filter, once a rule.
+    rows = docs.select(F.struct("*").alias("_row"), F.explode(F.array(measurements(F.col(text_col)))).alias("_m"))
+    return rows.select("_row", *_measures()).where(passes(policy, fail_bits())).select("_row.*")
+
+
+def _measures() -> list[Column]:
+    group = {"n_words": "w.", "word_chars": "w.", "n_repeat_words": "w.", "n_lines": "l.", "n_dup_lines": "l."}
+    return [F.coalesce(F.col(f"_m.{group.get(c, '')}{c}"), F.lit(0).cast("long")).alias(c) for c in MEASURES]
+
+
 def fail_bits() -> Column:
     bits = F.lit(0).cast("long")
     for i, (_, condition) in enumerate(RULES):

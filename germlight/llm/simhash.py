@@ -178,14 +178,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, distance: int = MAX_DISTANCE, crowded: int = CROWDED) -> DataFrame:
-    """id, fp (long) and component_id of every row."""
-    ids = checkpointed(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), size).alias("fp")))
-    fps = checkpointed(ids.groupBy("fp").agg(F.min("id").alias("lo")))
+    """id, text_hash, fp (long), component_id and representative of every row.
+
+    The representative of a component has its smallest id (nulls last) and, of those, the smallest hash of the text; rows that repeat both are all marked.
+    """
+    rank = lambda: F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_hash"))
+    ids = checkpointed(docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), fingerprint(F.col(text_col), size).alias("fp")))
+    fps = checkpointed(ids.groupBy("fp").agg(F.min(rank()).alias("lo")))
     stars = components(links(fps, distance, crowded)).withColumnsRenamed({"a": "fp", "b": "root"})
     linked = fps.join(stars, "fp", "left").select("fp", "lo", F.coalesce("root", "fp").alias("root"))
-    of_root = linked.groupBy("root").agg(F.min("lo").alias("component_id"))
-    by_fp = linked.select("fp", "root").join(of_root, "root").select("fp", "component_id")
-    return ids.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    of_root = linked.groupBy("root").agg(F.min("lo").alias("first"))
+    by_fp = linked.select("fp", "root").join(of_root, "root").select("fp", "first")
+    found = ids.join(by_fp, "fp")
+    return found.select(F.col("id").alias(id_col), "text_hash", "fp", F.col("first.id").alias("component_id"), (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))).alias("representative"))
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
