@@ -26,19 +26,25 @@ from pyspark.sql import functions as F
 
 from germlight.llm._shared import table
 
-CACHE, PAIRS = 300_000, 300_000
+CACHE, PAIRS, PREFIXES = 400_000, 300_000, 600_000
+#: Bytes of the longest prefix that is kept: slices of longer ones would cost the square of a long piece.
+SHARED = 32
 
 
 class _Pieces(dict):
-    """piece -> ids; encodes what is missing, and starts anew at CACHE entries."""
+    """piece -> ids; encodes what is missing. Two generations of CACHE / 2 entries, so that frequent pieces outlive a change of generation."""
 
     def __init__(self, encode):
-        self.encode = encode
+        self.encode, self.old = encode, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= CACHE:
+        found = self.old.get(piece)
+        if found is None:
+            found = self.encode(piece)
+        if len(self) >= CACHE // 2:
+            self.old = dict(self)
             self.clear()
-        found = self[piece] = self.encode(piece)
+        self[piece] = found
         return found
 
 
@@ -56,6 +62,7 @@ class Vocabulary:
         self._apart: dict[tuple[int, int], bool] = {}
         self._whole: dict[int, bool] = {}
         self._known = _Pieces(self.encode_piece)
+        self._prefixes: dict[bytes | None, int] = {}
         self._names = {rank: str(rank) for rank in self.tokens}
 
     def merged(self, data: bytes) -> list[int]:
@@ -98,9 +105,18 @@ class Vocabulary:
         raise ValueError(f"no token of the vocabulary ends prefix {data[:end]!r}")
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
-        """Appends the last tokens of the prefixes of data that are longer than last."""
+        """Appends the last tokens of the prefixes of data that are longer than last. Pieces share prefixes, whose tokens are kept, PREFIXES of them."""
+        known = self._prefixes
+        if len(known) >= PREFIXES:
+            known.clear()
         for end in range(len(last) + 1, len(data) + 1):
-            last.append(self.last_token(data, end, last))
+            prefix = data[:end] if end <= SHARED else None
+            token = known.get(prefix)
+            if token is None:
+                token = self.last_token(data, end, last)
+                if prefix is not None:
+                    known[prefix] = token
+            last.append(token)
         return last
 
     def back(self, last: list[int]) -> list[int]:
