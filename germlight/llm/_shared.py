@@ -69,6 +69,23 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold(doc_id) == 0, F.lit(False))
 
 
+class Generations(dict):
+    """A bounded memo: compute(key) fills what is missing. Two generations of size / 2 entries, so that frequent keys outlive a change of generation."""
+
+    def __init__(self, compute: Callable, size: int):
+        self.compute, self.size, self.old = compute, size, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.compute(key)
+        if len(self) >= self.size // 2:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """A broadcast hint for at most max_rows rows, counted first; beyond that the planner shuffles."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

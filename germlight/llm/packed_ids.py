@@ -19,18 +19,21 @@ sorts first and is written as the smallest i64; an empty table gives no file and
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from germlight.llm._shared import filesystem, fresh_dir, table
+from germlight.llm._shared import Generations, filesystem, fresh_dir, table
 
 MAGIC, VERSION, BLOCK = b"GLPK", 1, 1 << 16
 HEADER, DOCUMENT, FOOTER = struct.Struct("<4sHHI"), np.dtype([("id", "<i8"), ("first", "<u8"), ("n", "<u4"), ("crc", "<u4")]), struct.Struct("<QQQQ4s")
@@ -130,29 +133,23 @@ class Reader:
         return self.ids(int(d["first"]), int(d["first"]) + int(d["n"]))
 
 
+@lru_cache(maxsize=1)
 def encoder(path: str) -> tuple[int, Callable[[str | None], np.ndarray]]:
-    """(vocabulary size, text -> ids) of a tokenizers file. A byte-level BPE encodes the pieces of its pattern on their own, so a worker asks the library once
-    for each distinct piece and keeps the answers, up to CACHE of them; any other tokenizer gets whole texts."""
+    """(vocabulary size, text -> ids) of a tokenizers file, read once a process. A byte-level BPE encodes the pieces of its pattern on their own, so a worker asks
+    the library once for each distinct piece and keeps the answers, CACHE at most; any other tokenizer gets whole texts."""
     import regex
     from tokenizers import Tokenizer
 
+    # Tasks are the parallelism; threads beneath them would only add memory and switching.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     if "ByteLevel" not in str(tokenizer.pre_tokenizer) or tokenizer.normalizer is not None or "add_prefix_space=True" in str(tokenizer.pre_tokenizer):
-        return tokenizer.get_vocab_size(), lambda text: np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
-    pieces, known = regex.compile(PIECES), {}
-
-    def encode(text: str | None) -> np.ndarray:
-        found = pieces.findall(text or "")
-        if new := [x for x in set(found) if x not in known]:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(set(found))
-            for x, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[x] = np.array(e.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join(map(known.__getitem__, found)), "<u4")
-
-    return tokenizer.get_vocab_size(), encode
+        return tokenizer.get_vocab_size(), lambda text: np.array(ids(text or ""), "<u4")
+    known = Generations(lambda piece: np.array(ids(piece), "<u4").tobytes(), CACHE)
+    pieces, of_piece = regex.compile(PIECES).findall, known.__getitem__
+    return tokenizer.get_vocab_size(), lambda text: np.frombuffer(b"".join(map(of_piece, pieces(text or ""))), "<u4")
 
 
 @dataclass(frozen=True)
@@ -168,25 +165,28 @@ def write_packed(docs: DataFrame, tokenizer_path: str, folder: str | None = None
     folder = folder or fresh_dir(docs.sparkSession, "packed")
     filesystem(folder)
 
-    def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = filesystem(folder)
         vocabulary, encode = encoder(tokenizer_path)
         end, name, writer, first, out = np.array([end_id], "<u4"), f"{uuid.uuid4().hex}.glpk", None, None, None
-        for frame in frames:
-            for doc_id, known, h, text in zip(frame["id"], frame["known"], frame["h"], frame["text"]):
+        for batch in batches:
+            ids, known, hashes, texts = batch.columns  # one text at a time leaves Arrow's memory
+            for i in range(len(batch)):
+                doc_id = ids[i].as_py() if known[i].as_py() else None
                 if writer is None:
                     out = store.open_output_stream(f"{path}/{name}")
-                    writer, first = Writer(out, bits_for(max(vocabulary, end_id + 1)), block), (doc_id if known else None, h)
-                writer.add(int(doc_id) if known else None, np.concatenate([encode(text), end]))
+                    writer, first = Writer(out, bits_for(max(vocabulary, end_id + 1)), block), (doc_id, hashes[i].as_py())
+                writer.add(doc_id, np.concatenate([encode(texts[i].as_py()), end]))
         if writer is not None:
             size = writer.close()
             out.close()
-            yield pd.DataFrame({"name": [name], "known": [first[0] is not None], "id": [first[0] or 0], "h": [first[1]], "docs": [len(writer.documents)], "ids": [writer.n], "bytes": [size]})
+            row = {"name": name, "known": first[0] is not None, "id": first[0] or 0, "h": first[1], "docs": len(writer.documents), "ids": writer.n, "bytes": size}
+            yield pa.RecordBatch.from_pylist([row])
 
     h = F.xxhash64(F.col(text_col))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNotNull().alias("known"), h.alias("h"), F.col(text_col).alias("text"))
     order = ["known", "id", "h"]
-    done = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(write, "name string, known boolean, id long, h long, docs long, ids long, bytes long")
+    done = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(write, "name string, known boolean, id long, h long, docs long, ids long, bytes long")
     files, before = [], 0
     for r in sorted(done.collect(), key=lambda r: (r["known"], r["id"], r["h"])):  # one short row for each file
         files.append((r["name"], r["docs"], r["ids"], before))

@@ -24,30 +24,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from germlight.llm._shared import table
+from germlight.llm._shared import Generations, table
 
 CACHE, PAIRS, PREFIXES = 400_000, 300_000, 600_000
 #: Bytes of the longest prefix that is kept: slices of longer ones would cost the square of a long piece.
 SHARED = 32
 
 
-class _Pieces(dict):
-    """piece -> ids; encodes what is missing. Two generations of CACHE / 2 entries, so that frequent pieces outlive a change of generation."""
-
-    def __init__(self, encode):
-        self.encode, self.old = encode, {}
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        found = self.old.get(piece)
-        if found is None:
-            found = self.encode(piece)
-        if len(self) >= CACHE // 2:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = found
-        return found
-
-
 class Vocabulary:
     """Tokens by rank, and what the dynamic programming asks of them."""
 
@@ -61,7 +44,7 @@ class Vocabulary:
         self.endings = {token[i:] for token in ranks for i in range(len(token))}
         self._apart: dict[tuple[int, int], bool] = {}
         self._whole: dict[int, bool] = {}
-        self._known = _Pieces(self.encode_piece)
+        self._known = Generations(self.encode_piece, CACHE)
         self._prefixes: dict[bytes | None, int] = {}
         self._names = {rank: str(rank) for rank in self.tokens}
 
