@@ -23,6 +23,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -133,6 +134,13 @@ class Reader:
         return self.ids(int(d["first"]), int(d["first"]) + int(d["n"]))
 
 
+def byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: itself where Latin-1 prints it, else the next one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + i for i, b in enumerate(others)}
+
+
 @lru_cache(maxsize=1)
 def encoder(path: str) -> tuple[int, Callable[[str | None], np.ndarray]]:
     """(vocabulary size, text -> ids) of a tokenizers file, read once a process. A byte-level BPE encodes the pieces of its pattern on their own, so a worker asks
@@ -147,7 +155,9 @@ def encoder(path: str) -> tuple[int, Callable[[str | None], np.ndarray]]:
     ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     if "ByteLevel" not in str(tokenizer.pre_tokenizer) or tokenizer.normalizer is not None or "add_prefix_space=True" in str(tokenizer.pre_tokenizer):
         return tokenizer.get_vocab_size(), lambda text: np.array(ids(text or ""), "<u4")
-    known = Generations(lambda piece: np.array(ids(piece), "<u4").tobytes(), CACHE)
+    # A piece goes straight to the library's merges, in the characters that stand for its bytes there.
+    stand_for, merges = byte_characters(), tokenizer.model.tokenize
+    known = Generations(lambda piece: array("I", [t.id for t in merges(piece.encode("utf-8", "replace").decode("latin-1").translate(stand_for))]).tobytes(), CACHE)
     pieces, of_piece = regex.compile(PIECES).findall, known.__getitem__
     return tokenizer.get_vocab_size(), lambda text: np.frombuffer(b"".join(map(of_piece, pieces(text or ""))), "<u4")
 
