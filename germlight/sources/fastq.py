@@ -55,9 +55,10 @@ def records(stream, path: str, stop: int | None = None) -> Iterator[tuple[str, s
 
 def find_record(stream, start: int) -> None:
     """Moves to the first record that starts at or after start. A line with @ may be a quality line; the first line of a record has + two lines on."""
-    stream.seek(max(0, start - 1))
-    if start:
-        stream.readline()
+    if not start:
+        return
+    stream.seek(start - 1)
+    stream.readline()
     lines: list[tuple[int, bytes]] = []
     while True:
         at = stream.tell()
