@@ -12,10 +12,12 @@ empty table gives an empty result; a null doc_id passes through; columns other t
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,7 +34,7 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.", "with without fee"),
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "redistributions binary"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "redistributions endorse"),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License.", "bsd 3"),
+    ("BSD-3-Clause", "Released under the BSD 3-Clause License.", "bsd 3-clause"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", "general public 2"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", "general public 3"),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", "general public 3"),
@@ -49,7 +51,7 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("CC0-1.0", "This work has been dedicated to the public domain under CC0 1.0 Universal.", "cc0 1.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered public domain"),
 )
-TRIGGER = re.compile(r"licen[cs]e|copyright|warrant(?:y|ies)|redistribut|permission(?: notice)? is hereby|permission to use|public domain|free software|spdx", re.I)
+TRIGGER = re.compile(r"licen[cs]e|copyright|warrant(?:y|ies)|redistribut|permission(?:\s+notice)?\s+is\s+hereby|permission\s+to\s+use|public\s+domain|free\s+software|spdx", re.I)
 #: Templates confirmed by wording for each block; least share of a template's words, and of bytes saved; share of template words that joins a line to a block.
 RANKED, LEAST_WORDS, LEAST_SAVED, VOCABULARY_SHARE, LEVEL = 4, 0.7, 0.1, 0.6, 9
 #: Words that separate licences of one family: one that the template doesn't have contradicts it.
@@ -101,7 +103,10 @@ def candidate_blocks(text: str | None) -> list[str]:
     _, vocabulary = _templates()
     blocks: list[list[str]] = []
     lines = text.split("\n")
-    marks = [bool(TRIGGER.search(x)) for x in lines]
+    ends, marks = list(accumulate(len(x) + 1 for x in lines)), [False] * len(lines)
+    for m in TRIGGER.finditer(text):  # words of one may stand on two lines
+        for i in range(bisect_right(ends, m.start()), bisect_right(ends, m.end() - 1) + 1):
+            marks[i] = True
 
     def joins(i: int) -> bool:
         words = words_of(lines[i])

@@ -62,11 +62,15 @@ _URL = "!#$&'()*+,/:;=?@[]~%-._"
 
 
 def record_dictionary(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> bytes:
-    """A dictionary from records of at most SAMPLE_RECORDS pages, those whose payload has the least hash, up to SAMPLE_CHARS characters each; empty if there are too few."""
+    """A dictionary from records of about SAMPLE_RECORDS pages, those whose payload has the least hash, up to SAMPLE_CHARS characters each; empty if there are too few."""
     import zstandard
 
-    rows = pages.where(F.col(html_col) != "").select(F.col(url_col).alias("url"), F.substring(html_col, 1, SAMPLE_CHARS).alias("html"), F.xxhash64(html_col).alias("h"))
-    sample = [record(i, r["url"], r["html"].encode("utf-8", "replace")) for i, r in enumerate(rows.orderBy("h", "url").limit(SAMPLE_RECORDS).collect())]
+    h = F.xxhash64(html_col)
+    rows = pages.where(F.col(html_col) != "").select(F.col(url_col).alias("url"), F.substring(html_col, 1, SAMPLE_CHARS).alias("html"), h.alias("h"))
+    # Hashes below this are about SAMPLE_RECORDS of the rows; copies share one, and one of them is enough. So few rows leave their tasks.
+    limit = min(-(2**63) + 2**64 * SAMPLE_RECORDS // max(1, pages.count()), 2**63 - 1)
+    chosen = rows.where(F.col("h") <= limit).groupBy("h").agg(F.min(F.struct("url", "html")).alias("r")).orderBy("h").limit(2 * SAMPLE_RECORDS)
+    sample = [record(i, r["url"], r["html"].encode("utf-8", "replace")) for i, r in enumerate(chosen.select("r.*").collect())]
     if len(sample) < 16:
         return b""
     try:
