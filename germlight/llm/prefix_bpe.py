@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from germlight.llm._shared import Generations, table
 
-CACHE, PAIRS, PREFIXES = 400_000, 300_000, 600_000
+CACHE, PAIRS, PREFIXES = 250_000, 150_000, 300_000
 #: Bytes of the longest prefix that is kept: slices of longer ones would cost the square of a long piece.
 SHARED = 32
 
@@ -48,6 +48,11 @@ class Vocabulary:
         self._prefixes: dict[bytes | None, int] = {}
         self._names = {rank: str(rank) for rank in self.tokens}
 
+    def forget(self) -> None:
+        """Drops what encoding has gathered; the vocabulary itself stays."""
+        self._known, self._prefixes = Generations(self.encode_piece, CACHE), {}
+        self._apart.clear()
+
     def merged(self, data: bytes) -> list[int]:
         """Encoding by the definition: join the adjacent pair of least rank, leftmost first, while there is one."""
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -167,40 +172,51 @@ def vocabulary(path: str, pattern: str) -> Vocabulary:
         return Vocabulary({base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines if x.strip())}, pattern)
 
 
-def encoded(text: Column, path: str, pattern: str) -> Column:
-    """ids array<int> of the whole text."""
+def _with_vocabulary(each: Callable[[Vocabulary, pd.Series], pd.Series], schema: str, path: str, pattern: str):
+    """A pandas UDF over each task's batches; what the task has learnt is forgotten at its end, so that idle workers stay small."""
 
-    @F.pandas_udf("array<int>")
-    def each(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf(schema)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = vocabulary(path, pattern)
-        return pd.Series([v.encode(t) for t in texts], dtype=object)
+        try:
+            for batch in batches:
+                yield each(v, batch)
+        finally:
+            v.forget()
 
-    return each(text)
+    return run
 
 
-def decoded(ids: Column, path: str, pattern: str) -> Column:
-    """The bytes of ids."""
+def encoded(text: Column, path: str, pattern: str) -> Column:
+    """ids array<int> of the whole text."""
+    return _with_vocabulary(lambda v, texts: pd.Series([v.encode(t) for t in texts], dtype=object), "array<int>", path, pattern)(text)
 
-    @F.pandas_udf("binary")
-    def each(lists: pd.Series) -> pd.Series:
-        v = vocabulary(path, pattern)
-        return pd.Series([v.decode(x) for x in lists], dtype=object)
 
-    return each(ids)
+def decoded(ids: Column, path: str, pattern: str) -> Column:
+    """The bytes of ids."""
+    return _with_vocabulary(lambda v, lists: pd.Series([v.decode(x) for x in lists], dtype=object), "binary", path, pattern)(ids)
 
 
 def digests(text: Column, path: str, pattern: str) -> Column:
     """struct<n_tokens, ids_sha256, decoded_sha256>: encodes, then decodes the ids, and keeps digests only, so that no long array leaves the worker."""
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def each(texts: pd.Series) -> pd.DataFrame:
-        v, rows, sha = vocabulary(path, pattern), [], hashlib.sha256
+    def each(v: Vocabulary, texts: pd.Series) -> pd.DataFrame:
+        rows, sha = [], hashlib.sha256
         for t in texts:
             ids = v.encode(t)
             rows.append((len(ids), sha(v.decimal(ids).encode()).hexdigest(), sha(v.decode(ids)).hexdigest()))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return each(text)
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        v = vocabulary(path, pattern)
+        try:
+            for batch in batches:
+                yield each(v, batch)
+        finally:
+            v.forget()
+
+    return run(text)
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
