@@ -24,7 +24,7 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -39,7 +39,7 @@ from germlight.llm._shared import Generations, filesystem, fresh_dir, table
 MAGIC, VERSION, BLOCK = b"GLPK", 1, 1 << 16
 HEADER, DOCUMENT, FOOTER = struct.Struct("<4sHHI"), np.dtype([("id", "<i8"), ("first", "<u8"), ("n", "<u4"), ("crc", "<u4")]), struct.Struct("<QQQQ4s")
 #: Documents that are encoded, or returned, at a time; distinct pieces of text whose ids a worker keeps.
-DOCS, CACHE = 256, 300_000
+DOCS, CACHE = 256, 250_000
 END_ID, NULL_ID = 2, -(2**63)
 #: Fixed value: what byte-level BPE vocabularies of this kind split a text by before their merges.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -141,25 +141,41 @@ def byte_characters() -> dict[int, int]:
     return {b: b for b in own} | {b: 256 + i for i, b in enumerate(others)}
 
 
+class Encoder:
+    """text -> ids by a tokenizers file. A byte-level BPE encodes the pieces of its pattern on their own, so a task asks the library once for each distinct
+    piece and keeps the answers, CACHE at most; any other tokenizer gets whole texts."""
+
+    def __init__(self, path: str):
+        import regex
+        from tokenizers import Tokenizer
+
+        # Tasks are the parallelism; threads beneath them would only add memory and switching.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.vocabulary = self.tokenizer.get_vocab_size()
+        split = str(self.tokenizer.pre_tokenizer)
+        self.by_piece = "ByteLevel" in split and "add_prefix_space=True" not in split and self.tokenizer.normalizer is None
+        self.pieces, self.merges, self.stand_for = regex.compile(PIECES).findall, self.tokenizer.model.tokenize, byte_characters()
+        self.forget()
+
+    def forget(self) -> None:
+        self.known = Generations(self._piece, CACHE)
+
+    def _piece(self, piece: str) -> bytes:
+        """Straight to the library's merges, in the characters that stand for the piece's bytes there."""
+        return array("I", [t.id for t in self.merges(piece.encode("utf-8", "replace").decode("latin-1").translate(self.stand_for))]).tobytes()
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        if self.by_piece:
+            return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(text or ""))), "<u4")
+        return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
+
+
 @lru_cache(maxsize=1)
-def encoder(path: str) -> tuple[int, Callable[[str | None], np.ndarray]]:
-    """(vocabulary size, text -> ids) of a tokenizers file, read once a process. A byte-level BPE encodes the pieces of its pattern on their own, so a worker asks
-    the library once for each distinct piece and keeps the answers, CACHE at most; any other tokenizer gets whole texts."""
-    import regex
-    from tokenizers import Tokenizer
-
-    # Tasks are the parallelism; threads beneath them would only add memory and switching.
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-    if "ByteLevel" not in str(tokenizer.pre_tokenizer) or tokenizer.normalizer is not None or "add_prefix_space=True" in str(tokenizer.pre_tokenizer):
-        return tokenizer.get_vocab_size(), lambda text: np.array(ids(text or ""), "<u4")
-    # A piece goes straight to the library's merges, in the characters that stand for its bytes there.
-    stand_for, merges = byte_characters(), tokenizer.model.tokenize
-    known = Generations(lambda piece: array("I", [t.id for t in merges(piece.encode("utf-8", "replace").decode("latin-1").translate(stand_for))]).tobytes(), CACHE)
-    pieces, of_piece = regex.compile(PIECES).findall, known.__getitem__
-    return tokenizer.get_vocab_size(), lambda text: np.frombuffer(b"".join(map(of_piece, pieces(text or ""))), "<u4")
+def encoder(path: str) -> Encoder:
+    """Read once a process."""
+    return Encoder(path)
 
 
 @dataclass(frozen=True)
@@ -177,7 +193,7 @@ def write_packed(docs: DataFrame, tokenizer_path: str, folder: str | None = None
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = filesystem(folder)
-        vocabulary, encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path)
         end, name, writer, first, out = np.array([end_id], "<u4"), f"{uuid.uuid4().hex}.glpk", None, None, None
         for batch in batches:
             ids, known, hashes, texts = batch.columns  # one text at a time leaves Arrow's memory
@@ -185,13 +201,14 @@ def write_packed(docs: DataFrame, tokenizer_path: str, folder: str | None = None
                 doc_id = ids[i].as_py() if known[i].as_py() else None
                 if writer is None:
                     out = store.open_output_stream(f"{path}/{name}")
-                    writer, first = Writer(out, bits_for(max(vocabulary, end_id + 1)), block), (doc_id, hashes[i].as_py())
+                    writer, first = Writer(out, bits_for(max(encode.vocabulary, end_id + 1)), block), (doc_id, hashes[i].as_py())
                 writer.add(doc_id, np.concatenate([encode(texts[i].as_py()), end]))
         if writer is not None:
             size = writer.close()
             out.close()
             row = {"name": name, "known": first[0] is not None, "id": first[0] or 0, "h": first[1], "docs": len(writer.documents), "ids": writer.n, "bytes": size}
             yield pa.RecordBatch.from_pylist([row])
+        encode.forget()  # an idle worker stays small
 
     h = F.xxhash64(F.col(text_col))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNotNull().alias("known"), h.alias("h"), F.col(text_col).alias("text"))
