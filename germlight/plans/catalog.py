@@ -45,7 +45,7 @@ _CANDIDATE = "NOT is_secondary AND NOT is_supplementary AND (is_unmapped OR (NOT
 
 @query(with_reads(f"SELECT read_id, ordinal_part, mapq, is_unmapped FROM reads WHERE {_CANDIDATE}"))
 def candidate_reads(spark, sf_dir):
-    return read_ops.candidate_reads(reads(spark, sf_dir), MAPQ).select("read_id", "ordinal_part", "mapq", "is_unmapped")
+    return read_ops.candidate_reads(reads(spark, sf_dir, cells=False, species=False), MAPQ).select("read_id", "ordinal_part", "mapq", "is_unmapped")
 
 
 _PRIMARY = "NOT is_secondary AND NOT is_supplementary"
@@ -59,7 +59,7 @@ _PRIMARY = "NOT is_secondary AND NOT is_supplementary"
     )
 )
 def parse_stats(spark, sf_dir):
-    own = reads(spark, sf_dir).drop("barcode", "umi").withColumnsRenamed({"tagged_barcode": "barcode", "tagged_umi": "umi"})
+    own = reads(spark, sf_dir, species=False).drop("barcode", "umi").withColumnsRenamed({"tagged_barcode": "barcode", "tagged_umi": "umi"})
     return read_ops.parse_stats(own, MAPQ)
 
 
@@ -71,18 +71,18 @@ def barcode_umi_tags(spark, sf_dir):
 
 @query(with_reads("SELECT DISTINCT tagged_barcode AS barcode FROM reads WHERE coalesce(tagged_barcode, '') <> ''"))
 def unique_barcodes(spark, sf_dir):
-    return read_ops.unique_barcodes(reads(spark, sf_dir).select(F.col("tagged_barcode").alias("barcode")))
+    return read_ops.unique_barcodes(reads(spark, sf_dir, species=False).select(F.col("tagged_barcode").alias("barcode")))
 
 
 @query(with_reads("SELECT read_id, ordinal_part, barcode FROM reads WHERE EXISTS (SELECT 1 FROM customer WHERE c_mktsegment = 'BUILDING' AND CAST(c_custkey AS VARCHAR) = barcode)"))
 def barcode_semi_join(spark, sf_dir):
     wanted = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.concat(F.col("c_custkey").cast("string"), F.lit("-1")).alias("barcode"))
-    return read_ops.reads_by_barcode(reads(spark, sf_dir).select("read_id", "ordinal_part", "barcode"), wanted)
+    return read_ops.reads_by_barcode(reads(spark, sf_dir, species=False).select("read_id", "ordinal_part", "barcode"), wanted)
 
 
 @query(with_reads("SELECT read_id, ordinal_part, mapq FROM reads WHERE is_unmapped OR mapq < 30"))
 def host_primary(spark, sf_dir):
-    return host.host_primary(reads(spark, sf_dir), MAPQ).select("read_id", "ordinal_part", "mapq")
+    return host.host_primary(reads(spark, sf_dir, cells=False, species=False), MAPQ).select("read_id", "ordinal_part", "mapq")
 
 
 _HITS = "hits AS (SELECT *, (length - mismatches) / length * 100 AS identity FROM reads WHERE NOT is_unmapped)"
@@ -90,7 +90,7 @@ _HITS = "hits AS (SELECT *, (length - mismatches) / length * 100 AS identity FRO
 
 def _hits(spark, sf_dir) -> DataFrame:
     of = scalar.identity(F.col("length"), F.col("mismatches"))
-    return reads(spark, sf_dir).where(~F.col("is_unmapped")).select("read_id", *ORDINAL, "mismatches", of.alias("identity"), (of >= IDENTITY).alias("is_host"))
+    return reads(spark, sf_dir, cells=False, species=False).where(~F.col("is_unmapped")).select("read_id", *ORDINAL, "mismatches", of.alias("identity"), (of >= IDENTITY).alias("is_host"))
 
 
 @query(with_reads(f", {_HITS} SELECT read_id, ordinal_part, ordinal_price, identity, identity >= 95.0 AS is_host FROM hits"))
@@ -103,12 +103,12 @@ _LAST = "row_number() OVER (PARTITION BY read_id ORDER BY ordinal_part DESC, ord
 
 @query(with_reads(f", {_HITS} SELECT read_id, ordinal_part, mapq FROM reads WHERE NOT EXISTS (SELECT 1 FROM (SELECT read_id, identity FROM hits QUALIFY {_LAST}) h WHERE h.read_id = reads.read_id AND identity >= 95.0)"))
 def host_anti_join(spark, sf_dir):
-    return host.without_host(reads(spark, sf_dir).select("read_id", "ordinal_part", "mapq"), _hits(spark, sf_dir), order=ORDINAL)
+    return host.without_host(reads(spark, sf_dir, cells=False, species=False).select("read_id", "ordinal_part", "mapq"), _hits(spark, sf_dir), order=ORDINAL)
 
 
 @query(with_reads("SELECT read_id, ordinal_part, mapq FROM reads WHERE NOT EXISTS (SELECT 1 FROM reads h WHERE h.read_id = reads.read_id AND NOT h.is_unmapped)"))
 def host_any_hit(spark, sf_dir):
-    return host.without_host(reads(spark, sf_dir).select("read_id", "ordinal_part", "mapq"), _hits(spark, sf_dir), mode="any_hit")
+    return host.without_host(reads(spark, sf_dir, cells=False, species=False).select("read_id", "ordinal_part", "mapq"), _hits(spark, sf_dir), mode="any_hit")
 
 
 @query(
@@ -119,19 +119,19 @@ SELECT (SELECT count(*) FROM reads) - (SELECT count(*) FROM p) AS primary_filter
 )
 def host_stats(spark, sf_dir):
     hits = _hits(spark, sf_dir).select("read_id", F.struct(*ORDINAL).alias("ordinal"), "is_host")
-    return host.host_stats(reads(spark, sf_dir).select("read_id", "mapq", "is_unmapped"), hits, MAPQ)
+    return host.host_stats(reads(spark, sf_dir, cells=False, species=False).select("read_id", "mapq", "is_unmapped"), hits, MAPQ)
 
 
 @query(with_reads(f"SELECT read_id, ordinal_part, ordinal_supp, ordinal_price, species, mapq FROM reads QUALIFY {_LAST}"))
 def last_wins_dedup(spark, sf_dir):
-    return last_wins(reads(spark, sf_dir).select("read_id", *ORDINAL, "species", "mapq"), "read_id", ORDINAL)
+    return last_wins(reads(spark, sf_dir, cells=False).select("read_id", *ORDINAL, "species", "mapq"), "read_id", ORDINAL)
 
 
 # Taxonomy
 
 
 def _assignments(spark, sf_dir) -> DataFrame:
-    aligned = reads(spark, sf_dir).where(F.col("microbe_mapq") >= MIN_MAPQ)
+    aligned = reads(spark, sf_dir, cells=False).where(F.col("microbe_mapq") >= MIN_MAPQ)
     return aligned.select("read_id", F.struct(*ORDINAL).alias("ordinal"), "species", scalar.confidence(F.col("microbe_mapq")).alias("confidence"), "classified")
 
 
@@ -141,7 +141,7 @@ assigned AS (SELECT read_id, barcode, umi, species, confidence, classified FROM
 
 
 def _assigned(spark, sf_dir) -> DataFrame:
-    own = reads(spark, sf_dir).select("read_id", F.struct(*ORDINAL).alias("ordinal"), "barcode", "umi")
+    own = reads(spark, sf_dir, species=False).select("read_id", F.struct(*ORDINAL).alias("ordinal"), "barcode", "umi")
     return taxonomy.assign(own, _assignments(spark, sf_dir)).drop("ordinal")
 
 
@@ -410,7 +410,7 @@ def contig_anti_join(spark, sf_dir):
 
 @query(with_reads("SELECT species AS reference_name, ordinal_part AS reference_start, read_id FROM reads"))
 def coordinate_sort(spark, sf_dir):
-    own = reads(spark, sf_dir).select(F.col("species").alias("reference_name"), F.col("ordinal_part").alias("reference_start"), "read_id")
+    own = reads(spark, sf_dir, cells=False).select(F.col("species").alias("reference_name"), F.col("ordinal_part").alias("reference_start"), "read_id")
     return read_ops.coordinate_sorted(own)
 
 

@@ -10,35 +10,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Columns of the view by what they need beside lineitem; unused joins are then left out.
+#: The columns that order the rows of a read id.
 ORDINAL = ("ordinal_part", "ordinal_supp", "ordinal_price")
 
 
-def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem, orders and part as reads; ids repeat, and the three ordinal columns order the rows of an id."""
-    line = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    joined = line.join(orders, line.l_orderkey == orders.o_orderkey).join(part, line.l_partkey == part.p_partkey)
-    return joined.select(
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string")).alias("read_id"),
-        F.col("l_partkey").alias("ordinal_part"),
-        F.col("l_suppkey").alias("ordinal_supp"),
-        F.col("l_extendedprice").alias("ordinal_price"),
-        F.col("l_quantity").cast("int").alias("mapq"),
-        (F.col("l_returnflag") == "N").alias("is_unmapped"),
-        (F.col("l_linenumber") == 7).alias("is_secondary"),
-        (F.col("l_linenumber") == 6).alias("is_supplementary"),
-        F.when(F.col("l_linenumber") == 4, F.lit(None)).when(F.col("l_linenumber") == 5, F.lit("")).otherwise(F.col("o_custkey").cast("string")).alias("tagged_barcode"),
-        F.when(F.col("l_linenumber") == 3, F.lit("")).otherwise(F.col("l_orderkey").cast("string")).alias("tagged_umi"),
-        F.col("o_custkey").cast("string").alias("barcode"),
-        F.col("l_orderkey").cast("string").alias("umi"),
-        F.col("p_name").alias("species"),
-        F.round(F.col("l_discount") * 100).cast("int").alias("mismatches"),
-        F.lit(100).alias("length"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("microbe_mapq"),
-        (F.col("l_linestatus") == "F").alias("classified"),
-    )
+def reads(spark: SparkSession, sf_dir: str, cells: bool = True, species: bool = True) -> DataFrame:
+    """lineitem as reads; ids repeat, and the ORDINAL columns order the rows of an id.
+
+    cells and species say whether orders and part are joined for the barcode and species columns. Every order line has both, so rows stay the same without.
+    """
+    rows = table(spark, sf_dir, "lineitem")
+    if cells:
+        rows = rows.join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    if species:
+        rows = rows.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    line = F.col("l_linenumber")
+    columns = {
+        "read_id": F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), line.cast("string")),
+        "ordinal_part": F.col("l_partkey"),
+        "ordinal_supp": F.col("l_suppkey"),
+        "ordinal_price": F.col("l_extendedprice"),
+        "mapq": F.col("l_quantity").cast("int"),
+        "is_unmapped": F.col("l_returnflag") == "N",
+        "is_secondary": line == 7,
+        "is_supplementary": line == 6,
+        "umi": F.col("l_orderkey").cast("string"),
+        "tagged_umi": F.when(line == 3, F.lit("")).otherwise(F.col("l_orderkey").cast("string")),
+        "mismatches": F.round(F.col("l_discount") * 100).cast("int"),
+        "length": F.lit(100),
+        "microbe_mapq": F.round(F.col("l_tax") * 100).cast("int"),
+        "classified": F.col("l_linestatus") == "F",
+    }
+    if cells:
+        cell = F.col("o_custkey").cast("string")
+        columns |= {"barcode": cell, "tagged_barcode": F.when(line == 4, F.lit(None)).when(line == 5, F.lit("")).otherwise(cell)}
+    if species:
+        columns |= {"species": F.col("p_name")}
+    return rows.select(*(c.alias(k) for k, c in columns.items()))
 
 
 READS_SQL = """reads AS (SELECT concat(l_orderkey, '_', l_linenumber) AS read_id, l_partkey AS ordinal_part, l_suppkey AS ordinal_supp, l_extendedprice AS ordinal_price,
