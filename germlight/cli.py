@@ -38,12 +38,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--default-names", action="store_true", help="name species and cells by number")
     p.add_argument("--threads", "-t", type=int, default=4, help="local threads where no cluster is configured")
     p.add_argument("--log-level", default="INFO")
+    p.add_argument("--log-file", help="also log to this file")
     p.add_argument("--verbose", action="store_true", help="log at level DEBUG")
     return p
 
 
 #: Arguments that aren't fields of Options.
-OTHER = ("input", "output", "config", "host_ref", "microbe_ref", "kraken_db", "default_names", "threads", "log_level", "verbose")
+OTHER = ("input", "output", "config", "host_ref", "microbe_ref", "kraken_db", "default_names", "threads", "log_level", "log_file", "verbose")
 
 
 def options_of(args: argparse.Namespace) -> Options:
@@ -53,7 +54,8 @@ def options_of(args: argparse.Namespace) -> Options:
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    logging.basicConfig(level="DEBUG" if args.verbose else args.log_level.upper(), stream=sys.stdout, format="%(asctime)s %(levelname)s %(message)s")
+    handlers: list[logging.Handler] = [logging.StreamHandler(sys.stdout), *([logging.FileHandler(args.log_file)] if args.log_file else [])]
+    logging.basicConfig(level="DEBUG" if args.verbose else args.log_level.upper(), handlers=handlers, format="%(asctime)s %(levelname)s %(message)s")
     from pyspark.sql import SparkSession
 
     from germlight.pipeline import run

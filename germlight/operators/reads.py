@@ -68,5 +68,12 @@ def length_filtered(fastq: DataFrame, min_length: int = 0, max_length: int = 0)
     return fastq.where((n >= min_length) & (n <= max_length) if max_length else n >= min_length)
 
 
+def length_stats(fastq: DataFrame, min_length: int = 0, max_length: int = 0) -> DataFrame:
+    """One row: records read, and those that length_filtered keeps."""
+    n = F.length("sequence")
+    kept = (n >= min_length) & (n <= max_length) if max_length else n >= min_length
+    return fastq.agg(F.count("*").alias("processed"), F.count_if(kept).alias("written"))
+
+
 def coordinate_sorted(alignments: DataFrame) -> DataFrame:
     return alignments.orderBy(F.col("reference_name").asc_nulls_last(), F.col("reference_start"), "read_id")

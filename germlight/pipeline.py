@@ -113,6 +113,7 @@ def run(spark: SparkSession, input_path: str, output: str, options: Options | No
             stats["contamination"] = contamination.contamination_stats(masks).first().asDict()
         report.write_stats(stats, os.path.join(output, "germlight_stats.json"))
         report.write_qc_report(counts, species, cells, os.path.join(output, "qc_report.txt"))
+        report.write_summary(output)
         return stats
     finally:
         raw.unpersist()

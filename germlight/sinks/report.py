@@ -50,3 +50,12 @@ def write_qc_report(counts: DataFrame, species: DataFrame, cells: DataFrame, pat
     with open(path, "w") as out:
         out.write(text)
     return text
+
+
+def write_summary(folder: str, path: str | None = None) -> str:
+    """A list of the output files and their sizes."""
+    found = sorted((os.path.relpath(os.path.join(d, f), folder), os.path.getsize(os.path.join(d, f))) for d, _, names in os.walk(folder) for f in names)
+    text = "\n".join(["Output files", "=" * 12, *(f"{size:>12,}  {name}" for name, size in found)]) + "\n"
+    with open(path or os.path.join(folder, "summary.txt"), "w") as out:
+        out.write(text)
+    return text

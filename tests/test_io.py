@@ -217,3 +217,35 @@ def test_pipeline(spark, tmp_path):
     filtered = pipeline.run(spark, path, str(tmp_path / "out2"), Options(contamination_method="both", specificity_threshold=0.0), microbe_ref=str(tmp_path / "microbes.fa"))
     assert filtered["contamination"]["input_species"] == 2
     assert cli.main(["-i", str(tmp_path / "none.bam"), "-o", str(out), "--microbe-ref", "x", "--log-level", "CRITICAL"]) == 1
+
+
+def test_streaming_equals_batch(spark, bam, tmp_path):
+    from germlight.streaming import reads as streaming
+
+    sources.register(spark)
+    batch = spark.read.format("bam").load(bam[0])
+    batch.repartition(4).write.parquet(str(tmp_path / "in"))
+    hits = spark.createDataFrame([("read_00000004", 1, True), ("read_00000006", 1, False)], "read_id string, ordinal long, is_host boolean")
+    stream = streaming.without_host(streaming.candidates(streaming.read_stream(spark, str(tmp_path / "in"))), hits)
+    query = streaming.to_parquet(stream, str(tmp_path / "out"), str(tmp_path / "state")).trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    from germlight.operators import host, reads
+
+    expected = host.without_host(reads.candidate_reads(batch), hits)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r[0] for r in got.select("read_id").collect()) == sorted(r[0] for r in expected.select("read_id").collect())
+
+
+def test_reference_database(spark, tmp_path):
+    from germlight import api
+
+    (tmp_path / "a.fa").write_text(">c1 x\nACGTACGTAC\n>c2\nTTTTGGGGCC\n")
+    with gzip.open(tmp_path / "b.fa.gz", "wt") as out:
+        out.write(">c3\nGATTACAGAT\n")
+    both = api.combined(spark, str(tmp_path / "a.fa"), str(tmp_path / "b.fa.gz"))
+    paf = spark.createDataFrame([("c2", 99, 100)], "query_name string, matches int, alignment_length int")
+    api.write_combined(api.host_free(both, paf), str(tmp_path / "all"))
+    assert {r["header"] for r in read_fasta(spark, str(tmp_path / "all")).collect()} == {"c1 x", "c3"}
+    api.write_index(both, str(tmp_path / "index"), k=8)
+    assert spark.read.parquet(str(tmp_path / "index")).count() == 9
+    assert api.length_stats(both, 5, 9).first().asDict() == {"processed": 3, "written": 0}
