@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 
 from germlight.llm._shared import Generations, table
 
-CACHE, PAIRS, PREFIXES = 250_000, 150_000, 300_000
-#: Bytes of the longest prefix that is kept: slices of longer ones would cost the square of a long piece.
-SHARED = 32
+CACHE, PAIRS, PREFIXES = 800_000, 200_000, 300_000
+NEVER = 1 << 62
 
 
 class Vocabulary:
@@ -40,71 +39,102 @@ class Vocabulary:
         self.ranks, self.pieces_of = ranks, regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
-        # Endings of tokens: past a byte string that ends no token, longer ones end none either.
-        self.endings = {token[i:] for token in ranks for i in range(len(token))}
-        self._apart: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
-        self._known = Generations(self.encode_piece, CACHE)
-        self._prefixes: dict[bytes | None, int] = {}
+        # Endings of tokens with their rank, or -1 where they are none: past bytes that end no token, longer ones end none either.
+        self.endings = dict.fromkeys((token[i:] for token in ranks for i in range(len(token))), -1) | ranks
+        self._courses: dict[int, tuple[list[tuple[int, bytes, bytes]], bool]] = {}
         self._names = {rank: str(rank) for rank in self.tokens}
+        self.forget()
 
     def forget(self) -> None:
         """Drops what encoding has gathered; the vocabulary itself stays."""
-        self._known, self._prefixes = Generations(self.encode_piece, CACHE), {}
-        self._apart.clear()
+        self._known = Generations(self.encode_piece, CACHE)
+        self._apart: dict[int, bool] = {}
+        self._plant()
+
+    def _plant(self) -> None:
+        """Prefixes of all pieces in one tree: node * 256 + byte -> node; each node has its prefix's last token and the node before that token."""
+        self._next: dict[int, int] = {}
+        self._last, self._before = [-1], [-1]
 
     def merged(self, data: bytes) -> list[int]:
         """Encoding by the definition: join the adjacent pair of least rank, leftmost first, while there is one."""
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 62), i) for i in range(len(parts) - 1))
-            if rank == 1 << 62:
+            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], NEVER), i) for i in range(len(parts) - 1))
+            if rank == NEVER:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
-    def apart(self, a: int, b: int) -> bool:
-        """Whether tokens a and b, side by side, are the encoding of their bytes."""
-        if (known := self._apart.get((a, b))) is None:
-            if len(self._apart) >= PAIRS:
-                self._apart.clear()
-            known = self._apart[a, b] = self.merged(self.tokens[a] + self.tokens[b]) == [a, b]
+    def course(self, t: int) -> tuple[list[tuple[int, bytes, bytes]], bool]:
+        """The joins that make token t of its bytes: (rank, first part after it, last part after it) of each, and whether t comes out whole."""
+        if (known := self._courses.get(t)) is None:
+            data, steps = self.tokens[t], []
+            parts = [data[i : i + 1] for i in range(len(data))]
+            while len(parts) > 1:
+                rank, at = min((self.ranks.get(parts[i] + parts[i + 1], NEVER), i) for i in range(len(parts) - 1))
+                if rank == NEVER:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                steps.append((rank, parts[0], parts[-1]))
+            known = self._courses[t] = (steps, len(parts) == 1)
         return known
 
     def whole(self, t: int) -> bool:
         """Whether token t is the encoding of its bytes."""
-        if (known := self._whole.get(t)) is None:
-            known = self._whole[t] = self.merged(self.tokens[t]) == [t]
+        return self.course(t)[1]
+
+    def apart(self, a: int, b: int) -> bool:
+        """Whether tokens a and b, side by side, are the encoding of their bytes.
+
+        Until a join crosses the border, each side goes its own course, the least rank first and the left one of equals. So it is enough to follow both
+        courses at once and to ask, of the parts that meet at the border, whether their join is due before the next one on either side.
+        """
+        if (known := self._apart.get(a << 32 | b)) is not None:
+            return known
+        (left, whole_a), (right, whole_b) = self.course(a), self.course(b)
+        known = whole_a and whole_b
+        i = j = 0
+        x, y = self.tokens[a][-1:], self.tokens[b][:1]
+        while known:
+            due_a, due_b = left[i][0] if i < len(left) else NEVER, right[j][0] if j < len(right) else NEVER
+            crossing = self.ranks.get(x + y, NEVER)
+            if crossing < due_a and crossing <= due_b:
+                known = False
+            elif due_a <= due_b:
+                if due_a == NEVER:
+                    break
+                x, i = left[i][2], i + 1
+            else:
+                y, j = right[j][1], j + 1
+        if len(self._apart) >= PAIRS:
+            self._apart.clear()
+        self._apart[a << 32 | b] = known
         return known
 
+    def suffixes(self, data: bytes, end: int) -> list[tuple[int, int]]:
+        """(start, token) of the tokens that end data[:end], the longest first."""
+        endings, found = self.endings, []
+        for start in range(end - 1, -1, -1):
+            rank = endings.get(data[start:end])
+            if rank is None:
+                break
+            if rank >= 0:
+                found.append((start, rank))
+        found.reverse()
+        return found
+
     def last_token(self, data: bytes, end: int, last: list[int]) -> int:
         """The last token of data[:end], given those of all shorter prefixes."""
-        ranks, endings, found = self.ranks, self.endings, []
-        for start in range(end - 1, max(-1, end - 1 - self.longest), -1):
-            part = data[start:end]
-            if part not in endings:
-                break
-            if part in ranks:
-                found.append(start)
-        for start in reversed(found):
-            t = ranks[data[start:end]]
+        for start, t in self.suffixes(data, end):
             if self.apart(last[start - 1], t) if start else self.whole(t):
                 return t
         raise ValueError(f"no token of the vocabulary ends prefix {data[:end]!r}")
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
-        """Appends the last tokens of the prefixes of data that are longer than last. Pieces share prefixes, whose tokens are kept, PREFIXES of them."""
-        known = self._prefixes
-        if len(known) >= PREFIXES:
-            known.clear()
+        """Appends the last tokens of the prefixes of data that are longer than last."""
         for end in range(len(last) + 1, len(data) + 1):
-            prefix = data[:end] if end <= SHARED else None
-            token = known.get(prefix)
-            if token is None:
-                token = self.last_token(data, end, last)
-                if prefix is not None:
-                    known[prefix] = token
-            last.append(token)
+            last.append(self.last_token(data, end, last))
         return last
 
     def back(self, last: list[int]) -> list[int]:
@@ -116,10 +146,31 @@ class Vocabulary:
         return ids[::-1]
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
+        """Walks the tree of prefixes that pieces share, and grows it where this one is new."""
         data = piece.encode("utf-8", "replace")
-        if data in self.ranks and self.whole(self.ranks[data]):
-            return (self.ranks[data],)
-        return tuple(self.back(self.extend(data, [])))
+        rank = self.ranks.get(data)
+        if rank is not None and self.whole(rank):
+            return (rank,)
+        if len(self._last) >= PREFIXES:
+            self._plant()
+        step, last, before, node, path = self._next, self._last, self._before, 0, [0]
+        for end, byte in enumerate(data, 1):
+            key = node << 8 | byte
+            node = step.get(key)
+            if node is None:
+                for start, t in self.suffixes(data, end):
+                    if self.apart(last[path[start]], t) if start else self.whole(t):
+                        break
+                else:
+                    raise ValueError(f"no token of the vocabulary ends prefix {data[:end]!r}")
+                node = step[key] = len(last)
+                last.append(t), before.append(path[start])
+            path.append(node)
+        ids = []
+        while node:
+            ids.append(last[node])
+            node = before[node]
+        return tuple(reversed(ids))
 
     def encode(self, text: str | None) -> list[int]:
         return list(chain.from_iterable(map(self._known.__getitem__, self.pieces_of(text or ""))))
