@@ -39,10 +39,10 @@ from germlight.llm._shared import Generations, filesystem, fresh_dir, table
 MAGIC, VERSION, BLOCK = b"GLPK", 1, 1 << 16
 HEADER, DOCUMENT, FOOTER = struct.Struct("<4sHHI"), np.dtype([("id", "<i8"), ("first", "<u8"), ("n", "<u4"), ("crc", "<u4")]), struct.Struct("<QQQQ4s")
 #: Documents that are encoded, or returned, at a time; distinct pieces of text whose ids a worker keeps.
-DOCS, CACHE = 256, 250_000
+DOCS, CACHE = 256, 600_000
 END_ID, NULL_ID = 2, -(2**63)
-#: Fixed value: what byte-level BPE vocabularies of this kind split a text by before their merges.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: what byte-level BPE vocabularies of this kind split a text by before their merges. Words lead, being the most; no two branches match at one place otherwise.
+PIECES = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def bits_for(vocabulary: int) -> int:
@@ -142,8 +142,8 @@ def byte_characters() -> dict[int, int]:
 
 
 class Encoder:
-    """text -> ids by a tokenizers file. A byte-level BPE encodes the pieces of its pattern on their own, so a task asks the library once for each distinct
-    piece and keeps the answers, CACHE at most; any other tokenizer gets whole texts."""
+    """text -> ids by a tokenizers file. A byte-level BPE encodes the pieces of its pattern on their own, so a worker asks the library once for each distinct
+    piece and keeps the answers over its tasks, CACHE at most (some 150 MB); any other tokenizer gets whole texts."""
 
     def __init__(self, path: str):
         import regex
@@ -157,9 +157,6 @@ class Encoder:
         split = str(self.tokenizer.pre_tokenizer)
         self.by_piece = "ByteLevel" in split and "add_prefix_space=True" not in split and self.tokenizer.normalizer is None
         self.pieces, self.merges, self.stand_for = regex.compile(PIECES).findall, self.tokenizer.model.tokenize, byte_characters()
-        self.forget()
-
-    def forget(self) -> None:
         self.known = Generations(self._piece, CACHE)
 
     def _piece(self, piece: str) -> bytes:
@@ -208,7 +205,6 @@ def write_packed(docs: DataFrame, tokenizer_path: str, folder: str | None = None
             out.close()
             row = {"name": name, "known": first[0] is not None, "id": first[0] or 0, "h": first[1], "docs": len(writer.documents), "ids": writer.n, "bytes": size}
             yield pa.RecordBatch.from_pylist([row])
-        encode.forget()  # an idle worker stays small
 
     h = F.xxhash64(F.col(text_col))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNotNull().alias("known"), h.alias("h"), F.col(text_col).alias("text"))
