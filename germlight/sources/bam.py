@@ -1,8 +1,8 @@
 """BAM as a Spark data source: spark.read.format("bam").load(path).
 
-A file is a row of BGZF blocks, each a gzip member that states its own length, so the driver can find block starts from a few bytes each, and tasks read
-spans of blocks. A record belongs to the span of the block it starts in; a task that doesn't begin at the file's first record finds its first one by
-looking for a place where a chain of plausible records begins.
+A file is a row of BGZF blocks, each a gzip member that states its own length. The driver only lists files and sizes and cuts them into spans of bytes; a task finds the
+first block of its span by the blocks' magic and the chain of lengths from there, and its first record as a place where a chain of plausible records begins.
+A block belongs to the span it starts in, a record to that of the block it starts in.
 
 Options: barcode_tag and umi_tag (CB, UB), split (bytes a task reads), sequence=false to skip bases and qualities, and
 candidates=true with mapq, unmapped and low_mapq to drop other records while decoding.
@@ -10,6 +10,7 @@ candidates=true with mapq, unmapped and low_mapq to drop other records while dec
 
 from __future__ import annotations
 
+import io
 import struct
 import zlib
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ from germlight.sources.files import list_files, open_file
 
 SPLIT, BATCH = 64 << 20, 4096
 #: Fixed values of the format: magic, codes of bases and CIGAR operations, sizes of tag values.
+BLOCK_MAGIC = b"\x1f\x8b\x08\x04"
 MAGIC, BASES, OPERATIONS = b"BAM\1", "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 TAG_VALUES = {b"A": "c", b"c": "b", b"C": "B", b"s": "h", b"S": "H", b"i": "i", b"I": "I", b"f": "f"}
 _CORE = struct.Struct("<iiBBHHHiiii")
@@ -45,7 +47,7 @@ class Blocks:
         head = self.file.read(18)
         if not head:
             return False
-        if len(head) < 18 or head[:4] != b"\x1f\x8b\x08\x04":
+        if len(head) < 18 or head[:4] != BLOCK_MAGIC:
             raise ValueError("not a BGZF block")
         size = block_size(head, self.file)
         self.file.seek(self.next)
@@ -100,6 +102,39 @@ def block_size(head: bytes, file) -> int:
     raise ValueError("a gzip member without a block size")
 
 
+def _is_block(file, at: int, follow: int = 3) -> bool:
+    """Whether blocks begin there, one after another or up to the file's end."""
+    for _ in range(follow):
+        file.seek(at)
+        head = file.read(18)
+        if not head:
+            return True
+        if len(head) < 18 or head[:4] != BLOCK_MAGIC:
+            return False
+        try:
+            at += block_size(head, file)
+        except ValueError:
+            return False
+    return True
+
+
+def find_block(file, start: int, end: int) -> int:
+    """Where the first block at or after start begins; -1 if that isn't before end."""
+    at = start
+    while at < end:
+        file.seek(at)
+        chunk = file.read(1 << 17)
+        i = chunk.find(BLOCK_MAGIC)
+        while i >= 0 and at + i < end:
+            if _is_block(file, at + i):
+                return at + i
+            i = chunk.find(BLOCK_MAGIC, i + 1)
+        if len(chunk) < len(BLOCK_MAGIC):
+            return -1
+        at += len(chunk) - len(BLOCK_MAGIC) + 1
+    return -1
+
+
 def read_header(blocks: Blocks) -> list[tuple[str, int]]:
     """References (name, length); leaves the first record next."""
     if blocks.take(4) != MAGIC:
@@ -196,21 +231,7 @@ class BamReader(DataSourceReader):
         self.mapq, self.unmapped, self.low_mapq = int(options.get("mapq", 30)), yes("unmapped", "true"), yes("low_mapq", "true")
 
     def partitions(self) -> list[Span]:
-        """Spans that begin at blocks: about `split` apart, each start found by walking the sizes of the blocks between."""
-        spans = []
-        for path, size in list_files(self.path, (".bam",)):
-            if size <= self.split:
-                spans.append(Span(path, 0, size))
-                continue
-            starts, at = [0], 0
-            with open_file(path) as file:
-                while at < size:
-                    file.seek(at)
-                    at += block_size(file.read(18), file)
-                    if at < size and at - starts[-1] >= self.split:
-                        starts.append(at)
-            spans += [Span(path, a, b) for a, b in zip(starts, [*starts[1:], size])]
-        return spans
+        return [Span(path, at, min(at + self.split, size)) for path, size in list_files(self.path, (".bam",)) for at in range(0, size, self.split)]
 
     def _wanted(self, flag: int, mapq: int) -> bool:
         if not self.candidates:
@@ -220,11 +241,15 @@ class BamReader(DataSourceReader):
         return self.unmapped if flag & UNMAPPED else self.low_mapq and mapq < self.mapq
 
     def rows(self, span: Span) -> Iterator[tuple]:
-        with open_file(span.path) as file:
+        with open_file(span.path) as raw:
+            file = io.BufferedReader(raw, 1 << 20)
             blocks = Blocks(file)
             references = read_header(blocks)
             if span.start:
-                blocks = Blocks(file, span.start)
+                first = find_block(file, span.start, span.end)
+                if first < 0:
+                    return
+                blocks = Blocks(file, first)
                 if not find_record(blocks, span.end, references):
                     return
             while blocks.need(1):
