@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 K = 21
 
 
-#: k-mers of a piece: long sequences are cut into rows of PIECE, and those into runs, since each substring() counts characters from the start.
-PIECE, RUN = 1 << 16, 256
+#: k-mers of a chunk, a piece and a run, and bases of a stored piece of reference. Long sequences become rows of ever shorter parts, since each substring()
+#: counts characters from the start, and since no row should hold a chromosome's k-mers.
+CHUNK, PIECE, RUN, BASES = 1 << 22, 1 << 16, 256, 1 << 12
 
 
 def _cut(sequence: Column, step: int, k: int) -> Column:
-    """Overlapping parts that hold `step` k-mers each, the last one fewer."""
+    """Parts that hold `step` k-mers each, the last one fewer; neighbours share k - 1 characters."""
     return F.transform(F.sequence(F.lit(1), F.greatest(F.length(sequence) - k + 1, F.lit(1)), F.lit(step)), lambda i: F.substring(sequence, i, F.lit(step + k - 1)))
 
 
@@ -27,11 +28,22 @@ def kmers(sequence: Column, k: int) -> Column:
     return F.when(F.length(sequence) < k, F.array().cast("array<string>")).otherwise(F.flatten(F.transform(_cut(sequence, RUN, k), few)))
 
 
+def _parts(df: DataFrame, size: int, k: int, keys: tuple[str, ...], sequence: str) -> DataFrame:
+    """keys, at and part: parts of `size` k-mers with the number of each one's first."""
+    chunks = df.where(F.length(sequence) >= k).select(*keys, F.posexplode(_cut(F.col(sequence), CHUNK, k)).alias("_c", "_s"))
+    found = chunks.select(*keys, "_c", F.posexplode(_cut(F.col("_s"), size, k)).alias("_p", "part"))
+    return found.select(*keys, (F.col("_c") * CHUNK + F.col("_p") * size).alias("at"), "part")
+
+
 def exploded(df: DataFrame, k: int, *keys: str, sequence: str = "sequence") -> DataFrame:
-    """keys, position (0-based) and kmer of every k-mer; no row ever holds more than a piece."""
-    pieces = df.where(F.length(sequence) >= k).select(*keys, F.posexplode(_cut(F.col(sequence), PIECE, k)).alias("_p", "_s"))
-    found = pieces.select(*keys, "_p", F.posexplode(kmers(F.col("_s"), k)).alias("_i", "kmer"))
-    return found.select(*keys, (F.col("_p") * PIECE + F.col("_i")).alias("position"), "kmer")
+    """keys, position (0-based) and kmer of every k-mer."""
+    found = _parts(df, PIECE, k, keys, sequence).select(*keys, "at", F.posexplode(kmers(F.col("part"), k)).alias("_i", "kmer"))
+    return found.select(*keys, (F.col("at") + F.col("_i")).alias("position"), "kmer")
+
+
+def pieces(references: DataFrame) -> DataFrame:
+    """(reference, piece, bases): the references cut every BASES bases."""
+    return _parts(references, BASES, 1, ("reference",), "sequence").select("reference", (F.col("at") / BASES).cast("int").alias("piece"), F.upper("part").alias("bases"))
 
 
 def complement(sequence: Column) -> Column:
@@ -54,22 +66,35 @@ def index(references: DataFrame, k: int = K) -> DataFrame:
     return exploded(references, k, "reference").select(F.xxhash64("kmer").alias("kmer"), "reference", "position")
 
 
-def align(reads: DataFrame, references: DataFrame, k: int = K, stride: int = 4, indexed: DataFrame | None = None) -> DataFrame:
+def align(reads: DataFrame, references: DataFrame, k: int = K, stride: int = 4, indexed: DataFrame | None = None, max_places: int = 0) -> DataFrame:
     """read_id, ordinal, sequence, reference_name, reference_start (0-based), reverse, mismatches, mapq: one row for each read with a shared k-mer.
 
     Every stride-th k-mer of a read, on both strands, looks for its places in the index; the most frequent (reference, diagonal) wins, ties by name, start
-    and strand. mapq is 60 * (1 - second / best), of votes for another place. Reads are told apart by (read_id, ordinal).
+    and strand. mapq is 60 * (1 - second / best), of votes for another place. Reads are told apart by (read_id, ordinal). max_places, if given, leaves k-mers
+    with more places out of the search, as aligners do with repeats of large genomes; by default none is left out.
     """
     strands = reads.select("read_id", "ordinal", F.explode(F.array(F.struct(F.lit(False).alias("reverse"), F.col("sequence").alias("s")), F.struct(F.lit(True).alias("reverse"), complement(F.col("sequence")).alias("s")))).alias("x"))
     probes = strands.select("read_id", "ordinal", "x.reverse", F.posexplode(F.transform(kmers(F.col("x.s"), k), lambda s: F.xxhash64(s))).alias("offset", "kmer")).where(F.col("offset") % stride == 0)
-    hits = probes.join(index(references, k) if indexed is None else indexed, "kmer").groupBy("read_id", "ordinal", "reference", "reverse", (F.col("position") - F.col("offset")).alias("start")).agg(F.count("*").alias("votes"))
-    place = F.struct((-F.col("votes")).alias("v"), "reference", "start", "reverse")
-    best = hits.groupBy("read_id", "ordinal").agg(F.min(place).alias("b"), F.slice(F.sort_array(F.collect_list("votes"), asc=False), 2, 1).alias("second"))
-    second = F.coalesce(F.get("second", F.lit(0)), F.lit(0))
-    found = best.select("read_id", "ordinal", "b.reference", "b.start", "b.reverse", F.round(60 * (1 + second / F.col("b.v"))).cast("int").alias("mapq"))
-    joined = reads.select("read_id", "ordinal", "sequence").join(found, ["read_id", "ordinal"]).join(references.select("reference", F.col("sequence").alias("_ref")), "reference")
-    own = F.when(F.col("reverse"), complement(F.col("sequence"))).otherwise(F.col("sequence"))
-    # Bases beyond the reference's ends count as mismatches.
-    target = F.concat(F.repeat(F.lit("-"), F.greatest(-F.col("start"), F.lit(0))), F.expr("substring(_ref, greatest(start, 0) + 1, length(sequence) + least(start, 0))"))
-    differ = F.aggregate(F.zip_with(F.split(F.upper(own), ""), F.split(F.upper(target), ""), lambda a, b: (~a.eqNullSafe(b)).cast("int")), F.lit(0), lambda x, y: x + y)
-    return joined.select("read_id", "ordinal", "sequence", F.col("reference").alias("reference_name"), F.greatest("start", F.lit(0)).alias("reference_start"), "reverse", differ.alias("mismatches"), "mapq")
+    places = index(references, k) if indexed is None else indexed
+    if max_places:
+        frequent = places.groupBy("kmer").agg(F.count("*").alias("n")).where(F.col("n") > max_places).select("kmer")
+        places = places.join(frequent, "kmer", "left_anti")
+    hits = probes.join(places, "kmer").groupBy("read_id", "ordinal", "reference", "reverse", (F.col("position") - F.col("offset")).alias("start")).agg(F.count("*").alias("votes"))
+    # Places by number of votes: a read has as many rows as it has different numbers, not places.
+    levels = hits.groupBy("read_id", "ordinal", "votes").agg(F.count("*").alias("n"), F.min(F.struct("reference", "start", "reverse")).alias("first"))
+    best = levels.groupBy("read_id", "ordinal").agg(F.max_by(F.struct("votes", "n", "first"), "votes").alias("b"), F.sort_array(F.collect_list("votes"), asc=False).alias("levels"))
+    second = F.when(F.col("b.n") > 1, F.col("b.votes")).otherwise(F.coalesce(F.get("levels", F.lit(1)), F.lit(0)))
+    found = best.select("read_id", "ordinal", "b.first.reference", "b.first.start", "b.first.reverse", F.round(60 * (1 - second / F.col("b.votes"))).cast("int").alias("mapq"))
+    placed = reads.select("read_id", "ordinal", "sequence").join(found, ["read_id", "ordinal"])
+    # Each read meets the pieces of reference that it covers; bases beyond the reference's ends count as mismatches.
+    length, end = F.length("sequence"), F.col("start") + F.length("sequence")
+    last = F.greatest(end - 1, F.lit(0))
+    covered = placed.withColumn("piece", F.explode(F.sequence(F.floor(F.greatest(F.col("start"), F.lit(0)) / BASES).cast("int"), F.floor(last / BASES).cast("int"))))
+    met = covered.join(pieces(references), ["reference", "piece"], "left")
+    own = F.upper(F.when(F.col("reverse"), complement(F.col("sequence"))).otherwise(F.col("sequence")))
+    low, high = F.greatest(F.col("start"), F.col("piece") * BASES), F.least(end, F.col("piece") * BASES + F.coalesce(F.length("bases"), F.lit(0)))
+    n = F.greatest(high - low, F.lit(0))
+    both = F.zip_with(F.split(F.substring(own, low - F.col("start") + 1, n), ""), F.split(F.substring(F.coalesce("bases", F.lit("")), low - F.col("piece") * BASES + 1, n), ""), lambda a, b: ((a == b) & (a != "")).cast("int"))
+    same = F.aggregate(both, F.lit(0), lambda x, y: x + y)
+    whole = met.groupBy("read_id", "ordinal", "sequence", "reference", "start", "reverse", "mapq").agg(F.sum(same).alias("same"))
+    return whole.select("read_id", "ordinal", "sequence", F.col("reference").alias("reference_name"), F.greatest("start", F.lit(0)).alias("reference_start"), "reverse", (length - F.col("same")).cast("int").alias("mismatches"), "mapq")

@@ -248,6 +248,13 @@ def test_kmers_and_alignment(spark):
         truth[f"r{i}"] = (g, at, reverse, errors)
     got = {r["read_id"]: (r["reference_name"], r["reference_start"], r["reverse"], r["mismatches"]) for r in kmer.align(spark.createDataFrame(own, "read_id string, ordinal long, sequence string"), refs).collect()}
     assert len(got) >= 119 and all(truth[k] == v for k, v in got.items())
+    joined = {}
+    for r in kmer.pieces(refs).orderBy("piece").collect():
+        joined[r["reference"]] = joined.get(r["reference"], "") + r["bases"]
+    assert joined == genome
+    ends = [("x", 0, "TTTTT" + genome["g1"][:95]), ("y", 0, genome["g1"][-90:] + "A" * 10), ("z", 0, genome["g0"][4000:4300])]
+    got = {r["read_id"]: (r["reference_start"], r["mismatches"], r["mapq"]) for r in kmer.align(spark.createDataFrame(ends, "read_id string, ordinal long, sequence string"), refs, max_places=50).collect()}
+    assert got["x"][:2] == (0, 5) and got["y"][:2] == (2910, 10) and got["z"] == (4000, 0, 60)
     assert kmer.vote(spark.createDataFrame([("a", "ACG"), ("b", None)], "read_id string, sequence string"), refs).count() == 0
 
 
