@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from germlight.functions import scalar
 from germlight.operators import contamination, genomes, host, kmer, matrix, qc, quantify, reads as read_ops, taxonomy, umi
 from germlight.operators.dedup import last_wins
-from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, table
+from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
 from germlight.sources import assembly, kraken, sam
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -427,6 +427,6 @@ SELECT doc_id, item_id, votes FROM v QUALIFY row_number() OVER (PARTITION BY doc
 )
 def kmer_vote(spark, sf_dir):
     refs = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("reference"), F.col("text").alias("sequence"))
-    own = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("read_id"), F.col("text").alias("sequence"))
+    own = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("read_id"), F.col("text").alias("sequence")))
     best = kmer.vote(own, refs, _K)
     return best.select(F.col("read_id").alias("doc_id"), F.col("reference").alias("item_id"), "votes")

@@ -10,6 +10,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files are too small for that: a file of one row group is one task, whatever the splits. Large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * SMALL else df
+
+
+#: Bytes for each core below which an input is dealt out anew.
+SMALL = 8 << 20
+
+
 #: The columns that order the rows of a read id.
 ORDINAL = ("ordinal_part", "ordinal_supp", "ordinal_price")
 

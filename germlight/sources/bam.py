@@ -21,13 +21,15 @@ from germlight.functions.scalar import SECONDARY, SUPPLEMENTARY, UNMAPPED
 from germlight.schemas import READS
 from germlight.sources.files import list_files, open_file
 
-SPLIT, BATCH = 64 << 20, 4096
+SPLIT, BATCH = 8 << 20, 4096
 #: Fixed values of the format: magic, codes of bases and CIGAR operations, sizes of tag values.
 BLOCK_MAGIC = b"\x1f\x8b\x08\x04"
 MAGIC, BASES, OPERATIONS = b"BAM\1", "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 TAG_VALUES = {b"A": "c", b"c": "b", b"C": "B", b"s": "h", b"S": "H", b"i": "i", b"I": "I", b"f": "f"}
 _CORE = struct.Struct("<iiBBHHHiiii")
-_PAIRS = [a + b for a in BASES for b in BASES]
+#: Half a byte a base: a hexadecimal digit each. Qualities are written from `!` on.
+_OF_DIGIT = str.maketrans("0123456789abcdef", BASES)
+_OF_PHRED = bytes(min(q + 33, 126) for q in range(256))
 #: Records that must follow one another for a place to count as a record's start, and the longest that one may be.
 CHAIN, LONGEST = 5, 1 << 26
 
@@ -271,8 +273,8 @@ class BamReader(DataSourceReader):
         phred = data[at : at + n_bases]
         sequence = quality = None
         if self.with_sequence:
-            sequence = "".join(map(_PAIRS.__getitem__, packed))[:n_bases]
-            quality = "" if phred[:1] == b"\xff" else bytes(q + 33 for q in phred).decode()
+            sequence = packed.hex().translate(_OF_DIGIT)[:n_bases]
+            quality = "" if phred[:1] == b"\xff" else phred.translate(_OF_PHRED).decode()
         extra = tags(data, at + n_bases)
         mapped = not flag & UNMAPPED
         barcode = extra.get(self.barcode)
