@@ -37,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--formats", nargs="+")
     p.add_argument("--default-names", action="store_true", help="name species and cells by number")
     p.add_argument("--threads", "-t", type=int, default=4, help="local threads where no cluster is configured")
+    p.add_argument("--chunk-size", type=int, default=10_000, help="accepted for old scripts; partitions take its place")
     p.add_argument("--log-level", default="INFO")
     p.add_argument("--log-file", help="also log to this file")
     p.add_argument("--verbose", action="store_true", help="log at level DEBUG")
@@ -44,7 +45,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 #: Arguments that aren't fields of Options.
-OTHER = ("input", "output", "config", "host_ref", "microbe_ref", "kraken_db", "default_names", "threads", "log_level", "log_file", "verbose")
+OTHER = ("input", "output", "config", "host_ref", "microbe_ref", "kraken_db", "default_names", "threads", "chunk_size", "log_level", "log_file", "verbose")
 
 
 def options_of(args: argparse.Namespace) -> Options:

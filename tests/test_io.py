@@ -249,3 +249,33 @@ def test_reference_database(spark, tmp_path):
     api.write_index(both, str(tmp_path / "index"), k=8)
     assert spark.read.parquet(str(tmp_path / "index")).count() == 9
     assert api.length_stats(both, 5, 9).first().asDict() == {"processed": 3, "written": 0}
+
+
+def test_extract(spark, bam, tmp_path, capsys):
+    from germlight import extract
+
+    path, data = bam
+    expected = [d for d in data if not d["flag"] & 0x900 and (d["flag"] & 4 or d["mapq"] < 20)]
+    assert extract.main(["-i", path, "-o-fastq", str(tmp_path / "fq"), "-o-fasta", str(tmp_path / "fa"), "-o-barcodes", str(tmp_path / "bc"), "-mapq", "20", "-compress", "-parallel"]) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1])["candidate_reads"] == len(expected)
+    sources.register(spark)
+    assert sorted(r["name"] for r in spark.read.format("fastq").load(str(tmp_path / "fq")).collect()) == sorted(d["name"] for d in expected)
+    assert read_fasta(spark, str(tmp_path / "fa")).count() == len(expected)
+    cells = {d["tags"]["CB"].split("-")[0] for d in expected if d["tags"].get("CB", "-x").split("-")[0]}
+    assert {r[0] for r in spark.read.text(str(tmp_path / "bc")).collect()} == cells
+
+
+def test_build_db(spark, tmp_path):
+    from germlight import build_db
+
+    (tmp_path / "a.fa").write_text(">c1\nACGTACGTAC\n>c2\nTTTTGGGGCC\n")
+    (tmp_path / "hits.paf").write_text("c2\t10\t0\t10\t+\tt\t20\t0\t10\t10\t10\t60\n")
+    line = ["x"] * 10 + ["latest", "Complete Genome"] + ["x"] * 7 + ["https://h/GCF_1"]
+    (tmp_path / "s.txt").write_text("\t".join(line) + "\n")
+    out = str(tmp_path / "db")
+    assert build_db.main(["-o", out, "--fasta", str(tmp_path / "a.fa"), "--host-paf", str(tmp_path / "hits.paf"), "--summary", str(tmp_path / "s.txt"), "-k", "5"]) == 0
+    assert [r["name"] for r in read_fasta(spark, out + "/combined").collect()] == ["c1"]
+    assert spark.read.parquet(out + "/index").count() == 6
+    assert spark.read.text(out + "/genomes").first()[0] == "https://h/GCF_1\tGCF_1"
+    with pytest.raises(SystemExit):
+        build_db.main(["-o", out])
