@@ -7,10 +7,11 @@ import os
 import shutil
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from germlight import sources
+from germlight.functions.storage import delete, materialised
 from germlight.operators import contamination, external, host, kmer, quantify, reads as read_ops, taxonomy
 from germlight.options import Options
 from germlight.sinks import matrix as matrix_sink
@@ -66,48 +67,73 @@ def alignments(spark: SparkSession, reads: DataFrame, reference: str, options: O
     return kmer.align(reads, _references(spark, reference))
 
 
-def analyse(spark: SparkSession, reads: DataFrame, options: Options, host_ref: str | None = None, microbe_ref: str | None = None, kraken_db: str | None = None) -> Result:
-    candidates = read_ops.candidate_reads(reads, options.host_mapq, options.include_unmapped, options.include_low_mapq)
+def clean_reads(spark: SparkSession, candidates: DataFrame, options: Options, host_ref: str | None) -> DataFrame:
+    """Candidates that are not host."""
     hits = None
     if host_ref:
         hits = host.host_hits(alignments(spark, host.host_primary(candidates, options.host_mapq), host_ref, options), options.host_identity, options.host_min_aligned)
-    clean = host.host_filtered(candidates, hits, options.host_mapq, options.host_mode)
+    return host.host_filtered(candidates, hits, options.host_mapq, options.host_mode)
+
+
+def assigned_reads(spark: SparkSession, clean: DataFrame, options: Options, microbe_ref: str | None, kraken_db: str | None) -> DataFrame:
     if options.aligner == "kraken2":
-        assignments = parse_kraken(external.lines_of(clean, external.kraken2_command(kraken_db)), options.kraken_mode)
+        found = parse_kraken(external.lines_of(clean, external.kraken2_command(kraken_db)), options.kraken_mode)
     else:
-        assignments = taxonomy.alignment_assignments(alignments(spark, clean, microbe_ref, options), options.min_microbe_mapq, options.min_confidence)
-    assigned = taxonomy.assign(clean, assignments)
+        found = taxonomy.alignment_assignments(alignments(spark, clean, microbe_ref, options), options.min_microbe_mapq, options.min_confidence)
+    return taxonomy.assign(clean, found)
+
+
+def _masks(raw: DataFrame, options: Options) -> DataFrame | None:
+    if options.skip_contamination_filter:
+        return None
+    return contamination.species_masks(raw, options.contamination_method, options.ambient_cutoff, options.min_reads_per_cell, options.min_cells, options.specificity_threshold)
+
+
+def analyse(spark: SparkSession, reads: DataFrame, options: Options, host_ref: str | None = None, microbe_ref: str | None = None, kraken_db: str | None = None) -> Result:
+    """The whole chain, nothing of it computed yet."""
+    candidates = read_ops.candidate_reads(reads, options.host_mapq, options.include_unmapped, options.include_low_mapq)
+    clean = clean_reads(spark, candidates, options, host_ref)
+    assigned = assigned_reads(spark, clean, options, microbe_ref, kraken_db)
     raw = quantify.quantified(assigned, options.quant_method, options.umi_dedup_method, options.umi_threshold)
-    cells, masks, counts = quantify.cell_dim(raw), None, raw
-    if not options.skip_contamination_filter:
-        masks = contamination.species_masks(raw, options.contamination_method, options.ambient_cutoff, options.min_reads_per_cell, options.min_cells, options.specificity_threshold)
-        counts = contamination.decontaminated(raw, masks)
-    return Result(reads, candidates, clean, assigned, raw, counts, cells, masks)
+    masks = _masks(raw, options)
+    return Result(reads, candidates, clean, assigned, raw, raw if masks is None else contamination.decontaminated(raw, masks), quantify.cell_dim(raw), masks)
 
 
 def run(spark: SparkSession, input_path: str, output: str, options: Options | None = None, host_ref: str | None = None, microbe_ref: str | None = None, kraken_db: str | None = None, default_names: bool = False) -> dict:
-    """Runs the analysis and writes matrices, statistics and the quality report; returns the statistics."""
+    """Runs the analysis and writes matrices, statistics and the quality report; returns the statistics.
+
+    The input is decoded once: candidates, reads without host and assignments are written to the shared folder as they are made, and deleted at the end.
+    """
     options = options or Options()
     validate(options, input_path, microbe_ref, kraken_db)
-    found = analyse(spark, read_bam(spark, input_path, options), options, host_ref, microbe_ref, kraken_db)
-    # Counts are small beside the reads: kept once, for several sinks.
-    raw = found.raw_counts.persist()
+    paths: list[str] = []
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        found, path = materialised(df, label)
+        paths.append(path)
+        return found
+
+    choice, seen = (options.host_mapq, options.include_unmapped, options.include_low_mapq), Observation()
     try:
-        cells, counts, masks = quantify.cell_dim(raw), raw, None
-        if found.masks is not None:
-            masks = contamination.species_masks(raw, options.contamination_method, options.ambient_cutoff, options.min_reads_per_cell, options.min_cells, options.specificity_threshold)
-            counts = contamination.decontaminated(raw, masks)
+        reads = read_ops.observed_parse_stats(read_bam(spark, input_path, options), seen, *choice)
+        clean = candidates = kept(read_ops.candidate_reads(reads, *choice), "candidates")
+        if host_ref:
+            clean = kept(clean_reads(spark, candidates, options, host_ref), "clean")
+        assigned = kept(assigned_reads(spark, clean, options, microbe_ref, kraken_db).select("read_id", "ordinal", "barcode", "umi", "species", "classified"), "assigned")
+        raw = kept(quantify.quantified(assigned, options.quant_method, options.umi_dedup_method, options.umi_threshold), "counts")
+        masks, cells, parsed = _masks(raw, options), quantify.cell_dim(raw), seen.get
+        counts = raw if masks is None else contamination.decontaminated(raw, masks)
         species = quantify.species_dim(counts)
         os.makedirs(output, exist_ok=True)
         matrix_sink.write_matrix(counts, output, options.formats, species, cells, default_names=default_names)
-        parsed = read_ops.parse_stats(found.reads, options.host_mapq, options.include_unmapped, options.include_low_mapq).first().asDict()
         stats = {
             "total_reads": parsed["candidate_reads"],
-            "host_filtered": found.without_host.count(),
-            "microbial_aligned": found.assigned.where("classified").count(),
+            "host_filtered": clean.count(),
+            "microbial_aligned": assigned.where("classified").count(),
             "final_matrix_shape": (species.count(), cells.count()),
             "bam_total_reads": parsed["total_reads"],
             "parse": parsed,
+            "quantification": quantify.quantification_stats(assigned, options.quant_method).first().asDict(),
         }
         if masks is not None:
             stats["contamination"] = contamination.contamination_stats(masks).first().asDict()
@@ -116,4 +142,5 @@ def run(spark: SparkSession, input_path: str, output: str, options: Options | No
         report.write_summary(output)
         return stats
     finally:
-        raw.unpersist()
+        for path in paths:
+            delete(spark, path)

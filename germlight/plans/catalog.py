@@ -207,7 +207,7 @@ def quant_valid_stats(spark, sf_dir):
 
 @query(with_counts("SELECT * FROM counts"))
 def quant_umi(spark, sf_dir):
-    return counts(spark, sf_dir)
+    return counts(spark, sf_dir, kept=False)
 
 
 @query(with_reads("SELECT species, barcode, count(*) AS n FROM reads WHERE classified GROUP BY species, barcode"))
@@ -252,7 +252,7 @@ _CELLS = ("1", "2", "4", "5", "7")
 
 @query(with_counts("SELECT species, " + ", ".join(f"CAST(coalesce(sum(n) FILTER (barcode = '{c}'), 0) AS BIGINT) AS \"{c}\"" for c in _CELLS) + " FROM counts GROUP BY species"))
 def matrix_dense(spark, sf_dir):
-    return matrix.dense(counts(spark, sf_dir), list(_CELLS))
+    return matrix.dense(counts(spark, sf_dir, kept=False), list(_CELLS))
 
 
 _SCORES = """size AS (SELECT count(DISTINCT barcode) AS cells FROM counts),
@@ -328,12 +328,12 @@ def ambient_correct(spark, sf_dir):
 
 @query(with_counts("SELECT barcode, count(*) FILTER (n > 0) AS n_microbes FROM counts GROUP BY barcode HAVING count(*) FILTER (n > 0) > 35"))
 def doublets(spark, sf_dir):
-    return contamination.doublets(counts(spark, sf_dir), MAX_MICROBES)
+    return contamination.doublets(counts(spark, sf_dir, kept=False), MAX_MICROBES)
 
 
 @query(with_counts("SELECT barcode, CAST(sum(n) AS BIGINT) AS total FROM counts GROUP BY barcode"))
 def cell_totals(spark, sf_dir):
-    return matrix.cell_totals(counts(spark, sf_dir))
+    return matrix.cell_totals(counts(spark, sf_dir, kept=False))
 
 
 @query(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from germlight.functions.storage import checkpointed
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -72,7 +74,9 @@ COUNTS_SQL = READS_SQL + """,
 counts AS (SELECT species, barcode, count(DISTINCT umi) AS n FROM reads GROUP BY species, barcode)"""
 
 
-def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def counts(spark: SparkSession, sf_dir: str, kept: bool = True) -> DataFrame:
+    """Molecules by species and cell. kept: for plans that use them more than once, written out after one scan of the reads."""
     from germlight.operators.quantify import quantified
 
-    return quantified(reads(spark, sf_dir).withColumn("classified", F.lit(True)))
+    found = quantified(reads(spark, sf_dir).withColumn("classified", F.lit(True)))
+    return checkpointed(found) if kept else found
