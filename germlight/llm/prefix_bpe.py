@@ -21,12 +21,13 @@ from functools import lru_cache
 from itertools import chain
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from germlight.llm._shared import Generations, table
 
-CACHE, PAIRS, PREFIXES = 800_000, 200_000, 300_000
+CACHE, PAIRS, PREFIXES = 500_000, 100_000, 150_000
 NEVER = 1 << 62
 
 
@@ -248,31 +249,25 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return _with_vocabulary(lambda v, lists: pd.Series([v.decode(x) for x in lists], dtype=object), "binary", path, pattern)(ids)
 
 
-def digests(text: Column, path: str, pattern: str) -> Column:
-    """struct<n_tokens, ids_sha256, decoded_sha256>: encodes, then decodes the ids, and keeps digests only, so that no long array leaves the worker."""
-
-    def each(v: Vocabulary, texts: pd.Series) -> pd.DataFrame:
-        rows, sha = [], hashlib.sha256
-        for t in texts:
-            ids = v.encode(t)
-            rows.append((len(ids), sha(v.decimal(ids).encode()).hexdigest(), sha(v.decode(ids)).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, n_tokens, ids_sha256 and decoded_sha256 of every row: encodes, then decodes the ids, and keeps digests only, so that no long array leaves the worker.
+    A narrow plan; one text at a time leaves Arrow's memory."""
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        v = vocabulary(path, pattern)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v, sha = vocabulary(path, pattern), hashlib.sha256
         try:
             for batch in batches:
-                yield each(v, batch)
+                keys, texts = batch.columns
+                rows: tuple[list, list, list] = ([], [], [])
+                for text in texts:
+                    ids = v.encode(text.as_py())
+                    rows[0].append(len(ids)), rows[1].append(sha(v.decimal(ids).encode()).hexdigest()), rows[2].append(sha(v.decode(ids)).hexdigest())
+                yield pa.RecordBatch.from_arrays([keys, pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.string()), pa.array(rows[2], pa.string())], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
         finally:
             v.forget()
 
-    return run(text)
-
-
-def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_tokens, ids_sha256 and decoded_sha256 of every row; a narrow plan."""
-    return docs.select(F.col(id_col), digests(F.col(text_col), path, pattern).alias("_d")).select(id_col, "_d.n_tokens", "_d.ids_sha256", "_d.decoded_sha256")
+    own = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
+    return own.mapInArrow(each, f"`{id_col}` {own.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op10_prefix_bpe(spark, sf_dir: str) -> DataFrame:
