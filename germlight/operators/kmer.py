@@ -28,6 +28,13 @@ def kmers(sequence: Column, k: int) -> Column:
     return F.when(F.length(sequence) < k, F.array().cast("array<string>")).otherwise(F.flatten(F.transform(_cut(sequence, RUN, k), few)))
 
 
+def strided(sequence: Column, k: int, stride: int) -> Column:
+    """Hashes of every stride-th k-mer: element i is the one at i * stride."""
+    run = stride * max(1, RUN // stride)
+    few = lambda part: F.transform(F.sequence(F.lit(1), F.greatest(F.length(part) - k + 1, F.lit(1)), F.lit(stride)), lambda i: F.xxhash64(F.substring(part, i, F.lit(k))))
+    return F.when(F.length(sequence) < k, F.array().cast("array<bigint>")).otherwise(F.flatten(F.transform(_cut(sequence, run, k), few)))
+
+
 def _parts(df: DataFrame, size: int, k: int, keys: tuple[str, ...], sequence: str) -> DataFrame:
     """keys, at and part: parts of `size` k-mers with the number of each one's first."""
     chunks = df.where(F.length(sequence) >= k).select(*keys, F.posexplode(_cut(F.col(sequence), CHUNK, k)).alias("_c", "_s"))
@@ -74,7 +81,7 @@ def align(reads: DataFrame, references: DataFrame, k: int = K, stride: int = 4,
     with more places out of the search, as aligners do with repeats of large genomes; by default none is left out.
     """
     strands = reads.select("read_id", "ordinal", F.explode(F.array(F.struct(F.lit(False).alias("reverse"), F.col("sequence").alias("s")), F.struct(F.lit(True).alias("reverse"), complement(F.col("sequence")).alias("s")))).alias("x"))
-    probes = strands.select("read_id", "ordinal", "x.reverse", F.posexplode(F.transform(kmers(F.col("x.s"), k), lambda s: F.xxhash64(s))).alias("offset", "kmer")).where(F.col("offset") % stride == 0)
+    probes = strands.select("read_id", "ordinal", "x.reverse", F.posexplode(strided(F.col("x.s"), k, stride)).alias("_i", "kmer")).select("read_id", "ordinal", "reverse", (F.col("_i") * stride).alias("offset"), "kmer")
     places = index(references, k) if indexed is None else indexed
     if max_places:
         frequent = places.groupBy("kmer").agg(F.count("*").alias("n")).where(F.col("n") > max_places).select("kmer")
@@ -94,7 +101,9 @@ def align(reads: DataFrame, references: DataFrame, k: int = K, stride: int = 4,
     own = F.upper(F.when(F.col("reverse"), complement(F.col("sequence"))).otherwise(F.col("sequence")))
     low, high = F.greatest(F.col("start"), F.col("piece") * BASES), F.least(end, F.col("piece") * BASES + F.coalesce(F.length("bases"), F.lit(0)))
     n = F.greatest(high - low, F.lit(0))
-    both = F.zip_with(F.split(F.substring(own, low - F.col("start") + 1, n), ""), F.split(F.substring(F.coalesce("bases", F.lit("")), low - F.col("piece") * BASES + 1, n), ""), lambda a, b: ((a == b) & (a != "")).cast("int"))
-    same = F.aggregate(both, F.lit(0), lambda x, y: x + y)
+    read_part, reference_part = F.substring(own, low - F.col("start") + 1, n), F.substring(F.coalesce("bases", F.lit("")), low - F.col("piece") * BASES + 1, n)
+    met = met.select("read_id", "ordinal", "sequence", "reference", "start", "reverse", "mapq", read_part.alias("a"), reference_part.alias("b"))
+    by_base = F.aggregate(F.zip_with(F.split("a", ""), F.split("b", ""), lambda x, y: ((x == y) & (x != "")).cast("int")), F.lit(0), lambda x, y: x + y)
+    same = F.when(F.col("a") == F.col("b"), F.length("a")).otherwise(by_base)
     whole = met.groupBy("read_id", "ordinal", "sequence", "reference", "start", "reverse", "mapq").agg(F.sum(same).alias("same"))
     return whole.select("read_id", "ordinal", "sequence", F.col("reference").alias("reference_name"), F.greatest("start", F.lit(0)).alias("reference_start"), "reverse", (length - F.col("same")).cast("int").alias("mismatches"), "mapq")
