@@ -1,11 +1,12 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at block-level markup. The first pass decides a block by where it stands (menus, forms, footers and the like, by element, role, or
-class and id words), by its link density, its length and its density of stop words; blocks inside an article or main element need no stop words.
-Short or middling blocks stay undecided, and in the second pass take the label of the nearest decided block. Kept blocks are joined in page order.
+class and id words), by its link density, its length and its density of stop words; long blocks inside an article or main element need no stop words.
+Short or middling blocks stay undecided, and in the second pass take the label of the nearest decided block, those of an article that of its nearest
+one inside. Kept blocks are joined in page order.
 
-Defined cases: a null or empty html has an empty text; unclosed or stray tags, comments and quotes are read as far as they go; a page without any decided
-block keeps its undecided ones only inside an article or main element; repeated rows are each extracted; pages of any length are whole; an empty
+Defined cases: a null or empty html has an empty text; unclosed or stray tags, comments and quotes are read as far as they go; where no block is
+decided, those inside an article or main element are kept and others are not; repeated rows are each extracted; pages of any length are whole; an empty
 table gives an empty result; a null page_id or url passes through; columns other than the named ones are ignored.
 """
 
@@ -45,7 +46,7 @@ STOP_WORDS = frozenset(
         "el los las del y que en un una por con no para es se al lo como más su sus o pero este esta"
     ).split()
 )
-LINK_DENSITY, SHORT, LONG, STOPS_LOW, STOPS_HIGH = 0.4, 10, 25, 0.1, 0.2
+LINK_DENSITY, LINK_LIST, SHORT, LONG, STOPS_LOW, STOPS_HIGH = 0.4, 0.8, 10, 25, 0.1, 0.2
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
 _END = {tag: re.compile(rf"</{tag}\b[^>]*>?", re.I) for tag in RAW}
@@ -155,47 +156,53 @@ def blocks_of(html: str) -> list[Block]:
 
 
 def _first(b: Block) -> bool | None:
+    """The first pass: a block's own label, or none."""
     if b.against:
         return False
     words = b.text.split()
-    density = b.link_chars / max(1, len("".join(words)))
+    links = b.link_chars / max(1, len("".join(words)))
+    stops = sum(w.strip(".,;:!?\"'()#*$%&|-").lower() in STOP_WORDS for w in words) / len(words)
     if b.content:
-        # An article's own words are kept; a block that is mostly links is left to its neighbours if it is short.
-        return True if density <= LINK_DENSITY or len(words) >= LONG else None
-    if density > LINK_DENSITY:
+        # An article may link much and use few stop words: only long lists of links are decided against it.
+        if links > LINK_LIST:
+            return False if len(words) >= LONG else None
+        return True if len(words) >= LONG or (len(words) >= SHORT and stops >= STOPS_LOW) else None
+    if links > LINK_DENSITY:
         return False
     if "©" in b.text and len(words) < LONG:
         return False
     if len(words) < SHORT:
         return None
-    stops = sum(w.strip(".,;:!?\"'()#*$%&|-").lower() in STOP_WORDS for w in words) / len(words)
     if stops >= STOPS_HIGH:
         return True if len(words) >= LONG else None
     return None if stops >= STOPS_LOW else False
 
 
+def _nearest(labels: list[bool | None], order: range) -> list[tuple[int, bool | None]]:
+    """(distance, label) of the nearest decided block at or before each place of order."""
+    found: list[tuple[int, bool | None]] = [(len(labels), None)] * len(labels)
+    last = (len(labels), None)
+    for i in order:
+        last = (0, labels[i]) if labels[i] is not None else (last[0] + 1, last[1])
+        found[i] = last
+    return found
+
+
 def classify(blocks: list[Block]) -> list[Block]:
-    """Both passes; sets keep."""
-    first = [_first(b) for b in blocks]
-    n = len(blocks)
-    before, after = [n] * n, [n] * n  # distance to the nearest decided block
-    for order, into, step in ((range(n), before, -1), (range(n - 1, -1, -1), after, 1)):
-        for i in order:
-            j = i + step
-            into[i] = 0 if first[i] is not None else into[j] + 1 if 0 <= j < n and into[j] < n else n
+    """Both passes; sets keep. Blocks of an article listen to its other blocks alone, and are kept if none is decided."""
+    first, n = [_first(b) for b in blocks], len(blocks)
+    inside = [x if b.content and not b.against else None for x, b in zip(first, blocks)]
+    sides = {content: (_nearest(labels, range(n)), _nearest(labels, range(n - 1, -1, -1))) for content, labels in ((False, first), (True, inside))}
     for i, b in enumerate(blocks):
-        p, q = before[i], after[i]
+        (p, left), (q, right) = (side[i] for side in sides[b.content])
         if first[i] is not None:
             b.keep = first[i]
-        elif p == n and q == n:
-            b.keep = b.content
-        elif p == q:
-            left, right = first[i - p], first[i + q]
-            b.keep = left and right or (b.heading and right)
-        elif b.heading and q < n:
-            b.keep = first[i + q]
+        elif left is None or right is None:
+            b.keep = b.content if left is right else left if right is None else right
+        elif b.heading:
+            b.keep = right
         else:
-            b.keep = first[i - p] if p < q else first[i + q]
+            b.keep = (left and right) if p == q else left if p < q else right
     return blocks
 
 

@@ -269,6 +269,12 @@ def test_html():
     long_ = "This is one of the texts that has to be kept as it is and it goes on for a while with many of the words that are in use."
     loose = f"<div><h2>Head</h2><p>{long_}</p><p>Short.</p><p>{long_}</p></div>"
     assert html_text.main_text(PAGE % loose) == f"Head {long_} Short. {long_}"
+    links = "<ul>" + "<li><a href=x>Some other story of ours</a></li>" * 3 + "</ul>"
+    assert html_text.main_text(f"<article><p>{long_}</p></article>{links}") == long_
+    listed = "<p><a href=x>" + "link " * 30 + "</a></p>"
+    assert html_text.main_text(f"<article><p>{long_}</p>{listed}<h3>Left</h3><p>word</p><p>{long_}</p></article>") == f"{long_} Left word {long_}"
+    assert html_text.main_text("<article><p>Xyz xyz.</p><p><a href=x>One link</a></p></article><nav>No</nav>") == "Xyz xyz. One link"
+    assert html_text.main_text("<div><p>Xyz xyz.</p></div>") == ""
     for text in (None, "", "   ", "<", "<p", "</p></div>", "<!-- open", "<script>never closed"):
         assert html_text.main_text(text) == ""
     assert html_text.main_text('<article>a<p title="x > y">b</article>') == "a b"
