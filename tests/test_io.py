@@ -279,3 +279,31 @@ def test_build_db(spark, tmp_path):
     assert spark.read.text(out + "/genomes").first()[0] == "https://h/GCF_1\tGCF_1"
     with pytest.raises(SystemExit):
         build_db.main(["-o", out])
+
+
+def test_external_program(spark, tmp_path):
+    from germlight.operators import external
+    from germlight.sources.sam import parse_sam
+
+    tool = tmp_path / "tool"
+    tool.write_text('#!/bin/sh\nprintf "@HD\\tVN:1.6\\n"\nfor last; do :; done\nawk \'NR % 4 == 1 { name = substr($0, 2) } NR % 4 == 2 { printf "%s\\t0\\tE.coli\\t5\\t60\\t4M\\t*\\t0\\t0\\t%s\\t*\\tNM:i:1\\n", name, $0 }\' "$last"\n')
+    tool.chmod(0o755)
+    own = spark.createDataFrame([(f"r{i}", "ACGT", "IIII") for i in range(50)], "read_id string, sequence string, quality string").repartition(3)
+    got = parse_sam(external.lines_of(own, [str(tool), "reference"])).collect()
+    assert sorted(r["read_id"] for r in got) == sorted(f"r{i}" for i in range(50)) and {(r["reference_start"], r["mismatches"]) for r in got} == {(4, 1)}
+    assert len({r["ordinal"] for r in got}) == 50
+    broken = tmp_path / "broken"
+    broken.write_text("#!/bin/sh\necho no index >&2\nexit 3\n")
+    broken.chmod(0o755)
+    for command, said in (([str(broken)], "ended with 3"), ([str(tmp_path / "none")], "not on this executor's PATH")):
+        with pytest.raises(Exception, match=said):
+            external.lines_of(own, command).count()
+
+
+def test_validation(tmp_path):
+    (tmp_path / "x.bam").write_bytes(b"")
+    path = str(tmp_path / "x.bam")
+    pipeline.validate(Options(), path, "ref.fa", None)
+    for options, where, ref, said in ((Options(), path + "y", "r", "exist"), (Options(), path, None, "reference"), (Options(aligner="kraken2"), path, None, "database")):
+        with pytest.raises(ValueError, match=said):
+            pipeline.validate(options, where, ref, None)
