@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from germlight.functions.scalar import present
+from germlight.functions.storage import checkpointed
 from germlight.operators.umi import hamming_clusters
 
 
@@ -59,9 +60,12 @@ def cell_dim(counts: DataFrame) -> DataFrame:
 
 
 def indexed(keys: DataFrame, key: str, index: str) -> DataFrame:
-    """Dense ranks without putting all keys in one task: range partitions are numbered within, and the sizes of those before are added."""
+    """Dense ranks without putting all keys in one task: range partitions are numbered within, and the sizes of those before are added.
+
+    The sorted keys are written out, since a second sort could draw its ranges elsewhere and the numbers would not fit together.
+    """
     part = keys.sort(key).select(key, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
-    numbered = part.select(key, "_p", F.col("_i").bitwiseAND(F.lit((1 << 33) - 1)).alias("_k"))
+    numbered = checkpointed(part.select(key, "_p", F.col("_i").bitwiseAND(F.lit((1 << 33) - 1)).alias("_k")))
     sizes = numbered.groupBy("_p").agg(F.count("*").alias("_n"))
     before = sizes.alias("a").join(sizes.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy("a._p").agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))  # a row a partition
     return numbered.join(F.broadcast(before), "_p").select(key, (F.col("_before") + F.col("_k")).cast("int").alias(index))

@@ -33,9 +33,13 @@ class Result:
     assigned: DataFrame
     raw_counts: DataFrame
     counts: DataFrame
-    cells: DataFrame
     masks: DataFrame | None
 
+    @property
+    def cells(self) -> DataFrame:
+        """Numbered cells of the unfiltered counts; asking for them computes the counts."""
+        return quantify.cell_dim(self.raw_counts)
+
 
 def validate(options: Options, input_path: str, microbe_ref: str | None, kraken_db: str | None) -> None:
     """Raises ValueError for what would fail later."""
@@ -96,7 +100,7 @@ def analyse(spark: SparkSession, reads: DataFrame, options: Options, host_ref: s
     assigned = assigned_reads(spark, clean, options, microbe_ref, kraken_db)
     raw = quantify.quantified(assigned, options.quant_method, options.umi_dedup_method, options.umi_threshold)
     masks = _masks(raw, options)
-    return Result(reads, candidates, clean, assigned, raw, raw if masks is None else contamination.decontaminated(raw, masks), quantify.cell_dim(raw), masks)
+    return Result(reads, candidates, clean, assigned, raw, raw if masks is None else contamination.decontaminated(raw, masks), masks)
 
 
 def run(spark: SparkSession, input_path: str, output: str, options: Options | None = None, host_ref: str | None = None, microbe_ref: str | None = None, kraken_db: str | None = None, default_names: bool = False) -> dict:
