@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -86,6 +88,15 @@ class Generations(dict):
         return found
 
 
+def release_memory() -> None:
+    """Gives what a worker has freed back to the system: Arrow's pool and the C library would keep it for later, beside the memory of an idle worker's neighbours."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """A broadcast hint for at most max_rows rows, counted first; beyond that the planner shuffles."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
