@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from germlight.llm._shared import Generations, release_memory, table
 
-CACHE, PAIRS, PREFIXES = 500_000, 100_000, 150_000
+CACHE, PAIRS, PREFIXES = 800_000, 300_000, 300_000
 NEVER = 1 << 62
 
 
@@ -42,6 +42,7 @@ class Vocabulary:
         self.longest = max(map(len, ranks), default=0)
         # Endings of tokens with their rank, or -1 where they are none: past bytes that end no token, longer ones end none either.
         self.endings = dict.fromkeys((token[i:] for token in ranks for i in range(len(token))), -1) | ranks
+        self._courses: dict[int, tuple[list[tuple[int, bytes, bytes]], bool]] = {}
         self._names = {rank: str(rank) for rank in self.tokens}
         self.forget()
 
@@ -49,7 +50,6 @@ class Vocabulary:
         """Drops what encoding has gathered; the vocabulary itself stays."""
         self._known = Generations(self.encode_piece, CACHE)
         self._apart: dict[int, bool] = {}
-        self._courses: dict[int, tuple[list[tuple[int, bytes, bytes]], bool]] = {}
         self._plant()
         release_memory()
 
