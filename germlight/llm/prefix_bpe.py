@@ -5,7 +5,7 @@ each byte, the last token of the prefix that ends there, holds the encodings of
 it and the last token of what precedes it stay apart when their bytes are encoded together. Appending bytes extends the list and changes
 nothing before; an edit recomputes from its first byte until the list runs as before over the length of the longest token (`Prefixes`).
 
-Texts are split into pieces by the vocabulary's pattern first. A worker keeps the ids of pieces it has met, CACHE at most.
+Texts are split into pieces by the vocabulary's pattern first. A worker keeps the ids of pieces it has met, as many as its memo holds.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; repeated rows are each encoded; texts of any length are whole; an empty
 table gives an empty result; a null doc_id passes through; columns other than the named ones are ignored; bytes that no token covers (an incomplete
@@ -27,29 +27,31 @@ from pyspark.sql import functions as F
 
 from germlight.llm._shared import Generations, release_memory, table
 
-CACHE, PAIRS, PREFIXES = 800_000, 300_000, 300_000
+#: Entries of a worker's memos of pieces, token pairs and prefixes: about 150 MB for the first setting, 60 MB for the second, which encodes more anew.
+MEMO, SMALL_MEMO = (800_000, 300_000, 300_000), (400_000, 100_000, 150_000)
 NEVER = 1 << 62
 
 
 class Vocabulary:
     """Tokens by rank, and what the dynamic programming asks of them."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: tuple[int, int, int] = MEMO):
         import regex
 
+        self.memo = memo
         self.ranks, self.pieces_of = ranks, regex.compile(pattern).findall
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
         # Endings of tokens with their rank, or -1 where they are none: past bytes that end no token, longer ones end none either.
         self.endings = dict.fromkeys((token[i:] for token in ranks for i in range(len(token))), -1) | ranks
-        self._courses: dict[int, tuple[list[tuple[int, bytes, bytes]], bool]] = {}
         self._names = {rank: str(rank) for rank in self.tokens}
         self.forget()
 
     def forget(self) -> None:
         """Drops what encoding has gathered; the vocabulary itself stays."""
-        self._known = Generations(self.encode_piece, CACHE)
+        self._known = Generations(self.encode_piece, self.memo[0])
         self._apart: dict[int, bool] = {}
+        self._courses: dict[int, tuple[list[tuple[int, bytes, bytes]], bool]] = {}
         self._plant()
         release_memory()
 
@@ -109,7 +111,7 @@ class Vocabulary:
                 x, i = left[i][2], i + 1
             else:
                 y, j = right[j][1], j + 1
-        if len(self._apart) >= PAIRS:
+        if len(self._apart) >= self.memo[1]:
             self._apart.clear()
         self._apart[a << 32 | b] = known
         return known
@@ -153,7 +155,7 @@ class Vocabulary:
         rank = self.ranks.get(data)
         if rank is not None and self.whole(rank):
             return (rank,)
-        if len(self._last) >= PREFIXES:
+        if len(self._last) >= self.memo[2]:
             self._plant()
         step, last, before, node, path = self._next, self._last, self._before, 0, [0]
         for end, byte in enumerate(data, 1):
@@ -219,10 +221,10 @@ class Prefixes:
 
 
 @lru_cache(maxsize=2)
-def vocabulary(path: str, pattern: str) -> Vocabulary:
+def vocabulary(path: str, pattern: str, memo: tuple[int, int, int] = MEMO) -> Vocabulary:
     """Read from a rank file (a base64 token and its rank on each line) once a process."""
     with open(path, "rb") as lines:
-        return Vocabulary({base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines if x.strip())}, pattern)
+        return Vocabulary({base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines if x.strip())}, pattern, memo)
 
 
 def _with_vocabulary(each: Callable[[Vocabulary, pd.Series], pd.Series], schema: str, path: str, pattern: str):
@@ -250,12 +252,12 @@ def decoded(ids: Column, path: str, pattern: str) -> Column:
     return _with_vocabulary(lambda v, lists: pd.Series([v.decode(x) for x in lists], dtype=object), "binary", path, pattern)(ids)
 
 
-def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", memo: tuple[int, int, int] = MEMO) -> DataFrame:
     """id, n_tokens, ids_sha256 and decoded_sha256 of every row: encodes, then decodes the ids, and keeps digests only, so that no long array leaves the worker.
     A narrow plan; one text at a time leaves Arrow's memory."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, sha = vocabulary(path, pattern), hashlib.sha256
+        v, sha = vocabulary(path, pattern, memo), hashlib.sha256
         try:
             for batch in batches:
                 keys, texts = batch.columns

@@ -461,5 +461,5 @@ def test_prefixes_stay_exact(vocabulary):
 def test_caches_are_bounded(vocabulary, monkeypatch):
     memo = _shared.Generations(lambda k: k * 2, 10)
     assert [memo[i % 37] for i in range(500)] == [i % 37 * 2 for i in range(500)] and len(memo) + len(memo.old) <= 12
-    monkeypatch.setattr(prefix_bpe, "PREFIXES", 5)
+    monkeypatch.setattr(vocabulary, "memo", (10, 5, 5))
     assert vocabulary.encode_piece(" unheardofword") == tuple(vocabulary.merged(b" unheardofword"))
