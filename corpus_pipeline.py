@@ -1,7 +1,8 @@
 """A training-corpus pipeline over the documents table: each stage calls one operator of germlight.llm and works on all that the one before it kept.
 
 Stages in order: quality rules and the quality classifier drop what they reject, near-duplicate groups keep one document each, contaminated documents are
-dropped, and the rest is encoded. Every stage but the last returns the columns of its input. Between stages the rows are Parquet in the shared folder.
+dropped, and the rest is encoded. The classifier learns from all labelled documents of the source table that aren't held out, whatever the rules drop.
+Every stage but the last returns the columns of its input. Between stages the rows are Parquet in the shared folder.
 
 Defined cases: null and empty texts fail the quality rules; an empty table stays empty; rows that repeat id and text are one document in the near-duplicate
 stage; other columns, whatever they are called, pass through untouched.
@@ -28,7 +29,9 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stats = quality_classifier.document_statistics(F.col("text"))
-    model = quality_classifier.fit(docs.select("doc_id", stats.alias("stats")), table(spark, sf_dir, "labels"))
+    # From the source table: few or no low-quality documents are left among docs, and one class alone teaches nothing.
+    source = table(spark, sf_dir, "documents").select("doc_id", stats.alias("stats"))
+    model = quality_classifier.fit(source, table(spark, sf_dir, "labels"))
     return docs.where(quality_classifier.score(stats, model) >= quality_classifier.THRESHOLD)
 
 

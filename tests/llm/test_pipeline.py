@@ -50,3 +50,17 @@ def test_stages_take_odd_rows(spark):
     texts = [r["text"] for r in one.collect()]
     assert len(texts) == len(set(texts)) and texts.count("a b") == 1 and sum(t in (None, "", TEXTS[2]) for t in texts) == 1
     assert {r["doc_id"] for r in one.where("text = 'a b'").collect()} == {4}
+
+
+def test_classifier_rejects_what_passes_the_rules(spark, tmp_path):
+    """Low-quality documents that no rule drops, unlabelled; all that are labelled so fail the rules, as in the given tables."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    words = [f"{a}{b}{c}".upper() if i % 2 else f"{c}{b}{a}" for i, (a, b, c) in enumerate((a, b, c) for a in ("th", "re", "in", "on") for b in ("eat", "ill", "ong", "und") for c in ("er", "ing", "ed", "ly"))]
+    poor = [(10**6 + k, " ".join(w + "!!" if i % 5 == 0 else f"| {w}" if i % 5 == 1 else w for i, w in enumerate(words[k:] + words[:k]))) for k in range(0, 64, 21)]
+    added = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in poor], "doc_id long, text string, lang string, source string, n_chars long")
+    assert quality_rules.keep(added).count() == len(poor)
+    docs.unionByName(added.select(*(F.col(c).cast(t) for c, t in docs.dtypes))).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
+    assert len(got) > 100 and not got & {k for k, _ in poor}
