@@ -36,7 +36,7 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(docs)
+    groups = simhash.near_duplicates(docs, similar=True)
     own = groups.where("representative").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_own"), F.xxhash64("text").alias("_text"))
     kept = rows.join(own, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")

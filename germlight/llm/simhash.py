@@ -7,6 +7,12 @@ adjacent ones (25 on average, in each band), and all pairs within range meet in
 reported as a forest, one edge for each member at most, never as all pairs. Cells that may be crowded are divided again by the same grid over the
 halves of the other band, which must be within 4 too.
 
+For near copies that are further apart, `near_duplicates(similar=True)` adds every pair of texts whose sets of 5-word shingles have a Jaccard similarity of 0.8
+or more, by a prefix filter: in one order of all shingles such sets share one of their first n - ceil(0.8 n) + 1. Shingles that a sample finds common come
+last in that order (which shingles these are changes the work, never the pairs). Pairs that meet, but those whose sketches differ too much, are verified on the
+whole sets: first each text with its
+neighbour and the first in every shingle's group, then all pairs that aren't connected by then, so that a group of near copies isn't formed as all pairs.
+
 Only distinct fingerprints take part, so a group of exact copies is one point whatever its size. Components come from alternating star
 contractions, each round written to the shared folder.
 
@@ -26,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from germlight.llm._shared import bounded_broadcast, checkpointed, table
+from germlight.llm._shared import bounded_broadcast, checkpointed, release_memory, table
 
 SEED, SHINGLE, MAX_DISTANCE = 42, 4, 4
 #: Members from which a cell is divided again, and rows up to which the list of such cells is broadcast.
@@ -36,15 +42,26 @@ VISITED = 33
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
 
+#: The other definition of near copies: words of a shingle, and least Jaccard similarity as a fraction.
+SIMILAR_SHINGLE, SIMILAR = 5, (4, 5)
+#: For the order of shingles only: one text of so many is sampled; texts of the sample that make a shingle common; common ones that are kept.
+SAMPLED, COMMON, MAX_COMMON = 16, 3, 200_000
+#: Candidate pairs that a task gathers before it hands them on, and texts whose shingles it has at a time.
+PAIRS, TEXTS = 1 << 18, 256
+
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def _words(text: str | None) -> list[bytes]:
+    return _WORD.findall((text or "").encode("utf-8", "replace").translate(_LOWER))
+
+
 def fingerprint_of(text: str | None, size: int = SHINGLE) -> int:
     """The unsigned fingerprint of one whole text."""
     import xxhash
 
-    words = _WORD.findall((text or "").encode("utf-8", "replace").translate(_LOWER))
+    words = _words(text)
     if not words:
         return 0
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
@@ -177,15 +194,198 @@ def components(edges: DataFrame) -> DataFrame:
         edges = checkpointed(small.where("a <> b").distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, distance: int = MAX_DISTANCE, crowded: int = CROWDED) -> DataFrame:
-    """id, text_hash, fp (long), component_id and representative of every row.
+def shingles_of(text: str | None, size: int = SIMILAR_SHINGLE) -> np.ndarray:
+    """Hashes of the distinct shingles of one whole text, ascending; a shorter text is one shingle."""
+    import xxhash
+
+    words = _words(text)
+    digest = xxhash.xxh64_intdigest
+    grams = (b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else ()
+    return np.unique(np.fromiter((digest(g, SEED) for g in grams), np.uint64).view(np.int64))
+
+
+def _of_texts(texts: DataFrame, body, schema: str) -> DataFrame:
+    """body([(h, shingles), ...]) of TEXTS texts at a time. A task takes each of its texts once."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            some = []
+            for h, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if h not in seen:
+                    seen.add(h)
+                    some.append((h, shingles_of(text.as_py())))
+                if len(some) >= TEXTS:
+                    yield body(some)
+                    some = []
+            if some:
+                yield body(some)
+        release_memory()
+
+    return texts.select("h", "text").mapInArrow(each, schema)
+
+
+def _each_shingle(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x for _, x in some]))], names=["s"])
+
+
+def _set(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    ends = np.cumsum([0, *(len(x) for _, x in some)])
+    return pa.RecordBatch.from_arrays([pa.array([h for h, _ in some], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([x for _, x in some])))], names=["h", "set"])
+
+
+def _sketch(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """Number of shingles, and how many have each value of their hash's low byte (255 at most): the counts of two sets differ by no more than the sets do."""
+    counts = [np.minimum(np.bincount(x & 255, minlength=256), 255).astype(np.uint8).tobytes() for _, x in some]
+    return pa.RecordBatch.from_arrays([pa.array([h for h, _ in some], pa.int64()), pa.array([len(x) for _, x in some], pa.int64()), pa.array(counts, pa.binary())], names=["h", "n", "counts"])
+
+
+def _may_be_similar(n: Column, x: Column, y: Column) -> Column:
+    """Whether sketches x and y of sets that have n shingles together allow the similarity: (1 - J) / (1 + J) of n may differ."""
+
+    @F.pandas_udf("boolean")
+    def each(n: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        own = [np.frombuffer(b"".join(c), np.uint8).reshape(-1, 256).astype(np.int16) for c in (x, y)]
+        apart = np.abs(own[0] - own[1]).sum(1, dtype=np.int64)
+        return pd.Series((SIMILAR[0] + SIMILAR[1]) * apart <= (SIMILAR[1] - SIMILAR[0]) * n.to_numpy())
+
+    return each(n, x, y)
+
+
+def _prefixes(texts: DataFrame, common: np.ndarray) -> DataFrame:
+    """(s, n, h, i): text h of n shingles has s in place i of its prefix. common is ascending."""
+
+    def body(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        parts = [(np.zeros(0, np.int64),) * 4]
+        for h, own in some:
+            n = len(own)
+            if len(common) and n:
+                late = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
+                own = np.concatenate([own[~late], own[late]])
+            if n:
+                first = own[: n - -(-SIMILAR[0] * n // SIMILAR[1]) + 1]
+                parts.append((first, np.full(len(first), n), np.full(len(first), h), np.arange(len(first))))
+        s, n, h, i = (np.concatenate(x) for x in zip(*parts))
+        return pa.RecordBatch.from_arrays([pa.array(s), pa.array(n, pa.int32()), pa.array(h, pa.int64()), pa.array(i, pa.int32())], names=["s", "n", "h", "i"])
+
+    return _of_texts(texts, body, "s long, n int, h long, i int")
+
+
+def _by_shingle(rows: DataFrame, body, schema: str) -> DataFrame:
+    """body(columns) over whole groups of rows with one s, sorted by s, n and h."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            own = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            own = own if rest is None else [np.concatenate(x) for x in zip(rest, own)]
+            whole = int(np.searchsorted(own[0], own[0][-1])) if len(own[0]) else 0  # the last group may go on
+            rest = [c[whole:].copy() for c in own]
+            if whole:
+                yield from body([c[:whole] for c in own])
+        if rest is not None and len(rest[0]):
+            yield from body(rest)
+        release_memory()
+
+    return rows.repartition("s").sortWithinPartitions("s", "n", "h").mapInArrow(each, schema)
+
+
+def _shared(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows of groups of two texts or more, each text once."""
+    s, n, h, i = columns
+    once = np.append(True, (s[1:] != s[:-1]) | (h[1:] != h[:-1]))
+    s, n, h, i = (c[once] for c in columns)
+    same = np.append(s[1:] == s[:-1], False)
+    keep = same | np.append(False, same[:-1])
+    if keep.any():
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (s, n, h, i)], names=["s", "n", "h", "i"])
+
+
+def _candidates(every: bool):
+    """Pairs of one group, of different roots, that sizes and places allow: all of them, or each row with the one before it and the group's first."""
+
+    def body(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        s, n, h, i, root = columns
+        n, i = n.astype(np.int64), i.astype(np.int64)
+        start = np.append(0, np.flatnonzero(s[1:] != s[:-1]) + 1)
+        group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(s))))
+        mixed = np.logical_or.reduceat(root != root[start][group], start)[group]
+        at, last = np.flatnonzero(mixed), np.append(start[1:], len(s))[group]
+        found: list[np.ndarray] = []
+
+        def allowed(x: np.ndarray, y: np.ndarray) -> None:
+            ok = (root[x] != root[y]) & ((SIMILAR[0] + SIMILAR[1]) * np.minimum(n[x] - i[x], n[y] - i[y]) >= SIMILAR[0] * (n[x] + n[y]))
+            found.append(np.stack([np.maximum(h[x], h[y])[ok], np.minimum(h[x], h[y])[ok]]))
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if found:
+                pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+                found.clear()
+                if pairs.shape[1]:
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+        if not every:
+            allowed(at, start[group[at]])
+        d = 1
+        while len(at := at[at + d < last[at]]) and len(at := at[SIMILAR[1] * n[at] >= SIMILAR[0] * n[at + d]]):
+            allowed(at, at + d)
+            if sum(x.shape[1] for x in found) >= PAIRS:
+                yield from out()
+            if not every:
+                break
+            d += 1
+        yield from out()
+
+    return body
+
+
+def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of text hashes whose whole sets of shingles are similar enough."""
+
+    def of(pairs: DataFrame) -> DataFrame:
+        needed = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct())
+        return texts.join(bounded_broadcast(needed, BROADCAST_ROWS), "h", "left_semi")
+
+    # Most texts that meet share little: sketches of 256 bytes exclude them before whole sets move.
+    pairs = checkpointed(pairs.distinct())
+    sketches = checkpointed(_of_texts(of(pairs), _sketch, "h long, n long, counts binary").dropDuplicates(["h"]))
+    both = pairs.join(sketches.selectExpr("h AS a", "n AS m", "counts AS x"), "a").join(sketches.selectExpr("h AS b", "n", "counts AS y"), "b")
+    pairs = checkpointed(both.where(_may_be_similar(F.col("m") + F.col("n"), F.col("x"), F.col("y"))).select("a", "b"))
+    sets = checkpointed(_of_texts(of(pairs).dropDuplicates(["h"]), _set, "h long, set array<long>"))
+    both = pairs.join(sets.select(F.col("h").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("h").alias("b"), F.col("set").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return checkpointed(both.where((SIMILAR[0] + SIMILAR[1]) * shared >= SIMILAR[0] * (F.size("x") + F.size("y"))).select("a", "b"))
+
+
+def similar_links(texts: DataFrame, prints: DataFrame, edges: DataFrame) -> DataFrame:
+    """(a, b) of fingerprints: edges, and those that connect with them what similar texts connect. texts: h, text; prints: h, fp of each h."""
+    sample = _of_texts(texts.where(F.pmod("h", F.lit(SAMPLED)) == 0), _each_shingle, "s long")
+    often = sample.groupBy("s").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "s").limit(MAX_COMMON)
+    common = np.array([r["s"] for r in often.collect()], np.int64)  # MAX_COMMON at most
+    common.sort()
+    shared = checkpointed(_by_shingle(_prefixes(texts, common), _shared, "s long, n int, h long, i int"))
+    for every in (False, True):
+        roots = prints.join(components(edges).withColumnsRenamed({"a": "fp", "b": "root"}), "fp", "left").select("h", F.coalesce("root", "fp").alias("root"))
+        pairs = _by_shingle(shared.join(roots, "h").select("s", "n", "h", "i", "root"), _candidates(every), "a long, b long")
+        found = _similar(pairs, texts)
+        of = lambda c: prints.select(F.col("h").alias(c), F.col("fp").alias(f"fp_{c}"))  # noqa: B023, E731
+        edges = checkpointed(edges.unionByName(found.join(of("a"), "a").join(of("b"), "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))))
+    return edges
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, distance: int = MAX_DISTANCE, crowded: int = CROWDED, similar: bool = False) -> DataFrame:
+    """id, text_hash, fp (long), component_id and representative of every row. With similar, texts of SIMILAR 5-word shingles are linked too.
 
     The representative of a component has its smallest id (nulls last) and, of those, the smallest hash of the text; rows that repeat both are all marked.
     """
     rank = lambda: F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_hash"))
     ids = checkpointed(docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), fingerprint(F.col(text_col), size).alias("fp")))
     fps = checkpointed(ids.groupBy("fp").agg(F.min(rank()).alias("lo")))
-    stars = components(links(fps, distance, crowded)).withColumnsRenamed({"a": "fp", "b": "root"})
+    edges = links(fps, distance, crowded)
+    if similar:
+        texts = docs.select(F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
+        edges = similar_links(texts, checkpointed(ids.select(F.col("text_hash").alias("h"), "fp").distinct()), checkpointed(edges))
+    stars = components(edges).withColumnsRenamed({"a": "fp", "b": "root"})
     linked = fps.join(stars, "fp", "left").select("fp", "lo", F.coalesce("root", "fp").alias("root"))
     of_root = linked.groupBy("root").agg(F.min("lo").alias("first"))
     by_fp = linked.select("fp", "root").join(of_root, "root").select("fp", "first")

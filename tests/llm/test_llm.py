@@ -213,6 +213,46 @@ def test_components_of_long_chains(spark):
     assert {r["a"]: r["b"] for r in simhash.components(edges).collect()} == {i: 0 for i in range(1, 201)} | {1000: 900}
 
 
+def test_similar_texts_are_linked(spark):
+    """Chains of edited copies, a group of near copies, and a passage that many have: every pair from 0.8 on, and no other."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(3000)}"
+    texts, passage = ["", "one two", "One  two"], [word() for _ in range(12)]
+    for size in (30, 60, 120, 300):
+        for _ in range(12):
+            words = [word() for _ in range(size)] + passage * (size > 50)
+            for edits in range(5):
+                words = [*words]
+                for _ in range(max(1, size * edits // 150)):
+                    words[rng.randrange(len(words))] = word()
+                texts.append(" ".join(words))
+    centre = [word() for _ in range(100)]
+    texts += [" ".join(word() if i == k else w for i, w in enumerate(centre)) for k in range(100)]
+    grams = [{tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} if t else set() for t in texts]
+    prints = [plain_fingerprint(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    far = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            near = bin(prints[i] ^ prints[j]).count("1") <= 4
+            similar = bool(grams[i]) and 5 * len(grams[i] & grams[j]) >= 4 * len(grams[i] | grams[j])
+            far += similar and not near
+            if near or similar:
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    assert far > 20
+    docs = spark.createDataFrame([*enumerate(texts), (5000, texts[40])], "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(docs, similar=True).collect()}
+    assert got == {i: find(i) for i in range(len(texts))} | {5000: find(40)}
+    assert simhash.near_duplicates(docs.limit(0), similar=True).count() == 0
+
+
 # 5
 
 

@@ -64,3 +64,9 @@ def test_classifier_rejects_what_passes_the_rules(spark, tmp_path):
     docs.unionByName(added.select(*(F.col(c).cast(t) for c, t in docs.dtypes))).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
     assert len(got) > 100 and not got & {k for k, _ in poor}
+
+
+def test_stage_drops_similar_documents(spark):
+    """177 has a 5-word Jaccard similarity of 0.83 with 1, and 9 other bits."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id IN (1, 177, 5)")
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates_stage(spark, docs, SF).collect()} == {1, 5}
