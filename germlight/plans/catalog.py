@@ -255,6 +255,12 @@ def matrix_dense(spark, sf_dir):
     return matrix.dense(counts(spark, sf_dir, kept=False), list(_CELLS))
 
 
+@query(with_counts(f", {_DIMS} SELECT species, list(coalesce(n, 0)::BIGINT ORDER BY c) AS n FROM sd CROSS JOIN cd LEFT JOIN (SELECT species, barcode, sum(n) AS n FROM counts GROUP BY ALL) USING (species, barcode) GROUP BY species"))
+def matrix_dense_rows(spark, sf_dir):
+    own = counts(spark, sf_dir)
+    return matrix.dense_rows(own, quantify.cell_dim(own))
+
+
 _SCORES = """size AS (SELECT count(DISTINCT barcode) AS cells FROM counts),
 ambient AS (SELECT species, count(*) AS nz, CAST(sum(n) AS BIGINT) AS total, max(n) AS max_count FROM counts GROUP BY species),
 ranked AS (SELECT species, n, row_number() OVER (PARTITION BY species ORDER BY n) AS k, count(*) OVER (PARTITION BY species) AS c FROM counts),

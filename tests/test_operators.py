@@ -262,3 +262,13 @@ def test_lengths(spark):
     d = spark.createDataFrame([("A" * n,) for n in (10, 50, 70, 100, 101)], "sequence string")
     assert reads.length_filtered(d, 50).count() == 4
     assert reads.length_filtered(d, 50, 100).count() == 3
+
+
+def test_dense_rows_hold_every_cell(spark):
+    """More cells than a query could name, with some that only other species have, against a plain matrix."""
+    x = np.zeros((3, 257), int)
+    x[0, ::7], x[1, 256], x[2, 1] = np.arange(1, 38), 5, 2
+    cells = [f"c{j:03}" for j in range(257)]
+    counts = spark.createDataFrame([(f"s{i}", cells[j], int(x[i, j])) for i in range(3) for j in range(257) if x[i, j]], "species string, barcode string, n long")
+    dims = spark.createDataFrame([(c, j) for j, c in enumerate(cells)], "barcode string, cell_idx long")
+    assert {r["species"]: r["n"] for r in matrix.dense_rows(counts, dims).collect()} == {f"s{i}": x[i].tolist() for i in range(3)}
