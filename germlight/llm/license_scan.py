@@ -1,9 +1,10 @@
 """License scans by conditional compression.
 
 Lines that speak of licences, with neighbouring lines that mostly use the templates' vocabulary, form candidate blocks. Each block is compressed alone, and
-with each template as a raw Zstandard dictionary; the share of bytes that the dictionary saves ranks the templates. The best RANKED are then confirmed by their
-exact wording: block and template are aligned word by word, and a template is confirmed if the block has all of its telling words and, of the rest,
-enough. The differences are reported: words of the template that the block lacks, and those it changes.
+with each template as a raw Zstandard dictionary; the share of bytes that the dictionary saves ranks the templates. In that order every template whose telling
+words the block has is checked by its exact wording: block and template are aligned word by word, and a template is confirmed if the block has all of its
+telling words and, of the rest, enough. Where the whole block doesn't confirm it, the words around each place of a telling word do, so that a notice counts
+in a long line or among others as it does alone. The differences are reported: words of the template that the block lacks, and those it changes.
 
 Defined cases: a null or empty text, or one without such lines, has no blocks; repeated rows are each scanned; lines and texts of any length are whole; an
 empty table gives an empty result; a null doc_id passes through; columns other than the named ones are ignored.
@@ -52,8 +53,8 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered public domain"),
 )
 TRIGGER = re.compile(r"licen[cs]e|copyright|warrant(?:y|ies)|redistribut|permission(?:\s+notice)?\s+is\s+hereby|permission\s+to\s+use|public\s+domain|free\s+software|spdx", re.I)
-#: Templates confirmed by wording for each block; least share of a template's words, and of bytes saved; share of template words that joins a line to a block.
-RANKED, LEAST_WORDS, LEAST_SAVED, VOCABULARY_SHARE, LEVEL = 4, 0.7, 0.1, 0.6, 9
+#: Least share of a template's words, and of bytes saved for aligning a whole block (passages of it are aligned at any); share of template words that joins a line to a block.
+LEAST_WORDS, LEAST_SAVED, VOCABULARY_SHARE, LEVEL = 0.7, 0.1, 0.6, 9
 #: Words that separate licences of one family: one that the template doesn't have contradicts it.
 CONTRADICTING = frozenset("apache mit isc bsd mozilla lesser affero by-sa by-nc by-nc-sa by-nd by-nc-nd noncommercial sharealike noderivatives".split())
 
@@ -159,6 +160,30 @@ def wording(block: str, template: int) -> Match | None:
     return Match(t.license, template, 0.0, share, missing, changed)
 
 
+def passage(words: list[str], template: int) -> Match | None:
+    """The confirmed match of a template with a passage of a block's words, around one of its telling words, or none."""
+    t = _templates()[0][template]
+    anchor, reach, need = min(t.telling, key=words.count), 2 * len(t.words), LEAST_WORDS * len(t.words)
+    for at in (i for i, w in enumerate(words) if w == anchor):
+        part = words[max(0, at - reach) : at + reach + 1]
+        have = set(part)
+        if not t.telling <= have or sum(w in have for w in t.words) < need:
+            continue
+        ops = SequenceMatcher(None, t.words, part, autojunk=False).get_opcodes()
+        equal = [x for x in ops if x[0] == "equal"]
+        shared = [w for _, i1, i2, _, _ in equal for w in t.words[i1:i2]]
+        if len(shared) < need or not t.telling <= set(shared):
+            continue
+        first, last = equal[0][3], equal[-1][4]
+        if (CONTRADICTING - set(t.words)) & set(part[first:last]):
+            continue
+        inside = lambda op, j1, j2: op == "replace" and first <= j1 and j2 <= last  # noqa: B023, E731
+        missing = tuple(w for op, i1, i2, j1, j2 in ops if op in ("delete", "replace") and not inside(op, j1, j2) for w in t.words[i1:i2])
+        changed = tuple(f"{' '.join(t.words[i1:i2])} -> {' '.join(part[j1:j2])}" for op, i1, i2, j1, j2 in ops if inside(op, j1, j2))
+        return Match(t.license, template, 0.0, len(shared) / len(t.words), missing, changed)
+    return None
+
+
 def _notice(words: list[str], t: _Template) -> set[str]:
     """Words of a block within reach of the template's telling words."""
     at = [i for i, w in enumerate(words) if w in t.telling]
@@ -170,9 +195,14 @@ def scan(text: str | None) -> tuple[int, list[Match]]:
     blocks, found = candidate_blocks(text), []
     for block in blocks:
         best: dict[str, Match] = {}
-        for saved, i in ranked(block)[:RANKED]:
-            if saved >= LEAST_SAVED and (m := wording(block, i)) and (m.license not in best):
-                best[m.license] = Match(m.license, i, saved, m.words, m.missing, m.changed)
+        words = words_of(block)
+        have = set(words)
+        told = {i for i, t in enumerate(_templates()[0]) if t.telling <= have}
+        for saved, i in ranked(block) if told else ():
+            if i in told and _templates()[0][i].license not in best:
+                m = (wording(block, i) if saved >= LEAST_SAVED else None) or passage(words, i)
+                if m:
+                    best[m.license] = Match(m.license, i, saved, m.words, m.missing, m.changed)
         found += best.values()
     return len(blocks), found
 

@@ -69,6 +69,19 @@ def test_licenses(odd):
     assert license_scan.scan_licenses(odd.limit(0)).count() == 0
 
 
+def test_licenses_in_long_lines_and_lists():
+    english = "the story of a house by the river and of those who lived in it for a long time with all that they had to say about the work of others".split()
+    for n in (95, 180, 437, 3000):
+        prose = " ".join(english[i % len(english)] for i in range(n))
+        assert license_scan.scan(f"{prose} and this is free software or not")[1] == []
+        for name, text, _ in license_scan.TEMPLATES:
+            assert name in {m.license for m in license_scan.scan(f"{prose}. {text}")[1]}, (n, text)
+    short = [(name, text) for name, text, _ in license_scan.TEMPLATES if len(text) < 90]
+    for listed in (short, short[::-1]):
+        assert {m.license for m in license_scan.scan("\n".join(text for _, text in listed))[1]} == {name for name, _ in listed}
+    assert {m.license for m in license_scan.scan("This work is licensed under the GNU Lesser General Public License, version 3.\nReleased under the MIT License.")[1]} == {"LGPL-3.0", "MIT"}
+
+
 # 2
 
 
