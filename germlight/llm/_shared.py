@@ -6,7 +6,7 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,18 +22,70 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
+    """The folder that driver and executors share: spark.checkpoint.dir. Only where all is one machine may that be unset, for a temporary folder."""
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    checkpoint = context._jsc.sc().getCheckpointDir()
+    if root is None and checkpoint.isDefined():
+        root = checkpoint.get()
     if root is None:
-        root = checkpoint.get() if checkpoint.isDefined() else "file://" + tempfile.mkdtemp(prefix="germlight-")
+        if context.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="germlight-")
     if checkpoint.isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
-    return root if "://" in root or root.startswith("file:") else "file://" + root
+        context.setCheckpointDir(root)
+    path, store = _hadoop(spark, root)
+    return store.makeQualified(path).toString()  # a path without a scheme is one of the default file system
+
+
+def _hadoop(spark: SparkSession, uri: str):
+    """(path, file system) as Spark's own readers and writers see them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new folder in the shared one, deleted with all that is in it when the application ends."""
+    uri = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path, store = _hadoop(spark, uri)
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return uri
+
+
+@contextlib.contextmanager
+def shuffles_forgotten(spark: SparkSession) -> Iterator[None]:
+    """Queries that are made and run inside leave no shuffle files behind: their results are files in the shared folder by then."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+class Scratch:
+    """Intermediate tables of one run, as Parquet in a folder of their own, so that lineage ends there and lost executors cost no recomputation."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.folder, self.tables = spark, fresh_dir(spark, label), {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """df, computed once and written."""
+        uri = f"{self.folder}/{uuid.uuid4().hex}"
+        with shuffles_forgotten(self.spark):
+            df.select("*").write.parquet(uri)
+        out = self.spark.read.schema(df.schema).parquet(uri)
+        self.tables[id(out)] = (out, uri)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Deletes tables that nothing reads any more; others than its own are left alone."""
+        for table_ in tables:
+            if found := self.tables.pop(id(table_), None):
+                path, store = _hadoop(self.spark, found[1])
+                store.delete(path, True)
 
 
 def filesystem(uri: str):
@@ -48,7 +100,8 @@ def filesystem(uri: str):
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cuts the lineage with files in the shared folder, so that a lost executor costs no recomputation."""
     shared_root(df.sparkSession)
-    return df.checkpoint()
+    with shuffles_forgotten(df.sparkSession):
+        return df.select("*").checkpoint()
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -5,13 +5,13 @@ Hamming distance of the fingerprints, so fingerprints within 4 bits have vectors
 is a range join on a grid: two lattice points within 2 have a common lattice point within 1 of both, so each fingerprint visits its own cell and the
 adjacent ones (25 on average, in each band), and all pairs within range meet in a cell. In a cell they are verified exactly (xor and popcount) and
 reported as a forest, one edge for each member at most, never as all pairs. Cells that may be crowded are divided again by the same grid over the
-halves of the other band, which must be within 4 too.
+halves of the other band, which must be within 4 too; in what stays crowded, points are compared by way of pivots.
 
 For near copies that are further apart, `near_duplicates(similar=True)` adds every pair of texts whose sets of 5-word shingles have a Jaccard similarity of 0.8
 or more, by a prefix filter: in one order of all shingles such sets share one of their first n - ceil(0.8 n) + 1. Shingles that a sample finds common come
 last in that order (which shingles these are changes the work, never the pairs). Pairs that meet, but those whose sketches differ too much, are verified on the
-whole sets: first each text with its
-neighbour and the first in every shingle's group, then all pairs that aren't connected by then, so that a group of near copies isn't formed as all pairs.
+whole sets: first the likeliest pair of each text, among those with its neighbour and the first in every shingle's group, then all pairs that aren't connected
+by then, so that a group of near copies isn't formed as all pairs.
 
 Only distinct fingerprints take part, so a group of exact copies is one point whatever its size. Components come from alternating star
 contractions, each round written to the shared folder.
@@ -32,13 +32,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from germlight.llm._shared import bounded_broadcast, checkpointed, release_memory, table
+from germlight.llm._shared import Scratch, bounded_broadcast, release_memory, table
 
 SEED, SHINGLE, MAX_DISTANCE = 42, 4, 4
 #: Members from which a cell is divided again, and rows up to which the list of such cells is broadcast.
 CROWDED, BROADCAST_ROWS = 4096, 200_000
 #: Cells that a fingerprint visits in one band at most (each of 16 segments up and down, and its own).
 VISITED = 33
+#: Members up to which all pairs of a cell are compared, and comparisons at a time in larger ones.
+SMALL, COMPARED = 256, 1 << 21
+#: Members of a component from which its rows are dealt out apart, and such components up to which their list is broadcast.
+LARGE, BROADCAST_LARGE = 1000, 200_000
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
 
@@ -102,13 +106,13 @@ def _visited(cell: str, segments: int) -> str:
     return f"filter(concat(array({cell}), {parts}), z -> z IS NOT NULL)"
 
 
-def _grid(fps: DataFrame, crowded: int) -> DataFrame:
+def _grid(fps: DataFrame, crowded: int, scratch: Scratch) -> DataFrame:
     """(cell, part, fp): every cell that a fingerprint visits. The band is in the cell's bits from 32 on; part is 0 but in crowded cells."""
     bands = fps.selectExpr("fp", f"{_COUNTS} AS counts").selectExpr("fp", "explode(array(struct(counts & 4294967295L AS own, shiftrightunsigned(counts, 32) AS other, 0L AS band), struct(shiftrightunsigned(counts, 32) AS own, counts & 4294967295L AS other, 1L AS band))) AS b")
     bands = bands.select("fp", "b.own", "b.other", "b.band")
     # A cell of CROWDED members has a neighbour in which at least CROWDED / VISITED live.
     heavy = bands.groupBy("band", "own").count().where(F.col("count") >= max(2, crowded // VISITED))
-    heavy = checkpointed(heavy.selectExpr(f"explode(transform({_visited('own', 16)}, z -> shiftleft(band, 32) | z)) AS cell").distinct().withColumn("heavy", F.lit(True)))
+    heavy = scratch.keep(heavy.selectExpr(f"explode(transform({_visited('own', 16)}, z -> shiftleft(band, 32) | z)) AS cell").distinct().withColumn("heavy", F.lit(True)))
     rows = bands.selectExpr("fp", "other", f"explode(transform({_visited('own', 16)}, z -> shiftleft(band, 32) | z)) AS cell")
     rows = rows.join(bounded_broadcast(heavy, BROADCAST_ROWS), "cell", "left")
     low, high = "(other & 65535L)", "shiftrightunsigned(other, 16)"
@@ -116,9 +120,9 @@ def _grid(fps: DataFrame, crowded: int) -> DataFrame:
     return rows.selectExpr("cell", f"explode(IF(heavy, {finer}, array(0L))) AS part", "fp")
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Each point's smallest connected point."""
-    root = np.arange(n)
+def _forest(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Each point's smallest connected point, once a and b are connected with all that they are connected with in root."""
+    root = root.copy()
     while True:
         x, y = root[a], root[b]
         if (same := x == y).all():
@@ -129,24 +133,56 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             root = up
 
 
+def _crowd(fp: np.ndarray, distance: int) -> np.ndarray:
+    """Each point's smallest connected point, in a cell of many points.
+
+    Balls around pivots take the points first; two pivots are never near. A point that is near one of another ball is within twice the distance of that
+    ball's pivot, and only points that aren't connected by then are compared, so a cell of near copies costs its size times its few balls.
+    """
+    root, rest, balls = np.arange(len(fp)), np.arange(len(fp)), []
+    while len(rest):
+        near = np.bitwise_count(fp[rest] ^ fp[rest[0]]) <= distance
+        if (ball := rest[near]).size > 1:
+            balls.append(ball)
+            root[ball] = ball[0]
+        rest = rest[~near]
+    for ball in balls:
+        others = np.flatnonzero(np.bitwise_count(fp ^ fp[ball[0]]) <= 2 * distance)
+        step = at = 0
+        while len(others := others[root[others] != root[ball[0]]]) and at < len(ball):
+            step = max(1, COMPARED // len(others))
+            part = fp[ball[at : at + step]]
+            met = (np.bitwise_count(part[:, None] ^ fp[others]) <= distance).any(axis=0)
+            if met.any():
+                joined = np.unique(np.append(root[others[met]], root[ball[0]]))
+                root[np.isin(root, joined)] = joined[0]
+            at += step
+    return root
+
+
 def _verified(key: np.ndarray, fp: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Forest edges (larger, smaller) of rows sorted by key: pairs in one key within distance."""
+    """Forest edges (larger, smaller) of rows sorted by key: pairs in one key within distance. Memory follows the rows, not the pairs."""
     n = len(fp)
     ends = np.append(np.flatnonzero(key[1:] != key[:-1]) + 1, n)
-    last = ends[np.searchsorted(ends, np.arange(n), side="right")]
-    left, right, active, d = [], [], np.arange(n), 1
+    starts = np.append(0, ends[:-1])
+    sizes = ends - starts
+    last, root, left, right, d = np.repeat(ends, sizes), np.arange(n), [], [], 1
+    active = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
     while len(active := active[active + d < last[active]]):
         near = active[np.bitwise_count(fp[active] ^ fp[active + d]) <= distance]
         left.append(near), right.append(near + d)
+        if sum(map(len, left)) > n:
+            root, left, right = _forest(root, np.concatenate(left), np.concatenate(right)), [], []
         d += 1
-    if not left:
-        return fp[:0], fp[:0]
-    root = _forest(n, np.concatenate(left), np.concatenate(right))
+    if left:
+        root = _forest(root, np.concatenate(left), np.concatenate(right))
+    for i, j in zip(starts[sizes > SMALL].tolist(), ends[sizes > SMALL].tolist()):
+        root[i:j] = i + _crowd(fp[i:j], distance)
     own = np.flatnonzero(root != np.arange(n))
     return fp[own], fp[root[own]]
 
 
-def links(fps: DataFrame, distance: int = MAX_DISTANCE, crowded: int = CROWDED) -> DataFrame:
+def links(fps: DataFrame, distance: int = MAX_DISTANCE, crowded: int = CROWDED, scratch: Scratch | None = None) -> DataFrame:
     """(a, b) with a > b: edges that connect exactly what pairs of distinct fingerprints (column fp) within distance connect. Distances up to 4."""
     if not 0 <= distance <= 4:
         raise ValueError("the grid covers distances up to 4")
@@ -174,24 +210,33 @@ def links(fps: DataFrame, distance: int = MAX_DISTANCE, crowded: int = CROWDED)
             yield from out(key[:whole], fp[:whole])
         yield from out(rest_key, rest_fp)
 
-    grid = _grid(fps.select("fp"), crowded).repartition("cell", "part").sortWithinPartitions("cell", "part", "fp")
+    grid = _grid(fps.select("fp"), crowded, scratch or Scratch(fps.sparkSession, "links")).repartition("cell", "part").sortWithinPartitions("cell", "part", "fp")
     return grid.mapInArrow(meet, "a long, b long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(a, b): every node of edges (a, b) but the smallest of its component, with that smallest."""
-    edges, before = checkpointed(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct()), None
+    scratch = scratch or Scratch(edges.sparkSession, "components")
+    edges, before = scratch.keep(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct()), None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before or not now[0]:
             return edges
         before = now
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        least = scratch.keep(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size")).selectExpr("u", "least(u, m) AS m", "size"))
+        large = _by_key(both.where("v > u"), least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        edges = checkpointed(small.where("a <> b").distinct())
+        old, edges = edges, scratch.keep(small.where("a <> b").distinct())
+        scratch.drop(old, least)
+
+
+def _by_key(rows: DataFrame, of_key: DataFrame, key: str) -> DataFrame:
+    """rows joined with of_key, which has one row a key and the `size` of it among rows: rows of large keys by a list of those, not dealt out by the key."""
+    large = bounded_broadcast(of_key.where(F.col("size") >= LARGE).drop("size"), BROADCAST_LARGE)
+    others = rows.join(large.select(key), key, "left_anti").join(of_key.where(F.col("size") < LARGE).drop("size"), key)
+    return rows.join(large, key).unionByName(others)
 
 
 def shingles_of(text: str | None, size: int = SIMILAR_SHINGLE) -> np.ndarray:
@@ -229,27 +274,26 @@ def _each_shingle(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x for _, x in some]))], names=["s"])
 
 
-def _set(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-    ends = np.cumsum([0, *(len(x) for _, x in some)])
-    return pa.RecordBatch.from_arrays([pa.array([h for h, _ in some], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([x for _, x in some])))], names=["h", "set"])
-
-
 def _sketch(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     """Number of shingles, and how many have each value of their hash's low byte (255 at most): the counts of two sets differ by no more than the sets do."""
     counts = [np.minimum(np.bincount(x & 255, minlength=256), 255).astype(np.uint8).tobytes() for _, x in some]
     return pa.RecordBatch.from_arrays([pa.array([h for h, _ in some], pa.int64()), pa.array([len(x) for _, x in some], pa.int64()), pa.array(counts, pa.binary())], names=["h", "n", "counts"])
 
 
-def _may_be_similar(n: Column, x: Column, y: Column) -> Column:
-    """Whether sketches x and y of sets that have n shingles together allow the similarity: (1 - J) / (1 + J) of n may differ."""
+def _apart(x: Column, y: Column) -> Column:
+    """By how much the counts of two sketches differ."""
 
-    @F.pandas_udf("boolean")
-    def each(n: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+    @F.pandas_udf("long")
+    def each(x: pd.Series, y: pd.Series) -> pd.Series:
         own = [np.frombuffer(b"".join(c), np.uint8).reshape(-1, 256).astype(np.int16) for c in (x, y)]
-        apart = np.abs(own[0] - own[1]).sum(1, dtype=np.int64)
-        return pd.Series((SIMILAR[0] + SIMILAR[1]) * apart <= (SIMILAR[1] - SIMILAR[0]) * n.to_numpy())
+        return pd.Series(np.abs(own[0] - own[1]).sum(1, dtype=np.int64))
+
+    return each(x, y)
+
 
-    return each(n, x, y)
+def _may_be_similar(n: Column, apart: Column) -> Column:
+    """Whether sets that have n shingles together and differ in `apart` or more allow the similarity: (1 - J) / (1 + J) of n may differ."""
+    return (SIMILAR[0] + SIMILAR[1]) * apart <= (SIMILAR[1] - SIMILAR[0]) * n
 
 
 def _prefixes(texts: DataFrame, common: np.ndarray) -> DataFrame:
@@ -339,57 +383,92 @@ def _candidates(every: bool):
     return body
 
 
-def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of text hashes whose whole sets of shingles are similar enough."""
-
-    def of(pairs: DataFrame) -> DataFrame:
-        needed = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct())
-        return texts.join(bounded_broadcast(needed, BROADCAST_ROWS), "h", "left_semi")
-
-    # Most texts that meet share little: sketches of 256 bytes exclude them before whole sets move.
-    pairs = checkpointed(pairs.distinct())
-    sketches = checkpointed(_of_texts(of(pairs), _sketch, "h long, n long, counts binary").dropDuplicates(["h"]))
-    both = pairs.join(sketches.selectExpr("h AS a", "n AS m", "counts AS x"), "a").join(sketches.selectExpr("h AS b", "n", "counts AS y"), "b")
-    pairs = checkpointed(both.where(_may_be_similar(F.col("m") + F.col("n"), F.col("x"), F.col("y"))).select("a", "b"))
-    sets = checkpointed(_of_texts(of(pairs).dropDuplicates(["h"]), _set, "h long, set array<long>"))
-    both = pairs.join(sets.select(F.col("h").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("h").alias("b"), F.col("set").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return checkpointed(both.where((SIMILAR[0] + SIMILAR[1]) * shared >= SIMILAR[0] * (F.size("x") + F.size("y"))).select("a", "b"))
+def _shares_enough(x: Column, y: Column) -> Column:
+    """Whether the whole sets of shingles of texts x and y have the similarity."""
 
-
-def similar_links(texts: DataFrame, prints: DataFrame, edges: DataFrame) -> DataFrame:
+    @F.pandas_udf("boolean")
+    def each(x: pd.Series, y: pd.Series) -> pd.Series:
+        out = []
+        for s, t in zip(x, y):
+            s, t = shingles_of(s), shingles_of(t)
+            out.append((SIMILAR[0] + SIMILAR[1]) * len(np.intersect1d(s, t, assume_unique=True)) >= SIMILAR[0] * (len(s) + len(t)))
+        return pd.Series(out, dtype=bool)
+
+    return each(x, y)
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, best: bool, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of text hashes whose whole sets of shingles are similar enough; with best, only the likeliest pair of each text is asked."""
+
+    def of(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        needed = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct())
+        return texts.join(bounded_broadcast(needed, BROADCAST_ROWS), "h", "left_semi"), needed
+
+    # Most texts that meet share little: sketches of 256 bytes exclude them before whole texts move.
+    met = scratch.keep(pairs.distinct())
+    own, needed = of(met)
+    sketches = scratch.keep(_of_texts(own, _sketch, "h long, n long, counts binary").dropDuplicates(["h"]))
+    both = met.join(sketches.selectExpr("h AS a", "n AS m", "counts AS x"), "a").join(sketches.selectExpr("h AS b", "n", "counts AS y"), "b")
+    apart = _apart(F.col("x"), F.col("y"))
+    likely = scratch.keep(both.select("a", "b", (F.col("m") + F.col("n")).alias("n"), apart.alias("apart")).where(_may_be_similar(F.col("n"), F.col("apart"))))
+    scratch.drop(met, needed, sketches)
+    asked = likely.select("a", "b")
+    if best:
+        each = likely.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e"), (F.col("apart") / F.col("n")).alias("d"))
+        nearest = each.groupBy("e.u").agg(F.min(F.struct("d", "e.v")).alias("x")).select("u", "x.v")
+        asked = scratch.keep(nearest.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct())
+    own, needed = of(asked)
+    # Copies of a text in one task meet before they move.
+    whole = own.groupBy("h").agg(F.first("text").alias("text"))
+    both = asked.join(whole.select(F.col("h").alias("a"), F.col("text").alias("x")), "a").join(whole.select(F.col("h").alias("b"), F.col("text").alias("y")), "b")
+    found = scratch.keep(both.where(_shares_enough(F.col("x"), F.col("y"))).select("a", "b"))
+    scratch.drop(likely, needed, asked)
+    return found
+
+
+def similar_links(texts: DataFrame, prints: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(a, b) of fingerprints: edges, and those that connect with them what similar texts connect. texts: h, text; prints: h, fp of each h."""
     sample = _of_texts(texts.where(F.pmod("h", F.lit(SAMPLED)) == 0), _each_shingle, "s long")
     often = sample.groupBy("s").count().where(F.col("count") >= COMMON).orderBy(F.desc("count"), "s").limit(MAX_COMMON)
     common = np.array([r["s"] for r in often.collect()], np.int64)  # MAX_COMMON at most
     common.sort()
-    shared = checkpointed(_by_shingle(_prefixes(texts, common), _shared, "s long, n int, h long, i int"))
+    shared = scratch.keep(_by_shingle(_prefixes(texts, common), _shared, "s long, n int, h long, i int"))
     for every in (False, True):
-        roots = prints.join(components(edges).withColumnsRenamed({"a": "fp", "b": "root"}), "fp", "left").select("h", F.coalesce("root", "fp").alias("root"))
+        stars = components(edges, scratch)
+        roots = prints.join(stars.withColumnsRenamed({"a": "fp", "b": "root"}), "fp", "left").select("h", F.coalesce("root", "fp").alias("root"))
         pairs = _by_shingle(shared.join(roots, "h").select("s", "n", "h", "i", "root"), _candidates(every), "a long, b long")
-        found = _similar(pairs, texts)
+        found = _similar(pairs, texts, not every, scratch)
         of = lambda c: prints.select(F.col("h").alias(c), F.col("fp").alias(f"fp_{c}"))  # noqa: B023, E731
-        edges = checkpointed(edges.unionByName(found.join(of("a"), "a").join(of("b"), "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))))
+        # Stars connect what edges do, in as many rows as they have nodes.
+        old, edges = edges, scratch.keep(stars.unionByName(found.join(of("a"), "a").join(of("b"), "b").select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))))
+        scratch.drop(old, stars, found)
+    scratch.drop(shared)
     return edges
 
 
+def _firsts(fps: DataFrame, stars: DataFrame, scratch: Scratch) -> DataFrame:
+    """(fp, first): the least `lo` of each fingerprint's component. Rows of a large component are joined by a list of those, not dealt out by it."""
+    members = scratch.keep(stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), "b").distinct()).withColumnsRenamed({"a": "fp", "b": "root"}).join(fps, "fp"))
+    of_root = scratch.keep(members.groupBy("root").agg(F.min("lo").alias("first"), F.count("*").alias("size")))
+    linked = _by_key(members.select("fp", "root"), of_root, "root").select("fp", "first")
+    return scratch.keep(fps.join(linked, "fp", "left").select("fp", F.coalesce("first", "lo").alias("first")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, distance: int = MAX_DISTANCE, crowded: int = CROWDED, similar: bool = False) -> DataFrame:
     """id, text_hash, fp (long), component_id and representative of every row. With similar, texts of SIMILAR 5-word shingles are linked too.
 
     The representative of a component has its smallest id (nulls last) and, of those, the smallest hash of the text; rows that repeat both are all marked.
     """
+    scratch = Scratch(docs.sparkSession, "near")
     rank = lambda: F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_hash"))
-    ids = checkpointed(docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), fingerprint(F.col(text_col), size).alias("fp")))
-    fps = checkpointed(ids.groupBy("fp").agg(F.min(rank()).alias("lo")))
-    edges = links(fps, distance, crowded)
+    ids = scratch.keep(docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("text_hash"), fingerprint(F.col(text_col), size).alias("fp")))
+    fps = scratch.keep(ids.groupBy("fp").agg(F.min(rank()).alias("lo")))
+    edges = scratch.keep(links(fps, distance, crowded, scratch))
     if similar:
         texts = docs.select(F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
-        edges = similar_links(texts, checkpointed(ids.select(F.col("text_hash").alias("h"), "fp").distinct()), checkpointed(edges))
-    stars = components(edges).withColumnsRenamed({"a": "fp", "b": "root"})
-    linked = fps.join(stars, "fp", "left").select("fp", "lo", F.coalesce("root", "fp").alias("root"))
-    of_root = linked.groupBy("root").agg(F.min("lo").alias("first"))
-    by_fp = linked.select("fp", "root").join(of_root, "root").select("fp", "first")
-    found = ids.join(by_fp, "fp")
+        prints = scratch.keep(ids.select(F.col("text_hash").alias("h"), "fp").distinct())
+        edges = similar_links(texts, prints, edges, scratch)
+    found = ids.join(_firsts(fps, components(edges, scratch), scratch), "fp")
     return found.select(F.col("id").alias(id_col), "text_hash", "fp", F.col("first.id").alias("component_id"), (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))).alias("representative"))
 
 
