@@ -15,7 +15,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from germlight.llm import decontaminate, prefix_bpe, quality_classifier, quality_rules, simhash
-from germlight.llm._shared import bounded_broadcast, fresh_dir, table
+from germlight.llm._shared import Scratch, bounded_broadcast, fresh_dir, table
 
 #: Ids up to which a list of dropped documents is broadcast.
 BROADCAST_IDS = 500_000
@@ -37,11 +37,19 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(docs, similar=True)
-    own = groups.where("representative").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return _without(docs, groups.groupBy("doc_id", "text_hash").agg(F.bool_and("representative").alias("keep"), F.count("*").alias("copies")), Scratch(spark, "winners"))
+
+
+def _without(docs: DataFrame, decided: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of docs whose id and text are to be kept, one of each. Only decisions that change something meet the texts, in one join."""
+    todo = scratch.keep(decided.where(~F.col("keep") | (F.col("copies") > 1)).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "keep"))
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_own"), F.xxhash64("text").alias("_text"))
-    kept = rows.join(own, F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_semi")
-    # Of rows with one id and text, one.
-    return kept.withColumn("_n", F.row_number().over(Window.partitionBy("_own", "_text").orderBy("_text"))).where("_n = 1").select("_row.*")
+    rows = rows.join(bounded_broadcast(todo, BROADCAST_IDS), F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left")
+    once = rows.where("keep IS NULL").select("_row.*")
+    if todo.where("keep").isEmpty():
+        return once
+    again = rows.where("keep").withColumn("_n", F.row_number().over(Window.partitionBy("_own", "_text").orderBy("_text"))).where("_n = 1")
+    return once.unionByName(again.select("_row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
