@@ -150,6 +150,12 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: Most bytes, as JSON, of what is broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """A broadcast hint for at most max_rows rows, counted first; beyond that the planner shuffles."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """A broadcast hint for at most max_rows rows of BROADCAST_BYTES, counted first; beyond that the planner shuffles."""
+    sizes = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).limit(max_rows + 1)
+    rows, size = sizes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= BROADCAST_BYTES else df

@@ -5,8 +5,9 @@ represented by the least hash of the GRAM-word grams inside it: equal windows ha
 more is found. Document fingerprints (the distinct positions that represent some window, about two in seven) join the benchmark's; the hits are
 extended to the windows around them, and those are compared word by word with the benchmark's windows.
 
-The text is read once and never shuffled: fingerprints carry the words around them only where they hit. The benchmark side is broadcast up to
-BROADCAST_ROWS distinct rows, counted first; beyond that the planner joins by shuffle.
+Of a text only positions and hashes leave its row, so work and memory follow its length; the texts with hits, and no others, are split once more to compare
+windows. The benchmark's side and the list of hits are broadcast up to BROADCAST_ROWS rows, counted first. Beyond that the planner joins by shuffle: of
+fingerprints some 20 bytes each, and whole texts once, if the list of hits is longer.
 
 Defined cases: a null or empty text has no words, no hits and an empty list of items; a null or wordless item occurs nowhere; a null item_id is
 no part of a list of items; repeated items count once in the list, repeated documents each get their row; an empty benchmark contaminates nothing;
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from germlight.llm._shared import ascii_lower, bounded_broadcast, checkpointed, let, table
+from germlight.llm._shared import Scratch, ascii_lower, bounded_broadcast, let, table
 
 #: What separates words, after lower-casing.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -68,49 +69,47 @@ def _gram_sql(at: int, gram: int) -> str:
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """id, n_words, n_hit, n_items, items (sorted strings) and contaminated of every row of docs."""
-    bench = benchmark_windows(items, item_id, item_text, window)
+    """id, text_hash, n_words, n_hit, n_items, items (sorted strings) and contaminated of every row of docs."""
+    scratch = Scratch(docs.sparkSession, "windows")
+    bench = scratch.keep(benchmark_windows(items, item_id, item_text, window))
     lengths = sorted(r["len"] for r in bench.select("len").distinct().collect())  # `window` values at most
-    of_items = bench.groupBy("len", "h", "window").agg(F.count("*").alias("_n")).drop("_n")
-    prints = bounded_broadcast(of_items.select("len", "h").distinct(), BROADCAST_ROWS)
+    of_items = scratch.keep(bench.groupBy("len", "h", "window").agg(F.count("*").alias("_n")).drop("_n"))
+    prints = bounded_broadcast(scratch.keep(of_items.select("len", "h").distinct()), BROADCAST_ROWS)
 
-    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), words(F.col(text_col)).alias("w"))
-    # One row more for each document, at p = -1, carries it through the join.
+    # Positions, hashes and lengths alone leave a text's row. One row more for each document, of a hash that joins nothing, has its number of words: p = -1 - n.
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), words(F.col(text_col)).alias("w"))
     entry = lambda p, h, n: F.struct(p.cast("int").alias("p"), h.cast("long").alias("h"), F.lit(n).cast("int").alias("len"))
     prints_of = lambda n: F.transform(_selected(F.col("w"), n), lambda s: entry(s["p"], s["h"], n))
-    found = F.concat(F.array(entry(F.lit(-1), F.lit(None), 0)), *map(prints_of, lengths))
-    rows = base.select("id", "th", "w", F.explode(found).alias("f")).select("id", "th", "w", "f.p", "f.h", "f.len")
-    rows = rows.join(prints.select("len", "h", F.lit(True).alias("hit")), ["len", "h"], "left").where(F.col("hit") | (F.col("p") < 0))
-
-    # Windows around a hit: those that hold the gram.
-    starts = F.sequence(F.greatest(F.lit(0), F.col("p") + F.least(F.lit(GRAM), F.col("len")) - F.col("len")), F.least(F.col("p"), F.size("w") - F.col("len")))
-    around = F.when(F.col("p") < 0, F.array(F.struct(F.lit(-1).alias("s"), F.lit(None).cast("string").alias("window")))).otherwise(
-        F.transform(starts, lambda s: F.struct(s.alias("s"), F.array_join(F.slice(F.col("w"), s + 1, F.col("len")), " ").alias("window")))
-    )
-    spans = rows.select("id", "th", F.when(F.col("p") < 0, F.size("w")).alias("n_words"), "len", "h", F.explode(around).alias("a")).select("id", "th", "n_words", "len", "h", "a.s", "a.window")
-    same = of_items.select("len", "h", "window", F.lit(True).alias("same"))
-    spans = spans.join(bounded_broadcast(same, BROADCAST_ROWS), ["len", "h", "window"], "left").where(F.col("same") | (F.col("s") < 0))
-
-    # A document's positions and windows, at most as many as its words; n copies of a row have met here.
-    hits = F.array_distinct(F.collect_list(F.when(F.col("s") >= 0, F.struct("s", "len"))))
-    seen = F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("s") >= 0, F.struct("len", "h", "window")))))
-    per_doc = spans.groupBy("id", "th").agg(F.max("n_words").alias("n_words"), F.sum((F.col("s") < 0).cast("int")).alias("copies"), hits.alias("hits"), seen.alias("windows"))
-    n_hit = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda x: F.sequence(x["s"], x["s"] + x["len"] - 1)))))
-    # One short row a document, read three times below; the texts are not.
-    per_doc = checkpointed(per_doc.select("id", "n_words", "copies", n_hit.cast("long").alias("n_hit"), "windows", F.xxhash64("windows").alias("set")))
+    found = F.concat(F.array(entry(-1 - F.size("w"), F.xxhash64("id", "th"), 0)), *map(prints_of, lengths))
+    rows = own.select("id", "th", F.explode(found).alias("f")).select("id", "th", "f.p", "f.h", "f.len")
+    rows = scratch.keep(rows.join(prints.select("len", "h", F.lit(True).alias("hit")), ["len", "h"], "left").where(F.col("hit") | (F.col("p") < 0)).select("id", "th", "p", "h", "len"))
+    base, hits = rows.where("p < 0").select("id", "th", (-1 - F.col("p")).alias("n_words")), rows.where("p >= 0")
+
+    # The texts with hits once more, with their hits: at most as many as a text has words. Only there the windows that hold a hit are cut out and compared.
+    hits = scratch.keep(hits.groupBy("id", "th").agg(F.collect_set(F.struct("p", "h", "len")).alias("hits")).withColumnsRenamed({"id": "_id", "th": "_th"}))
+    again = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text")).join(bounded_broadcast(hits, BROADCAST_ROWS), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    starts = lambda x, w: F.sequence(F.greatest(F.lit(0), x["p"] + F.least(F.lit(GRAM), x["len"]) - x["len"]), F.least(x["p"], F.size(w) - x["len"]))
+    cut = lambda x, w: F.transform(starts(x, w), lambda s: F.struct(s.alias("s"), x["len"].alias("len"), x["h"].alias("h"), F.array_join(F.slice(w, s + 1, x["len"]), " ").alias("window")))
+    around = let(words(F.col("text")), lambda w: F.array_distinct(F.flatten(F.transform("hits", lambda x: cut(x, w)))))
+    spans = again.select("id", "th", F.explode(around).alias("a")).select("id", "th", "a.s", "a.len", "a.h", "a.window").join(bounded_broadcast(of_items, BROADCAST_ROWS), ["len", "h", "window"])
+
+    at = F.collect_set(F.struct("s", "len"))
+    per_doc = spans.groupBy("id", "th").agg(at.alias("at"), F.array_sort(F.collect_set(F.struct("len", "h", "window"))).alias("windows"))
+    n_hit = F.size(F.array_distinct(F.flatten(F.transform("at", lambda x: F.sequence(x["s"], x["s"] + x["len"] - 1)))))
+    per_doc = scratch.keep(per_doc.select(F.col("id").alias("_id"), F.col("th").alias("_th"), n_hit.cast("long").alias("n_hit"), "windows", F.xxhash64("windows").alias("set")))
 
     # Documents with the same windows have the same items: those are listed once for each set of windows.
-    sets = per_doc.where(F.col("n_hit") > 0).groupBy("set").agg(F.first("windows").alias("windows"))
+    sets = per_doc.groupBy("set").agg(F.first("windows").alias("windows"))
     of_window = bench.where(F.col("item_id").isNotNull()).select("len", "h", "window", F.col("item_id").cast("string").alias("item")).distinct()
     pairs = sets.select("set", F.explode("windows").alias("x")).select("set", "x.len", "x.h", "x.window").join(of_window, ["len", "h", "window"]).select("set", "item").distinct()
-    lists = pairs.groupBy("set").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    full = per_doc.where(F.col("n_hit") > 0).select("id", "n_words", "copies", "n_hit", "set").join(bounded_broadcast(lists, BROADCAST_SETS), "set", "left").drop("set")
-    clean = per_doc.where(F.col("n_hit") == 0).select("id", "n_words", "copies", "n_hit", F.lit(None).cast("array<string>").alias("items"))
-    full = clean.unionByName(full)
-    items_ = F.coalesce("items", F.array().cast("array<string>"))
-    return full.select(F.col("id").alias(id_col), F.col("n_words").cast("long").alias("n_words"), "n_hit", items_.alias("items"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select(
-        id_col, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated")
-    )
+    lists = scratch.keep(pairs.groupBy("set").agg(F.array_sort(F.collect_list("item")).alias("items")))
+    hit = bounded_broadcast(per_doc.select("_id", "_th", "n_hit", "set"), BROADCAST_ROWS)
+    full = base.join(hit, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    # Without a hit, a set of its own: null would be one key of most rows.
+    full = full.withColumn("set", F.coalesce("set", F.xxhash64("id", "th"))).join(bounded_broadcast(lists, BROADCAST_SETS), "set", "left")
+    n_hit, items_ = F.coalesce("n_hit", F.lit(0).cast("long")), F.when(F.col("n_hit") > 0, F.col("items"))
+    full = full.select("id", "th", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"), F.coalesce(items_, F.array().cast("array<string>")).alias("items"))
+    return full.select(F.col("id").alias(id_col), F.col("th").alias("text_hash"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:
