@@ -53,9 +53,11 @@ def _without(docs: DataFrame, decided: DataFrame, scratch: Scratch) -> DataFrame
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hit = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_own"))
-    return rows.join(bounded_broadcast(hit, BROADCAST_IDS), F.col("_own").eqNullSafe(F.col("_hit")), "left_anti").select("_row.*")
+    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).where("contaminated")
+    hit = Scratch(spark, "hit").keep(found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_own"), F.xxhash64("text").alias("_text"))
+    # By id and text: another document may have the same id, or none either.
+    return rows.join(bounded_broadcast(hit, BROADCAST_IDS), F.col("_own").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti").select("_row.*")
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
