@@ -2,9 +2,10 @@
 
 Lines that speak of licences, with neighbouring lines that mostly use the templates' vocabulary, form candidate blocks. Each block is compressed alone, and
 with each template as a raw Zstandard dictionary; the share of bytes that the dictionary saves ranks the templates. In that order every template whose telling
-words the block has is checked by its exact wording: block and template are aligned word by word, and a template is confirmed if the block has all of its
-telling words and, of the rest, enough. Where the whole block doesn't confirm it, the words around each place of a telling word do, so that a notice counts
-in a long line or among others as it does alone. The differences are reported: words of the template that the block lacks, and those it changes.
+words the block has is checked by its exact wording: the words around each place of a telling word are aligned with the template, which is confirmed if they
+have all of its telling words and, of the rest, enough. So a notice counts in a long line or among others as it does alone. Titles must be whole, and so must
+identifiers in a machine-readable line. The differences are reported: words of the template that the passage lacks, and those it changes. A match whose words are all part
+of another licence's longer one doesn't count; of templates of one licence that tie, the earlier is reported.
 
 Defined cases: a null or empty text, or one without such lines, has no blocks; repeated rows are each scanned; lines and texts of any length are whole; an
 empty table gives an empty result; a null doc_id passes through; columns other than the named ones are ignored.
@@ -15,7 +16,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from difflib import SequenceMatcher
 from functools import lru_cache
 from itertools import accumulate
@@ -51,11 +52,35 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "commons attribution 4.0 international"),
     ("CC0-1.0", "This work has been dedicated to the public domain under CC0 1.0 Universal.", "cc0 1.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain.", "unencumbered public domain"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1.", "lesser public 2.1"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "lesser public 2.1"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "eclipse public 2.0"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.", "boost 1.0"),
+    ("BSL-1.0", 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:', "organization transmit derivative"),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", "misrepresented alter freely"),
 )
-TRIGGER = re.compile(r"licen[cs]e|copyright|warrant(?:y|ies)|redistribut|permission(?:\s+notice)?\s+is\s+hereby|permission\s+to\s+use|public\s+domain|free\s+software|spdx", re.I)
-#: Least share of a template's words, and of bytes saved for aligning a whole block (passages of it are aligned at any); share of template words that joins a line to a block.
-LEAST_WORDS, LEAST_SAVED, VOCABULARY_SHARE, LEVEL = 0.7, 0.1, 0.6, 9
-#: Words that separate licences of one family: one that the template doesn't have contradicts it.
+#: Titles of licence texts. They count where all their words follow each other.
+TITLES: tuple[tuple[str, str], ...] = (
+    ("MIT", "The MIT License (MIT)"),
+    ("ISC", "ISC License"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("CC0-1.0", "CC0 1.0 Universal"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+)
+#: The tag of a machine-readable licence line, what joins identifiers there, and the endings of one licence's other identifiers.
+TAG, JOINING, ENDINGS = "spdx-license-identifier", frozenset(("or", "and", "with")), ("", "-only", "-or-later")
+TRIGGER = re.compile(r"licen[cs]e|copyright|warrant(?:y|ies)|redistribut|permission(?:\s+notice)?\s+is\s+hereby|permission\s+to\s+use|public\s+domain|free\s+software|spdx|creative\s+commons|cc0", re.I)
+#: Least share of a template's words; share of template words that joins a line to a block.
+LEAST_WORDS, VOCABULARY_SHARE, LEVEL = 0.7, 0.6, 9
+#: Words that separate licences of one family: a notice doesn't go on past one that its template doesn't have.
 CONTRADICTING = frozenset("apache mit isc bsd mozilla lesser affero by-sa by-nc by-nc-sa by-nd by-nc-nd noncommercial sharealike noderivatives".split())
 
 _WORD = re.compile(r"[^\W_]+(?:[.\-/][^\W_]+)*")
@@ -69,6 +94,8 @@ class Match:
     words: float
     missing: tuple[str, ...] = ()
     changed: tuple[str, ...] = ()
+    #: Places, among the block's words, of those that the template has.
+    at: frozenset[int] = frozenset()
 
 
 @dataclass
@@ -77,7 +104,7 @@ class _Template:
     words: list[str]
     telling: frozenset[str]
     compressor: object
-    data: bytes = field(repr=False, default=b"")
+    kind: str = "notice"
 
 
 def words_of(text: str) -> list[str]:
@@ -88,12 +115,15 @@ def words_of(text: str) -> list[str]:
 def _templates() -> tuple[list[_Template], frozenset[str]]:
     import zstandard
 
+    named = dict.fromkeys(name for name, *_ in TEMPLATES)
+    tags = [(name, f"{TAG} {name.lower()}{ending}") for name in named for ending in (ENDINGS if "GPL" in name else ("",))]
     made = []
-    for name, text, telling in TEMPLATES:
-        data = " ".join(words_of(text)).encode()
+    for kind, name, text, telling in [("notice", *x) for x in TEMPLATES] + [("title", *x, x[1]) for x in TITLES] + [("tag", *x, x[1]) for x in tags]:
+        words = words_of(text)
+        data = " ".join(words).encode()
         # Raw dictionaries have a least size; zeros in front of a short notice match nothing in a text.
         raw = zstandard.ZstdCompressionDict(bytes(max(0, 64 - len(data))) + data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        made.append(_Template(name, words_of(text), frozenset(telling.split()), zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False), data))
+        made.append(_Template(name, words, frozenset(words_of(telling)), zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False), kind))
     return made, frozenset(w for t in made for w in t.words)
 
 
@@ -145,27 +175,36 @@ def ranked(block: str) -> list[tuple[float, int]]:
     return sorted(saved, key=lambda x: (-x[0], x[1]))
 
 
-def wording(block: str, template: int) -> Match | None:
-    """The confirmed match of a block with a template, with exact differences, or none."""
-    t, words = _templates()[0][template], words_of(block)
-    have = set(words)
-    if not t.telling <= have or (CONTRADICTING - set(t.words)) & _notice(words, t):
-        return None
-    ops = SequenceMatcher(None, t.words, words, autojunk=False).get_opcodes()
-    share = sum(i2 - i1 for op, i1, i2, _, _ in ops if op == "equal") / len(t.words)
-    if share < LEAST_WORDS:
-        return None
-    missing = tuple(w for op, i1, i2, _, _ in ops if op == "delete" for w in t.words[i1:i2])
-    changed = tuple(f"{' '.join(t.words[i1:i2])} -> {' '.join(words[j1:j2])}" for op, i1, i2, j1, j2 in ops if op == "replace")
-    return Match(t.license, template, 0.0, share, missing, changed)
-
-
-def passage(words: list[str], template: int) -> Match | None:
-    """The confirmed match of a template with a passage of a block's words, around one of its telling words, or none."""
+def passages(words: list[str], template: int) -> Iterator[Match]:
+    """The confirmed matches of a template with passages of a block's words, in order."""
     t = _templates()[0][template]
-    anchor, reach, need = min(t.telling, key=words.count), 2 * len(t.words), LEAST_WORDS * len(t.words)
+    if t.kind == "notice":
+        yield from _notices(words, t, template)
+    elif t.kind == "title":
+        n = len(t.words)
+        for at in (i for i, w in enumerate(words) if w == t.words[0] and words[i : i + n] == t.words):
+            yield Match(t.license, template, 0.0, 1.0, at=frozenset(range(at, at + n)))
+    else:
+        known = {x.words[1] for x in _templates()[0] if x.kind == "tag"}
+        for at in (i for i, w in enumerate(words) if w == TAG):
+            for i in range(at + 1, len(words)):
+                if words[i] == t.words[1]:
+                    yield Match(t.license, template, 0.0, 1.0, at=frozenset((at, i)))
+                if not (words[i] in known or words[i] in JOINING or words[i].endswith("exception")):
+                    break
+
+
+def _notices(words: list[str], t: _Template, template: int) -> Iterator[Match]:
+    """Passages around the rarest of the telling words, up to words that contradict the template, aligned word by word."""
+    anchor, reach, need, after = min(t.telling, key=words.count), 2 * len(t.words), LEAST_WORDS * len(t.words), 0
+    others = CONTRADICTING - set(t.words)
+    borders = [-1, *(i for i, w in enumerate(words) if w in others), len(words)]
     for at in (i for i, w in enumerate(words) if w == anchor):
-        part = words[max(0, at - reach) : at + reach + 1]
+        if at < after:
+            continue
+        k = bisect_right(borders, at)
+        low, high = max(after, at - reach, borders[k - 1] + 1), min(at + reach + 1, borders[k])
+        part = words[low:high]
         have = set(part)
         if not t.telling <= have or sum(w in have for w in t.words) < need:
             continue
@@ -175,34 +214,26 @@ def passage(words: list[str], template: int) -> Match | None:
         if len(shared) < need or not t.telling <= set(shared):
             continue
         first, last = equal[0][3], equal[-1][4]
-        if (CONTRADICTING - set(t.words)) & set(part[first:last]):
-            continue
         inside = lambda op, j1, j2: op == "replace" and first <= j1 and j2 <= last  # noqa: B023, E731
         missing = tuple(w for op, i1, i2, j1, j2 in ops if op in ("delete", "replace") and not inside(op, j1, j2) for w in t.words[i1:i2])
         changed = tuple(f"{' '.join(t.words[i1:i2])} -> {' '.join(part[j1:j2])}" for op, i1, i2, j1, j2 in ops if inside(op, j1, j2))
-        return Match(t.license, template, 0.0, len(shared) / len(t.words), missing, changed)
-    return None
-
-
-def _notice(words: list[str], t: _Template) -> set[str]:
-    """Words of a block within reach of the template's telling words."""
-    at = [i for i, w in enumerate(words) if w in t.telling]
-    return set(words[max(0, min(at) - len(t.words)) : max(at) + len(t.words)]) if at else set()
+        yield Match(t.license, template, 0.0, len(shared) / len(t.words), missing, changed, frozenset(low + j for _, _, _, j1, j2 in equal for j in range(j1, j2)))
+        after = low + last
 
 
 def scan(text: str | None) -> tuple[int, list[Match]]:
     """Number of candidate blocks, and their confirmed matches: of each licence in a block the one that saves most."""
     blocks, found = candidate_blocks(text), []
     for block in blocks:
-        best: dict[str, Match] = {}
         words = words_of(block)
         have = set(words)
         told = {i for i, t in enumerate(_templates()[0]) if t.telling <= have}
-        for saved, i in ranked(block) if told else ():
-            if i in told and _templates()[0][i].license not in best:
-                m = (wording(block, i) if saved >= LEAST_SAVED else None) or passage(words, i)
-                if m:
-                    best[m.license] = Match(m.license, i, saved, m.words, m.missing, m.changed)
+        every = [replace(m, saved=saved) for saved, i in (ranked(block) if told else ()) if i in told for m in passages(words, i)]
+        # What is all part of another licence's longer notice is no notice of its own.
+        every = [m for m in every if not any(m.at < x.at and m.license != x.license for x in every)]
+        best: dict[str, Match] = {}
+        for m in every:
+            best.setdefault(m.license, m)
         found += best.values()
     return len(blocks), found
 

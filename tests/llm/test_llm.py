@@ -82,6 +82,54 @@ def test_licenses_in_long_lines_and_lists():
     assert {m.license for m in license_scan.scan("This work is licensed under the GNU Lesser General Public License, version 3.\nReleased under the MIT License.")[1]} == {"LGPL-3.0", "MIT"}
 
 
+def test_licenses_by_name_and_title():
+    found = lambda text: {m.license for m in license_scan.scan(text)[1]}
+    assert found("# SPDX-License-Identifier: Apache-2.0") == {"Apache-2.0"}
+    assert found("SPDX-License-Identifier: (MIT OR GPL-2.0-or-later) AND LGPL-2.1-only WITH Classpath-exception") == {"MIT", "GPL-2.0", "LGPL-2.1"}
+    assert found("SPDX-License-Identifier: MIT\nApache and other words, and an Apache-2.0 file") == {"MIT"}
+    for name, title in license_scan.TITLES:
+        assert found(f"some words\n{title}\nother words") == {name}
+    assert found("the MIT license is one that many know") == set()
+    bsd = {name: text for name, text, _ in license_scan.TEMPLATES if len(text) > 400}
+    assert found(bsd["BSD-3-Clause"]) == {"BSD-3-Clause"} and found(bsd["BSD-2-Clause"]) == {"BSD-2-Clause"}
+    assert found(bsd["BSD-3-Clause"] + " " + bsd["BSD-2-Clause"]) == {"BSD-2-Clause", "BSD-3-Clause"}
+    # Ties: two templates of one licence in one block are one match.
+    assert [m.license for m in license_scan.scan("Licensed under CC BY 4.0. Licensed under CC BY 4.0.")[1]] == ["CC-BY-4.0"]
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before, row = row, [0] * (len(b) + 1)
+        for j, y in enumerate(b, 1):
+            row[j] = before[j - 1] + 1 if x == y else max(before[j], row[j - 1])
+    return row[-1]
+
+
+def test_licenses_against_every_window():
+    """Notices in any order, on one line or many, among prose: all that stand there whole are found, and none of which no window has enough words."""
+    rng = random.Random(3)
+    prose = "the story of a house by the river and of those who lived in it for a long time with all that they had to say of it".split()
+    notices = [(name, text, set(license_scan.words_of(telling))) for name, text, telling in license_scan.TEMPLATES]
+    for _ in range(60):
+        parts = [notice for _, notice, _ in rng.sample(notices, rng.randrange(1, 6))]
+        parts += [" ".join(rng.choices(prose, k=rng.randrange(5, 60))) for _ in range(rng.randrange(4))]
+        rng.shuffle(parts)
+        text = "".join(p + rng.choice((" ", "\n", "\n\n", ". ")) for p in parts)
+        words, whole, enough = license_scan.words_of(text), set(), set()
+        for name, notice, telling in notices:
+            own = license_scan.words_of(notice)
+            n = len(own)
+            if any(words[i : i + n] == own for i in range(len(words) - n + 1)):
+                whole.add((name, tuple(own)))
+            if telling <= set(words) and any(10 * longest_common(own, words[i : i + 4 * n]) >= 7 * n for i in range(0, max(1, len(words) - n), max(1, n // 2))):
+                enough.add(name)
+        # The shorter notice may be part of a longer one of another licence.
+        own = {name for name, w in whole if not any(len(x) > len(w) and k != name and " ".join(w) in " ".join(x) for k, x in whole)}
+        got = {m.license for m in license_scan.scan(text)[1]}
+        assert own <= got <= enough | {name for name, _ in license_scan.TITLES}, text
+
+
 # 2
 
 
