@@ -142,17 +142,22 @@ def byte_characters() -> dict[int, int]:
 
 
 class Encoder:
-    """text -> ids by a tokenizers file. A byte-level BPE encodes the pieces of its pattern on their own, so a worker asks the library once for each distinct
-    piece and keeps the answers over its tasks, CACHE at most (some 150 MB); any other tokenizer gets whole texts."""
+    """text -> ids by a tokenizers file, as the library's encode(text, add_special_tokens=False) gives them.
 
-    def __init__(self, path: str):
+    A byte-level BPE encodes the pieces of its pattern on their own, so a worker asks the library once for each distinct piece and keeps the answers over
+    its tasks, CACHE at most (some 150 MB). Whole texts go to the library where they hold one of the file's added tokens, which it matches before its
+    pattern (with special_as_text the special ones are ordinary text), and for any other kind of tokenizer.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
         import regex
         from tokenizers import Tokenizer
 
         # Tasks are the parallelism; threads beneath them would only add memory and switching.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)]
         self.vocabulary = self.tokenizer.get_vocab_size()
         split = str(self.tokenizer.pre_tokenizer)
         self.by_piece = "ByteLevel" in split and "add_prefix_space=True" not in split and self.tokenizer.normalizer is None
@@ -164,15 +169,16 @@ class Encoder:
         return array("I", [t.id for t in self.merges(piece.encode("utf-8", "replace").decode("latin-1").translate(self.stand_for))]).tobytes()
 
     def __call__(self, text: str | None) -> np.ndarray:
-        if self.by_piece:
-            return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(text or ""))), "<u4")
-        return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
+        text = text or ""
+        if self.by_piece and not any(token in text for token in self.added):
+            return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(text))), "<u4")
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """Read once a process."""
-    return Encoder(path)
+    return Encoder(path, special_as_text)
 
 
 @dataclass(frozen=True)
@@ -183,35 +189,36 @@ class Packed:
     files: list[tuple[str, int, int, int]]
 
 
-def write_packed(docs: DataFrame, tokenizer_path: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, block: int = BLOCK) -> Packed:
+def write_packed(docs: DataFrame, tokenizer_path: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, block: int = BLOCK, special_as_text: bool = False) -> Packed:
     """Encodes every whole text, appends end_id, and writes the ids in ascending id order; each task writes one range of ids as one file."""
     folder = folder or fresh_dir(docs.sparkSession, "packed")
     filesystem(folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = filesystem(folder)
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, special_as_text)
         end, name, writer, first, out = np.array([end_id], "<u4"), f"{uuid.uuid4().hex}.glpk", None, None, None
         for batch in batches:
-            ids, known, hashes, texts = batch.columns  # one text at a time leaves Arrow's memory
+            ids, known, hashes, numbers, texts = batch.columns  # one text at a time leaves Arrow's memory
             for i in range(len(batch)):
                 doc_id = ids[i].as_py() if known[i].as_py() else None
                 if writer is None:
                     out = store.open_output_stream(f"{path}/{name}")
-                    writer, first = Writer(out, bits_for(max(encode.vocabulary, end_id + 1)), block), (doc_id, hashes[i].as_py())
+                    writer, first = Writer(out, bits_for(max(encode.vocabulary, end_id + 1)), block), (doc_id, hashes[i].as_py(), numbers[i].as_py())
                 writer.add(doc_id, np.concatenate([encode(texts[i].as_py()), end]))
         if writer is not None:
             size = writer.close()
             out.close()
-            row = {"name": name, "known": first[0] is not None, "id": first[0] or 0, "h": first[1], "docs": len(writer.documents), "ids": writer.n, "bytes": size}
+            row = {"name": name, "known": first[0] is not None, "id": first[0] or 0, "h": first[1], "k": first[2], "docs": len(writer.documents), "ids": writer.n, "bytes": size}
             yield pa.RecordBatch.from_pylist([row])
 
     h = F.xxhash64(F.col(text_col))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNotNull().alias("known"), h.alias("h"), F.col(text_col).alias("text"))
-    order = ["known", "id", "h"]
-    done = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(write, "name string, known boolean, id long, h long, docs long, ids long, bytes long")
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"), F.col(id_col).isNotNull().alias("known"), h.alias("h"), F.monotonically_increasing_id().alias("k"), F.col(text_col).alias("text"))
+    # The number lets rows that repeat id and text, which are alike, lie in more than one range.
+    order = ["known", "id", "h", "k"]
+    done = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(write, "name string, known boolean, id long, h long, k long, docs long, ids long, bytes long")
     files, before = [], 0
-    for r in sorted(done.collect(), key=lambda r: (r["known"], r["id"], r["h"])):  # one short row for each file
+    for r in sorted(done.collect(), key=lambda r: (r["known"], r["id"], r["h"], r["k"])):  # one short row for each file
         files.append((r["name"], r["docs"], r["ids"], before))
         before += r["ids"]
     return Packed(folder, files)
