@@ -11,8 +11,7 @@ and not held out; columns other than the named ones are ignored.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -24,10 +23,9 @@ from germlight.llm._shared import fold, held_out, table
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 8
 #: Windows in a forward pass.
 BATCH = 128
-#: Bound of the training sample: so many documents of each language, those of the smallest hash of their id, and of as many languages.
-TRAIN_PER_LANGUAGE, MAX_LANGUAGES = 400, 200
+#: Bounds of the training sample: so many texts of each language, those of the least hash, and so many together (but one of each language).
+TRAIN_PER_LANGUAGE, TRAIN = 400, 80_000
 EPOCHS, RATE, SEED = 12, 0.01, 11
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 class ByteConvNet:
@@ -111,6 +109,18 @@ def windows(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.minimum(WINDOW, len(data) - np.arange(n) * step)
 
 
+@lru_cache(maxsize=1)
+def _letter_search():
+    import regex
+
+    return regex.compile(r"\p{L}").search
+
+
+def letter(text: str) -> bool:
+    """Whether text has a letter; fractions, raised digits and the like are none."""
+    return _letter_search()(text) is not None
+
+
 def predict(model: ByteConvNet, texts: list[str | None]) -> list[tuple[str, float]]:
     out: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
     if not model.languages:
@@ -126,7 +136,7 @@ def predict(model: ByteConvNet, texts: list[str | None]) -> list[tuple[str, floa
 
     lengths, pending = np.zeros(len(texts)), 0
     for i, text in enumerate(texts):
-        if text is None or not _LETTER.search(text):
+        if text is None or not letter(text):
             continue
         r, w = windows(text.encode("utf-8", "replace"))
         lengths[i] = w.sum()
@@ -147,29 +157,21 @@ def predict(model: ByteConvNet, texts: list[str | None]) -> list[tuple[str, floa
 
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """(language, bytes as text) of at most TRAIN_PER_LANGUAGE documents of each language, chosen by a hash of id and text: one window each, at a place that depends on the hash."""
-    h = F.xxhash64(F.col(id_col), F.col(text_col))
+    """(language, bytes as text) of at most TRAIN_PER_LANGUAGE distinct texts of each language, TRAIN at most together but one of each: those of the least
+    hash. One window each, at a place that depends on the hash."""
+    h = F.xxhash64(F.col(text_col))
     own = docs.where((fold(F.col(id_col)) != 0) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     at = (F.pmod(h, F.greatest(F.length(text_col) - WINDOW // 2, F.lit(1)).cast("long")) + 1).cast("int")
-    one = own.select(F.col(lang_col).alias("lang"), F.struct(h.alias("h"), F.col(text_col).substr(at, F.lit(WINDOW)).alias("part")).alias("row"))
-    return [(r["lang"], p) for r in _least(one).orderBy("lang").limit(MAX_LANGUAGES).collect() for p in r["parts"]]
-
-
-def _least(one: DataFrame) -> DataFrame:
-    """Least TRAIN_PER_LANGUAGE hashes of each language: first within each task's hash range, then over all."""
-
-    def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: dict[str, list[tuple[int, str]]] = {}
-        for frame in frames:
-            for lang, h, part in zip(frame["lang"], frame["h"], frame["part"]):
-                best.setdefault(lang, []).append((h, part))
-            best = {k: sorted(set(x))[:TRAIN_PER_LANGUAGE] for k, x in best.items()}
-        for k, x in best.items():
-            yield pd.DataFrame({"lang": k, "h": [h for h, _ in x], "part": [part for _, part in x]})
-
-    first = one.select("lang", "row.h", "row.part").mapInPandas(least, "lang string, h long, part string")
-    salted = first.groupBy("lang", F.pmod("h", F.lit(64)).alias("salt")).agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "part"))), 1, TRAIN_PER_LANGUAGE).alias("x"))
-    return salted.groupBy("lang").agg(F.slice(F.array_sort(F.flatten(F.collect_list("x"))), 1, TRAIN_PER_LANGUAGE)["part"].alias("parts"))
+    one = own.select(F.col(lang_col).alias("lang"), h.alias("h"), F.col(text_col).substr(at, F.lit(WINDOW)).alias("part"))
+    languages = one.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.struct("h", "part"))["part"].alias("part")).collect()  # one row for each language
+    each = max(1, min(TRAIN_PER_LANGUAGE, TRAIN // max(1, len(languages))))
+    # Hashes below this are about twice as many rows as wanted, so few rows leave their tasks, however many tasks there are.
+    limits = [(r["lang"], min(-(2**63) + 2**64 * 2 * each // r["n"], 2**63 - 1)) for r in languages]
+    below = one.join(F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, most long")), "lang").where("h <= most")
+    distinct = below.groupBy("lang", "h").agg(F.min("part").alias("part"))
+    chosen = distinct.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "part"))), 1, each)["part"].alias("parts"))
+    sample = {r["lang"]: [r["part"]] for r in languages} | {r["lang"]: r["parts"] for r in chosen.collect()}  # a language of few distinct texts has one at least
+    return [(lang, p) for lang in sorted(sample) for p in sample[lang]]
 
 
 def train(sample: list[tuple[str, str]]) -> ByteConvNet:
