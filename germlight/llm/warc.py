@@ -1,11 +1,12 @@
 """WARC archives compressed record by record with a shared Zstandard dictionary.
 
 Each file starts with a skippable frame that holds the dictionary; every record after it is a frame of its own, so any record can be read alone. The
-dictionary is built from the archived records themselves (see `record_dictionary`) and only affects sizes, never contents.
+dictionary is built from the archived records themselves (see `record_dictionary`) and only affects sizes, never contents. A warcinfo record leads them.
 
 Of records with equal payloads of at least MIN_REVISIT bytes, that of the largest page_id is a response and the others are revisits, which hold no
-payload. Payloads are compared by SHA-256; the SHA-1 goes into the record, as is usual there. The list of repeated payloads is broadcast up to
-BROADCAST_ROWS rows, counted first; beyond that it joins by shuffle, where the planner splits hot payloads.
+payload. Payloads are compared by SHA-256; the SHA-1 goes into the record, as is usual there. A revisit names its response's URL and date, and its record id where one
+record alone is that response; no two records have one id. The list of repeated payloads is broadcast up to BROADCAST_ROWS rows, counted first; beyond that it joins by
+shuffle of the pages, where the planner splits hot payloads.
 
 Tasks write files of unique names to the shared folder, and the driver gets one short row for each file of a task that succeeded: only those are read.
 
@@ -40,20 +41,32 @@ LEVEL, CHUNK, ROWS = 3, 1 << 20, 256
 DATE = "2026-01-01T00:00:00Z"
 
 
-def record_id(page_id: int | None, salt: str = "") -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}{salt}')}>"
+def record_id(page_id: int | None = None, sha1: bytes | None = None) -> str:
+    """The id of the one response of a page id and payload, which revisits can compute; without these an id that no other record has."""
+    return f"<urn:uuid:{uuid.uuid4() if sha1 is None else uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{sha1.hex()}')}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None = None, revisit: bool = False, size: int | None = None, sha1: bytes | None = None, date: str = DATE) -> bytes:
-    """One whole record. A revisit keeps the HTTP head, the digest and the size of the payload, not the payload."""
+def target(page_id: int | None, url: str | None) -> str:
+    return quote(url, safe=_URL) if url is not None else f"urn:page:{page_id}"
+
+
+def info(date: str = DATE) -> bytes:
+    """The record that describes a file."""
+    block = b"software: germlight\r\nformat: WARC File Format 1.1\r\n"
+    return "\r\n".join(["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id()}", f"WARC-Date: {date}", "Content-Type: application/warc-fields", f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+
+def record(page_id: int | None, url: str | None, payload: bytes, revisit: bool = False, size: int | None = None, sha1: bytes | None = None, own: str | None = None, refers: tuple[int | None, str | None, str | None] | None = None, date: str = DATE) -> bytes:
+    """One whole record. A revisit keeps the HTTP head, the digest and the size of the payload, not the payload; refers is its response's (page id, url, record id or none)."""
     digest = base64.b32encode(sha1 or hashlib.sha1(payload).digest()).decode()
     size = len(payload) if size is None else size
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode() + (b"" if revisit else payload)
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {date}"]
-    head += [f"WARC-Target-URI: {quote(url, safe=_URL) if url is not None else f'urn:page:{page_id}'}", "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {own or record_id()}", f"WARC-Date: {date}"]
+    head += [f"WARC-Target-URI: {target(page_id, url)}", "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}"]
     head += [f"X-Url-Missing: {int(url is None)}"] + ([] if page_id is None else [f"X-Page-Id: {page_id}"])
-    if revisit:
-        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {record_id(refers_to)}"] + ([] if refers_to is None else [f"X-Refers-To-Page-Id: {refers_to}"])
+    if revisit and refers is not None:
+        head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To-Target-URI: {target(*refers[:2])}", f"WARC-Refers-To-Date: {date}"]
+        head += ([] if refers[2] is None else [f"WARC-Refers-To: {refers[2]}"]) + ([] if refers[0] is None else [f"X-Refers-To-Page-Id: {refers[0]}"])
     return "\r\n".join([*head, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
 
 
@@ -79,16 +92,21 @@ def record_dictionary(pages: DataFrame, url_col: str = "url", html_col: str = "h
         return b""
 
 
-def roles(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """id, url... as they are, with payload_bytes, sha1 (binary), revisit and refers_to of every row."""
+def roles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = MIN_REVISIT) -> DataFrame:
+    """The rows as they are, with payload_bytes, sha1 (binary), revisit, and of the response refers_to, refers_url and refers_one: whether one row alone is that response."""
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     size = F.octet_length(payload).cast("long")
     key = F.unhex(F.sha2(payload, 256))
-    repeated = pages.where(size >= min_bytes).groupBy(key.alias("key")).agg(F.max(id_col).alias("_first"), F.count("*").alias("_n")).where("_n > 1").select("key", "_first", F.lit(True).alias("_again"))
-    rows = pages.withColumns({"payload_bytes": size, "sha1": F.unhex(F.sha1(payload)), "key": F.when(size >= min_bytes, key)})
+    each = pages.where(size >= min_bytes).groupBy(key.alias("key"), F.col(id_col).alias("_id")).agg(F.count("*").alias("_n"), F.max(url_col).alias("_url"))
+    last = F.max(F.struct("_id", "_n", "_url")).alias("_last")
+    repeated = each.groupBy("key").agg(last, F.sum("_n").alias("_rows")).where("_rows > 1").select("key", F.col("_last._id").alias("_first"), (F.col("_last._n") == 1).alias("_one"), F.col("_last._url").alias("_url"), F.lit(True).alias("_again"))
+    # Payloads that are never revisited have a key that joins nothing: were it null, one task would get them all.
+    own = F.when(size >= min_bytes, key).otherwise(F.unhex(F.hex(F.xxhash64(id_col, url_col, html_col))))
+    rows = pages.withColumns({"payload_bytes": size, "sha1": F.unhex(F.sha1(payload)), "key": own})
     rows = rows.join(bounded_broadcast(repeated, BROADCAST_ROWS), "key", "left").drop("key")
     revisit = F.coalesce(F.col("_again") & ~F.col(id_col).eqNullSafe(F.col("_first")), F.lit(False))
-    return rows.withColumn("revisit", revisit).withColumn("refers_to", F.when(revisit, F.col("_first"))).drop("_first", "_again")
+    of_response = {"refers_to": F.col("_first"), "refers_url": F.col("_url"), "refers_one": F.coalesce("_one", F.lit(False))}
+    return rows.withColumns({"revisit": revisit, **of_response}).drop("_first", "_again", "_one", "_url")
 
 
 @dataclass(frozen=True)
@@ -115,16 +133,19 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
                 out = store.open_output_stream(f"{path}/{name}")
                 if dictionary:
                     out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
-            for known, page_id, url, html, size, sha1, revisit, again, refers_to in frame.itertuples(index=False):
-                out.write(compress(record(page_id if known else None, url, (html or "").encode("utf-8", "replace"), refers_to if again else None, revisit, size, sha1)))
+                out.write(compress(info()))
+            for known, page_id, url, html, size, sha1, revisit, again, refers_to, refers_url, one in frame.itertuples(index=False):
+                page_id, refers_to = page_id if known else None, refers_to if again else None
+                the_one = record_id(refers_to, sha1) if one else None
+                out.write(compress(record(page_id, url, (html or "").encode("utf-8", "replace"), revisit, size, sha1, None if revisit else the_one, (refers_to, refers_url, the_one) if revisit else None)))
                 n += 1
         if out is not None:
             out.close()
             yield pd.DataFrame({"name": [name], "records": [n]})
 
-    rows = roles(own, "page_id", "html", min_bytes)
+    rows = roles(own, min_bytes=min_bytes)
     whole = lambda c: F.coalesce(F.col(c), F.lit(0))  # noqa: E731  pandas would turn nullable longs into doubles
-    rows = rows.select(F.col("page_id").isNotNull(), whole("page_id").alias("page_id"), "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "payload_bytes", "sha1", "revisit", F.col("refers_to").isNotNull().alias("again"), whole("refers_to").alias("refers_to"))
+    rows = rows.select(F.col("page_id").isNotNull(), whole("page_id").alias("page_id"), "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "payload_bytes", "sha1", "revisit", F.col("refers_to").isNotNull().alias("again"), whole("refers_to").alias("refers_to"), "refers_url", "refers_one")
     return Archive(folder, sorted(r["name"] for r in rows.mapInPandas(write, "name string, records long").collect()))  # one short row for each file
 
 
@@ -190,6 +211,8 @@ def read_warc(spark: SparkSession, archive: Archive, payloads: bool = False) ->
                 rows = []
                 with store.open_input_stream(f"{path}/{name}") as file:
                     for fields, block in records(file):
+                        if fields["WARC-Type"] == "warcinfo":
+                            continue
                         rows.append(row(fields, block))
                         if len(rows) == ROWS:
                             yield frame(rows)

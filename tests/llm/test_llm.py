@@ -324,12 +324,26 @@ def test_language(spark, odd):
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) >= 0.97
     got = language_id.identify(odd, model).collect()
     assert len(got) == odd.count() and all(r["lang_pred"] in {*model.languages, "und"} and 0 <= r["score"] <= 1 for r in got)
+    assert [x[0] for x in language_id.predict(model, ["½ ² ①", "12 + 3", "ª", "_"])] == ["und", "und", language_id.predict(model, ["ª"])[0][0], "und"]
+    assert language_id.letter("ª") and language_id.letter("漢") and not language_id.letter("½²①_1")
     by_id = {r["doc_id"]: r["lang_pred"] for r in got if r["doc_id"] is not None}
     assert by_id[0] == by_id[1] == by_id[2] == by_id[13] == "und" and by_id[3] != "und"
     none = language_id.train(language_id.training_sample(docs.limit(0)))
     assert {r["lang_pred"] for r in language_id.identify(odd, none).collect()} == {"und"}
 
 
+def test_every_language_is_learnt(spark, monkeypatch):
+    """More languages than a sample of the usual size for each would allow; copies of a text count once."""
+    rows = [(i, f"text {i // 2} of it", f"l{i % 300:03}") for i in range(3000)] + [(i, "hot text", "l000") for i in range(3000, 6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(16)
+    monkeypatch.setattr(language_id, "TRAIN", 600)
+    sample = language_id.training_sample(docs)
+    per = {lang: sum(x == lang for x, _ in sample) for lang, _ in sample}
+    assert set(per) == {f"l{i:03}" for i in range(300)} and max(per.values()) <= 2
+    monkeypatch.setattr(language_id, "TRAIN_PER_LANGUAGE", 1)
+    assert len(language_id.training_sample(docs)) == 300
+
+
 def test_windows_cover_every_byte_sequence():
     for n in (1, 3, 4, 255, 256, 257, 508, 509, 510, 5000):
         data = bytes(i % 251 + 1 for i in range(n))
@@ -420,7 +434,6 @@ def test_packed_ids(spark, odd, documents):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     assert packed_ids.bits_for(50_257) == 16
     for docs in (odd, documents):
         rows = sorted(docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect(), key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["h"]))
@@ -434,15 +447,29 @@ def test_packed_ids(spark, odd, documents):
     assert packed_ids.read_packed(spark, packed_ids.write_packed(odd.limit(0), path)).count() == 0
 
 
-def test_other_tokenizers_get_whole_texts():
+@pytest.mark.parametrize("special_as_text", [False, True])
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoding_is_the_library_s(name, special_as_text):
     from tokenizers import Tokenizer
 
-    path = public_tokenizers.path("word_bpe_49k.json")
+    path = public_tokenizers.path(name)
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    encode = packed_ids.encoder(path)
-    for t in TEXTS[:10]:
+    tokenizer.encode_special_tokens = special_as_text
+    encode = packed_ids.Encoder(path, special_as_text)
+    ends = ["<|endoftext|>", "a <|endoftext|> b", "don't<|endoftext|><|endoftext|>  stop\n<|endoftext", "<|startoftext|> x", "end<|endoftext|>"]
+    for t in [*TEXTS[:11], *TEXTS[13:], *ends]:
         assert encode(t).tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids
+    assert encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275] or special_as_text or name != "byte_bpe_50k.json"
+
+
+def test_repeated_rows_lie_in_several_files(spark):
+    docs = spark.createDataFrame([(7, "the same words")] * 4000 + [(8, "others")], "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    packed = packed_ids.write_packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = packed_ids.read_packed(spark, packed).collect()
+    assert len(packed.files) > 2 and sorted(r["start"] for r in got) == [4 * i for i in range(4000)] + [16000]
+    assert {r["doc_id"] for r in got if r["start"] < 16000} == {7}
 
 
 # 8
@@ -495,10 +522,32 @@ def test_warc(spark):
     texts = {r["page_id"]: bytes(r["payload"]).decode() for r in got if r["record_type"] == "response"}
     assert texts[8] == bigger and texts[3] == "" and texts[2] == big
     assert next(r["url"] for r in got if r["page_id"] == 3) is None
+    store, path = _shared.filesystem(archive.folder)
+    every = []
+    for name in archive.files:
+        with store.open_input_stream(f"{path}/{name}") as f:
+            every.append([fields for fields, _ in warc.records(f)])
+    assert all(x[0]["WARC-Type"] == "warcinfo" and all(f["WARC-Type"] != "warcinfo" for f in x[1:]) for x in every)
+    fields = [f for x in every for f in x]
+    ids = {f["WARC-Record-ID"]: f for f in fields}
+    assert len(ids) == len(fields)
+    for f in fields:
+        if f["WARC-Type"] == "revisit":
+            assert f["WARC-Refers-To-Target-URI"] == ("i" if f.get("X-Page-Id") == "7" else "http://b/%20c%0D%0A")
+            # Two rows are the response of `big`: none of them is named.
+            assert ("WARC-Refers-To" in f) == (f.get("X-Page-Id") == "7") and ids.get(f.get("WARC-Refers-To"), {}).get("X-Page-Id") in (None, "8")
     empty = warc.write_warc(pages.limit(0))
     assert warc.read_warc(spark, empty).count() == 0
 
 
+def test_warc_without_broadcast(spark, monkeypatch):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    one = pairs(warc.read_warc(spark, warc.write_warc(pages)), *columns)
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    assert pairs(warc.read_warc(spark, warc.write_warc(pages)), *columns) == one
+
+
 def test_warc_dictionary_leads_the_file(spark):
     import zstandard
 
