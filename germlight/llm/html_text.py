@@ -1,8 +1,9 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at block-level markup. The first pass decides a block by where it stands (menus, forms, footers and the like, by element, role, or
-class and id words), by its link density, its length and its density of stop words; long blocks inside an article or main element need no stop words.
-Short or middling blocks stay undecided, and in the second pass take the label of the nearest decided block, those of an article that of its nearest
+A page is cut into blocks at block-level markup, with ends of elements that are left out. The first pass decides a block by where it stands (menus, forms, footers and
+the like, by element, role, or class and id words; a form or marked element that holds the main element or an article's title isn't what its mark says, unless it is of readers' comments), by its link
+density, its length and its density of stop words. Long blocks inside an article or main element need no stop words, and neither do those of a page in a
+language whose stop words aren't listed; scripts without spaces are measured in characters. Short or middling blocks stay undecided, and in the second pass take the label of the nearest decided block, those of an article that of its nearest
 one inside. Kept blocks are joined in page order.
 
 Defined cases: a null or empty html has an empty text; unclosed or stray tags, comments and quotes are read as far as they go; where no block is
@@ -26,18 +27,35 @@ from germlight.llm._shared import table
 RAW = frozenset("script style noscript template textarea title iframe object svg canvas select math audio video".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog button fieldset label".split())
 CONTENT = frozenset("article main".split())
-CONTAINERS = frozenset("html body div section article main nav header footer aside form menu dialog ul ol dl table tbody thead tr td th blockquote figure details fieldset".split())
+CONTAINERS = frozenset("html body div section article main nav header footer aside form menu dialog ul ol dl table tbody thead tfoot tr td th blockquote figure details fieldset".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr address figcaption caption summary center option button label".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("br img input hr meta link area base col embed source track wbr".split())
+#: What an element's start ends when it is still open, and the elements past which it ends nothing.
+ENDS = {
+    **dict.fromkeys(BLOCKS - frozenset("html body li dt dd tr td th tbody thead tfoot option button label caption".split()), (frozenset(["p"]), frozenset("td th caption table button".split()))),
+    **dict.fromkeys(["li"], (frozenset(["li"]), frozenset("ul ol menu table td th".split()))),
+    **dict.fromkeys(["dt", "dd"], (frozenset(["dt", "dd"]), frozenset("dl table td th".split()))),
+    **dict.fromkeys(["td", "th"], (frozenset(["td", "th", "caption"]), frozenset("tr table".split()))),
+    **dict.fromkeys(["tr"], (frozenset(["tr", "caption"]), frozenset(["table"]))),
+    **dict.fromkeys(["tbody", "thead", "tfoot"], (frozenset(["tbody", "thead", "tfoot", "caption", "tr"]), frozenset(["table"]))),
+    "option": (frozenset(["option"]), frozenset("table td th".split())),
+    "a": (frozenset(["a"]), BLOCKS),
+}
 WORDS_AGAINST = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments commentlist consent cookie cookies copyright "
     "disclaimer discussion disqus feedback footer gdpr login menu menubar modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup "
     "privacy promo promoted promotion related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar "
     "topbar widget widgets alert complementary contentinfo".split()
 )
-#: Against a block only outside an article: an article may have a head of its own.
-OUTSIDE_AGAINST = frozenset("header masthead".split())
+#: Of a compound mark such as site-footer, the words that may stand beside one against; with any other the compound says something else.
+BESIDE = frozenset(
+    "area article articles aside bar block body bottom box boxes button buttons card cards center col column container content desktop entry fixed form global group holder "
+    "home icons inner item items js layout left link links list lower main middle mobile module news nojs outer page panel policy post posts primary reader readers region right row "
+    "secondary section site slot small stories story sub text thread title top trail unit upper user users view wrap wrapper".split()
+)
+#: Against a block only outside an article: an article may have a head of its own. Against an article or main element itself.
+OUTSIDE_AGAINST, READERS = frozenset("header masthead".split()), frozenset("comment comments reply replies respond disqus".split())
 STOP_WORDS = frozenset(
     (
         "the of and to in is was that it for on with as are be this by at from or have not but they which you an were their has will would can if "
@@ -53,6 +71,9 @@ _END = {tag: re.compile(rf"</{tag}\b[^>]*>?", re.I) for tag in RAW}
 _MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?(?=[\s/]|$)""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+#: Characters of scripts that put no spaces between words; two or so are a word.
+_UNSPACED = re.compile("[฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff]")
+_STRIPPED = ".,;:!?\"'()#*$%&|-"
 
 
 @dataclass
@@ -63,51 +84,92 @@ class Block:
     against: bool
     heading: bool
     keep: bool | None = None
+    words: int = 0
+    stops: int = 0
+
+    @property
+    def links(self) -> float:
+        return self.link_chars / max(1, len("".join(self.text.split())))
 
 
-def _against(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element, by its name and attributes, holds something else than the article."""
+@dataclass
+class _Element:
+    tag: str
+    content: bool
+    link: bool
+    marks: tuple[list[bool], ...]  # of itself and what it is in: each still holds, or not
+
+
+def _marked(value: str, words: frozenset[str]) -> bool:
+    """Whether one of the marks says so: all its parts are of words, or some and the rest of BESIDE."""
+    for mark in value.split():
+        parts = [x for x in _PART.findall(_CAMEL.sub(" ", mark).lower()) if len(x) > 1 and not x.isdigit()]
+        if any(x in words for x in parts) and all(x in words or x in BESIDE for x in parts):
+            return True
+    return False
+
+
+def _against(tag: str, attributes: str, inside: bool) -> str:
+    """Whether an element holds something else than the article: by its name or state, by its marks (which what it holds may refute), or not."""
     if tag in BOILERPLATE or (tag == "header" and not inside):
-        return True
+        return "mark" if tag == "form" else "name"
     if not attributes or tag in ("html", "body"):
-        return False
+        return ""
+    found = ""
     for name, value in _MARKS.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
+        name, value = name.lower(), unescape(value.strip("\"'"))
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return "name"
         if name != "aria-hidden":
-            marks = set(_PART.findall(_CAMEL.sub(" ", value).lower()))
-            if tag not in CONTENT and (marks & WORDS_AGAINST or (not inside and marks & OUTSIDE_AGAINST)):
-                return True
-    return False
+            if _marked(value, READERS):
+                return "name"  # comments have titles and articles of their own
+            if tag not in CONTENT and _marked(value, WORDS_AGAINST if inside else WORDS_AGAINST | OUTSIDE_AGAINST):
+                found = "mark"
+    return found
 
 
 def blocks_of(html: str) -> list[Block]:
-    """The page's blocks of text, those of boilerplate elements included."""
-    found: list[Block] = []
+    """The page's blocks of text, those of boilerplate elements included. Elements whose end is left out end where their container or the next one of their kind says so."""
+    found: list[tuple[Block, tuple[list[bool], ...]]] = []
     text: list[str] = []
-    open_: list[tuple[str, bool, bool]] = []  # element, in content, against
-    spans: list[str] = []  # open inline elements that hide what they hold
-    links = link_chars = 0
-    heading, at = False, 0
+    open_ = [_Element("", False, False, ())]
+    counts: dict[str, int] = {}
+    link_chars, heading, at = 0, False, 0
 
     def put(part: str) -> None:
         nonlocal link_chars
         if part:
             part = unescape(part)
             text.append(part)
-            if links:
+            if open_[-1].link:
                 link_chars += len("".join(part.split()))
 
     def flush() -> None:
         nonlocal link_chars
         if text:
             if whole := " ".join("".join(text).split()):
-                _, content, against = open_[-1] if open_ else ("", False, False)
-                found.append(Block(whole, link_chars, content, against or bool(spans), heading))
+                found.append((Block(whole, link_chars, open_[-1].content, False, heading), open_[-1].marks))
             text.clear()
             link_chars = 0
 
+    def close(k: int) -> None:
+        """Ends the elements from place k on."""
+        if any(e.tag in BLOCKS or e.marks != open_[k - 1].marks for e in open_[k:]):
+            flush()
+        for e in open_[k:]:
+            counts[e.tag] -= 1
+        del open_[k:]
+
+    def place(tags: frozenset[str], borders: frozenset[str]) -> int:
+        """Where the innermost open element of tags is, before any of borders; 0 if there is none."""
+        if any(counts.get(t) for t in tags):
+            for k in range(len(open_) - 1, 0, -1):
+                if open_[k].tag in tags:
+                    return k
+                if open_[k].tag in borders:
+                    break
+        return 0
+
     while m := _TOKEN.search(html, at):
         put(html[at : m.start()])
         at = m.end()
@@ -123,59 +185,72 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if tag == "br":
             put(" ")
-        elif tag in BLOCKS:
-            flush()
-            heading = tag in HEADINGS and not closing
-            if tag in CONTAINERS or tag in BOILERPLATE:
-                if closing:
-                    for i in range(len(open_) - 1, -1, -1):
-                        if open_[i][0] == tag:
-                            del open_[i:]
-                            break
-                else:
-                    _, content, against = open_[-1] if open_ else ("", False, False)
-                    open_.append((tag, content or tag in CONTENT, against or _against(tag, attributes, content or tag in CONTENT)))
-                links = 0 if closing else links
-                spans = [] if closing else spans
-            elif not closing and attributes and _against(tag, attributes, bool(open_ and open_[-1][1])):
-                open_.append((tag, open_[-1][1] if open_ else False, True))
-            elif closing and open_ and open_[-1][0] == tag:
-                open_.pop()
-        elif tag == "a":
-            links = max(0, links + (-1 if closing else 1)) if closing else 1
-        elif tag not in VOID:
-            if closing and spans and spans[-1] == tag:
+        elif closing:
+            if tag in BLOCKS:
                 flush()
-                spans.pop()
-            elif not closing and attributes and _against(tag, attributes, bool(open_ and open_[-1][1])):
+                heading = False
+            # The end of an inline element ends no block that was begun in it.
+            borders = frozenset(("table", "td", "th") if tag not in ("table", "tr", "td", "th", "tbody", "thead", "tfoot", "html", "body") else ("table",) if tag != "table" else ())
+            if k := place(frozenset((tag,)), borders if tag in BLOCKS else BLOCKS):
+                close(k)
+        else:
+            if tag in ENDS and (k := place(*ENDS[tag])):
+                close(k)
+            if tag in BLOCKS:
                 flush()
-                spans.append(tag)
+                heading = tag in HEADINGS
+            top = open_[-1]
+            content = top.content or tag in CONTENT
+            if tag == "main" or (tag == "h1" and content):
+                for mark in top.marks:  # what holds the article itself isn't what its mark says
+                    mark[0] = mark[0] and mark[1]
+            if tag not in VOID and not attributes.endswith("/"):
+                kind = _against(tag, attributes, content)
+                if kind and tag not in BLOCKS:
+                    flush()
+                marks = (*top.marks, [True, kind == "name" or bool(top.content and tag not in CONTENT)]) if kind else top.marks
+                open_.append(_Element(tag, content, top.link or tag == "a", marks))
+                counts[tag] = counts.get(tag, 0) + 1
     put(html[at:])
     flush()
-    return found
+    for b, marks in found:
+        b.against = any(mark[0] for mark in marks)
+    return [b for b, _ in found]
 
 
-def _first(b: Block) -> bool | None:
-    """The first pass: a block's own label, or none."""
+def _measure(b: Block) -> None:
+    words = b.text.split()
+    b.stops = sum(w.strip(_STRIPPED).lower() in STOP_WORDS for w in words)
+    b.words = max(len(words), len(_UNSPACED.findall(b.text)) // 2)
+
+
+def _first(b: Block, known: bool) -> bool | None:
+    """The first pass: a block's own label, or none. known: whether the page is in a language whose stop words are listed."""
     if b.against:
         return False
-    words = b.text.split()
-    links = b.link_chars / max(1, len("".join(words)))
-    stops = sum(w.strip(".,;:!?\"'()#*$%&|-").lower() in STOP_WORDS for w in words) / len(words)
+    density = b.stops / max(1, b.words)
     if b.content:
         # An article may link much and use few stop words: only long lists of links are decided against it.
-        if links > LINK_LIST:
-            return False if len(words) >= LONG else None
-        return True if len(words) >= LONG or (len(words) >= SHORT and stops >= STOPS_LOW) else None
-    if links > LINK_DENSITY:
+        if b.links > LINK_LIST:
+            return False if b.words >= LONG else None
+        return True if b.words >= LONG or (b.words >= SHORT and (density >= STOPS_LOW or not known)) else None
+    if b.links > LINK_DENSITY:
         return False
-    if "©" in b.text and len(words) < LONG:
+    if "©" in b.text and b.words < LONG:
         return False
-    if len(words) < SHORT:
+    if b.words < SHORT:
         return None
-    if stops >= STOPS_HIGH:
-        return True if len(words) >= LONG else None
-    return None if stops >= STOPS_LOW else False
+    if not known:
+        return True if b.words >= LONG else None
+    if density >= STOPS_HIGH:
+        return True if b.words >= LONG else None
+    return None if density >= STOPS_LOW else False
+
+
+def _known(blocks: list[Block]) -> bool:
+    """Whether the text that may be the article has enough of the listed stop words for them to tell."""
+    some = [b for b in blocks if not b.against and b.links <= LINK_DENSITY and b.words >= SHORT]
+    return 2 * sum(b.stops for b in some) >= STOPS_LOW * sum(b.words for b in some)
 
 
 def _nearest(labels: list[bool | None], order: range) -> list[tuple[int, bool | None]]:
@@ -190,7 +265,10 @@ def _nearest(labels: list[bool | None], order: range) -> list[tuple[int, bool |
 
 def classify(blocks: list[Block]) -> list[Block]:
     """Both passes; sets keep. Blocks of an article listen to its other blocks alone, and are kept if none is decided."""
-    first, n = [_first(b) for b in blocks], len(blocks)
+    for b in blocks:
+        _measure(b)
+    known, n = _known(blocks), len(blocks)
+    first = [_first(b, known) for b in blocks]
     inside = [x if b.content and not b.against else None for x, b in zip(first, blocks)]
     sides = {content: (_nearest(labels, range(n)), _nearest(labels, range(n - 1, -1, -1))) for content, labels in ((False, first), (True, inside))}
     for i, b in enumerate(blocks):

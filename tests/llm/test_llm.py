@@ -396,6 +396,51 @@ def test_html():
     assert html_text.main_text("<article>" + "word and " * 100_000 + "</article>").count("word") == 100_000
 
 
+def test_html_left_out_ends_and_nesting():
+    text = html_text.main_text
+    assert text('<article><p class="promo">Buy now<p>L<p>L</article>') == "L L"
+    assert text('<article><ul><li class="ad">Buy<li>one<li>two</ul><p>three</article>') == "one two three"
+    assert text('<article><table><tr><td class="ad">Buy<td>one<tr><td>two</table><dl><dt>a<dd class="promo">b<dt>c</dl></article>') == "one two a c"
+    assert text('<article><p>Keep <span class="ad"><span>Buy</span> now cheap</span>this</article>') == "Keep this"
+    assert text('<article><p>Keep <span class="ad">Buy <b>now</b><i>x</span>this</i></article>') == "Keep this"
+    assert text('<article><div class="promo"><p>Buy</p></p></b></div><p>this</p></article>') == "this"
+    assert text("<article><a href=x>one<a href=y>two</a> three</article>") == "onetwo three"
+    assert text("<article>" + "<b>" * 20_000 + "deep" + "</i>" * 20_000 + "</article>") == "deep"
+
+
+def test_html_marks():
+    text = html_text.main_text
+    long_ = "This is one of the texts that has to be kept as it is and it goes on for a while with many of the words that are in use."
+    for kind in ("page with-sidebar", "post tags-science", "no-comments", "two-column sidebar-none-here"):
+        assert text(f'<div class="{kind}"><p>{long_}</p></div>') == long_, kind
+    assert text('<article><p class="social-history">word</p></article>') == "word"
+    for kind in ("ad", "cookie-notice", "siteFooter", "sidebar-left", "related-posts", "comment-body", "ad-slot-3", "x share-buttons", "newsletter signup"):
+        assert text(f'<div class="{kind}"><p>{long_}</p></div><div><p>{long_} Yes.</p></div>') == f"{long_} Yes.", kind
+    assert text(f'<form id="aspnetForm"><div class="page"><main><p>{long_}</p></main></div></form>') == long_
+    assert text(f'<div class="site-banner"><article><h1>Head</h1><p>{long_}</p></article></div>') == f"Head {long_}"
+    assert text(f'<main><p>{long_}</p></main><div class="comments"><article class="comment"><h1>No</h1><p>{long_}</p></article></div>') == long_
+
+
+def test_html_of_other_languages():
+    russian = "Это длинный текст, который должен остаться, потому что в нём много слов и нет ссылок, и он продолжается дальше, как и положено длинному тексту на этой странице сегодня."
+    chinese = "这是一个很长的段落，它应该被保留下来，因为它有很多字而没有链接，并且它继续下去，就像这个页面上的长文本一样，今天和明天都是这样，没有变化。"
+    for long_ in (russian, chinese):
+        assert html_text.main_text(PAGE % f"<div><h2>Да</h2><p>{long_}</p><p>Нет.</p><p>{long_}</p></div>") == f"Да {long_} Нет. {long_}"
+
+
+def test_html_without_article(spark):
+    """The pages with their article element as a div: nearly all words of the article, and hardly any other."""
+    from collections import Counter
+
+    found = wanted = right = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        own = Counter(html_text.main_text(r["html"].replace("<article>", "<div>").replace("</article>", "</div>")).split())
+        whole = Counter(html_text.main_text(r["html"]).split())
+        found, wanted, right = found + own.total(), wanted + whole.total(), right + (own & whole).total()
+    print("recall", right / wanted, "precision", right / found)
+    assert right / wanted >= 0.9 and right / found >= 0.98
+
+
 def test_html_table(spark):
     rows = [(1, "u", PAGE % "<article>x</article>", "t"), (1, "u", PAGE % "<article>x</article>", "t"), (None, None, None, None), (2, "v", "", None)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
