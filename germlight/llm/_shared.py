@@ -23,21 +23,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Only where all is one machine may that be unset, for a temporary folder."""
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    checkpoint = context._jsc.sc().getCheckpointDir()
-    if root is None and checkpoint.isDefined():
-        root = checkpoint.get()
+    context, root = spark.sparkContext, _configured(spark)
     if root is None:
         if context.master.partition("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="germlight-")
-    if checkpoint.isEmpty():
+    if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(root)
     path, store = _hadoop(spark, root)
     return store.makeQualified(path).toString()  # a path without a scheme is one of the default file system
 
 
+def _configured(spark: SparkSession) -> str | None:
+    checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
+    set_ = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return set_ or (checkpoint.get() if checkpoint.isDefined() else None)
+
+
 def _hadoop(spark: SparkSession, uri: str):
     """(path, file system) as Spark's own readers and writers see them."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)

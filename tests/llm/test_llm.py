@@ -2,13 +2,16 @@
 
 import hashlib
 import io
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
 import pytest
-from conftest import SF, same_rows
+from conftest import ROOT, SF, same_rows
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -551,6 +554,25 @@ def test_decontamination_without_broadcast(spark, documents, monkeypatch):
     assert pairs(decontaminate.contaminated(documents, bench), "doc_id", "n_hit", "items") == one
 
 
+def shuffled_bytes(spark):
+    found = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+
+def test_decontamination_of_very_long_texts(spark, monkeypatch):
+    """Work in proportion to the text: hits at the start and end of 400,000 words; and what is shuffled without broadcast is a small multiple of the text."""
+    words = [f"w{i}" for i in range(400_000)]
+    items = [(1, " ".join(words[:12])), (2, " ".join(words[-12:])), (3, "none of these words is there")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    row = decontaminate.contaminated(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string"), bench).first()
+    assert (row["n_words"], row["n_hit"], row["items"]) == (400_000, 24, ["1", "2"])
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    docs = spark.createDataFrame([(i, " ".join(words[i * 1000 : i * 1000 + 20_000])) for i in range(20)], "doc_id long, text string")
+    size, before = docs.selectExpr("sum(octet_length(text))").first()[0], shuffled_bytes(spark)
+    assert decontaminate.contaminated(docs, bench).where("contaminated").count() == 1
+    assert shuffled_bytes(spark) - before < 3 * size
+
+
 # 9
 
 
@@ -611,6 +633,35 @@ def test_warc_dictionary_leads_the_file(spark):
         list(warc.records(io.BytesIO(data[:-5])))
 
 
+# what they share
+
+
+def test_shared_folder(spark, tmp_path, monkeypatch):
+    """Intermediate tables go to the folder in spark.checkpoint.dir, whatever its file system, and are gone when the application ends."""
+    code = f"""
+import os
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}/plain").config("spark.hadoop.fs.defaultFS", "file:///").getOrCreate()
+from germlight.llm import _shared, simhash, warc
+assert _shared.shared_root(spark) == "file:{tmp_path}/plain", _shared.shared_root(spark)
+docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "other words")], "doc_id long, text string")
+assert simhash.near_duplicates(docs, similar=True).count() == 3
+assert warc.read_warc(spark, warc.write_warc(docs.selectExpr("doc_id AS page_id", "text AS url", "text AS html"))).count() == 3
+assert len(os.listdir("{tmp_path}/plain")) >= 3
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=ROOT, timeout=120)
+    left = [x for x in os.listdir(tmp_path / "plain") if x.startswith(("near", "warc", "links", "components"))]
+    assert left == []
+    # Where executors are other machines, the folder must be set.
+    context = spark.sparkContext
+    with monkeypatch.context() as m:
+        m.setattr(context, "master", "spark://somewhere:7077")
+        m.setattr(_shared, "_configured", lambda session: None)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            _shared.shared_root(spark)
+
+
 # 10
 
 
