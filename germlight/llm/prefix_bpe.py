@@ -20,15 +20,14 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from germlight.llm._shared import Generations, release_memory, table
 
-#: Entries of a worker's memos of pieces, token pairs and prefixes: about 150 MB for the first setting, 60 MB for the second, which encodes more anew.
-MEMO, SMALL_MEMO = (800_000, 300_000, 300_000), (400_000, 100_000, 150_000)
+#: Entries of a worker's memos of pieces, token pairs and prefixes: about 150 MB for the first setting, 30 MB for the second, which encodes more anew.
+MEMO, SMALL_MEMO = (800_000, 300_000, 300_000), (150_000, 60_000, 60_000)
 NEVER = 1 << 62
 
 
@@ -227,11 +226,11 @@ def vocabulary(path: str, pattern: str, memo: tuple[int, int, int] = MEMO) -> Vo
         return Vocabulary({base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines if x.strip())}, pattern, memo)
 
 
-def _with_vocabulary(each: Callable[[Vocabulary, pd.Series], pd.Series], schema: str, path: str, pattern: str):
-    """A pandas UDF over each task's batches; what the task has learnt is forgotten at its end, so that idle workers stay small."""
+def _with_vocabulary(each: Callable[[Vocabulary, pa.Array], pa.Array], schema: str, path: str, pattern: str):
+    """An Arrow UDF over each task's batches; what the task has learnt is forgotten at its end, so that idle workers stay small."""
 
-    @F.pandas_udf(schema)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(schema)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         v = vocabulary(path, pattern)
         try:
             for batch in batches:
@@ -244,12 +243,12 @@ def _with_vocabulary(each: Callable[[Vocabulary, pd.Series], pd.Series], schema:
 
 def encoded(text: Column, path: str, pattern: str) -> Column:
     """ids array<int> of the whole text."""
-    return _with_vocabulary(lambda v, texts: pd.Series([v.encode(t) for t in texts], dtype=object), "array<int>", path, pattern)(text)
+    return _with_vocabulary(lambda v, texts: pa.array([v.encode(t.as_py()) for t in texts], pa.list_(pa.int32())), "array<int>", path, pattern)(text)
 
 
 def decoded(ids: Column, path: str, pattern: str) -> Column:
     """The bytes of ids."""
-    return _with_vocabulary(lambda v, lists: pd.Series([v.decode(x) for x in lists], dtype=object), "binary", path, pattern)(ids)
+    return _with_vocabulary(lambda v, lists: pa.array([v.decode(x.as_py()) for x in lists], pa.binary()), "binary", path, pattern)(ids)
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", memo: tuple[int, int, int] = MEMO) -> DataFrame:

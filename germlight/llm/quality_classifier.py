@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,9 +66,9 @@ def statistics_of(text: str | None) -> list[float]:
 def document_statistics(text: Column) -> Column:
     """array<double> in the order of FEATURES."""
 
-    @F.pandas_udf("array<double>")
-    def each(texts: pd.Series) -> pd.Series:
-        return pd.Series([statistics_of(t) for t in texts], dtype=object)
+    @F.arrow_udf("array<double>")
+    def each(texts: pa.Array) -> pa.Array:
+        return pa.array([statistics_of(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
     return each(text)
 
@@ -95,20 +95,20 @@ def moments(labelled: DataFrame, vector: str = "stats", label: str = "quality")
     """Count, sum and sum of outer products by label: a task sends one short row a label, and partial sums meet before the driver gets two rows."""
     d = len(FEATURES)
 
-    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        for frame in frames:
-            if len(frame):
-                x = np.stack(frame[vector].to_numpy())
+        for batch in batches:
+            if len(batch):
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), d)
                 x = np.concatenate([np.ones((len(x), 1)), x], axis=1)
-                y = frame[label].to_numpy()
+                y = batch.column(1).to_numpy(zero_copy_only=False)
                 for k in np.unique(y):
                     rows = x[y == k]
                     sums[int(k)] = sums.get(int(k), 0) + rows.T @ rows
         for k, m in sums.items():
-            yield pd.DataFrame({"label": [k], "m": [m.ravel().tolist()]})
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([m.ravel().tolist()], pa.list_(pa.float64()))], names=["label", "m"])
 
-    parts = labelled.select(vector, F.col(label).cast("int").alias(label)).mapInPandas(partial, "label int, m array<double>")
+    parts = labelled.select(vector, F.col(label).cast("int").alias(label)).mapInArrow(partial, "label int, m array<double>")
     summed = parts.select("label", F.posexplode("m").alias("at", "value")).groupBy("label", "at").agg(F.sum("value").alias("value"))
     out: dict[int, np.ndarray] = {}
     for row in summed.collect():  # two classes of (d + 1)^2 numbers, whatever the input
@@ -140,9 +140,10 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", vector: str
 
 
 def score(vector: Column, model: Discriminant) -> Column:
-    @F.pandas_udf("double")
-    def each(vectors: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.stack(vectors.to_numpy())) if len(vectors) else [], dtype=float)
+    @F.arrow_udf("double")
+    def each(vectors: pa.Array) -> pa.Array:
+        x = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), len(FEATURES))
+        return pa.array(model.score(x), pa.float64())
 
     return each(vector)
 

@@ -27,7 +27,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,9 +83,9 @@ def fingerprint_of(text: str | None, size: int = SHINGLE) -> int:
 def fingerprint(text: Column, size: int = SHINGLE) -> Column:
     """The fingerprint as a long (two's complement)."""
 
-    @F.pandas_udf("long")
-    def each(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint_of(t, size) for t in texts], np.uint64).view(np.int64))
+    @F.arrow_udf("long")
+    def each(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint_of(t.as_py(), size) for t in texts], np.uint64).view(np.int64))
 
     return each(text)
 
@@ -283,12 +282,13 @@ def _sketch(some: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
 def _apart(x: Column, y: Column) -> Column:
     """By how much the counts of two sketches differ."""
 
-    @F.pandas_udf("long")
-    def each(x: pd.Series, y: pd.Series) -> pd.Series:
-        own = [np.frombuffer(b"".join(c), np.uint8).reshape(-1, 256).astype(np.int16) for c in (x, y)]
-        return pd.Series(np.abs(own[0] - own[1]).sum(1, dtype=np.int64))
+    @F.arrow_udf("long")
+    def each(x: pa.Array, y: pa.Array) -> pa.Array:
+        own = [np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for c in (x, y)]
+        return pa.array(np.abs(own[0] - own[1]).sum(1, dtype=np.int64))
 
-    return each(x, y)
+    # Otherwise a filter on it would have it computed twice, in workers of its own.
+    return each.asNondeterministic()(x, y)
 
 
 def _may_be_similar(n: Column, apart: Column) -> Column:
@@ -386,13 +386,14 @@ def _candidates(every: bool):
 def _shares_enough(x: Column, y: Column) -> Column:
     """Whether the whole sets of shingles of texts x and y have the similarity."""
 
-    @F.pandas_udf("boolean")
-    def each(x: pd.Series, y: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def each(x: pa.Array, y: pa.Array) -> pa.Array:
         out = []
-        for s, t in zip(x, y):
-            s, t = shingles_of(s), shingles_of(t)
+        for s, t in zip(x, y):  # one pair at a time leaves Arrow's memory
+            s, t = shingles_of(s.as_py()), shingles_of(t.as_py())
             out.append((SIMILAR[0] + SIMILAR[1]) * len(np.intersect1d(s, t, assume_unique=True)) >= SIMILAR[0] * (len(s) + len(t)))
-        return pd.Series(out, dtype=bool)
+        release_memory()
+        return pa.array(out, pa.bool_())
 
     return each(x, y)
 
