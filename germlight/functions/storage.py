@@ -12,7 +12,10 @@ def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a folder of its own only where that setting is missing, as in local tests."""
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="germlight-"))
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if root is None and spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(root or tempfile.mkdtemp(prefix="germlight-"))
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
     return current.get()
 

@@ -23,15 +23,18 @@ def host_hits(alignments: DataFrame, identity_threshold: float = 95.0, min_align
     )
 
 
+def host_ids(hits: DataFrame, mode: str = "identity", order: tuple[str, ...] = ("ordinal",)) -> DataFrame:
+    """Ids of reads that count as host."""
+    if mode == "any_hit":
+        return hits.select("read_id")
+    if mode == "identity":
+        return last_wins(hits.select("read_id", *order, "is_host"), "read_id", order).where("is_host").select("read_id")
+    raise ValueError(f"unknown host mode {mode!r}")
+
+
 def without_host(reads: DataFrame, hits: DataFrame, mode: str = "identity", order: tuple[str, ...] = ("ordinal",)) -> DataFrame:
     """Reads with no hit, or whose last hit isn't host; in mode any_hit, those with no hit at all. Reads that share an id all stay or go."""
-    if mode == "any_hit":
-        against = hits.select("read_id")
-    elif mode == "identity":
-        against = last_wins(hits.select("read_id", *order, "is_host"), "read_id", order).where("is_host").select("read_id")
-    else:
-        raise ValueError(f"unknown host mode {mode!r}")
-    return reads.join(against, "read_id", "left_anti")
+    return reads.join(host_ids(hits, mode, order), "read_id", "left_anti")
 
 
 def host_filtered(reads: DataFrame, hits: DataFrame | None, mapq_threshold: int = 30, mode: str = "identity") -> DataFrame:
@@ -42,7 +45,11 @@ def host_filtered(reads: DataFrame, hits: DataFrame | None, mapq_threshold: int
 
 def host_stats(reads: DataFrame, hits: DataFrame | None, mapq_threshold: int = 30, mode: str = "identity") -> DataFrame:
     """One row: primary_filtered, secondary_filtered, passed."""
-    first = host_primary(reads, mapq_threshold)
-    passed = host_filtered(reads, hits, mapq_threshold, mode).agg(F.count("*").alias("passed"))
-    counted = reads.agg(F.count("*").alias("n")).join(first.agg(F.count("*").alias("n1"))).join(passed)  # three rows of one
-    return counted.selectExpr("n - n1 AS primary_filtered", "n1 - passed AS secondary_filtered", "passed")
+    first = F.col("is_unmapped") | (F.col("mapq") < mapq_threshold)
+    rows = reads.select("read_id", F.coalesce(first, F.lit(False)).alias("first"))
+    host = F.lit(False)
+    if hits is not None:  # one pass over the reads, which meet at most one row each
+        rows = rows.join(host_ids(hits, mode).distinct().withColumn("host", F.lit(True)), "read_id", "left")
+        host = F.coalesce("host", F.lit(False))
+    n = lambda condition, name: F.count_if(condition).alias(name)
+    return rows.agg(n(~F.col("first"), "primary_filtered"), n(F.col("first") & host, "secondary_filtered"), n(F.col("first") & ~host, "passed"))

@@ -1,7 +1,7 @@
 """Native read-to-genome assignment by k-mers: a stand-in for external aligners and classifiers.
 
 `vote` counts shared distinct k-mers. `align` finds, for each read, the reference, strand and diagonal with most shared k-mers and counts the
-mismatches along it; gaps are not modelled. Both are joins on k-mers; a read sends its k-mers' hashes, never its bases, through the shuffle.
+mismatches along it; gaps are not modelled. Both are joins on k-mers. In `align` a read sends its k-mers' hashes, never its bases, through the shuffle; `vote` sends the k-mers.
 """
 
 from __future__ import annotations

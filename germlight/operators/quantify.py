@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from germlight.functions.scalar import present
@@ -59,6 +59,11 @@ def cell_dim(counts: DataFrame) -> DataFrame:
     return indexed(counts.select("barcode").distinct(), "barcode", "cell_idx")
 
 
+def sizes_before(sizes: DataFrame) -> DataFrame:
+    """(_p, _before): of partitions' sizes (_p, _n), the sum of those before each. One task sums them: a row a partition, whatever is in them."""
+    return sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_before"))
+
+
 def indexed(keys: DataFrame, key: str, index: str) -> DataFrame:
     """Dense ranks without putting all keys in one task: range partitions are numbered within, and the sizes of those before are added.
 
@@ -67,5 +72,4 @@ def indexed(keys: DataFrame, key: str, index: str) -> DataFrame:
     part = keys.sort(key).select(key, F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_i"))
     numbered = checkpointed(part.select(key, "_p", F.col("_i").bitwiseAND(F.lit((1 << 33) - 1)).alias("_k")))
     sizes = numbered.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b._p") < F.col("a._p"), "left").groupBy("a._p").agg(F.coalesce(F.sum("b._n"), F.lit(0)).alias("_before"))  # a row a partition
-    return numbered.join(F.broadcast(before), "_p").select(key, (F.col("_before") + F.col("_k")).cast("int").alias(index))
+    return numbered.join(F.broadcast(sizes_before(sizes)), "_p").select(key, (F.col("_before") + F.col("_k")).cast("int").alias(index))

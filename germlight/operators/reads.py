@@ -58,8 +58,12 @@ def reads_by_barcode(reads: DataFrame, barcodes: DataFrame) -> DataFrame:
 
 
 def chunks(reads: DataFrame, size: int = 10_000) -> DataFrame:
-    """reads with a chunk number: ranges of the record order, cut by partition, so that no task sees all rows."""
-    return reads.withColumn("chunk", F.floor(F.monotonically_increasing_id() / size))
+    """reads with a chunk number: `size` records each in the order of the reads, fewer in the last. Partitions are counted first, so that no task sees all rows."""
+    from germlight.operators.quantify import sizes_before
+
+    own = reads.withColumns({"_p": F.spark_partition_id(), "_k": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    before = sizes_before(own.groupBy("_p").agg(F.count("*").alias("_n")))
+    return own.join(F.broadcast(before), "_p").withColumn("chunk", F.floor((F.col("_before") + F.col("_k")) / size)).drop("_p", "_k", "_before")
 
 
 def length_filtered(fastq: DataFrame, min_length: int = 0, max_length: int = 0) -> DataFrame:

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from germlight.functions import scalar
+from germlight.functions.storage import shared_folder
 from germlight.operators import contamination, genomes, host, kmer, matrix, qc, quantify, reads as read_ops, taxonomy, umi
 from germlight.operators.dedup import last_wins
 from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
-from germlight.sources import assembly, kraken, sam
+from germlight.sinks.bam import write_bam
+from germlight.sinks.text import write_fasta, write_fastq
+from germlight.sources import assembly, fasta, kraken, register, sam
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -420,6 +424,109 @@ def coordinate_sort(spark, sf_dir):
     return read_ops.coordinate_sorted(own)
 
 
+# Files written and read back: the parsers over whole tables
+
+
+def _folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _bam(spark, sf_dir, **options) -> DataFrame:
+    """The reads as BAM in the shared folder, read by the data source."""
+    own = reads(spark, sf_dir, species=False)
+    flag = sum((F.col(c).cast("int") * bit for c, bit in (("is_unmapped", 4), ("is_secondary", 256), ("is_supplementary", 2048))), F.lit(0))
+    barcode = F.when(F.col("tagged_barcode") != "", F.concat("tagged_barcode", F.lit("-1"))).otherwise(F.col("tagged_barcode"))
+    place = F.when(~F.col("is_unmapped"), F.col("ordinal_part").cast("int"))
+    rows = own.select(
+        "read_id", flag.alias("flag"), F.when(~F.col("is_unmapped"), F.lit("chr2")).alias("reference_name"), place.alias("reference_start"), "mapq", F.when(~F.col("is_unmapped"), F.lit("40M")).alias("cigar"),
+        F.repeat(F.lit("ACGTN"), 8).alias("sequence"), F.repeat(F.lit("IIII#"), 8).alias("quality"), barcode.alias("barcode"), F.col("tagged_umi").alias("umi"),
+    )
+    folder = _folder(spark, "bam")
+    write_bam(rows, folder, [("chr1", 1000), ("chr2", 1 << 29)])
+    register(spark)
+    return spark.read.format("bam").options(**options).load(folder)
+
+
+_BAM_COLUMNS = """read_id, mapq, CAST(is_unmapped::INT * 4 + is_secondary::INT * 256 + is_supplementary::INT * 2048 AS INT) AS flag, is_unmapped, is_secondary, is_supplementary, tagged_barcode AS barcode, tagged_umi AS umi,
+  CASE WHEN NOT is_unmapped THEN 'chr2' END AS reference_name, CASE WHEN NOT is_unmapped THEN CAST(ordinal_part AS INT) END AS reference_start, CASE WHEN NOT is_unmapped THEN '40M' END AS cigar"""
+_BAM_READ = ("read_id", "mapq", "flag", "is_unmapped", "is_secondary", "is_supplementary", "barcode", "umi", "reference_name", "reference_start", "cigar")
+
+
+@query(with_reads(f"SELECT {_BAM_COLUMNS}, repeat('ACGTN', 8) AS sequence, repeat('IIII#', 8) AS quality FROM reads"))
+def bam_scan(spark, sf_dir):
+    return _bam(spark, sf_dir, split="400000").select(*_BAM_READ, "sequence", "quality")
+
+
+@query(with_reads(f"SELECT {_BAM_COLUMNS} FROM reads WHERE {_CANDIDATE}"))
+def bam_candidates(spark, sf_dir):
+    return _bam(spark, sf_dir, candidates="true", sequence="false", mapq=str(MAPQ)).select(*_BAM_READ)
+
+
+@query(
+    with_reads(
+        f"""SELECT tagged_barcode AS barcode, count(*) AS n_reads, count(DISTINCT tagged_umi) AS n_umis FROM reads
+  WHERE {_CANDIDATE} AND coalesce(tagged_barcode, '') <> '' AND coalesce(tagged_umi, '') <> '' GROUP BY tagged_barcode"""
+    )
+)
+def bam_to_counts(spark, sf_dir):
+    own = _bam(spark, sf_dir, sequence="false").select("barcode", "umi", "mapq", "is_unmapped", "is_secondary", "is_supplementary")
+    valid = read_ops.candidate_reads(own, MAPQ).where(scalar.present(F.col("barcode")) & scalar.present(F.col("umi"))).withColumns({"species": F.lit("any"), "classified": F.lit(True)})
+    both = quantify.quantified(valid, "reads").withColumnRenamed("n", "n_reads").join(quantify.quantified(valid).withColumnRenamed("n", "n_umis"), ["species", "barcode"])
+    return both.select("barcode", "n_reads", "n_umis")
+
+
+@query("SELECT concat(l_orderkey, '_', l_linenumber) AS name, repeat('ACGT', CAST(l_quantity AS INT)) AS sequence, repeat('I@#+', CAST(l_quantity AS INT)) AS quality FROM lineitem WHERE 4 * CAST(l_quantity AS INT) BETWEEN 50 AND 150")
+def fastq_scan(spark, sf_dir):
+    n = F.col("l_quantity").cast("int")
+    own = table(spark, sf_dir, "lineitem").select(F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("name"), F.repeat(F.lit("ACGT"), n).alias("sequence"), F.repeat(F.lit("I@#+"), n).alias("quality"))
+    folder = _folder(spark, "fastq")
+    write_fastq(own, folder, compress=True, name="name")
+    register(spark)
+    return read_ops.length_filtered(spark.read.format("fastq").load(folder), 50, 150).select("name", "sequence", "quality")
+
+
+@query("SELECT concat('s', p_partkey) AS name, concat('s', p_partkey, ' a>b ', p_brand) AS header, repeat('ACGTN', p_size) AS sequence FROM part")
+def fasta_scan(spark, sf_dir):
+    own = table(spark, sf_dir, "part").select(F.concat(F.lit("s"), F.col("p_partkey").cast("string"), F.lit(" a>b "), "p_brand").alias("header"), F.repeat(F.lit("acgtN\n"), F.col("p_size")).alias("sequence"))
+    folder = _folder(spark, "fasta")
+    write_fasta(own, folder, name="header")
+    return fasta.read_fasta(spark, folder).select("name", "header", "sequence")
+
+
+@query(
+    """SELECT concat('c', l_partkey) AS query_name, 100 AS query_length, 0 AS query_start, 50 AS query_end, CASE WHEN l_linenumber % 2 = 0 THEN '-' ELSE '+' END AS strand, concat('h', l_suppkey) AS target_name, 1000 AS target_length,
+  l_linenumber AS target_start, l_linenumber + 50 AS target_end, CAST(l_quantity AS INT) AS matches, 50 AS alignment_length, 60 AS mapq FROM lineitem"""
+)
+def paf_scan(spark, sf_dir):
+    text = lambda c: F.col(c).cast("string")
+    line = F.col("l_linenumber")
+    fields = [
+        F.concat(F.lit("c"), text("l_partkey")), F.lit("100"), F.lit("0"), F.lit("50"), F.when(line % 2 == 0, "-").otherwise("+"), F.concat(F.lit("h"), text("l_suppkey")), F.lit("1000"), text("l_linenumber"), (line + 50).cast("string"),
+        F.col("l_quantity").cast("int").cast("string"), F.lit("50"), F.lit("60"), F.lit("tp:A:P"),
+    ]
+    folder = _folder(spark, "paf")
+    table(spark, sf_dir, "lineitem").select(F.concat_ws("\t", *fields)).write.text(folder)
+    return assembly.read_paf(spark, folder)
+
+
+_GENOME = "translate(" + " || ".join(f"md5(concat(c_custkey, '-{i}'))" for i in range(8)) + ", '0123456789abcdef', 'ACGTACGTACGTACGT')"
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS read_id, concat('g', c_custkey) AS reference_name, CAST(c_custkey % 100 AS INT) AS reference_start, c_custkey % 2 = 1 AS reverse, CAST(c_custkey % 3 AS INT) AS mismatches, 60 AS mapq FROM customer"""
+)
+def kmer_align(spark, sf_dir):
+    """Reads of 100 bases, some from the other strand and with up to two bases replaced, against genomes that no two customers share."""
+    genomes_ = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_GENOME).alias("sequence"))
+    refs = genomes_.select(F.concat(F.lit("g"), F.col("c_custkey").cast("string")).alias("reference"), "sequence")
+    read = F.expr("substring(sequence, CAST(c_custkey % 100 AS INT) + 1, 100)")
+    read = F.when(F.col("c_custkey") % 3 > 0, F.overlay(read, F.lit("N"), F.lit(50))).otherwise(read)
+    read = F.when(F.col("c_custkey") % 3 > 1, F.overlay(read, F.lit("N"), F.lit(52))).otherwise(read)
+    read = F.when(F.col("c_custkey") % 2 == 1, kmer.complement(read)).otherwise(read)
+    own = genomes_.select(F.col("c_custkey").cast("string").alias("read_id"), F.col("c_custkey").alias("ordinal"), read.alias("sequence"))
+    return kmer.align(own, refs).select("read_id", "reference_name", "reference_start", "reverse", "mismatches", "mapq")
+
+
 # Native k-mer assignment: benchmark passages are references, documents are reads.
 
 _K = 24

@@ -13,8 +13,8 @@ from germlight.operators.quantify import cell_dim, species_dim
 
 #: Fixed value: the first line of a matrix file.
 BANNER = "%%MatrixMarket matrix coordinate integer general\n%\n"
-#: Cells beside a species in a step of the dense table; each step is one pivot with named columns.
-PIVOT_COLUMNS = 2000
+#: Entries up to which the H5AD file's matrix, which is made in the driver, is written.
+MAX_H5AD_ENTRIES = 50_000_000
 FORMATS = ("mtx", "tsv", "h5ad")
 
 
@@ -70,7 +70,10 @@ def write_h5ad(counts: DataFrame, path: str, species: DataFrame | None = None, c
     except ImportError as e:
         raise RuntimeError(f"writing H5AD needs anndata and scipy ({e.name} is missing); the mtx format holds the same matrix") from e
     species, cells = species or species_dim(counts), cells or cell_dim(counts)
-    e = matrix.coo(counts, species, cells).toPandas()
+    entries = matrix.coo(counts, species, cells)
+    if (n := entries.count()) > MAX_H5AD_ENTRIES:
+        raise ValueError(f"{n} entries are too many for an H5AD file made in the driver; the mtx format holds the same matrix")
+    e = entries.toPandas()
     barcodes, names = list(_names(cells, "barcode", "cell_idx", None)), list(_names(species, "species", "species_idx", None))
     x = sp.csr_matrix((e["n"], (e["cell"] - 1, e["microbe"] - 1)), shape=(len(barcodes), len(names)))
     anndata.AnnData(X=x, obs=pd.DataFrame({"cell_barcode": barcodes}, index=barcodes), var=pd.DataFrame({"species": names}, index=names)).write_h5ad(path)

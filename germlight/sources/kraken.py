@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from germlight.functions.scalar import lineage_rank, species_of, stripped
+from germlight.sources.lines import numbered_lines
 
 #: Fixed value: columns that every line has.
 MANDATORY = 5
@@ -36,4 +37,4 @@ def parse_kraken(lines: DataFrame, mode: str = "lineage", column: str = "value")
 
 
 def read_kraken(spark: SparkSession, path: str, mode: str = "lineage") -> DataFrame:
-    return parse_kraken(spark.read.text(path), mode)
+    return parse_kraken(numbered_lines(spark, path), mode)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from germlight.functions.scalar import UNMAPPED, has_flag, mismatches_of, stripped
+from germlight.sources.lines import numbered_lines
 
 #: Fixed value: columns that every alignment line has.
 MANDATORY = 11
@@ -27,4 +28,4 @@ def parse_sam(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    return parse_sam(spark.read.text(path))
+    return parse_sam(numbered_lines(spark, path))

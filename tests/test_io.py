@@ -307,3 +307,47 @@ def test_validation(tmp_path):
     for options, where, ref, said in ((Options(), path + "y", "r", "exist"), (Options(), path, None, "reference"), (Options(aligner="kraken2"), path, None, "database")):
         with pytest.raises(ValueError, match=said):
             pipeline.validate(options, where, ref, None)
+
+
+def test_fasta_headers_may_hold_the_mark(spark, tmp_path):
+    (tmp_path / "x.fa").write_text(">a one>two\r\nacg\r\nt\r\n>b\nAC>\n>c x\n\n")
+    from germlight.sources.fasta import read_fasta
+
+    rows = sorted((r["name"], r["header"], r["sequence"]) for r in read_fasta(spark, str(tmp_path / "x.fa")).collect())
+    assert rows == [("a", "a one>two", "ACGT"), ("b", "b", "AC>"), ("c", "c x", "")]
+
+
+def test_last_line_wins_over_files_of_any_size(spark, tmp_path):
+    """The larger file is dealt out first, but the later name holds the last line."""
+    from germlight.operators.dedup import last_wins
+    from germlight.sources.kraken import read_kraken
+
+    folder = tmp_path / "k"
+    folder.mkdir()
+    (folder / "a.txt").write_text("".join(f"C\tr{i % 50}\t1\t100\troot;early\n" for i in range(5000)))
+    (folder / "b.txt").write_text("".join(f"C\tr{i}\t2\t100\troot;late\n" for i in range(50)))
+    found = last_wins(read_kraken(spark, str(folder)), "read_id").collect()
+    assert len(found) == 50 and {r["species"] for r in found} == {"late"}
+
+
+def test_chunks_have_their_size(spark):
+    from germlight.operators.reads import chunks
+
+    sizes = {r["chunk"]: r["count"] for r in chunks(spark.range(0, 2503, 1, 7), 100).groupBy("chunk").count().collect()}
+    assert sizes == {i: 100 for i in range(25)} | {25: 3}
+
+
+def test_bam_sink_in_coordinate_order(spark, tmp_path):
+    from germlight.sinks.bam import write_bam
+    from germlight.sources import register
+
+    rows = [(f"r{i}", 0, "c1" if i % 3 else "c0", i * 7 % 100, 60, "3M1I2S", "ACGTNA", "IIII#I", "AC-1", None) for i in range(200)] + [("u", 4, None, None, 0, None, "ACG", None, None, "U")]
+    schema = "read_id string, flag int, reference_name string, reference_start int, mapq int, cigar string, sequence string, quality string, barcode string, umi string"
+    names = write_bam(spark.createDataFrame(rows, schema).repartition(5), str(tmp_path / "b"), [("c1", 500), ("c0", 500)], coordinate_sorted=True)
+    register(spark)
+    got = [spark.read.format("bam").load(f"{tmp_path}/b/{n}").orderBy("ordinal").collect() for n in names]
+    got = [r for part in got for r in part]
+    places = [(2 if r["reference_name"] is None else r["reference_name"] == "c0", r["reference_start"] or 0) for r in got]
+    assert places == sorted(places) and len(got) == 201 and got[-1]["read_id"] == "u" and got[-1]["umi"] == "U"
+    assert {(r["cigar"], r["sequence"], r["quality"], r["barcode"]) for r in got[:-1]} == {("3M1I2S", "ACGTNA", "IIII#I", "AC")}
+    assert sorted(x.name for x in (tmp_path / "b").iterdir()) == names
