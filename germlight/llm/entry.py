@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from germlight.llm import decontaminate, html_text, language_id, license_scan, packed_ids, prefix_bpe, quality_classifier, quality_rules, simhash, warc
+from germlight.llm import decontaminate, fingerprints, html_text, language_id, license_scan, packed_ids, prefix_bpe, quality_classifier, quality_rules, ranked_search, simhash, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,10 @@ def queries() -> dict:
         "op8_decontaminate": decontaminate.op8_decontaminate,
         "op9_warc": warc.op9_warc,
         "op10_prefix_bpe": prefix_bpe.op10_prefix_bpe,
+        "op11_block_max": ranked_search.op11_block_max,
+        "op12_multiset_hash": fingerprints.op12_multiset_hash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.SQL, "op8_decontaminate": decontaminate.SQL, "op9_warc": warc.SQL}
+    return {"op2_quality_rules": quality_rules.SQL, "op8_decontaminate": decontaminate.SQL, "op9_warc": warc.SQL, "op11_block_max": ranked_search.SQL}
