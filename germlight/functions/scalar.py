@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -71,3 +73,8 @@ def fasta_text(name: Column, sequence: Column) -> Column:
 
 def basename(url: Column) -> Column:
     return F.element_at(F.split(url, "/"), -1)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once a row even where body uses it in lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -17,7 +17,7 @@ K = 21
 CHUNK, PIECE, RUN, BASES = 1 << 22, 1 << 16, 256, 1 << 12
 
 
-def _cut(sequence: Column, step: int, k: int) -> Column:
+def cut(sequence: Column, step: int, k: int) -> Column:
     """Parts that hold `step` k-mers each, the last one fewer; neighbours share k - 1 characters."""
     return F.transform(F.sequence(F.lit(1), F.greatest(F.length(sequence) - k + 1, F.lit(1)), F.lit(step)), lambda i: F.substring(sequence, i, F.lit(step + k - 1)))
 
@@ -25,20 +25,20 @@ def _cut(sequence: Column, step: int, k: int) -> Column:
 def kmers(sequence: Column, k: int) -> Column:
     """All k-mers in order."""
     few = lambda run: F.transform(F.sequence(F.lit(1), F.greatest(F.length(run) - k + 1, F.lit(1))), lambda i: F.substring(run, i, F.lit(k)))
-    return F.when(F.length(sequence) < k, F.array().cast("array<string>")).otherwise(F.flatten(F.transform(_cut(sequence, RUN, k), few)))
+    return F.when(F.length(sequence) < k, F.array().cast("array<string>")).otherwise(F.flatten(F.transform(cut(sequence, RUN, k), few)))
 
 
 def strided(sequence: Column, k: int, stride: int) -> Column:
     """Hashes of every stride-th k-mer: element i is the one at i * stride."""
     run = stride * max(1, RUN // stride)
     few = lambda part: F.transform(F.sequence(F.lit(1), F.greatest(F.length(part) - k + 1, F.lit(1)), F.lit(stride)), lambda i: F.xxhash64(F.substring(part, i, F.lit(k))))
-    return F.when(F.length(sequence) < k, F.array().cast("array<bigint>")).otherwise(F.flatten(F.transform(_cut(sequence, run, k), few)))
+    return F.when(F.length(sequence) < k, F.array().cast("array<bigint>")).otherwise(F.flatten(F.transform(cut(sequence, run, k), few)))
 
 
 def _parts(df: DataFrame, size: int, k: int, keys: tuple[str, ...], sequence: str) -> DataFrame:
     """keys, at and part: parts of `size` k-mers with the number of each one's first."""
-    chunks = df.where(F.length(sequence) >= k).select(*keys, F.posexplode(_cut(F.col(sequence), CHUNK, k)).alias("_c", "_s"))
-    found = chunks.select(*keys, "_c", F.posexplode(_cut(F.col("_s"), size, k)).alias("_p", "part"))
+    chunks = df.where(F.length(sequence) >= k).select(*keys, F.posexplode(cut(F.col(sequence), CHUNK, k)).alias("_c", "_s"))
+    found = chunks.select(*keys, "_c", F.posexplode(cut(F.col("_s"), size, k)).alias("_p", "part"))
     return found.select(*keys, (F.col("_c") * CHUNK + F.col("_p") * size).alias("at"), "part")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from germlight.functions import scalar
 from germlight.functions.storage import shared_folder
-from germlight.operators import contamination, genomes, host, kmer, matrix, qc, quantify, reads as read_ops, taxonomy, umi
+from germlight.operators import contamination, genomes, host, kmer, lca, matrix, minimizers, qc, quantify, reads as read_ops, taxonomy, umi
 from germlight.operators.dedup import last_wins
 from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
 from germlight.sinks.bam import write_bam
@@ -265,7 +265,7 @@ def matrix_dense_rows(spark, sf_dir):
     return matrix.dense_rows(own, quantify.cell_dim(own))
 
 
-_SCORES = """size AS (SELECT count(DISTINCT barcode) AS cells FROM counts),
+SCORES_SQL = _SCORES = """size AS (SELECT count(DISTINCT barcode) AS cells FROM counts),
 ambient AS (SELECT species, count(*) AS nz, CAST(sum(n) AS BIGINT) AS total, max(n) AS max_count FROM counts GROUP BY species),
 ranked AS (SELECT species, n, row_number() OVER (PARTITION BY species ORDER BY n) AS k, count(*) OVER (PARTITION BY species) AS c FROM counts),
 sums AS (SELECT species, sum(n)::DOUBLE AS t, sum(n * n)::DOUBLE AS q, sum(n * (c - k + 1))::DOUBLE AS s FROM ranked GROUP BY species),
@@ -543,3 +543,45 @@ def kmer_vote(spark, sf_dir):
     own = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("read_id"), F.col("text").alias("sequence")))
     best = kmer.vote(own, refs, _K)
     return best.select(F.col("read_id").alias("doc_id"), F.col("reference").alias("item_id"), "votes")
+
+
+# Classification by lowest common ancestors: items are species, four of them a genus, four genera a family, and documents are reads.
+
+
+def lca_sql(k: int, w: int, share: float) -> str:
+    return f"""WITH src AS (SELECT true AS ref, item_id AS id, text FROM benchmark UNION ALL SELECT false, doc_id, text FROM documents),
+km AS (SELECT ref, id, i, length(text) AS len, substr(text, i, {k}) AS v FROM (SELECT *, unnest(range(1, length(text) - {k} + 2)) AS i FROM src)),
+mins AS (SELECT ref, id, i, len, min(v) OVER (PARTITION BY ref, id ORDER BY i ROWS BETWEEN CURRENT ROW AND {w - 1} FOLLOWING) AS v FROM km),
+m AS (SELECT DISTINCT ref, id, v FROM mins WHERE i <= greatest(len - {k + w - 2}, 1)),
+tax AS (SELECT DISTINCT unnest([p[1:1], p[1:2], p[1:3], p]) AS path FROM (SELECT [1, 10 + item_id // 16, 1000 + item_id // 4, 100000 + item_id] AS p FROM benchmark)),
+db AS (SELECT v, CASE WHEN count(DISTINCT id) = 1 THEN 100000 + min(id) WHEN count(DISTINCT id // 4) = 1 THEN 1000 + min(id // 4) WHEN count(DISTINCT id // 16) = 1 THEN 10 + min(id // 16) ELSE 1 END AS taxid FROM m WHERE ref GROUP BY v),
+hits AS (SELECT m.id, path[-1] AS taxid, path, count(*) AS n FROM m JOIN db USING (v) JOIN tax ON path[-1] = db.taxid WHERE NOT ref GROUP BY ALL),
+totals AS (SELECT id, count(*) AS n_minimizers, count(taxid) AS n_hits FROM m LEFT JOIN db USING (v) WHERE NOT ref GROUP BY id),
+scores AS (SELECT a.id, a.path, sum(b.n) AS score FROM hits a JOIN hits b ON a.id = b.id AND list_contains(a.path, b.taxid) GROUP BY ALL),
+tied AS (SELECT id, path, score FROM scores QUALIFY score = max(score) OVER (PARTITION BY id)),
+best AS (SELECT id, max(score) AS score, CASE WHEN count(DISTINCT path[4]) = 1 AND count(path[4]) = count(*) THEN 4 WHEN count(DISTINCT path[3]) = 1 AND count(path[3]) = count(*) THEN 3 WHEN count(DISTINCT path[2]) = 1 AND count(path[2]) = count(*) THEN 2 ELSE 1 END AS depth, min(path) AS path FROM tied GROUP BY id),
+clades AS (SELECT id, node, sum(n) AS support FROM (SELECT id, n, unnest(path) AS node FROM hits) GROUP BY ALL),
+way AS (SELECT b.id, b.score, c.node, c.support, list_position(b.path, c.node) AS depth FROM best b JOIN clades c ON b.id = c.id AND list_contains(b.path[1:b.depth], c.node) JOIN totals t ON t.id = b.id WHERE c.support >= {share} * n_minimizers),
+held AS (SELECT id, max(score) AS score, arg_max(node, depth) AS taxid, arg_max(support, depth) AS support FROM way GROUP BY id)
+SELECT doc_id, CAST(taxid AS BIGINT) AS taxid, CAST(coalesce(n_minimizers, 0) AS BIGINT) AS n_minimizers, CAST(coalesce(n_hits, 0) AS BIGINT) AS n_hits, CAST(coalesce(score, 0) AS BIGINT) AS score, CAST(coalesce(support, 0) AS BIGINT) AS support
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN totals t ON d.doc_id = t.id LEFT JOIN held h ON d.doc_id = h.id"""
+
+
+def item_taxonomy(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(taxid, parent) of the tree above items(item_id), and items with their taxid."""
+    own = items.withColumn("item_id", F.col("item_id").cast("long"))
+    level = [F.lit(1).cast("long"), *((F.floor(F.col("item_id") / n) + first).cast("long") for first, n in ((10, 16), (1000, 4), (100_000, 1)))]
+    nodes = own.select(F.explode(F.array(*(F.struct(t.alias("taxid"), p.alias("parent")) for t, p in zip(level, level[:1] + level[:-1])))).alias("x")).select("x.*").distinct()
+    return nodes, own.withColumn("taxid", level[-1])
+
+
+_LCA = {"k": 10, "w": 5, "share": 0.02}
+
+
+@query(lca_sql(**_LCA))
+def lca_classify(spark, sf_dir):
+    nodes, items = item_taxonomy(table(spark, sf_dir, "benchmark"))
+    paths, choice = lca.root_paths(nodes), {"k": _LCA["k"], "w": _LCA["w"], "key": minimizers.alphabetic}
+    known = lca.database(items.select("taxid", F.col("text").alias("sequence")), paths, **choice)
+    own = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("sequence")))
+    return lca.classify(own, known, paths, "doc_id", confidence=_LCA["share"], **choice)

@@ -32,11 +32,15 @@ def reads(spark: SparkSession, sf_dir: str, cells: bool = True, species: bool =
 
     cells and species say whether orders and part are joined for the barcode and species columns. Every order line has both, so rows stay the same without.
     """
-    rows = table(spark, sf_dir, "lineitem")
-    if cells:
-        rows = rows.join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if species:
-        rows = rows.join(table(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    return as_reads(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders") if cells else None, table(spark, sf_dir, "part") if species else None)
+
+
+def as_reads(rows: DataFrame, orders: DataFrame | None = None, parts: DataFrame | None = None) -> DataFrame:
+    """Order lines, of a table or a stream, as reads; orders give cells, parts species."""
+    if orders is not None:
+        rows = rows.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    if parts is not None:
+        rows = rows.join(parts.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     line = F.col("l_linenumber")
     columns = {
         "read_id": F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), line.cast("string")),
@@ -54,10 +58,10 @@ def reads(spark: SparkSession, sf_dir: str, cells: bool = True, species: bool =
         "microbe_mapq": F.round(F.col("l_tax") * 100).cast("int"),
         "classified": F.col("l_linestatus") == "F",
     }
-    if cells:
+    if orders is not None:
         cell = F.col("o_custkey").cast("string")
         columns |= {"barcode": cell, "tagged_barcode": F.when(line == 4, F.lit(None)).when(line == 5, F.lit("")).otherwise(cell)}
-    if species:
+    if parts is not None:
         columns |= {"species": F.col("p_name")}
     return rows.select(*(c.alias(k) for k, c in columns.items()))
 
