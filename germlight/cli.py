@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import argparse
 import logging
+import os
 import sys
 
 from germlight.options import CHOICES, Options, from_config, load_config
 
 log = logging.getLogger("germlight")
+LEVELS, LOG_NAME = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL"), "germlight.log"
 
 
 def parser() -> argparse.ArgumentParser:
@@ -18,8 +20,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--output", "-o", required=True, help="output folder")
     p.add_argument("--config", "-c", help="YAML file of options")
     p.add_argument("--host-ref", help="host reference FASTA; enables host removal by alignment")
-    p.add_argument("--microbe-ref", "--minimap2-index", dest="microbe_ref", help="microbial reference FASTA, or an index for minimap2")
-    p.add_argument("--kraken-db")
+    p.add_argument("--microbe-ref", "--minimap2-index", dest="microbe_ref", help="microbial reference FASTA, or an index of it: build_db's for the chain aligner, minimap2's for minimap2")
+    p.add_argument("--kraken-db", help="database for kraken2, or build_db's for the lca aligner")
     p.add_argument("--aligner", choices=CHOICES["aligner"])
     p.add_argument("--barcode-tag")
     p.add_argument("--umi-tag")
@@ -38,9 +40,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--default-names", action="store_true", help="name species and cells by number")
     p.add_argument("--threads", "-t", type=int, default=4, help="local threads where no cluster is configured")
     p.add_argument("--chunk-size", type=int, default=10_000, help="accepted for old scripts; partitions take its place")
-    p.add_argument("--log-level", default="INFO")
-    p.add_argument("--log-file", help="also log to this file")
-    p.add_argument("--verbose", action="store_true", help="log at level DEBUG")
+    p.add_argument("--log-level", default="INFO", type=str.upper, choices=LEVELS)
+    p.add_argument("--log-file", help=f"file that the log also goes to; by default {LOG_NAME} in the output folder, if that is a local one")
+    p.add_argument("--verbose", "-v", action="store_true", help="log at level DEBUG")
     return p
 
 
@@ -53,10 +55,17 @@ def options_of(args: argparse.Namespace) -> Options:
     return Options().updated(from_config(load_config(args.config))).updated(own)
 
 
+def log_file(args: argparse.Namespace) -> str | None:
+    if args.log_file or "://" in args.output:
+        return args.log_file
+    os.makedirs(args.output, exist_ok=True)
+    return os.path.join(args.output, LOG_NAME)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    handlers: list[logging.Handler] = [logging.StreamHandler(sys.stdout), *([logging.FileHandler(args.log_file)] if args.log_file else [])]
-    logging.basicConfig(level="DEBUG" if args.verbose else args.log_level.upper(), handlers=handlers, format="%(asctime)s %(levelname)s %(message)s")
+    handlers: list[logging.Handler] = [logging.StreamHandler(sys.stdout), *([logging.FileHandler(path)] if (path := log_file(args)) else [])]
+    logging.basicConfig(level="DEBUG" if args.verbose else args.log_level, handlers=handlers, format="%(asctime)s %(levelname)s %(message)s", force=True)
     from pyspark.sql import SparkSession
 
     from germlight.pipeline import run

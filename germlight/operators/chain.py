@@ -81,6 +81,9 @@ def gap_cost(gap: np.ndarray, k: int) -> np.ndarray:
 
 def chained(r: np.ndarray, q: np.ndarray, k: int) -> list[tuple[float, list[int]]]:
     """(score, anchors) of disjoint chains of anchors of one reference and strand, sorted by r; the best first."""
+    steps = np.diff(r)
+    if len(r) == 1 or (steps > 0).all() and (steps == np.diff(q)).all():  # one diagonal: all of it is the best chain
+        return [(float(k + np.minimum(steps, k).sum()), list(range(len(r))))]
     score, before = np.full(len(r), float(k)), np.full(len(r), -1)
     for i in range(1, len(r)):
         j = slice(max(0, i - LOOK_BACK), i)
@@ -215,19 +218,42 @@ def _chains(k: int, max_places: int):
     return each
 
 
+def _plain(row: dict) -> tuple[int, int, str, int] | None:
+    """The alignment along a chain without gaps where it has one mismatch at most: a gap or a clip would score less than that."""
+    read, window = row["sequence"].encode(), row["window"][PAD : PAD + len(row["sequence"])].encode()
+    if row["pad"] > PAD or len(window) < len(read) or b"-" in window:
+        return None
+    if read == window and b"N" not in read:
+        edits = 0
+    else:
+        a = np.frombuffer(read, np.uint8)
+        edits = int(((a != np.frombuffer(window, np.uint8)) | (a == 78)).sum())
+    return (MATCH * len(read) - edits * (MATCH + MISMATCH), PAD, f"{len(read)}M", edits) if edits <= 1 else None
+
+
 def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = _arrow(_ALIGNED)
     for batch in batches:
-        rows, out, at = sorted(batch.to_pylist(), key=lambda r: (r["pad"], len(r["sequence"]))), [], 0
+        rows, out, at = [], [], 0
+
+        def add(r: dict, score: int, start: int, cigar: str, edits: int) -> None:
+            if score > 0:
+                out.append({name: r[name] for name in ("read_id", "ordinal", "sequence", "reference", "reverse", "chain", "anchors", "first", "last", "unique")} | {"start": r["origin"] + start, "cigar": cigar, "nm": edits, "score": score})
+
+        for r in batch.to_pylist():
+            if found := _plain(r):
+                add(r, *found)
+            else:
+                rows.append(r)
+        rows.sort(key=lambda r: (r["pad"], len(r["sequence"])))
         while at < len(rows):
             pad, end = rows[at]["pad"], at
             while end < len(rows) and rows[end]["pad"] == pad and (end == at or (end - at + 1) * len(rows[end]["sequence"]) * (2 * pad + 1) <= CELLS):
                 end += 1
             some = rows[at:end]
-            found = banded([r["sequence"].encode() for r in some], [(r["window"] or "").encode() for r in some], 2 * pad + 1)
-            for r, (score, start, cigar, edits) in zip(some, found):
-                if score > 0:
-                    out.append({name: r[name] for name in ("read_id", "ordinal", "sequence", "reference", "reverse", "chain", "anchors", "first", "last", "unique")} | {"start": r["origin"] + start, "cigar": cigar, "nm": edits, "score": score})
+            found = banded([r["sequence"].encode() for r in some], [r["window"].encode() for r in some], 2 * pad + 1)
+            for r, x in zip(some, found):
+                add(r, *x)
             at = end
         yield pa.RecordBatch.from_pylist(out, schema)
 

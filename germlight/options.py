@@ -18,7 +18,7 @@ CONFIG_PATHS = {
     ("output", "formats"): "formats",
 }
 CHOICES = {
-    "aligner": ("kmer", "minimap2", "bowtie2", "kraken2"),
+    "aligner": ("kmer", "chain", "lca", "minimap2", "bowtie2", "kraken2"),
     "quant_method": ("umi", "reads"),
     "umi_dedup_method": ("exact", "hamming"),
     "contamination_method": ("ambient", "prevalence", "both", "none"),

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from germlight import sources
 from germlight.functions.storage import delete, materialised
-from germlight.operators import contamination, external, host, kmer, quantify, reads as read_ops, taxonomy
+from germlight.operators import chain, contamination, external, host, kmer, lca, quantify, reads as read_ops, taxonomy
 from germlight.options import Options
 from germlight.sinks import matrix as matrix_sink
 from germlight.sinks import report
+from germlight.sinks.genomes import read_lca_database
 from germlight.sources.fasta import read_fasta
 from germlight.sources.kraken import parse_kraken
 from germlight.sources.sam import parse_sam
@@ -47,7 +48,9 @@ def validate(options: Options, input_path: str, microbe_ref: str | None, kraken_
         raise ValueError(f"input {input_path} doesn't exist")
     if options.aligner == "kraken2" and not kraken_db:
         raise ValueError("the kraken2 aligner needs a database")
-    if options.aligner != "kraken2" and not microbe_ref:
+    if options.aligner == "lca" and not kraken_db:
+        raise ValueError("the lca aligner needs a database, as build_db writes it")
+    if options.aligner not in ("kraken2", "lca") and not microbe_ref:
         raise ValueError(f"the {options.aligner} aligner needs a microbial reference")
     if options.aligner in ("minimap2", "kraken2") and shutil.which(options.aligner) is None:
         raise ValueError(f"{options.aligner} is not on the PATH; the kmer aligner needs no program")
@@ -63,11 +66,13 @@ def _references(spark: SparkSession, path: str) -> DataFrame:
 
 
 def alignments(spark: SparkSession, reads: DataFrame, reference: str, options: Options) -> DataFrame:
-    """Alignment lines of reads to a FASTA reference: by k-mers, or by the external program."""
+    """Alignment lines of reads to a FASTA reference or, for the chain aligner, to an index of one: natively, or by the external program."""
     if options.aligner in ("minimap2", "bowtie2"):
         if options.aligner == "bowtie2":
             log.warning("bowtie2 isn't driven; minimap2 takes its place")
         return parse_sam(external.lines_of(reads, external.minimap2_command(reference)))
+    if options.aligner in ("chain", "lca"):
+        return chain.align(reads, chain.read_index(spark, reference) or chain.build_index(_references(spark, reference)))
     return kmer.align(reads, _references(spark, reference))
 
 
@@ -82,6 +87,11 @@ def clean_reads(spark: SparkSession, candidates: DataFrame, options: Options, ho
 def assigned_reads(spark: SparkSession, clean: DataFrame, options: Options, microbe_ref: str | None, kraken_db: str | None) -> DataFrame:
     if options.aligner == "kraken2":
         found = parse_kraken(external.lines_of(clean, external.kraken2_command(kraken_db)), options.kraken_mode)
+    elif options.aligner == "lca":
+        known, nodes, settings = read_lca_database(spark, kraken_db)
+        own = clean.select("read_id", "ordinal", F.upper("sequence").alias("sequence"))
+        calls = lca.classify(own, known, nodes, "read_id", "ordinal", confidence=options.min_confidence, **settings)
+        found = lca.assignments(own, calls, nodes, nodes)
     else:
         found = taxonomy.alignment_assignments(alignments(spark, clean, microbe_ref, options), options.min_microbe_mapq, options.min_confidence)
     return taxonomy.assign(clean, found)

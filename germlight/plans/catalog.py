@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from germlight.functions import scalar
-from germlight.functions.storage import shared_folder
-from germlight.operators import contamination, genomes, host, kmer, lca, matrix, minimizers, qc, quantify, reads as read_ops, taxonomy, umi
+from germlight.functions.storage import checkpointed, shared_folder
+from germlight.operators import chain, contamination, genomes, host, kmer, lca, matrix, minimizers, qc, quantify, reads as read_ops, taxonomy, umi
 from germlight.operators.dedup import last_wins
+from germlight import pipeline
+from germlight.options import Options
 from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
 from germlight.sinks.bam import write_bam
 from germlight.sinks.text import write_fasta, write_fastq
@@ -585,3 +587,63 @@ def lca_classify(spark, sf_dir):
     known = lca.database(items.select("taxid", F.col("text").alias("sequence")), paths, **choice)
     own = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("sequence")))
     return lca.classify(own, known, paths, "doc_id", confidence=_LCA["share"], **choice)
+
+
+# Gapped alignment: reads with planted indels, replaced bases, repeats and both strands
+
+
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS read_id, concat('g', c_custkey) AS reference_name, CAST(c_custkey % 100 AS BIGINT) AS reference_start, c_custkey % 2 = 1 AS reverse,
+  CAST([0, 3, 2, 2][c_custkey % 4 + 1] AS INT) AS mismatches, CASE WHEN c_custkey % 4 = 2 THEN 2 ELSE 0 END AS inserted, CASE WHEN c_custkey % 4 = 1 THEN 3 ELSE 0 END AS deleted, c_custkey % 5 <> 0 AS placed_once FROM customer"""
+)
+def chain_align(spark, sf_dir):
+    """Every fifth genome is there twice; reads lose three bases, gain two, have two replaced, or are whole."""
+    genomes_ = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_GENOME).alias("sequence"))
+    key = F.col("c_custkey")
+    name = lambda letter: F.concat(F.lit(letter), key.cast("string"))
+    refs = genomes_.select(F.explode(F.when(key % 5 == 0, F.array(name("g"), name("h"))).otherwise(F.array(name("g")))).alias("reference"), "sequence")
+    read = F.expr("substring(sequence, CAST(c_custkey % 100 AS INT) + 1, 100)")
+    head, tail = F.substring(read, 1, 50), lambda at: F.substring(read, at, 100)
+    read = F.when(key % 4 == 1, F.concat(head, tail(54))).when(key % 4 == 2, F.concat(head, F.lit("GT"), tail(51))).when(key % 4 == 3, F.overlay(F.overlay(read, F.lit("N"), F.lit(48)), F.lit("N"), F.lit(55))).otherwise(read)
+    read = F.when(key % 2 == 1, kmer.complement(read)).otherwise(read)
+    own = spread(genomes_.select(key.cast("string").alias("read_id"), key.cast("long").alias("ordinal"), read.alias("sequence")))
+    found = chain.align(own, chain.build_index(spread(refs)))
+    bases = lambda op: F.aggregate(F.regexp_extract_all("cigar", F.lit(rf"(\d+){op}")), F.lit(0), lambda a, n: a + n.cast("int"))
+    return found.select("read_id", "reference_name", "reference_start", "reverse", "mismatches", bases("I").alias("inserted"), bases("D").alias("deleted"), (F.col("mapq") >= 30).alias("placed_once"))
+
+
+# From a BAM file to counts, through host removal and taxonomy by alignment
+
+
+_BRAND = "translate(" + " || ".join(f"md5(concat(p_brand, '-{i}'))" for i in range(8)) + ", '0123456789abcdef', 'ACGTACGTACGTACGT')"
+_HOST = "translate(" + " || ".join(f"md5(concat(n_name, '-{i}'))" for i in range(8)) + ", '0123456789abcdef', 'ACGTACGTACGTACGT')"
+
+
+@query(
+    f"""WITH {READS_SQL},
+counts AS (SELECT p_brand AS species, tagged_barcode AS barcode, count(DISTINCT tagged_umi) AS n FROM reads JOIN part ON ordinal_part = p_partkey
+  WHERE {_CANDIDATE} AND coalesce(tagged_barcode, '') <> '' AND coalesce(tagged_umi, '') <> '' AND ordinal_supp % 3 <> 0 GROUP BY ALL), {SCORES_SQL}
+SELECT species, barcode, n, ka AND ks AS keep FROM counts JOIN masks USING (species)"""
+)
+def bam_to_matrix(spark, sf_dir):
+    """Reads of suppliers that 3 divides are host, the others are of their part's brand; each has 80 bases, one replaced, of a place that its order names, and every other order's are turned."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.expr(_BRAND).alias("_microbe"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), F.expr(_HOST).alias("_host"))
+    order = F.col("umi").cast("long")
+    own = reads(spark, sf_dir, species=False).join(part, F.col("ordinal_part") == F.col("p_partkey")).join(nations, F.pmod(order, F.lit(25)) == F.col("n_nationkey"))
+    is_host = F.col("ordinal_supp") % 3 == 0
+    bases = F.overlay(F.substring(F.when(is_host, F.col("_host")).otherwise(F.col("_microbe")), (order % 170 + 1).cast("int"), F.lit(80)), F.lit("N"), F.lit(41))
+    flag = sum((F.col(c).cast("int") * bit for c, bit in (("is_unmapped", 4), ("is_secondary", 256), ("is_supplementary", 2048))), F.lit(0))
+    rows = own.select(
+        F.concat_ws("_", "read_id", F.col("ordinal_part").cast("string"), F.col("ordinal_supp").cast("string")).alias("read_id"), flag.alias("flag"), F.when(~F.col("is_unmapped"), F.lit("chr2")).alias("reference_name"), F.when(~F.col("is_unmapped"), F.lit(7)).alias("reference_start"), "mapq",
+        F.when(~F.col("is_unmapped"), F.lit("80M")).alias("cigar"), F.when(order % 2 == 0, bases).otherwise(kmer.complement(bases)).alias("sequence"), F.repeat(F.lit("I"), 80).alias("quality"), F.col("tagged_barcode").alias("barcode"), F.col("tagged_umi").alias("umi"),
+    )
+    folder = _folder(spark, "matrix")
+    write_bam(rows, f"{folder}/bam", [("chr1", 1000), ("chr2", 1 << 29)])
+    write_fasta(part.select("p_brand", "_microbe").distinct().withColumnRenamed("_microbe", "sequence"), f"{folder}/microbes", name="p_brand")
+    write_fasta(table(spark, sf_dir, "nation").select("n_name", F.expr(_HOST).alias("sequence")), f"{folder}/host", name="n_name")
+    options = Options(aligner="chain", skip_contamination_filter=True)
+    found = pipeline.analyse(spark, pipeline.read_bam(spark, f"{folder}/bam", options), options, host_ref=f"{folder}/host", microbe_ref=f"{folder}/microbes")
+    raw = checkpointed(found.raw_counts)
+    masks = contamination.species_masks(raw, "ambient", AMBIENT, specificity_threshold=SPECIFICITY)
+    return raw.join(masks.select("species", "keep"), "species").select("species", "barcode", "n", "keep")

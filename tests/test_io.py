@@ -251,6 +251,43 @@ def test_reference_database(spark, tmp_path):
     assert api.length_stats(both, 5, 9).first().asDict() == {"processed": 3, "written": 0}
 
 
+def test_native_databases_serve_the_command_line(spark, tmp_path):
+    """build_db's index and taxonomy, read by runs with the chain and lca aligners; the log lies beside the output."""
+    import random
+
+    from bam_writer import record, write_bam
+
+    from germlight import build_db
+
+    rng = random.Random(3)
+    dna = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    genomes = {"Gut one": dna(3000), "Gut two": dna(3000), "Sea one": dna(3000)}
+    (tmp_path / "m.fa").write_text("".join(f">{n.replace(' ', '_')}\n{s}\n" for n, s in genomes.items()))
+    (tmp_path / "nodes.tsv").write_text("1\t1\troot\troot\n2\t1\tgenus\tGut\n3\t1\tgenus\tSea\n4\t2\tspecies\tGut one\n5\t2\tspecies\tGut two\n6\t3\tspecies\tSea one\n")
+    (tmp_path / "ids.tsv").write_text("Gut_one\t4\nGut_two\t5\nSea_one\t6\n")
+    db = str(tmp_path / "db")
+    assert build_db.main(["-o", db, "--fasta", str(tmp_path / "m.fa"), "--taxonomy", str(tmp_path / "nodes.tsv"), "--taxids", str(tmp_path / "ids.tsv")]) == 0
+    rows, want = [], {}
+    for i in range(60):
+        name = list(genomes)[i % 3]
+        at = rng.randrange(2800)
+        s = genomes[name][at : at + 50] + ("" if i % 2 else "ACG") + genomes[name][at + 50 : at + 120]
+        rows.append(record(f"r{i}", flag=4, ref=-1, pos=-1, mapq=0, sequence=s, quality="I" * len(s), tags={"CB": f"C{i % 4}", "UB": f"U{i}"}))
+        want[name, f"C{i % 4}"] = want.get((name, f"C{i % 4}"), 0) + 1
+    write_bam(str(tmp_path / "reads.bam"), [("chr1", 1000)], rows)
+    for aligner, given, turn in (("chain", ["--minimap2-index", db + "/aligner"], lambda s: s.replace(" ", "_")), ("lca", ["--kraken-db", db + "/lca"], lambda s: s)):
+        out = tmp_path / aligner
+        assert cli.main(["-i", str(tmp_path / "reads.bam"), "-o", str(out), "--aligner", aligner, *given, "--skip-contamination-filter", "--log-level", "error"]) == 0
+        lines = (out / "count_matrix.tsv" if (out / "count_matrix.tsv").exists() else next(out.glob("*.tsv"))).read_text().splitlines()
+        cells = lines[0].split("\t")[1:]
+        got = {(x.split("\t")[0], c): int(float(n)) for x in lines[1:] for c, n in zip(cells, x.split("\t")[1:]) if float(n)}
+        assert got == {(turn(s), c): n for (s, c), n in want.items()}, aligner
+        assert (out / "germlight.log").exists()
+    assert cli.main(["-i", str(tmp_path / "reads.bam"), "-o", str(tmp_path / "no"), "--aligner", "lca", "--log-level", "CRITICAL"]) == 1
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["-i", "x", "-o", "y", "--log-level", "loud"])
+
+
 def test_extract(spark, bam, tmp_path, capsys):
     from germlight import extract
 
