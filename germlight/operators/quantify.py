@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from germlight.functions.scalar import present
 from germlight.functions.storage import checkpointed
-from germlight.operators.umi import hamming_clusters
+from germlight.operators.umi import hamming_kept
 
 
 def is_valid(method: str = "umi") -> Column:
@@ -28,7 +28,7 @@ def quantified(assigned: DataFrame, method: str = "umi", dedup: str = "exact", t
     if method != "umi":
         raise ValueError(f"unknown quantification method {method!r}")
     if dedup == "hamming":
-        return hamming_clusters(valid, threshold=threshold).select("species", "barcode", F.size("umis").cast("long").alias("n"))
+        return hamming_kept(valid, threshold=threshold).groupBy("species", "barcode").agg(F.count("*").alias("n"))
     # Two steps with keys alone: the distinct codes of a frequent pair are spread over tasks.
     return valid.select("species", "barcode", "umi").distinct().groupBy("species", "barcode").agg(F.count("*").alias("n"))
 
