@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from germlight.llm._shared import Generations, filesystem, fresh_dir, table
+from germlight.llm.characters import Splitter
 
 MAGIC, VERSION, BLOCK = b"GLPK", 1, 1 << 16
 HEADER, DOCUMENT, FOOTER = struct.Struct("<4sHHI"), np.dtype([("id", "<i8"), ("first", "<u8"), ("n", "<u4"), ("crc", "<u4")]), struct.Struct("<QQQQ4s")
@@ -150,7 +151,6 @@ class Encoder:
     """
 
     def __init__(self, path: str, special_as_text: bool = False):
-        import regex
         from tokenizers import Tokenizer
 
         # Tasks are the parallelism; threads beneath them would only add memory and switching.
@@ -161,9 +161,12 @@ class Encoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         split = str(self.tokenizer.pre_tokenizer)
         self.by_piece = "ByteLevel" in split and "add_prefix_space=True" not in split and self.tokenizer.normalizer is None
-        self.pieces, self.merges, self.stand_for = regex.compile(PIECES).findall, self.tokenizer.model.tokenize, byte_characters()
+        self.pieces, self.merges, self.stand_for = Splitter(PIECES, self._pieces_among), self.tokenizer.model.tokenize, byte_characters()
         self.known = Generations(self._piece, CACHE)
 
+    def _pieces_among(self, text: str, candidates: list[str]) -> set[str]:
+        return {text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)}.intersection(candidates)
+
     def _piece(self, piece: str) -> bytes:
         """Straight to the library's merges, in the characters that stand for the piece's bytes there."""
         return array("I", [t.id for t in self.merges(piece.encode("utf-8", "replace").decode("latin-1").translate(self.stand_for))]).tobytes()
