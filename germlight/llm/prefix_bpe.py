@@ -5,7 +5,7 @@ each byte, the last token of the prefix that ends there, holds the encodings of
 it and the last token of what precedes it stay apart when their bytes are encoded together. Appending bytes extends the list and changes
 nothing before; an edit recomputes from its first byte until the list runs as before over the length of the longest token (`Prefixes`).
 
-Texts are split into pieces by the vocabulary's pattern first. A worker keeps the ids of pieces it has met, as many as its memo holds.
+Texts are split into pieces by the vocabulary's pattern first, with letters and numbers as the library has them (`characters`). A worker keeps the ids of pieces it has met, as many as its memo holds.
 
 Defined cases: a null or empty text has no ids and decodes to no bytes; repeated rows are each encoded; texts of any length are whole; an empty
 table gives an empty result; a null doc_id passes through; columns other than the named ones are ignored; bytes that no token covers (an incomplete
@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from itertools import chain
 
 import pyarrow as pa
@@ -25,20 +25,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from germlight.llm._shared import Generations, release_memory, table
+from germlight.llm.characters import Splitter
 
 #: Entries of a worker's memos of pieces, token pairs and prefixes: about 150 MB for the first setting, 30 MB for the second, which encodes more anew.
 MEMO, SMALL_MEMO = (800_000, 300_000, 300_000), (150_000, 60_000, 60_000)
 NEVER = 1 << 62
 
 
+def library_pieces(pattern: str, text: str, candidates: list[str]) -> set[str]:
+    """Which candidates are whole pieces of text as tiktoken splits it: with each one a token that no merge leads to, only those come out as tokens."""
+    from tiktoken import Encoding
+
+    ranks = {bytes([b]): b for b in range(256)} | {c.encode(): 256 + i for i, c in enumerate(candidates)}
+    return {candidates[i - 256] for i in set(Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary(text)) if i >= 256}
+
+
 class Vocabulary:
     """Tokens by rank, and what the dynamic programming asks of them."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, memo: tuple[int, int, int] = MEMO):
-        import regex
-
         self.memo = memo
-        self.ranks, self.pieces_of = ranks, regex.compile(pattern).findall
+        self.ranks, self.pieces_of = ranks, Splitter(pattern, partial(library_pieces, pattern))
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=0)
         # Endings of tokens with their rank, or -1 where they are none: past bytes that end no token, longer ones end none either.
