@@ -25,6 +25,8 @@ from germlight.llm._shared import Scratch, ascii_lower, bounded_broadcast, let,
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW, GRAM = 10, 5
 BROADCAST_ROWS = 500_000
+#: More than any window has words.
+LENGTHS = 1 << 12
 #: Distinct sets of windows up to which their lists of items are broadcast.
 BROADCAST_SETS = 20_000
 
@@ -89,9 +91,11 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     hits = scratch.keep(hits.groupBy("id", "th").agg(F.collect_set(F.struct("p", "h", "len")).alias("hits")).withColumnsRenamed({"id": "_id", "th": "_th"}))
     again = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text")).join(bounded_broadcast(hits, BROADCAST_ROWS), F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
     starts = lambda x, w: F.sequence(F.greatest(F.lit(0), x["p"] + F.least(F.lit(GRAM), x["len"]) - x["len"]), F.least(x["p"], F.size(w) - x["len"]))
-    cut = lambda x, w: F.transform(starts(x, w), lambda s: F.struct(s.alias("s"), x["len"].alias("len"), x["h"].alias("h"), F.array_join(F.slice(w, s + 1, x["len"]), " ").alias("window")))
-    around = let(words(F.col("text")), lambda w: F.array_distinct(F.flatten(F.transform("hits", lambda x: cut(x, w)))))
-    spans = again.select("id", "th", F.explode(around).alias("a")).select("id", "th", "a.s", "a.len", "a.h", "a.window").join(bounded_broadcast(of_items, BROADCAST_ROWS), ["len", "h", "window"])
+    # (start, length) as one number, since the distinct ones of structs would be found by comparing all pairs.
+    coded = lambda x, w: F.transform(starts(x, w), lambda s: s.cast("long") * LENGTHS + x["len"])
+    cut = lambda c, w: let(F.struct(F.floor(c / LENGTHS).cast("int").alias("s"), (c % LENGTHS).cast("int").alias("len")), lambda x: F.struct(x["s"].alias("s"), x["len"].alias("len"), F.array_join(F.slice(w, x["s"] + 1, x["len"]), " ").alias("window")))
+    around = let(words(F.col("text")), lambda w: F.transform(F.array_distinct(F.flatten(F.transform("hits", lambda x: coded(x, w)))), lambda c: cut(c, w)))
+    spans = again.select("id", "th", F.explode(around).alias("a")).select("id", "th", "a.s", "a.len", "a.window").join(bounded_broadcast(of_items, BROADCAST_ROWS), ["len", "window"])
 
     at = F.collect_set(F.struct("s", "len"))
     per_doc = spans.groupBy("id", "th").agg(at.alias("at"), F.array_sort(F.collect_set(F.struct("len", "h", "window"))).alias("windows"))
