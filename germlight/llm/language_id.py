@@ -163,10 +163,11 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = docs.where((fold(F.col(id_col)) != 0) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     at = (F.pmod(h, F.greatest(F.length(text_col) - WINDOW // 2, F.lit(1)).cast("long")) + 1).cast("int")
     one = own.select(F.col(lang_col).alias("lang"), h.alias("h"), F.col(text_col).substr(at, F.lit(WINDOW)).alias("part"))
-    languages = one.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.struct("h", "part"))["part"].alias("part")).collect()  # one row for each language
+    # Copies share a hash: what counts is how many there are, which is known well enough, however many rows a text has.
+    languages = one.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.min(F.struct("h", "part"))["part"].alias("part")).collect()  # one row for each language
     each = max(1, min(TRAIN_PER_LANGUAGE, TRAIN // max(1, len(languages))))
-    # Hashes below this are about twice as many rows as wanted, so few rows leave their tasks, however many tasks there are.
-    limits = [(r["lang"], min(-(2**63) + 2**64 * 2 * each // r["n"], 2**63 - 1)) for r in languages]
+    # Hashes below this are about twice as many as wanted, so few rows leave their tasks, however many tasks there are.
+    limits = [(r["lang"], min(-(2**63) + 2**64 * 2 * each // max(1, r["n"]), 2**63 - 1)) for r in languages]
     below = one.join(F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, most long")), "lang").where("h <= most")
     distinct = below.groupBy("lang", "h").agg(F.min("part").alias("part"))
     chosen = distinct.groupBy("lang").agg(F.slice(F.array_sort(F.collect_list(F.struct("h", "part"))), 1, each)["part"].alias("parts"))
