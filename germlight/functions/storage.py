@@ -20,6 +20,16 @@ def shared_folder(spark: SparkSession) -> str:
     return current.get()
 
 
+def passing_folder(spark: SparkSession, label: str) -> str:
+    """A new folder's path in the shared one; what is written there is deleted when the application ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(where)
+    store.deleteOnExit(where)
+    return f"{path}/data"
+
+
 def materialised(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """df as Parquet in the shared folder, read back: columnar, so that later uses read the columns they need; and its path, for delete()."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"

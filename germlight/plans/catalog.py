@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from germlight.functions import scalar
-from germlight.functions.storage import checkpointed, shared_folder
+from germlight.functions.storage import checkpointed, passing_folder
 from germlight.operators import chain, contamination, genomes, host, kmer, lca, matrix, minimizers, qc, quantify, reads as read_ops, taxonomy, umi
 from germlight.operators.dedup import last_wins
 from germlight import pipeline
@@ -253,14 +252,6 @@ def matrix_coo(spark, sf_dir):
     return matrix.coo(own, quantify.species_dim(own), quantify.cell_dim(own))
 
 
-_CELLS = ("1", "2", "4", "5", "7")
-
-
-@query(with_counts("SELECT species, " + ", ".join(f"CAST(coalesce(sum(n) FILTER (barcode = '{c}'), 0) AS BIGINT) AS \"{c}\"" for c in _CELLS) + " FROM counts GROUP BY species"))
-def matrix_dense(spark, sf_dir):
-    return matrix.dense(counts(spark, sf_dir, kept=False), list(_CELLS))
-
-
 @query(with_counts(f", {_DIMS} SELECT species, list(coalesce(n, 0)::BIGINT ORDER BY c) AS n FROM sd CROSS JOIN cd LEFT JOIN (SELECT species, barcode, sum(n) AS n FROM counts GROUP BY ALL) USING (species, barcode) GROUP BY species"))
 def matrix_dense_rows(spark, sf_dir):
     own = counts(spark, sf_dir)
@@ -395,7 +386,11 @@ def to_fasta(spark, sf_dir):
 
 @query("SELECT count(*) AS records FROM conversations")
 def fastq_count(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").agg(F.count("*").alias("records"))
+    """Records of compressed FASTQ files, as the reader finds them."""
+    folder = _folder(spark, "fastq")
+    write_fastq(_text_records(spark, sf_dir).withColumn("sequence", F.regexp_replace(F.coalesce("sequence", F.lit("")), r"\s", "N")).withColumn("quality", F.regexp_replace("sequence", ".", "I")), folder, compress=True, name="name")
+    register(spark)
+    return spark.read.format("fastq").load(folder).agg(F.count("*").alias("records"))
 
 
 _SUMMARY = "SELECT 'https://genomes/' || {key} AS url, CAST({key} AS VARCHAR) AS accession FROM {table} WHERE {where}"
@@ -430,7 +425,7 @@ def coordinate_sort(spark, sf_dir):
 
 
 def _folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return passing_folder(spark, label)
 
 
 def _bam(spark, sf_dir, **options) -> DataFrame:
