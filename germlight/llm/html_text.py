@@ -1,10 +1,11 @@
 """Main text of web pages by two-pass block rules.
 
 A page is cut into blocks at block-level markup, with ends of elements that are left out. The first pass decides a block by where it stands (menus, forms, footers and
-the like, by element, role, or class and id words; a form or marked element that holds the main element or an article's title isn't what its mark says, unless it is of readers' comments), by its link
+the like, by element, role, or class and id words; a form or marked element that holds the main element or an article's title isn't what its mark says, unless it is of readers' comments; nor is a
+form or fieldset around most of the page's text that has few controls for it; a section that begins with a heading of comments is of readers), by its link
 density, its length and its density of stop words. Long blocks inside an article or main element need no stop words, and neither do those of a page in a
 language whose stop words aren't listed; scripts without spaces are measured in characters. Short or middling blocks stay undecided, and in the second pass take the label of the nearest decided block, those of an article that of its nearest
-one inside. Kept blocks are joined in page order.
+one inside. Kept blocks are joined in page order. Time and memory are linear in the page, however deep its elements are nested.
 
 Defined cases: a null or empty html has an empty text; unclosed or stray tags, comments and quotes are read as far as they go; where no block is
 decided, those inside an article or main element are kept and others are not; repeated rows are each extracted; pages of any length are whole; an empty
@@ -64,11 +65,18 @@ STOP_WORDS = frozenset(
         "el los las del y que en un una por con no para es se al lo como más su sus o pero este esta"
     ).split()
 )
+#: Elements that may be wrapped around a whole page, and what makes them a form after all. Hidden controls don't count.
+WRAPPERS, CONTROLS = frozenset("form fieldset".split()), frozenset("input select textarea button".split())
 LINK_DENSITY, LINK_LIST, SHORT, LONG, STOPS_LOW, STOPS_HIGH = 0.4, 0.8, 10, 25, 0.1, 0.2
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""", re.S)
 _END = {tag: re.compile(rf"</{tag}\b[^>]*>?", re.I) for tag in RAW}
-_MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?(?=[\s/]|$)""", re.I)
+_MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?(?=[\s/]|$)""", re.I)
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+_HIDDEN_CONTROL = re.compile(r"""(?:^|[\s"'/])type\s*=\s*["']?hidden\b""", re.I)
+#: Headings of readers' comments: those that nothing else has, and those that an article's own section may have.
+_COMMENTS = re.compile(r"(?:\d+ (?:reader )?(?:comments?|replies|responses)|(?:reader )?comments? \(\d+\)|reader comments|leave a (?:comment|reply)|(?:post|add) a comment|join the (?:conversation|discussion))\W*", re.I)
+_COMMENTS_OUTSIDE = re.compile(r"(?:comments?|replies|responses|discussion)\W*", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 #: Characters of scripts that put no spaces between words; two or so are a word.
@@ -92,12 +100,28 @@ class Block:
         return self.link_chars / max(1, len("".join(self.text.split())))
 
 
-@dataclass
+@dataclass(eq=False)
+class _Mark:
+    """That an element holds something else than the article, and the mark of what it is in."""
+
+    outer: _Mark | None
+    lasting: bool  # what it holds can't refute it
+    wraps: bool = False
+    holds: bool = True
+    asked: bool = False  # refuted already, as far as that goes, with all outer ones
+    against: bool = False
+    words: int = 0
+    long: bool = False
+    controls: int = 0
+
+
+@dataclass(eq=False)
 class _Element:
     tag: str
     content: bool
     link: bool
-    marks: tuple[list[bool], ...]  # of itself and what it is in: each still holds, or not
+    mark: _Mark | None  # its own, or that of what it is in
+    first: int = 0  # number of the block that it begins with
 
 
 def _marked(value: str, words: frozenset[str]) -> bool:
@@ -112,7 +136,7 @@ def _marked(value: str, words: frozenset[str]) -> bool:
 def _against(tag: str, attributes: str, inside: bool) -> str:
     """Whether an element holds something else than the article: by its name or state, by its marks (which what it holds may refute), or not."""
     if tag in BOILERPLATE or (tag == "header" and not inside):
-        return "mark" if tag == "form" else "name"
+        return "mark" if tag in WRAPPERS else "name"
     if not attributes or tag in ("html", "body"):
         return ""
     found = ""
@@ -120,7 +144,9 @@ def _against(tag: str, attributes: str, inside: bool) -> str:
         name, value = name.lower(), unescape(value.strip("\"'"))
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return "name"
-        if name != "aria-hidden":
+        if name == "style":
+            found = "mark" if _UNSEEN.search(value) else found
+        elif name != "aria-hidden":
             if _marked(value, READERS):
                 return "name"  # comments have titles and articles of their own
             if tag not in CONTENT and _marked(value, WORDS_AGAINST if inside else WORDS_AGAINST | OUTSIDE_AGAINST):
@@ -130,10 +156,12 @@ def _against(tag: str, attributes: str, inside: bool) -> str:
 
 def blocks_of(html: str) -> list[Block]:
     """The page's blocks of text, those of boilerplate elements included. Elements whose end is left out end where their container or the next one of their kind says so."""
-    found: list[tuple[Block, tuple[list[bool], ...]]] = []
+    found: list[tuple[Block, _Mark | None]] = []
+    marks: list[_Mark] = []  # outer ones first
     text: list[str] = []
-    open_ = [_Element("", False, False, ())]
-    counts: dict[str, int] = {}
+    open_ = [_Element("", False, False, None)]
+    places: dict[str, list[int]] = {}  # of the open elements, by tag and of all blocks
+    block_places: list[int] = []
     link_chars, heading, at = 0, False, 0
 
     def put(part: str) -> None:
@@ -148,27 +176,41 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal link_chars
         if text:
             if whole := " ".join("".join(text).split()):
-                found.append((Block(whole, link_chars, open_[-1].content, False, heading), open_[-1].marks))
+                if heading:
+                    comments(whole)
+                found.append((Block(whole, link_chars, open_[-1].content, False, heading), open_[-1].mark))
             text.clear()
             link_chars = 0
 
+    def mark(k: int, lasting: bool, wraps: bool = False) -> None:
+        """Marks the open elements from place k on, and what they will hold."""
+        marks.append(_Mark(open_[k - 1].mark, lasting, wraps))
+        for e in open_[k:]:
+            e.mark = marks[-1]
+
+    def comments(title: str) -> None:
+        """Marks the section that begins with this heading, if that is one of readers' comments."""
+        k = max((places[h][-1] for h in HEADINGS if places.get(h)), default=0) - 1
+        if k > 0 and open_[k].tag in ("section", "div", "aside") and open_[k].first == len(found) and (_COMMENTS.fullmatch(title) or (not open_[k].content and _COMMENTS_OUTSIDE.fullmatch(title))):
+            mark(k, True)
+
     def close(k: int) -> None:
         """Ends the elements from place k on."""
-        if any(e.tag in BLOCKS or e.marks != open_[k - 1].marks for e in open_[k:]):
+        if any(e.tag in BLOCKS or e.mark is not open_[k - 1].mark for e in open_[k:]):
             flush()
         for e in open_[k:]:
-            counts[e.tag] -= 1
+            places[e.tag].pop()
+            if e.tag in BLOCKS:
+                block_places.pop()
         del open_[k:]
 
     def place(tags: frozenset[str], borders: frozenset[str]) -> int:
-        """Where the innermost open element of tags is, before any of borders; 0 if there is none."""
-        if any(counts.get(t) for t in tags):
-            for k in range(len(open_) - 1, 0, -1):
-                if open_[k].tag in tags:
-                    return k
-                if open_[k].tag in borders:
-                    break
-        return 0
+        """Where the innermost open element of tags is, unless one of borders is further in; 0 if there is none."""
+        k = max((places[t][-1] for t in tags if places.get(t)), default=0)
+        if not k:
+            return 0
+        edge = (block_places[-1] if block_places else 0) if borders is BLOCKS else max((places[t][-1] for t in borders if places.get(t)), default=0)
+        return k if k >= edge else 0
 
     while m := _TOKEN.search(html, at):
         put(html[at : m.start()])
@@ -202,22 +244,52 @@ def blocks_of(html: str) -> list[Block]:
             top = open_[-1]
             content = top.content or tag in CONTENT
             if tag == "main" or (tag == "h1" and content):
-                for mark in top.marks:  # what holds the article itself isn't what its mark says
-                    mark[0] = mark[0] and mark[1]
+                outer = top.mark  # what holds the article itself isn't what its mark says
+                while outer is not None and not outer.asked:
+                    outer.asked, outer.holds = True, outer.holds and outer.lasting
+                    outer = outer.outer
+            if tag in CONTROLS and top.mark is not None and not _HIDDEN_CONTROL.search(attributes):
+                top.mark.controls += 1
             if tag not in VOID and not attributes.endswith("/"):
                 kind = _against(tag, attributes, content)
                 if kind and tag not in BLOCKS:
                     flush()
-                marks = (*top.marks, [True, kind == "name" or bool(top.content and tag not in CONTENT)]) if kind else top.marks
-                open_.append(_Element(tag, content, top.link or tag == "a", marks))
-                counts[tag] = counts.get(tag, 0) + 1
+                open_.append(_Element(tag, content, top.link or tag == "a", top.mark, len(found)))
+                places.setdefault(tag, []).append(len(open_) - 1)
+                if tag in BLOCKS:
+                    block_places.append(len(open_) - 1)
+                if kind:
+                    mark(len(open_) - 1, kind == "name" or bool(top.content and tag not in CONTENT), tag in WRAPPERS)
     put(html[at:])
     flush()
-    for b, marks in found:
-        b.against = any(mark[0] for mark in marks)
+    _unwrap(found, marks)
+    for m in marks:
+        m.against = m.holds or (m.outer is not None and m.outer.against)
+    for b, m in found:
+        b.against = m is not None and m.against
     return [b for b, _ in found]
 
 
+def _unwrap(found: list[tuple[Block, _Mark | None]], marks: list[_Mark]) -> None:
+    """Refutes the marks of forms and fieldsets that are wrapped around the page: with more than half of the text that nothing else is against, a long block, and LONG words a control."""
+    if not any(m.wraps and m.holds for m in marks):
+        return
+    for m in marks:
+        m.against = (m.holds and not m.wraps) or (m.outer is not None and m.outer.against)
+    total = 0
+    for b, m in found:
+        if (m is None or not m.against) and b.links <= LINK_DENSITY:
+            _measure(b)
+            total += b.words
+            if m is not None:
+                m.words, m.long = m.words + b.words, m.long or b.words >= LONG
+    for m in reversed(marks):
+        if m.outer is not None and not m.against:
+            m.outer.words, m.outer.long, m.outer.controls = m.outer.words + m.words, m.outer.long or m.long, m.outer.controls + m.controls
+        if m.wraps and m.long and 2 * m.words > total and m.words >= LONG * m.controls:
+            m.holds = False
+
+
 def _measure(b: Block) -> None:
     words = b.text.split()
     b.stops = sum(w.strip(_STRIPPED).lower() in STOP_WORDS for w in words)
