@@ -4,8 +4,9 @@ Lines that speak of licences, with neighbouring lines that mostly use the templa
 with each template as a raw Zstandard dictionary; the share of bytes that the dictionary saves ranks the templates. In that order every template whose telling
 words the block has is checked by its exact wording: the words around each place of a telling word are aligned with the template, which is confirmed if they
 have all of its telling words and, of the rest, enough. So a notice counts in a long line or among others as it does alone. Titles must be whole, and so must
-identifiers in a machine-readable line. The differences are reported: words of the template that the passage lacks, and those it changes. A match whose words are all part
-of another licence's longer one doesn't count; of templates of one licence that tie, the earlier is reported.
+identifiers in a machine-readable line and headings, which have a line of their own. A notice whose verb is negated is none. The differences are reported: words of the template that
+the passage lacks, and those it changes. A match whose words are all part of another licence's longer one doesn't count. Of a licence's matches in one block the one that saves most is
+reported, of those that tie the earlier template's: matches are counted by block and licence, not by notice. Time is linear in a text's lines.
 
 Defined cases: a null or empty text, or one without such lines, has no blocks; repeated rows are each scanned; lines and texts of any length are whole; an
 empty table gives an empty result; a null doc_id passes through; columns other than the named ones are ignored.
@@ -58,6 +59,32 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.", "boost 1.0"),
     ("BSL-1.0", 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:', "organization transmit derivative"),
     ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original software.", "misrepresented alter freely"),
+    ("Apache-2.0", "Licensed under the Apache 2.0 License.", "apache 2.0"),
+    ("GPL-2.0", "Licensed under GPL-2.0.", "gpl-2.0"),
+    ("GPL-2.0", "Licensed under the GPLv2.", "gplv2"),
+    ("GPL-3.0", "Licensed under GPL-3.0.", "gpl-3.0"),
+    ("GPL-3.0", "Licensed under the GPLv3.", "gplv3"),
+    ("LGPL-2.1", "Licensed under LGPL-2.1.", "lgpl-2.1"),
+    ("LGPL-2.1", "Licensed under the LGPLv2.1.", "lgplv2.1"),
+    ("LGPL-3.0", "Licensed under LGPL-3.0.", "lgpl-3.0"),
+    ("LGPL-3.0", "Licensed under the LGPLv3.", "lgplv3"),
+    ("AGPL-3.0", "Licensed under AGPL-3.0.", "agpl-3.0"),
+    ("AGPL-3.0", "Licensed under the AGPLv3.", "agplv3"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "commons attribution-sharealike 4.0"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "commons attribution-noncommercial 4.0"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "commons attribution-noncommercial-sharealike 4.0"),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "commons attribution-noderivatives 4.0"),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "commons attribution-noncommercial-noderivatives 4.0"),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0.", "cc by-nc-nd 4.0"),
+    ("CC-BY-3.0", "Licensed under CC BY 3.0.", "cc by 3.0"),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License.", "commons attribution 3.0"),
+    ("CC-BY-SA-3.0", "Licensed under CC BY-SA 3.0.", "cc by-sa 3.0"),
+    ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "commons attribution-sharealike 3.0"),
+    ("Artistic-2.0", "Distributed under the Artistic License 2.0.", "artistic 2.0"),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", "with without fee"),
+    ("BSD-3-Clause-Clear", "Redistribution and use in source and binary forms, with or without modification, are permitted (subject to the limitations in the disclaimer below) provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. No express or implied licenses to any party's patent rights are granted by this license.", "redistributions endorse patent"),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License.", "bsd 2-clause"),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0.", "mozilla 2.0"),
 )
 #: Titles of licence texts. They count where all their words follow each other.
 TITLES: tuple[tuple[str, str], ...] = (
@@ -74,6 +101,30 @@ TITLES: tuple[tuple[str, str], ...] = (
     ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
     ("CC0-1.0", "CC0 1.0 Universal"),
     ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    ("CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International"),
+    ("CC-BY-NC-ND-4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International"),
+)
+#: Names that say so where they have a line of their own.
+ALONE: tuple[tuple[str, str], ...] = (
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License"),
+    ("Apache-2.0", "Apache License 2.0"),
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-3-Clause-Clear", "The Clear BSD License"),
+    ("0BSD", "BSD Zero Clause License"),
+    ("Artistic-2.0", "The Artistic License 2.0"),
+    ("Unlicense", "The Unlicense"),
+    ("Zlib", "zlib License"),
+    ("GPL-2.0", "GNU General Public License v2.0"),
+    ("GPL-3.0", "GNU General Public License v3.0"),
+    ("LGPL-2.1", "GNU Lesser General Public License v2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License v3.0"),
+    ("AGPL-3.0", "GNU Affero General Public License v3.0"),
 )
 #: The tag of a machine-readable licence line, what joins identifiers there, and the endings of one licence's other identifiers.
 TAG, JOINING, ENDINGS = "spdx-license-identifier", frozenset(("or", "and", "with")), ("", "-only", "-or-later")
@@ -81,7 +132,13 @@ TRIGGER = re.compile(r"licen[cs]e|copyright|warrant(?:y|ies)|redistribut|permiss
 #: Least share of a template's words; share of template words that joins a line to a block.
 LEAST_WORDS, VOCABULARY_SHARE, LEVEL = 0.7, 0.6, 9
 #: Words that separate licences of one family: a notice doesn't go on past one that its template doesn't have.
-CONTRADICTING = frozenset("apache mit isc bsd mozilla lesser affero by-sa by-nc by-nc-sa by-nd by-nc-nd noncommercial sharealike noderivatives".split())
+CONTRADICTING = frozenset(
+    "apache mit isc bsd mozilla lesser affero by-sa by-nc by-nc-sa by-nd by-nc-nd noncommercial sharealike noderivatives attribution-sharealike attribution-noncommercial "
+    "attribution-noncommercial-sharealike attribution-noderivatives attribution-noncommercial-noderivatives 3.0 4.0".split()
+)
+#: What negates a notice's verb, words that may stand between them, and those verbs.
+NEGATING, BETWEEN = frozenset("not never cannot isn aren wasn weren longer neither nor".split()), frozenset("been be being currently yet t".split())
+VERBS = frozenset("licensed released distributed dedicated granted permitted available".split())
 
 _WORD = re.compile(r"[^\W_]+(?:[.\-/][^\W_]+)*")
 
@@ -118,7 +175,7 @@ def _templates() -> tuple[list[_Template], frozenset[str]]:
     named = dict.fromkeys(name for name, *_ in TEMPLATES)
     tags = [(name, f"{TAG} {name.lower()}{ending}") for name in named for ending in (ENDINGS if "GPL" in name else ("",))]
     made = []
-    for kind, name, text, telling in [("notice", *x) for x in TEMPLATES] + [("title", *x, x[1]) for x in TITLES] + [("tag", *x, x[1]) for x in tags]:
+    for kind, name, text, telling in [("notice", *x) for x in TEMPLATES] + [("title", *x, x[1]) for x in TITLES] + [("alone", *x, x[1]) for x in ALONE] + [("tag", *x, x[1]) for x in tags]:
         words = words_of(text)
         data = " ".join(words).encode()
         # Raw dictionaries have a least size; zeros in front of a short notice match nothing in a text.
@@ -175,14 +232,16 @@ def ranked(block: str) -> list[tuple[float, int]]:
     return sorted(saved, key=lambda x: (-x[0], x[1]))
 
 
-def passages(words: list[str], template: int) -> Iterator[Match]:
-    """The confirmed matches of a template with passages of a block's words, in order."""
+def passages(words: list[str], template: int, starts: frozenset[int] = frozenset()) -> Iterator[Match]:
+    """The confirmed matches of a template with passages of a block's words, in order. starts: places where lines start, and the end."""
     t = _templates()[0][template]
     if t.kind == "notice":
         yield from _notices(words, t, template)
-    elif t.kind == "title":
+    elif t.kind in ("title", "alone"):
         n = len(t.words)
         for at in (i for i, w in enumerate(words) if w == t.words[0] and words[i : i + n] == t.words):
+            if t.kind == "alone" and not (at in starts and at + n in starts):
+                continue
             yield Match(t.license, template, 0.0, 1.0, at=frozenset(range(at, at + n)))
     else:
         known = {x.words[1] for x in _templates()[0] if x.kind == "tag"}
@@ -214,11 +273,34 @@ def _notices(words: list[str], t: _Template, template: int) -> Iterator[Match]:
         if len(shared) < need or not t.telling <= set(shared):
             continue
         first, last = equal[0][3], equal[-1][4]
+        after = low + last
+        if _negated(part, frozenset(j for _, _, _, j1, j2 in equal for j in range(j1, j2))):
+            continue
         inside = lambda op, j1, j2: op == "replace" and first <= j1 and j2 <= last  # noqa: B023, E731
         missing = tuple(w for op, i1, i2, j1, j2 in ops if op in ("delete", "replace") and not inside(op, j1, j2) for w in t.words[i1:i2])
         changed = tuple(f"{' '.join(t.words[i1:i2])} -> {' '.join(part[j1:j2])}" for op, i1, i2, j1, j2 in ops if inside(op, j1, j2))
         yield Match(t.license, template, 0.0, len(shared) / len(t.words), missing, changed, frozenset(low + j for _, _, _, j1, j2 in equal for j in range(j1, j2)))
-        after = low + last
+
+
+def _negated(words: list[str], matched: frozenset[int]) -> bool:
+    """Whether a word that isn't the template's negates one of its verbs."""
+    for j in matched:
+        if words[j] in VERBS:
+            i = j - 1
+            while i >= 0 and i not in matched and words[i] in BETWEEN:
+                i -= 1
+            if i >= 0 and i not in matched and words[i] in NEGATING:
+                return True
+    return False
+
+
+def _own(every: list[Match]) -> list[Match]:
+    """Those whose words aren't all part of another licence's longer match: of the matches that have one of its words, only."""
+    having: dict[int, list[Match]] = {}
+    for m in every:
+        for i in m.at:
+            having.setdefault(i, []).append(m)
+    return [m for m in every if not any(m.at < x.at and m.license != x.license for x in having[min(m.at)])]
 
 
 def scan(text: str | None) -> tuple[int, list[Match]]:
@@ -227,12 +309,11 @@ def scan(text: str | None) -> tuple[int, list[Match]]:
     for block in blocks:
         words = words_of(block)
         have = set(words)
+        starts = frozenset(accumulate((len(words_of(line)) for line in block.split("\n")), initial=0))
         told = {i for i, t in enumerate(_templates()[0]) if t.telling <= have}
-        every = [replace(m, saved=saved) for saved, i in (ranked(block) if told else ()) if i in told for m in passages(words, i)]
-        # What is all part of another licence's longer notice is no notice of its own.
-        every = [m for m in every if not any(m.at < x.at and m.license != x.license for x in every)]
+        every = [replace(m, saved=saved) for saved, i in (ranked(block) if told else ()) if i in told for m in passages(words, i, starts)]
         best: dict[str, Match] = {}
-        for m in every:
+        for m in _own(every):
             best.setdefault(m.license, m)
         found += best.values()
     return len(blocks), found
