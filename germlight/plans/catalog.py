@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from germlight.functions import scalar
@@ -16,7 +16,7 @@ from germlight.options import Options
 from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
 from germlight.sinks.bam import write_bam
 from germlight.sinks.text import write_fasta, write_fastq
-from germlight.sources import assembly, fasta, kraken, register, sam
+from germlight.sources import assembly, bai, fasta, kraken, register, sam
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -472,6 +472,51 @@ def bam_to_counts(spark, sf_dir):
     return both.select("barcode", "n_reads", "n_umis")
 
 
+# Sorted, indexed BAM: line items are reads of three references, some with a gap, and the seventh of an order is unmapped
+
+
+_PLACED_SQL = """placed AS (SELECT concat(l_orderkey, '_', l_linenumber) AS read_id, l_linenumber = 7 AS unmapped, CASE WHEN l_linenumber <> 7 THEN concat('chr', l_suppkey % 3 + 1) END AS reference_name,
+  CASE WHEN l_linenumber <> 7 THEN CAST(50 * l_partkey + l_linenumber AS INT) END AS reference_start, CASE WHEN l_linenumber % 3 = 0 THEN CAST(l_quantity AS INT) + 110 ELSE CAST(l_quantity AS INT) END AS bases FROM lineitem)"""
+
+
+def _indexed_bam(spark, sf_dir) -> str:
+    """The folder of a sorted BAM with indexes."""
+    text, line = (lambda c: F.col(c).cast("string")), F.col("l_linenumber")
+    n, mapped = F.col("l_quantity").cast("int"), line != 7
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("_", text("l_orderkey"), text("l_linenumber")).alias("read_id"), F.when(mapped, 0).otherwise(4).alias("flag"), F.when(mapped, F.concat(F.lit("chr"), (F.col("l_suppkey") % 3 + 1).cast("int").cast("string"))).alias("reference_name"),
+        F.when(mapped, (50 * F.col("l_partkey") + line).cast("int")).alias("reference_start"), F.lit(60).alias("mapq"), F.when(mapped, F.concat(n.cast("string"), F.when(line % 3 == 0, F.lit("M100N10M")).otherwise(F.lit("M")))).alias("cigar"),
+        F.repeat(F.lit("A"), F.when(line % 3 == 0, n + 10).otherwise(n)).alias("sequence"), F.lit(None).cast("string").alias("quality"), F.lit(None).cast("string").alias("barcode"), F.lit(None).cast("string").alias("umi"),
+    )
+    folder = _folder(spark, "indexed")
+    write_bam(rows, folder, [(f"chr{i}", 1 << 29) for i in (1, 2, 3)], coordinate_sorted=True)
+    bai.write_index(spark, folder, split=400_000)
+    return folder
+
+
+@query(f"WITH {_PLACED_SQL} SELECT read_id, reference_name, reference_start FROM placed WHERE reference_name = 'chr2' AND reference_start < 60000 AND reference_start + bases > 20000")
+def bam_region(spark, sf_dir):
+    """Of the indexed files only the blocks of the region are read."""
+    folder = _indexed_bam(spark, sf_dir)
+    return spark.read.format("bam").options(region="chr2:20001-60000", sequence="false", split="200000").load(folder).select("read_id", "reference_name", "reference_start")
+
+
+@query(f"WITH {_PLACED_SQL} SELECT CAST(count_if(NOT unmapped) AS BIGINT) AS mapped, CAST(count_if(unmapped) AS BIGINT) AS unmapped FROM placed")
+def bam_index_totals(spark, sf_dir):
+    """From the indexes alone."""
+    return bai.index_totals(spark, _indexed_bam(spark, sf_dir)).agg(F.sum("mapped").alias("mapped"), F.sum("unmapped").alias("unmapped"))
+
+
+@query(f"WITH {_PLACED_SQL} SELECT read_id, reference_name, reference_start, row_number() OVER (ORDER BY reference_name NULLS LAST, reference_start NULLS FIRST, read_id) AS place FROM placed")
+def bam_sorted_places(spark, sf_dir):
+    """Each record's number in the order of the written files: files are counted first, and numbered inside by their own places."""
+    own = spark.read.format("bam").options(sequence="false", file="true", split="400000").load(_indexed_bam(spark, sf_dir))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
+    sizes = own.groupBy("file").agg(F.count("*").alias("_n")).select("file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("ordinal")) + F.col("_before")
+    return own.join(sizes, "file").select("read_id", "reference_name", "reference_start", place.alias("place"))
+
+
 @query("SELECT concat(l_orderkey, '_', l_linenumber) AS name, repeat('ACGT', CAST(l_quantity AS INT)) AS sequence, repeat('I@#+', CAST(l_quantity AS INT)) AS quality FROM lineitem WHERE 4 * CAST(l_quantity AS INT) BETWEEN 50 AND 150")
 def fastq_scan(spark, sf_dir):
     n = F.col("l_quantity").cast("int")

@@ -13,10 +13,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from germlight.sources.bai import bin_of
 from germlight.sources.files import _store
 
-#: Fixed values of the format: base codes, operations, the empty block that ends a file, and most bytes of data in a block.
+#: Fixed values of the format: base codes, operations, most bytes of data in a block, the bin of a record without a place, and the empty block that ends a file.
 BASES, OPERATIONS, BLOCK = "=ACMGRSVTWYHKDBN", "MIDNSHP=X", 0xFF00
+UNPLACED = 4680
 END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 #: The column of each field; sequence, quality, cigar and the tags may be null.
 FIELDS = ("read_id", "flag", "reference_name", "reference_start", "mapq", "cigar", "sequence", "quality", "barcode", "umi")
@@ -45,7 +47,8 @@ def encoded(read_id: str, flag: int, reference: int, start: int, mapq: int, ciga
     phred = bytes(b - 33 for b in quality.encode()) if quality else b"\xff" * len(bases)
     extra = b"".join(k.encode() + b"Z" + v.encode() + b"\0" for k, v in tags.items() if v is not None)
     steps_ = b"".join(struct.pack("<I", int(n) << 4 | OPERATIONS.index(op)) for n, op in steps)
-    body = struct.pack("<iiBBHHHiiii", reference, start, len(name), mapq, 0, len(steps), flag, len(bases), -1, -1, 0) + name + steps_ + packed + phred + extra
+    bases_on = sum(int(n) for n, op in steps if op in "MDN=X")
+    body = struct.pack("<iiBBHHHiiii", reference, start, len(name), mapq, bin_of(start, start + bases_on) if start >= 0 else UNPLACED, len(steps), flag, len(bases), -1, -1, 0) + name + steps_ + packed + phred + extra
     return struct.pack("<i", len(body)) + body
 
 

@@ -5,7 +5,9 @@ first block of its span by the blocks' magic and the chain of lengths from there
 A block belongs to the span it starts in, a record to that of the block it starts in.
 
 Options: barcode_tag and umi_tag (CB, UB), split (bytes a task reads), sequence=false to skip bases and qualities, and
-candidates=true with mapq, unmapped and low_mapq to drop other records while decoding.
+candidates=true with mapq, unmapped and low_mapq to drop other records while decoding. region=chr1 or chr1:101-200 (from 1, both ends included) keeps mapped records
+that have a base there, and of files with an index reads only the blocks that hold them. The format bam_places takes the region from filters on reference_name
+and reference_start instead; Spark passes them on with spark.sql.python.filterPushdown.enabled. file=true adds the file's path.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ import struct
 import zlib
 from collections.abc import Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.types import StringType, StructField, StructType
 
 from germlight.functions.scalar import SECONDARY, SUPPLEMENTARY, UNMAPPED
 from germlight.schemas import READS
+from germlight.sources import bai
 from germlight.sources.files import list_files, open_file
 
 SPLIT, BATCH = 8 << 20, 4096
@@ -85,6 +89,8 @@ class Blocks:
 
     def place(self) -> tuple[int, int]:
         """(file offset of the block, offset in it) of the next byte."""
+        if self.at == len(self.data):
+            return self.next, 0
         for a, b in reversed(self.starts):
             if a <= self.at:
                 return b, self.at - a
@@ -208,8 +214,10 @@ def tags(data: bytes, at: int) -> dict[str, str]:
 
 
 class Span(InputPartition):
-    def __init__(self, path: str, start: int, end: int):
-        self.path, self.start, self.end = path, start, end
+    """Bytes of a file. inside: where in the first block its first record starts, if that is known; until: the virtual offset to stop at, if any."""
+
+    def __init__(self, path: str, start: int, end: int, inside: int | None = None, until: int | None = None):
+        self.path, self.start, self.end, self.inside, self.until = path, start, end, inside, until
 
 
 class BamSource(DataSource):
@@ -218,22 +226,77 @@ class BamSource(DataSource):
         return "bam"
 
     def schema(self):
-        return READS
+        return StructType([*READS, StructField("file", StringType())]) if _yes(self.options, "file", "false") else READS
 
     def reader(self, schema) -> BamReader:
-        return BamReader(self.options)
+        return BamReader(self.options, schema)
+
+
+class BamPlaces(BamSource):
+    @classmethod
+    def name(cls) -> str:
+        return "bam_places"
+
+    def reader(self, schema) -> BamReader:
+        return PlacesReader(self.options, schema)
+
+
+class BamParts(DataSource):
+    """What an index is made of; see bai."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "bam_parts"
+
+    def schema(self):
+        return bai.PARTS
+
+    def reader(self, schema) -> BamReader:
+        return PartsReader(self.options, schema)
+
+
+def _yes(options, name: str, default: str) -> bool:
+    return str(options.get(name, default)).lower() == "true"
+
+
+def region_of(text: str) -> tuple[str, int, int]:
+    """(reference, start, end) of a region's text, from 0 and without the end; digits after the last colon are places, not a name's."""
+    name, colon, places = text.rpartition(":")
+    first, dash, last = places.replace(",", "").partition("-")
+    if not colon or not first.isdigit() or (last and not last.isdigit()):
+        return text, 0, bai.LIMIT
+    return name, max(0, int(first) - 1), int(last) if last else (bai.LIMIT if dash else int(first))
+
+
+def _end(data: bytes, pos: int, name: int, n_cigar: int) -> int:
+    """Where a record's bases end on its reference: past at least one."""
+    steps = struct.unpack_from(f"<{n_cigar}I", data, 32 + name)
+    return pos + max(1, sum(c >> 4 for c in steps if OPERATIONS[c & 15] in "MDN=X"))
 
 
 class BamReader(DataSourceReader):
-    def __init__(self, options):
-        yes = lambda k, default: str(options.get(k, default)).lower() == "true"
-        self.path, self.split = options["path"], int(options.get("split", SPLIT))
+    def __init__(self, options, schema=READS):
+        self.path, self.split, self.schema = options["path"], int(options.get("split", SPLIT)), schema
         self.barcode, self.umi = options.get("barcode_tag", "CB"), options.get("umi_tag", "UB")
-        self.with_sequence, self.candidates = yes("sequence", "true"), yes("candidates", "false")
-        self.mapq, self.unmapped, self.low_mapq = int(options.get("mapq", 30)), yes("unmapped", "true"), yes("low_mapq", "true")
+        self.with_sequence, self.candidates, self.with_file = _yes(options, "sequence", "true"), _yes(options, "candidates", "false"), _yes(options, "file", "false")
+        self.mapq, self.unmapped, self.low_mapq = int(options.get("mapq", 30)), _yes(options, "unmapped", "true"), _yes(options, "low_mapq", "true")
+        self.region: tuple[str, int, int] | None = region_of(options["region"]) if options.get("region") else None
 
     def partitions(self) -> list[Span]:
-        return [Span(path, at, min(at + self.split, size)) for path, size in list_files(self.path, (".bam",)) for at in range(0, size, self.split)]
+        return [span for path, size in list_files(self.path, (".bam",)) for span in self._spans(path, size)]
+
+    def _spans(self, path: str, size: int) -> Iterator[Span]:
+        index = bai.read_index(path) if self.region else None
+        if index is None:
+            yield from (Span(path, at, min(at + self.split, size)) for at in range(0, size, self.split))
+            return
+        with open_file(path) as raw:
+            names = [name for name, _ in read_header(Blocks(io.BufferedReader(raw, 1 << 16)))]
+        name, start, end = self.region
+        for first, last in index.chunks(names.index(name) if name in names else -1, start, end):
+            stop = (last >> 16) + 1
+            for at in range(first >> 16, stop, self.split):
+                yield Span(path, at, min(at + self.split, stop), first & 0xFFFF if at == first >> 16 else None, last)
 
     def _wanted(self, flag: int, mapq: int) -> bool:
         if not self.candidates:
@@ -242,12 +305,17 @@ class BamReader(DataSourceReader):
             return False
         return self.unmapped if flag & UNMAPPED else self.low_mapq and mapq < self.mapq
 
-    def rows(self, span: Span) -> Iterator[tuple]:
+    def records(self, span: Span) -> Iterator[tuple[int, int, list[tuple[str, int]], bytes]]:
+        """(virtual offsets of its start and end, references, bytes) of each record that starts in the span."""
         with open_file(span.path) as raw:
             file = io.BufferedReader(raw, 1 << 20)
             blocks = Blocks(file)
             references = read_header(blocks)
-            if span.start:
+            if span.inside is not None:
+                blocks = Blocks(file, span.start)
+                blocks.need(span.inside)
+                blocks.at = span.inside
+            elif span.start:
                 first = find_block(file, span.start, span.end)
                 if first < 0:
                     return
@@ -256,14 +324,24 @@ class BamReader(DataSourceReader):
                     return
             while blocks.need(1):
                 block, inside = blocks.place()
-                if block >= span.end:
+                ordinal = (block << 16) | inside
+                if block >= span.end or (span.until is not None and ordinal >= span.until):
                     return
-                size = struct.unpack("<i", blocks.take(4))[0]
-                data = blocks.take(size)
-                ref, pos, name, mapq, _, n_cigar, flag, n_bases, _, _, _ = _CORE.unpack_from(data)
-                if not self._wanted(flag, mapq):
+                data = blocks.take(struct.unpack("<i", blocks.take(4))[0])
+                block, inside = blocks.place()
+                yield ordinal, (block << 16) | inside, references, data
+
+    def rows(self, span: Span) -> Iterator[tuple]:
+        for ordinal, _, references, data in self.records(span):
+            ref, pos, name, mapq, _, n_cigar, flag, n_bases, _, _, _ = _CORE.unpack_from(data)
+            if not self._wanted(flag, mapq):
+                continue
+            if self.region is not None:
+                reference, start, end = self.region
+                if flag & UNMAPPED or ref < 0 or references[ref][0] != reference or pos >= end or _end(data, pos, name, n_cigar) <= start:
                     continue
-                yield self._row(data, (block << 16) | inside, references, ref, pos, name, mapq, n_cigar, flag, n_bases)
+            row = self._row(data, ordinal, references, ref, pos, name, mapq, n_cigar, flag, n_bases)
+            yield (*row, span.path) if self.with_file else row
 
     def _row(self, data, ordinal, references, ref, pos, name, mapq, n_cigar, flag, n_bases) -> tuple:
         at = 32 + name
@@ -278,6 +356,8 @@ class BamReader(DataSourceReader):
         extra = tags(data, at + n_bases)
         mapped = not flag & UNMAPPED
         barcode = extra.get(self.barcode)
+        if n_cigar == 2 and "CG" in extra:  # more operations than a record can count
+            cigar = "".join(f"{int(c) >> 4}{OPERATIONS[int(c) & 15]}" for c in extra["CG"].split(","))
         return (
             data[32 : 31 + name].decode(), ordinal, sequence, quality, barcode.split("-", 1)[0] if barcode is not None else None, extra.get(self.umi), flag, mapq, not mapped, bool(flag & SECONDARY), bool(flag & SUPPLEMENTARY),
             references[ref][0] if mapped and ref >= 0 else None, pos if mapped else None, cigar if mapped else None,
@@ -287,7 +367,9 @@ class BamReader(DataSourceReader):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        schema, batch = to_arrow_schema(READS), []
+        if partition is None:  # Spark's stand-in where there is nothing to read
+            return
+        schema, batch = to_arrow_schema(self.schema), []
         for row in self.rows(partition):
             batch.append(row)
             if len(batch) == BATCH:
@@ -295,3 +377,33 @@ class BamReader(DataSourceReader):
                 batch = []
         if batch:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*batch), schema)], schema=schema)
+
+
+class PlacesReader(BamReader):
+    """Takes its region from filters. Spark applies them all the same: a region only spares blocks and records."""
+
+    def pushFilters(self, filters: list) -> list:
+        names, low, high = set(), 0, bai.LIMIT
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("reference_name",):
+                names.add(f.value)
+            elif isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)) and f.attribute == ("reference_start",):
+                if isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+                    low = max(low, f.value + isinstance(f, GreaterThan))
+                if isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
+                    high = min(high, f.value + (not isinstance(f, LessThan)))
+        if len(names) == 1:
+            self.region = (names.pop(), low, max(high, low + 1))
+        return filters
+
+
+class PartsReader(BamReader):
+    def rows(self, span: Span) -> Iterator[tuple]:
+        def each() -> Iterator[tuple[int, int, int, int, int, int]]:
+            for first, last, _, data in self.records(span):
+                ref, pos, name, _, _, n_cigar, flag, _, _, _, _ = _CORE.unpack_from(data)
+                yield first, last, ref, pos, pos + 1 if flag & UNMAPPED else _end(data, pos, name, n_cigar), flag
+
+        if span.start == 0:
+            yield span.path, None, None, None, None, None  # a file without records has an index too
+        yield from bai.parts_of(span, each())
