@@ -24,6 +24,7 @@ from germlight.sources import register
 from germlight.sources.assembly import read_assembly_summary, read_paf
 from germlight.sources.bai import index_totals
 from germlight.sources.bai import write_index as write_bam_index
+from germlight.sources.barcodes import read_bam_of
 from germlight.sources.fasta import read_fasta
 from germlight.sources.kraken import parse_kraken, read_kraken
 from germlight.sources.sam import parse_sam, read_sam

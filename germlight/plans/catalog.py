@@ -16,7 +16,7 @@ from germlight.options import Options
 from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
 from germlight.sinks.bam import write_bam
 from germlight.sinks.text import write_fasta, write_fastq
-from germlight.sources import assembly, bai, fasta, kraken, register, sam
+from germlight.sources import assembly, bai, barcodes, fasta, kraken, register, sam
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -428,7 +428,7 @@ def _folder(spark: SparkSession, label: str) -> str:
     return passing_folder(spark, label)
 
 
-def _bam(spark, sf_dir, **options) -> DataFrame:
+def _bam(spark, sf_dir, barcodes_: DataFrame | None = None, **options) -> DataFrame:
     """The reads as BAM in the shared folder, read by the data source."""
     own = reads(spark, sf_dir, species=False)
     flag = sum((F.col(c).cast("int") * bit for c, bit in (("is_unmapped", 4), ("is_secondary", 256), ("is_supplementary", 2048))), F.lit(0))
@@ -441,6 +441,8 @@ def _bam(spark, sf_dir, **options) -> DataFrame:
     folder = _folder(spark, "bam")
     write_bam(rows, folder, [("chr1", 1000), ("chr2", 1 << 29)])
     register(spark)
+    if barcodes_ is not None:
+        return barcodes.read_bam_of(spark, folder, barcodes_, **options)
     return spark.read.format("bam").options(**options).load(folder)
 
 
@@ -459,6 +461,13 @@ def bam_candidates(spark, sf_dir):
     return _bam(spark, sf_dir, candidates="true", sequence="false", mapq=str(MAPQ)).select(*_BAM_READ)
 
 
+@query(with_reads(f"SELECT {_BAM_COLUMNS}, repeat('ACGTN', 8) AS sequence FROM reads WHERE EXISTS (SELECT 1 FROM customer WHERE c_mktsegment = 'BUILDING' AND CAST(c_custkey AS VARCHAR) = tagged_barcode)"))
+def bam_barcodes(spark, sf_dir):
+    """Records of other cells are dropped inside the scan."""
+    wanted = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.concat(F.col("c_custkey").cast("string"), F.lit("-1")).alias("barcode"))
+    return _bam(spark, sf_dir, wanted, split="400000").select(*_BAM_READ, "sequence")
+
+
 @query(
     with_reads(
         f"""SELECT tagged_barcode AS barcode, count(*) AS n_reads, count(DISTINCT tagged_umi) AS n_umis FROM reads

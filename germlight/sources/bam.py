@@ -7,7 +7,8 @@ A block belongs to the span it starts in, a record to that of the block it start
 Options: barcode_tag and umi_tag (CB, UB), split (bytes a task reads), sequence=false to skip bases and qualities, and
 candidates=true with mapq, unmapped and low_mapq to drop other records while decoding. region=chr1 or chr1:101-200 (from 1, both ends included) keeps mapped records
 that have a base there, and of files with an index reads only the blocks that hold them. The format bam_places takes the region from filters on reference_name
-and reference_start instead; Spark passes them on with spark.sql.python.filterPushdown.enabled. file=true adds the file's path.
+and reference_start instead; Spark passes them on with spark.sql.python.filterPushdown.enabled. file=true adds the file's path; barcode_slots drops records of
+barcodes that aren't in the bitmap (see barcodes) before anything of them is decoded.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from germlight.functions.scalar import SECONDARY, SUPPLEMENTARY, UNMAPPED
 from germlight.schemas import READS
-from germlight.sources import bai
+from germlight.sources import bai, barcodes
 from germlight.sources.files import list_files, open_file
 
 SPLIT, BATCH = 8 << 20, 4096
@@ -213,6 +214,29 @@ def tags(data: bytes, at: int) -> dict[str, str]:
     return found
 
 
+def tag_text(data: bytes, at: int, wanted: bytes) -> bytes:
+    """The last value of a tag as text, or nothing; other tags are passed over."""
+    found = b""
+    while at + 3 <= len(data):
+        name, kind = data[at : at + 2], data[at + 2 : at + 3]
+        at += 3
+        if kind in (b"Z", b"H"):
+            end = data.index(b"\0", at)
+            if name == wanted:
+                found = data[at:end]
+            at = end + 1
+        elif kind == b"B":
+            at += 5 + struct.unpack_from("<i", data, at + 1)[0] * struct.calcsize(TAG_VALUES[data[at : at + 1]])
+        elif kind in TAG_VALUES:
+            size = struct.calcsize(TAG_VALUES[kind])
+            if name == wanted:
+                found = data[at : at + 1] if kind == b"A" else str(struct.unpack_from("<" + TAG_VALUES[kind], data, at)[0]).encode()
+            at += size
+        else:
+            raise ValueError(f"a tag of unknown type {kind!r}")
+    return found
+
+
 class Span(InputPartition):
     """Bytes of a file. inside: where in the first block its first record starts, if that is known; until: the virtual offset to stop at, if any."""
 
@@ -280,6 +304,7 @@ class BamReader(DataSourceReader):
         self.barcode, self.umi = options.get("barcode_tag", "CB"), options.get("umi_tag", "UB")
         self.with_sequence, self.candidates, self.with_file = _yes(options, "sequence", "true"), _yes(options, "candidates", "false"), _yes(options, "file", "false")
         self.mapq, self.unmapped, self.low_mapq = int(options.get("mapq", 30)), _yes(options, "unmapped", "true"), _yes(options, "low_mapq", "true")
+        self.slots = options.get("barcode_slots")
         self.region: tuple[str, int, int] | None = region_of(options["region"]) if options.get("region") else None
 
     def partitions(self) -> list[Span]:
@@ -332,6 +357,7 @@ class BamReader(DataSourceReader):
                 yield ordinal, (block << 16) | inside, references, data
 
     def rows(self, span: Span) -> Iterator[tuple]:
+        known = barcodes.slots(self.slots) if self.slots else None
         for ordinal, _, references, data in self.records(span):
             ref, pos, name, mapq, _, n_cigar, flag, n_bases, _, _, _ = _CORE.unpack_from(data)
             if not self._wanted(flag, mapq):
@@ -340,6 +366,8 @@ class BamReader(DataSourceReader):
                 reference, start, end = self.region
                 if flag & UNMAPPED or ref < 0 or references[ref][0] != reference or pos >= end or _end(data, pos, name, n_cigar) <= start:
                     continue
+            if known is not None and not barcodes.maybe(tag_text(data, 32 + name + 4 * n_cigar + (n_bases + 1) // 2 + n_bases, self.barcode.encode()), known):
+                continue
             row = self._row(data, ordinal, references, ref, pos, name, mapq, n_cigar, flag, n_bases)
             yield (*row, span.path) if self.with_file else row
 

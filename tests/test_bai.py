@@ -124,3 +124,35 @@ def test_written_records_have_their_bin(tmp_path):
 
     assert struct.unpack_from("<H", encoded("a", 0, 0, 70_000, 9, "10M", "A" * 10, None, {}), 14)[0] == bai.bin_of(70_000, 70_010)
     assert struct.unpack_from("<H", encoded("a", 4, -1, -1, 9, None, "A", None, {}), 14)[0] == 4680
+
+
+def test_barcode_lists_drop_records_in_the_scan(spark, tmp_path):
+    from germlight.operators.reads import reads_by_barcode
+    from germlight.sources import barcodes
+
+    odd = {"XA": ("A", "q"), "XB": ("B", ("S", (1, 2, 3))), "XF": ("f", 1.5), "NM": ("C", 3)}
+    own = ["AAAA-1", "CCCC", "", "-x", None, "GGGG-2", "ünï-1", "AAAA"]
+    rows = [{"name": f"r{i}", "pos": i, "cigar": [(4, "M")], "sequence": "ACGT", "flag": [0, 256][i % 2], "tags": odd | ({} if b is None else {"CB": b.encode().decode("latin-1") if b.isascii() else b})} for i, b in enumerate(own * 50) if b is None or b.isascii()]
+    write_bam(str(tmp_path / "x.bam"), REFS, [record(**r) for r in rows], block=2000)
+    sources.register(spark)
+    wanted = spark.createDataFrame([("AAAA-7",), ("CCCC",), ("",), (None,), ("ünï",), ("AAAA",)], "barcode string")
+    whole = reads_by_barcode(spark.read.format("bam").load(str(tmp_path)), wanted)
+    got = barcodes.read_bam_of(spark, str(tmp_path), wanted, split="1500")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, whole.collect())) and got.count() == 150
+    scanned = spark.read.format("bam").option("barcode_slots", barcodes.bitmap(wanted)).load(str(tmp_path))
+    assert scanned.count() == 150
+    assert spark.read.format("bam").option("barcode_slots", barcodes.bitmap(wanted.limit(0))).load(str(tmp_path)).count() == 0
+    found = barcodes.slots(barcodes.bitmap(spark.range(200_000).selectExpr("concat('B', id) AS barcode")))
+    assert all(barcodes.maybe(f"B{i}-1".encode(), found) for i in range(0, 200_000, 7))
+    assert sum(barcodes.maybe(f"C{i}".encode(), found) for i in range(20_000)) < 800
+
+
+def test_tag_text_is_what_tags_says():
+    from germlight.sources.bam import tag_text, tags
+
+    data = record("a", tags={"XA": ("A", "q"), "CB": "AC-1", "XB": ("B", ("i", (5, -6))), "XF": ("i", -3), "UB": ""})
+    at = 4 + 32 + 2
+    for name, value in tags(data, at).items():
+        if name != "XB":
+            assert tag_text(data, at, name.encode()).decode() == value
+    assert tag_text(data, at, b"ZZ") == b""
