@@ -15,7 +15,7 @@ from germlight import pipeline
 from germlight.options import Options
 from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
 from germlight.sinks.bam import write_bam
-from germlight.sinks.text import write_fasta, write_fastq
+from germlight.sinks.text import write_fasta, write_fastq, write_fastq_blocks
 from germlight.sources import assembly, bai, barcodes, fasta, kraken, register, sam
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -526,16 +526,32 @@ def bam_sorted_places(spark, sf_dir):
     return own.join(sizes, "file").select("read_id", "reference_name", "reference_start", place.alias("place"))
 
 
-@query("SELECT concat(l_orderkey, '_', l_linenumber) AS name, repeat('ACGT', CAST(l_quantity AS INT)) AS sequence, repeat('I@#+', CAST(l_quantity AS INT)) AS quality FROM lineitem WHERE 4 * CAST(l_quantity AS INT) BETWEEN 50 AND 150")
-def fastq_scan(spark, sf_dir):
+_LINE_READS = "SELECT concat(l_orderkey, '_', l_linenumber) AS name, repeat('ACGT', CAST(l_quantity AS INT)) AS sequence, repeat('I@#+', CAST(l_quantity AS INT)) AS quality FROM lineitem"
+
+
+def _line_reads(spark, sf_dir) -> DataFrame:
+    """A read for each line item."""
     n = F.col("l_quantity").cast("int")
-    own = table(spark, sf_dir, "lineitem").select(F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("name"), F.repeat(F.lit("ACGT"), n).alias("sequence"), F.repeat(F.lit("I@#+"), n).alias("quality"))
+    return table(spark, sf_dir, "lineitem").select(F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("name"), F.repeat(F.lit("ACGT"), n).alias("sequence"), F.repeat(F.lit("I@#+"), n).alias("quality"))
+
+
+@query(f"{_LINE_READS} WHERE 4 * CAST(l_quantity AS INT) BETWEEN 50 AND 150")
+def fastq_scan(spark, sf_dir):
     folder = _folder(spark, "fastq")
-    write_fastq(own, folder, compress=True, name="name")
+    write_fastq(_line_reads(spark, sf_dir), folder, compress=True, name="name")
     register(spark)
     return read_ops.length_filtered(spark.read.format("fastq").load(folder), 50, 150).select("name", "sequence", "quality")
 
 
+@query(_LINE_READS)
+def fastq_blocks(spark, sf_dir):
+    """Files of gzip blocks, each read by several tasks."""
+    folder = _folder(spark, "blocks")
+    write_fastq_blocks(_line_reads(spark, sf_dir), folder, name="name")
+    register(spark)
+    return spark.read.format("fastq").option("split", "20000").load(folder).select("name", "sequence", "quality")
+
+
 @query("SELECT concat('s', p_partkey) AS name, concat('s', p_partkey, ' a>b ', p_brand) AS header, repeat('ACGTN', p_size) AS sequence FROM part")
 def fasta_scan(spark, sf_dir):
     own = table(spark, sf_dir, "part").select(F.concat(F.lit("s"), F.col("p_partkey").cast("string"), F.lit(" a>b "), "p_brand").alias("header"), F.repeat(F.lit("acgtN\n"), F.col("p_size")).alias("sequence"))

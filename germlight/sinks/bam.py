@@ -1,4 +1,4 @@
-"""BAM files: one a partition, in a folder. Readers see only files of tasks that succeeded, since those are moved to their place at the end."""
+"""BAM and block-gzip files: one a partition, in a folder. Readers see only files of tasks that succeeded, since those are moved to their place at the end."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -52,24 +52,19 @@ def encoded(read_id: str, flag: int, reference: int, start: int, mapq: int, ciga
     return struct.pack("<i", len(body)) + body
 
 
-def write_bam(reads: DataFrame, folder: str, references: list[tuple[str, int]], barcode_tag: str = "CB", umi_tag: str = "UB", coordinate_sorted: bool = False) -> list[str]:
-    """Writes reads (columns FIELDS) and returns the files' names, in order. With coordinate_sorted the records of all files follow each other by place."""
-    number = {name: i for i, (name, _) in enumerate(references)}
-    rows = reads.select(*FIELDS)
-    if coordinate_sorted:
-        place = F.create_map(*(F.lit(x) for pair in number.items() for x in pair))[F.col("reference_name")] if number else F.lit(None).cast("int")
-        rows = rows.sort(place.asc_nulls_last(), "reference_start", "read_id").select(*FIELDS)
-    head, parts = header(references, "coordinate" if coordinate_sorted else "unsorted"), f"_parts-{uuid.uuid4().hex}"
+def write_blocks(rows: DataFrame, folder: str, suffix: str, head: bytes, encode: Callable[..., bytes]) -> list[str]:
+    """Writes head and then encode(*row) of every row, in order, as gzip blocks that state their length, a file a partition; returns the files' names, in order."""
+    parts = f"_parts-{uuid.uuid4().hex}"
     store, path = _store(folder)
     store.create_dir(f"{path}/{parts}", recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _store(folder)
-        name, data = f"{TaskContext.get().partitionId():06}-{uuid.uuid4().hex}.bam", bytearray(head)
-        with store.open_output_stream(f"{path}/{parts}/{name}") as out:
+        name, data = f"{TaskContext.get().partitionId():06}-{uuid.uuid4().hex}{suffix}", bytearray(head)
+        with store.open_output_stream(f"{path}/{parts}/{name}", compression=None) as out:
             for batch in batches:
-                for read_id, flag, reference, start, mapq, cigar, sequence, quality, barcode, umi in zip(*(c.to_pylist() for c in batch.columns)):
-                    data += encoded(read_id, flag, number.get(reference, -1), -1 if start is None else start, mapq or 0, cigar, sequence, quality, {barcode_tag: barcode, umi_tag: umi})
+                for row in zip(*(c.to_pylist() for c in batch.columns)):
+                    data += encode(*row)
                     while len(data) >= BLOCK:
                         out.write(_block(bytes(data[:BLOCK])))
                         del data[:BLOCK]
@@ -83,3 +78,17 @@ def write_bam(reads: DataFrame, folder: str, references: list[tuple[str, int]],
         store.move(f"{path}/{parts}/{name}", f"{path}/{name}")
     store.delete_dir(f"{path}/{parts}")
     return names
+
+
+def write_bam(reads: DataFrame, folder: str, references: list[tuple[str, int]], barcode_tag: str = "CB", umi_tag: str = "UB", coordinate_sorted: bool = False) -> list[str]:
+    """Writes reads (columns FIELDS) and returns the files' names, in order. With coordinate_sorted the records of all files follow each other by place."""
+    number = {name: i for i, (name, _) in enumerate(references)}
+    rows = reads.select(*FIELDS)
+    if coordinate_sorted:
+        place = F.create_map(*(F.lit(x) for pair in number.items() for x in pair))[F.col("reference_name")] if number else F.lit(None).cast("int")
+        rows = rows.sort(place.asc_nulls_last(), "reference_start", "read_id").select(*FIELDS)
+
+    def encode(read_id, flag, reference, start, mapq, cigar, sequence, quality, barcode, umi) -> bytes:
+        return encoded(read_id, flag, number.get(reference, -1), -1 if start is None else start, mapq or 0, cigar, sequence, quality, {barcode_tag: barcode, umi_tag: umi})
+
+    return write_blocks(rows, folder, ".bam", header(references, "coordinate" if coordinate_sorted else "unsorted"), encode)

@@ -1,4 +1,4 @@
-"""FASTQ, FASTA and barcode lists, written in parallel as folders of part files; gzip on request."""
+"""FASTQ, FASTA and barcode lists, written in parallel as folders of part files; on request as gzip, or FASTQ as gzip blocks that can be read in parallel."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from germlight.functions.scalar import fasta_text, fastq_text
 from germlight.operators.reads import unique_barcodes
+from germlight.sinks.bam import write_blocks
 
 
 def _write(lines: DataFrame, path: str, compress: bool, mode: str) -> None:
@@ -18,6 +19,11 @@ def write_fastq(reads: DataFrame, path: str, compress: bool = False, name: str =
     _write(reads.select(fastq_text(F.col(name), F.col("sequence"), F.col("quality"))), path, compress, mode)
 
 
+def write_fastq_blocks(reads: DataFrame, path: str, name: str = "read_id") -> list[str]:
+    """A folder of .fastq.gz files of gzip blocks, a file a partition; the files' names, in order."""
+    return write_blocks(reads.select(fastq_text(F.col(name), F.col("sequence"), F.col("quality"))), path, ".fastq.gz", b"", lambda text: text.encode() + b"\n")
+
+
 def write_fasta(reads: DataFrame, path: str, compress: bool = False, name: str = "read_id", mode: str = "errorifexists") -> None:
     _write(reads.select(fasta_text(F.col(name), F.col("sequence"))), path, compress, mode)
 

@@ -111,7 +111,7 @@ def block_size(head: bytes, file) -> int:
     raise ValueError("a gzip member without a block size")
 
 
-def _is_block(file, at: int, follow: int = 3) -> bool:
+def is_block(file, at: int, follow: int = 3) -> bool:
     """Whether blocks begin there, one after another or up to the file's end."""
     for _ in range(follow):
         file.seek(at)
@@ -135,7 +135,7 @@ def find_block(file, start: int, end: int) -> int:
         chunk = file.read(1 << 17)
         i = chunk.find(BLOCK_MAGIC)
         while i >= 0 and at + i < end:
-            if _is_block(file, at + i):
+            if is_block(file, at + i):
                 return at + i
             i = chunk.find(BLOCK_MAGIC, i + 1)
         if len(chunk) < len(BLOCK_MAGIC):

@@ -1,4 +1,9 @@
-"""FASTQ as a Spark data source: spark.read.format("fastq").load(path)."""
+"""FASTQ as a Spark data source: spark.read.format("fastq").load(path).
+
+Files are cut into spans of `split` bytes. In a plain file a record belongs to the span it starts in. In one of gzip blocks that state their length (BGZF) it belongs to the span in which the
+block begins that holds the byte before it, and the file's first record to the first span, so that a task needs nothing of the spans before its own. Any
+other gzip file can only be read from its start: its first span reads it whole, the others find no block and give nothing.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +14,10 @@ from collections.abc import Iterator
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from germlight.schemas import FASTQ
+from germlight.sources.bam import Blocks, find_block, is_block
 from germlight.sources.files import list_files, open_file
 
-#: Bytes of a plain file that a task reads; a gzip file is one task.
+#: Bytes of a file that a task reads.
 SPLIT = 64 << 20
 BATCH = 4096
 
@@ -37,7 +43,35 @@ def _line(text: bytes) -> str:
     return text.rstrip(b"\r\n").decode()
 
 
-def records(stream, path: str, stop: int | None = None) -> Iterator[tuple[str, str, str, str]]:
+class BlockLines:
+    """Lines of a file of gzip blocks, from the block at start on. A place is (block of the byte before it, block and offset of the next byte)."""
+
+    def __init__(self, file, start: int):
+        self.blocks, self.held = Blocks(file, start), -1
+
+    def readline(self) -> bytes:
+        own, seen = self.blocks, self.blocks.at
+        while (end := own.data.find(b"\n", seen)) < 0:
+            seen = len(own.data) - own.at  # more() drops what lies before the place
+            if not own.more():
+                end = len(own.data) - 1
+                break
+        if end < own.at:
+            return b""
+        self.held = next(block for at, block in reversed(own.starts) if at <= end)
+        line, own.at = own.data[own.at : end + 1], end + 1
+        return line
+
+    def tell(self) -> tuple[int, int, int]:
+        return self.held, *self.blocks.place()
+
+    def seek(self, place: tuple[int, int, int]) -> None:
+        self.held, block, inside = place
+        self.blocks = Blocks(self.blocks.file, block)
+        self.blocks.take(inside)
+
+
+def records(stream, path: str, stop: int | tuple[int] | None = None) -> Iterator[tuple[str, str, str, str]]:
     """Four-line records from the stream's place on that start before stop; a last line needs no line end."""
     while stop is None or stream.tell() < stop:
         name = stream.readline()
@@ -53,50 +87,56 @@ def records(stream, path: str, stop: int | None = None) -> Iterator[tuple[str, s
         yield _line(name)[1:], _line(rest[0]), _line(rest[1]), _line(rest[2])
 
 
-def find_record(stream, start: int) -> None:
-    """Moves to the first record that starts at or after start. A line with @ may be a quality line; the first line of a record has + two lines on."""
-    if not start:
-        return
-    stream.seek(start - 1)
+def find_record(stream) -> None:
+    """From within a line to the first record that starts after it. A line with @ may be a quality line; the first line of a record has + two lines on."""
     stream.readline()
-    lines: list[tuple[int, bytes]] = []
+    lines: list[tuple[int | tuple, bytes]] = []
     while True:
         at = stream.tell()
         line = stream.readline()
-        lines.append((at, line))
+        lines = [*lines[-2:], (at, line)]
         if not line:
-            stream.seek(at)
             return
-        if len(lines) >= 3 and lines[-3][1].startswith(b"@") and line.startswith(b"+"):
+        if len(lines) == 3 and lines[0][1].startswith(b"@") and line.startswith(b"+"):
             # A quality line that begins with @ is followed by a name, not by bases: then the line between begins with @ too.
-            if not lines[-2][1].startswith(b"@"):
-                stream.seek(lines[-3][0])
+            if not lines[1][1].startswith(b"@"):
+                stream.seek(lines[0][0])
                 return
 
 
+def _records_of(file, span: Span) -> Iterator[tuple[str, str, str, str]]:
+    """The span's own records."""
+    if not span.path.endswith(".gz"):
+        stream = io.BufferedReader(file)
+        if span.start:
+            stream.seek(span.start - 1)
+            find_record(stream)
+        return records(stream, span.path, span.end)
+    if not is_block(file, 0, follow=1):
+        file.seek(0)
+        return records(io.BufferedReader(gzip.GzipFile(fileobj=file)), span.path) if not span.start else iter(())
+    first = find_block(file, span.start, span.end)
+    if first < 0:
+        return iter(())
+    lines = BlockLines(file, first)
+    if span.start:
+        find_record(lines)
+    return records(lines, span.path, (span.end,))
+
+
 class FastqReader(DataSourceReader):
     def __init__(self, path: str, split: int):
         self.path, self.split = path, split
 
     def partitions(self) -> list[Span]:
-        spans = []
-        for path, size in list_files(self.path):
-            step = size if path.endswith(".gz") else self.split
-            spans += [Span(path, at, min(at + step, size)) for at in range(0, size, max(1, step))]
-        return spans
+        return [Span(path, at, min(at + self.split, size)) for path, size in list_files(self.path) for at in range(0, size, self.split)]
 
     def read(self, partition: Span) -> Iterator:
         import pyarrow as pa
 
         with open_file(partition.path) as file:
-            if partition.path.endswith(".gz"):
-                rows = records(io.BufferedReader(gzip.GzipFile(fileobj=file)), partition.path)
-            else:
-                stream = io.BufferedReader(file)
-                find_record(stream, partition.start)
-                rows = records(stream, partition.path, partition.end)
             batch: list[tuple] = []
-            for row in rows:
+            for row in _records_of(file, partition):
                 batch.append(row)
                 if len(batch) == BATCH:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*batch)], names=["name", "sequence", "plus", "quality"])

@@ -13,7 +13,9 @@ from germlight import cli, pipeline, sources
 from germlight.operators import quantify
 from germlight.options import Options, _sections, from_config
 from germlight.sinks import matrix as matrix_sink
+from germlight.sinks.bam import END, _block
 from germlight.sinks import report, text
+from germlight.sources import fastq
 from germlight.sources.assembly import read_assembly_summary, read_paf
 from germlight.sources.fasta import read_fasta
 
@@ -100,6 +102,31 @@ def test_fastq(spark, tmp_path, split):
         spark.read.format("fastq").load(str(tmp_path / "bad.fastq")).count()
 
 
+@pytest.mark.parametrize("block", [40, 700, 60_000])
+def test_fastq_blocks_split_anywhere(tmp_path, block):
+    """Block borders fall on every place of a record, also right before one; each record is read once, whatever the spans."""
+    data = FASTQ.encode()[:-1]
+    cut = [*range(0, len(data), block), data.index(b"@r7 "), data.index(b"@r8 "), len(data)]
+    cut = sorted(set(cut))
+    pieces = [_block(data[a:b]) for a, b in zip(cut, cut[1:])]
+    pieces.insert(len(pieces) // 2, END)  # an empty block amid the others, as files put together have it
+    path = str(tmp_path / "x.fastq.gz")
+    (tmp_path / "x.fastq.gz").write_bytes(b"".join([*pieces, END]))
+    expected = [(f"r{i} x", "ACGT" * (i % 5 + 1), "+", "@III" * (i % 5 + 1)) for i in range(500)]
+    for split in (1 << 26, 5_000, 997, 130):
+        reader = fastq.FastqReader(path, split)
+        got = [row for span in reader.partitions() for batch in reader.read(span) for row in zip(*(c.to_pylist() for c in batch.columns))]
+        assert got == expected
+
+
+def test_fastq_blocks_cut_off(tmp_path):
+    whole = _block(FASTQ.encode())
+    (tmp_path / "x.fastq.gz").write_bytes(whole[:-30])
+    reader = fastq.FastqReader(str(tmp_path / "x.fastq.gz"), 1 << 26)
+    with pytest.raises(ValueError, match="ends within"):
+        [list(reader.read(span)) for span in reader.partitions()]
+
+
 def test_text_files(spark, tmp_path):
     (tmp_path / "g.fa").write_text(">one first\nACGT\nacg\n>two\r\nTT\r\nAA\r\n>three\n")
     got = {r["name"]: (r["header"], r["sequence"]) for r in read_fasta(spark, str(tmp_path / "g.fa")).collect()}
