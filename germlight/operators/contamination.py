@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from germlight.operators.quantiles import percentiles, value_runs
+
 
 def n_cells(counts: DataFrame) -> DataFrame:
     """One row: the number of cells with a count for any species."""
@@ -82,7 +84,7 @@ def ambient_profile(counts: DataFrame, percentile: float = 0.1) -> DataFrame:
     """species and ambient_frac: each species' share of the counts in cells of at most that percentile (exact, interpolated) of cell totals. Empty if those
     cells hold nothing."""
     totals = counts.groupBy("barcode").agg(F.sum("n").alias("total"))
-    limit = totals.agg(F.percentile("total", percentile).alias("cut"))
+    limit = percentiles(value_runs(totals.withColumn("one", F.lit(0)), "one", "total"), percentile).withColumnRenamed("percentile", "cut")  # one row
     empties = totals.crossJoin(F.broadcast(limit)).where("total <= cut").select("barcode")
     own = counts.join(empties, "barcode", "left_semi").groupBy("species").agg(F.sum("n").alias("ambient"))
     grand = own.agg(F.sum("ambient").alias("grand"))

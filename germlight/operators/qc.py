@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from germlight.operators.quantiles import percentiles, value_runs
+
 
 def _vector(counts: DataFrame, dim: DataFrame, key: str, value, metric: str) -> DataFrame:
     own = counts.groupBy(key).agg(value.alias("v"))
@@ -12,12 +14,14 @@ def _vector(counts: DataFrame, dim: DataFrame, key: str, value, metric: str) ->
 
 
 def qc_summary(counts: DataFrame, species: DataFrame, cells: DataFrame) -> DataFrame:
-    """metric, mean, median, max and min of four vectors; nothing to summarise gives zeros."""
+    """metric, mean, median, max and min of four vectors, zeros of absent keys included; a vector without keys has no row. Distinct values with their counts are written out once."""
     positive = F.count_if(F.col("n") > 0)
     all_ = _vector(counts, cells, "barcode", positive, "microbes_per_cell")
     for dim, key, value, metric in ((cells, "barcode", F.sum("n"), "reads_per_cell"), (species, "species", positive, "cells_per_microbe"), (species, "species", F.sum("n"), "reads_per_microbe")):
         all_ = all_.unionByName(_vector(counts, dim, key, value, metric))
-    return all_.groupBy("metric").agg(F.avg("v").alias("mean"), F.percentile("v", 0.5).alias("median"), F.max("v").alias("max"), F.min("v").alias("min"))
+    runs = value_runs(all_, "metric", "v")
+    rest = runs.groupBy("group").agg((F.sum(F.col("v") * F.col("m")) / F.sum("m")).alias("mean"), F.max("v").alias("max"), F.min("v").alias("min"))
+    return rest.join(percentiles(runs, 0.5), "group").select(F.col("group").alias("metric"), "mean", F.col("percentile").alias("median"), "max", "min")
 
 
 def matrix_summary(counts: DataFrame, species: DataFrame, cells: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from germlight import pipeline
 from germlight.options import Options
 from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
 from germlight.sinks.bam import write_bam
+from germlight.sinks.matrix import write_mtx, write_tsv
 from germlight.sinks.text import write_fasta, write_fastq, write_fastq_blocks
 from germlight.sources import assembly, bai, barcodes, fasta, kraken, register, sam
 
@@ -526,6 +527,33 @@ def bam_sorted_places(spark, sf_dir):
     return own.join(sizes, "file").select("read_id", "reference_name", "reference_start", place.alias("place"))
 
 
+@query(
+    with_counts(
+        """, s AS (SELECT species, row_number() OVER (ORDER BY species) AS i FROM (SELECT DISTINCT species FROM counts)), c AS (SELECT barcode, row_number() OVER (ORDER BY barcode) AS i FROM (SELECT DISTINCT barcode FROM counts))
+SELECT '%%MatrixMarket matrix coordinate integer general' AS line UNION ALL SELECT '%' UNION ALL SELECT concat_ws(' ', (SELECT count(*) FROM c), (SELECT count(*) FROM s), (SELECT count(*) FROM counts WHERE n <> 0))
+UNION ALL SELECT concat_ws(' ', c.i, s.i, n) FROM counts JOIN s USING (species) JOIN c USING (barcode) WHERE n <> 0"""
+    )
+)
+def matrix_market_lines(spark, sf_dir):
+    """The written matrix file, read as text."""
+    folder = _folder(spark, "market")
+    write_mtx(counts(spark, sf_dir), folder)
+    return spark.read.text(f"{folder}/matrix.mtx").withColumnRenamed("value", "line")
+
+
+@query(
+    with_counts(
+        """, c AS (SELECT DISTINCT barcode FROM counts), s AS (SELECT DISTINCT species FROM counts), full_ AS (SELECT s.species, c.barcode, coalesce(n, 0) AS n FROM s CROSS JOIN c LEFT JOIN counts USING (species, barcode))
+SELECT concat(chr(9), string_agg(barcode, chr(9) ORDER BY barcode)) AS line FROM c UNION ALL SELECT concat(species, chr(9), string_agg(CAST(n AS BIGINT)::VARCHAR, chr(9) ORDER BY barcode)) FROM full_ GROUP BY species"""
+    )
+)
+def matrix_tsv_lines(spark, sf_dir):
+    """The written dense file, read as text."""
+    folder = _folder(spark, "dense")
+    write_tsv(counts(spark, sf_dir), f"{folder}/matrix.tsv")
+    return spark.read.text(f"{folder}/matrix.tsv").withColumnRenamed("value", "line")
+
+
 _LINE_READS = "SELECT concat(l_orderkey, '_', l_linenumber) AS name, repeat('ACGT', CAST(l_quantity AS INT)) AS sequence, repeat('I@#+', CAST(l_quantity AS INT)) AS quality FROM lineitem"
 
 
