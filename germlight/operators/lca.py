@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from germlight.functions.storage import checkpointed
-from germlight.operators.minimizers import K, W, Key, canonical, minimizers
+from germlight.operators.minimizers import K, W, Key, canonical, distinct_minimizers, minimizers
 
 #: Rounds of path doubling: paths of 2^MAX_ROUNDS nodes. A taxonomy that takes more has a cycle.
 MAX_ROUNDS = 16
@@ -60,7 +60,7 @@ def classify(reads: DataFrame, known: DataFrame, paths: DataFrame, *keys: str, k
     n_minimizers: distinct ones of the read; n_hits: those in the database; score: hits on the way from the root to the call before it moved up; support: hits at or below the call.
     """
     keys = keys or ("read_id",)
-    own = minimizers(reads, *keys, k=k, w=w, key=key).select(*keys, "v").distinct()
+    own = distinct_minimizers(reads, *keys, k=k, w=w, key=key)
     hits = checkpointed(own.join(known.select("v", "taxid"), "v", "left").groupBy(*keys, "taxid").agg(F.count("*").alias("n")))
     totals = hits.groupBy(*keys).agg(F.sum("n").alias("n_minimizers"), F.coalesce(F.sum(F.when(F.col("taxid").isNotNull(), F.col("n"))), F.lit(0)).alias("n_hits"))
     hit = hits.where("taxid IS NOT NULL").join(paths.select("taxid", "path"), "taxid")

@@ -1,8 +1,8 @@
 """Minimizers: of every w consecutive k-mers, the one of least key. Equal stretches of w + k - 1 characters, wherever they are, have equal minimizers, and a sequence
 has about 2 / (w + 1) of them a character.
 
-Sequences are cut into nested parts that share w + k - 2 characters, so that no row holds a chromosome's k-mers and no substring counts from far away. Text is
-built-in functions throughout. Bases take numpy over Arrow batches, a batch's sequences at once: some thirty times less work than by substrings.
+Sequences are cut into nested parts that share w + k - 2 characters, so that no row holds a chromosome's k-mers and no substring counts from far away. Bases, and text
+in order of bytes, take numpy over Arrow batches, many sequences at once: some thirty times less work than by substrings. Other keys are built-in functions throughout.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ CODES = np.full(256, 4, np.uint64)
 CODES[list(b"ACGT")] = range(4)
 MIXERS = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 LAST = np.iinfo(np.int64).max
+#: Characters that numpy takes at once; a part of more is taken alone.
+AT_ONCE = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -55,33 +57,110 @@ def _dna(data: np.ndarray, bounds: np.ndarray, k: int, w: int) -> tuple[np.ndarr
     sizes = np.maximum(np.diff(bounds) - k + 1, 0)  # k-mers of each
     a, b = mixed(own), mixed(other)
     keys = np.where((odd[k:] == odd[:n]) & (own != other), np.minimum(a, b), LAST)
+    best = _least([keys], bounds, sizes, w)
+    best = best[keys[best] != LAST]
+    return best, keys[best], b[best] < a[best]
+
+
+def _least(words: list[np.ndarray], bounds: np.ndarray, sizes: np.ndarray, w: int) -> np.ndarray:
+    """Places of the least keys, the first of equals, of all windows of w k-mers; a key is a number in each of words, compared in order. sizes: k-mers of each sequence."""
     # Windows that begin at each place; those of a sequence of fewer than w k-mers end with it.
     starts = np.concatenate([np.arange(s, s + max(m - w, 0) + 1) for s, m in zip(bounds[:-1].tolist(), sizes.tolist()) if m] or [np.zeros(0, np.int64)])
     ends = np.minimum(starts + w, np.repeat(bounds[:-1] + sizes, np.where(sizes > 0, np.maximum(sizes - w, 0) + 1, 0)))
     best = starts.copy()
     for j in range(1, w):
         at = np.minimum(starts + j, ends - 1)
-        best = np.where(keys[at] < keys[best], at, best)
-    best = np.unique(best[keys[best] != LAST])
-    return best, keys[best], b[best] < a[best]
-
-
-def _of_bases(pieces: DataFrame, keys: tuple[str, ...], k: int, w: int) -> DataFrame:
+        less = words[-1][at] < words[-1][best]
+        for word in words[-2::-1]:
+            x, y = word[at], word[best]
+            less = (x < y) | (x == y) & less
+        best = np.where(less, at, best)
+    return np.unique(best)
+
+
+def _text(data: bytes, bounds: np.ndarray, k: int, w: int) -> tuple[np.ndarray, pa.Array, list[np.ndarray]]:
+    """Places in data, in characters, k-mers, and numbers that tell them apart, of the minimizers in order of bytes, which is that of code points; bounds: the character at which each sequence begins, and the end."""
+    points = np.frombuffer(data.decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = len(points) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), pa.array([], pa.string()), []
+    # As few bits a character as tell those of data apart, in their order.
+    there = np.bincount(points) > 0
+    ranks = (np.cumsum(there) - 1).astype(np.uint64)[points]
+    bits = max(1, int(there.sum() - 1).bit_length())
+    words = []
+    for first in range(0, k, 64 // bits):
+        word = np.zeros(n, np.uint64)
+        for j in range(first, min(first + 64 // bits, k)):
+            word = word << np.uint64(bits) | ranks[j : j + n]
+        words.append(word)
+    best = _least(words, bounds, np.maximum(np.diff(bounds) - k + 1, 0), w)
+    widths = np.where((points < 0x80) | (points >= 0xDC80) & (points < 0xDD00), 1, np.where(points < 0x800, 2, np.where(points < 0x10000, 3, 4)))
+    offsets = np.concatenate([[0], np.cumsum(widths)])
+    sizes = offsets[best + k] - offsets[best]
+    ends = np.cumsum(sizes)
+    taken = np.frombuffer(data, np.uint8)[np.arange(ends[-1] if len(ends) else 0) + np.repeat(offsets[best] - ends + sizes, sizes)]
+    return best, pa.StringArray.from_buffers(len(best), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(taken)), [word[best] for word in words]
+
+
+def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of some AT_ONCE characters together."""
+    first, held = 0, 0
+    for i, n in enumerate(sizes):
+        if held and held + n > AT_ONCE:
+            yield first, i
+            first, held = i, 0
+        held += n
+    if held:
+        yield first, len(sizes)
+
+
+#: Of some rows: where each begins, and their minimizers' places, keys, flips, and numbers that tell the keys apart.
+Found = tuple[np.ndarray, np.ndarray, pa.Array, pa.Array, list[np.ndarray]]
+
+
+def _of_bases(pieces: DataFrame, keys: tuple[str, ...], k: int, w: int, once: bool) -> DataFrame:
     if not 1 <= k <= 31:
         raise ValueError("k-mers of bases have 1 to 31 of them")
 
+    def found(rows: list[bytes]) -> Found:
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int64)
+        at, v, flipped = _dna(np.frombuffer(b"".join(rows), np.uint8), bounds, k, w)
+        return bounds, at, pa.array(v), pa.array(flipped), [v]
+
+    return _over_batches(pieces, keys, "long", lambda column: [s.encode("ascii", "replace") for s in column.to_pylist()], found, once)
+
+
+def _of_text(pieces: DataFrame, keys: tuple[str, ...], k: int, w: int, once: bool) -> DataFrame:
+    if k < 1:
+        raise ValueError("k-mers have a character at least")
+
+    def found(rows: list[bytes]) -> Found:
+        bounds = np.concatenate([[0], np.cumsum([len(r) if r.isascii() else len(r.decode("utf-8", "surrogateescape")) for r in rows], dtype=np.int64)]).astype(np.int64)
+        at, v, numbers = _text(b"".join(rows), bounds, k, w)
+        return bounds, at, v, pa.array(np.zeros(len(at), bool)), numbers
+
+    return _over_batches(pieces, keys, "string", lambda column: column.cast(pa.binary()).to_pylist(), found, once)
+
+
+def _over_batches(pieces: DataFrame, keys: tuple[str, ...], kind: str, rows_of: Callable[[pa.Array], list[bytes]], found: Callable[[list[bytes]], Found], once: bool) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [s.encode("ascii", "replace") for s in batch.column("_s").to_pylist()]
-            bounds = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)]).astype(np.int64)
-            at, v, flipped = _dna(np.frombuffer(b"".join(rows), np.uint8), bounds, k, w)
-            row = np.searchsorted(bounds, at, "right") - 1
-            position = at - bounds[row] + batch.column("_at").to_numpy(zero_copy_only=False)[row]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in keys), pa.array(position.astype(np.int64)), pa.array(v), pa.array(flipped)], names=[*keys, "position", "v", "flipped"])
+            rows, begins = rows_of(batch.column("_s")), batch.column("_at").to_numpy(zero_copy_only=False)
+            for first, last in _groups([len(r) for r in rows]):
+                bounds, at, v, flipped, numbers = found(rows[first:last])
+                row = np.searchsorted(bounds, at, "right") - 1
+                columns = [pa.array((at - bounds[row] + begins[first + row]).astype(np.int64)), v, flipped]
+                if once and len(at):
+                    order = np.lexsort((*numbers, row))
+                    new = np.concatenate([[True], np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in (row, *numbers)])])
+                    keep = order[new]
+                    row, columns = row[keep], [c.take(pa.array(keep)) for c in columns]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(first + row)) for c in keys), *columns], names=[*keys, "position", "v", "flipped"])
 
     own = pieces.select(*keys, "_at", "_s")
     kinds = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in keys)
-    return own.mapInArrow(each, f"{kinds}, position long, v long, flipped boolean")
+    return own.mapInArrow(each, f"{kinds}, position long, v {kind}, flipped boolean")
 
 
 def hashed(kmer: Column) -> Column:
@@ -90,7 +169,7 @@ def hashed(kmer: Column) -> Column:
 
 
 def alphabetic(kmer: Column) -> Column:
-    """The k-mer itself as its key, in order of bytes."""
+    """The k-mer itself as its key, in order of bytes. minimizers() computes it over batches, with the same result."""
     return F.struct(kmer.alias("v"), F.lit(False).alias("flipped"))
 
 
@@ -105,12 +184,27 @@ def _selected(run: Column, k: int, w: int, key: Key) -> Column:
 
 def minimizers(df: DataFrame, *keys: str, k: int = K, w: int = W, key: Key = canonical, sequence: str = "sequence") -> DataFrame:
     """keys, position (0-based), v and flipped. A sequence with fewer than w k-mers has the least of them; without a k-mer it has none. Where parts meet a minimizer may come twice."""
+    return _minimizers(df, keys, k, w, key, sequence)
+
+
+def distinct_minimizers(df: DataFrame, *keys: str, k: int = K, w: int = W, key: Key = canonical, sequence: str = "sequence") -> DataFrame:
+    """keys and v, each pair once. A key of one row that is one part, as most are, is done inside that row, so that only those of several shuffle their minimizers."""
+    if key not in (canonical, alphabetic):
+        return minimizers(df, *keys, k=k, w=w, key=key, sequence=sequence).select(*keys, "v").distinct()
+    several = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.length(sequence)).alias("_most")).where((F.col("_n") > 1) | (F.col("_most") > PIECE)).select(*keys)
+    one = _minimizers(df.join(several, [*keys], "left_anti"), keys, k, w, key, sequence, once=True).select(*keys, "v")
+    return one.unionByName(_minimizers(df.join(several, [*keys], "left_semi"), keys, k, w, key, sequence).select(*keys, "v").distinct())
+
+
+def _minimizers(df: DataFrame, keys: tuple[str, ...], k: int, w: int, key: Key, sequence: str, once: bool = False) -> DataFrame:
     span = k + w - 1
     chunks = df.where(F.length(sequence) >= k).select(*keys, F.posexplode(cut(F.col(sequence), CHUNK, span)).alias("_c", "_s"))
     pieces = chunks.select(*keys, "_c", F.posexplode(cut(F.col("_s"), PIECE, span)).alias("_p", "_s"))
     pieces = pieces.select(*keys, (F.col("_c").cast("long") * CHUNK + F.col("_p") * PIECE).alias("_at"), "_s")
     if key is canonical:
-        return _of_bases(pieces, keys, k, w)
+        return _of_bases(pieces, keys, k, w, once)
+    if key is alphabetic:
+        return _of_text(pieces, keys, k, w, once)
     runs = F.transform(cut(F.col("_s"), RUN, span), lambda run, r: F.transform(_selected(run, k, w, key), lambda x: F.struct((x["i"] + r * RUN).alias("i"), x["v"].alias("v"), x["flipped"].alias("flipped"))))
     found = pieces.select(*keys, "_at", F.explode(F.flatten(runs)).alias("_x"))
     return found.select(*keys, (F.col("_at") + F.col("_x.i")).alias("position"), F.col("_x.v").alias("v"), F.col("_x.flipped").alias("flipped"))

@@ -13,14 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over all cores where its files are too small for that: a file of one row group is one task, whatever the splits. Large inputs stay as they are."""
+    """df dealt out over all cores, in parts of some SMALL bytes of its files. A file of one row group is one task however large it is, so its size says nothing about the number of tasks."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * SMALL else df
+    return df.repartition(max(cores, min(size // SMALL, MOST)))
 
 
-#: Bytes for each core below which an input is dealt out anew.
-SMALL = 8 << 20
+#: Bytes of a part; most parts.
+SMALL, MOST = 8 << 20, 4096
 
 
 #: The columns that order the rows of a read id.

@@ -154,3 +154,32 @@ def test_profile_and_assignments(spark, paths):
     names = spark.createDataFrame([(2, "Genus", "genus"), (5, "Genus five", "species"), (4, "Genus four", "species")], "taxid long, name string, rank string")
     out = {r["read_id"]: (r["species"], r["genus"], r["confidence"], r["classified"]) for r in lca.assignments(reads, calls, names, paths).collect()}
     assert out == {"a": ("Genus four", "Genus", 0.5, True), "b": ("Genus five", "Genus", 0.2, True), "c": ("unclassified", "Genus", 0.25, False), "d": ("unclassified", "unclassified", 0.0, False)}
+
+
+def test_minimizers_of_text_in_batches(spark, monkeypatch):
+    """Text takes batches, in order of code points whatever their number, and gives what plain Python does, however rows are grouped; distinct ones whatever rows and parts a key has."""
+    monkeypatch.setattr(minimizers, "AT_ONCE", 50)
+    rng = random.Random(5)
+    own = {"ascii": "".join(rng.choice("abc ") for _ in range(300)), "wide": "".join(chr(rng.choice([97, 0xE9, 0x4E2D, 0x1F600, 0xFFFD])) for _ in range(200)), "many": "".join(chr(rng.randrange(0x100, 0x900)) for _ in range(200)), "short": "abcdef", "none": "ab", "empty": "", "null": None}
+    df = spark.createDataFrame(list(own.items()), "name string, sequence string").coalesce(1)
+    for k, w in ((4, 3), (11, 5)):
+        found = minimizers.minimizers(df, "name", k=k, w=w, key=minimizers.alphabetic)
+        assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+        got = {(r["name"], r["position"], r["v"]) for r in found.collect()}
+        assert got == {(name, i, v) for name, s in own.items() if s for i, v, _ in places(s, k, w, lambda x: (x, False))}
+    twice = df.union(df.where("name = 'ascii'")).union(spark.createDataFrame([("ascii", "abcabc abcabc")], df.schema))
+    for piece in (minimizers.PIECE, 40):
+        monkeypatch.setattr(minimizers, "PIECE", piece)
+        got = Counter((r["name"], r["v"]) for r in minimizers.distinct_minimizers(twice, "name", k=4, w=3, key=minimizers.alphabetic).collect())
+        assert got == Counter({(name, v) for name, s in [*own.items(), ("ascii", "abcabc abcabc")] if s for _, v, _ in places(s, 4, 3, lambda x: (x, False))})
+
+
+def test_spread_of_one_large_row_group(spark, tmp_path, monkeypatch):
+    """A file of one row group is dealt out however large it is."""
+    from germlight.plans import proxy
+
+    spark.range(10_000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    monkeypatch.setattr(proxy, "SMALL", 1000)
+    own = proxy.spread(spark.read.parquet(str(tmp_path / "one")))
+    assert own.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    assert own.count() == 10_000 and own.groupBy(F.spark_partition_id()).count().count() == own.rdd.getNumPartitions()
