@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from germlight.operators.kmer import BASES, pieces
+from germlight.operators.kmer import BASES, SMALL_BASES, is_small, met, pieces
 from germlight.operators.minimizers import K, W, minimizers
 
 MAX_PLACES, CANDIDATES = 64, 4
@@ -38,12 +38,13 @@ COMPLEMENT = str.maketrans("ACGTacgt", "TGCATGCA")
 
 @dataclass(frozen=True)
 class Index:
-    """seeds: v, n, places(reference, position, flipped); bases: reference, piece, bases."""
+    """seeds: v, n, places(reference, position, flipped); bases: reference, piece, bases. small: both may be broadcast; larger ones are shuffled."""
 
     seeds: DataFrame
     bases: DataFrame
     k: int = K
     w: int = W
+    small: bool = False
 
 
 def build_index(references: DataFrame, k: int = K, w: int = W, max_places: int = MAX_PLACES) -> Index:
@@ -51,7 +52,7 @@ def build_index(references: DataFrame, k: int = K, w: int = W, max_places: int =
     found = minimizers(references.select("reference", F.upper("sequence").alias("sequence")), "reference", k=k, w=w).select("v", "reference", "position", "flipped").distinct()
     first = found.withColumn("_i", F.row_number().over(Window.partitionBy("v").orderBy("reference", "position"))).where(F.col("_i") <= max_places)
     lists = first.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("reference", "position", "flipped"))).alias("places"))
-    return Index(found.groupBy("v").agg(F.count("*").alias("n")).join(lists, "v"), pieces(references), k, w)
+    return Index(found.groupBy("v").agg(F.count("*").alias("n")).join(met(lists, False), "v"), pieces(references), k, w, is_small(references))
 
 
 def write_index(index: Index, path: str, mode: str = "errorifexists") -> None:
@@ -69,7 +70,7 @@ def read_index(spark: SparkSession, path: str) -> Index | None:
             raise
         return None
     k, w = seeds.select("k", "w").first() or (K, W)
-    return Index(seeds.drop("k", "w"), bases, k, w)
+    return Index(seeds.drop("k", "w"), bases, k, w, bases.count() * BASES <= SMALL_BASES)
 
 
 # Chains
@@ -262,8 +263,8 @@ def align(reads: DataFrame, index: Index, max_places: int = MAX_PLACES) -> DataF
     """read_id, ordinal, sequence (as it lies on the reference), reference_name, reference_start (0-based), reverse, cigar, mismatches (edit distance), score and mapq: a row for each read that aligns."""
     own = reads.where("read_id IS NOT NULL AND ordinal IS NOT NULL").select("read_id", F.col("ordinal").cast("long").alias("ordinal"), F.upper("sequence").alias("sequence"))
     probes = minimizers(own, "read_id", "ordinal", k=index.k, w=index.w).withColumn("position", F.col("position").cast("long"))
-    seeds = probes.join(index.seeds, "v").groupBy("read_id", "ordinal").agg(F.collect_list(F.struct("position", "flipped", "n", "places")).alias("seeds"))
-    chains = own.join(seeds, ["read_id", "ordinal"]).select("read_id", "ordinal", "sequence", "seeds").mapInArrow(_chains(index.k, max_places), _CHAIN)
+    seeds = probes.join(met(index.seeds, index.small), "v").groupBy("read_id", "ordinal").agg(F.collect_list(F.struct("position", "flipped", "n", "places")).alias("seeds"))
+    chains = own.join(met(seeds, False), ["read_id", "ordinal"]).select("read_id", "ordinal", "sequence", "seeds").mapInArrow(_chains(index.k, max_places), _CHAIN)
     # The window starts a band's half-width before the chain's lowest diagonal.
     lowest, length = F.col("low") - PAD, F.length("sequence")
     start = F.greatest(lowest, F.lit(0).cast("long"))
@@ -271,8 +272,7 @@ def align(reads: DataFrame, index: Index, max_places: int = MAX_PLACES) -> DataF
     number = lambda at: F.floor(at / BASES).cast("int")
     covered = chains.withColumns({"origin": lowest, "start": start, "stop": stop}).withColumn("piece", F.explode(F.sequence(number(F.col("start")), number(F.col("stop") - 1))))
     names = [c for c in chains.columns if c != "low"] + ["origin", "start", "stop"]
-    met = covered.join(index.bases, ["reference", "piece"])
-    joined = met.groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("piece", "bases"))).alias("_x"))
+    joined = covered.join(met(index.bases, index.small), ["reference", "piece"]).groupBy(*names).agg(F.array_sort(F.collect_list(F.struct("piece", "bases"))).alias("_x"))
     offset = F.col("start") - F.get("_x", F.lit(0))["piece"].cast("long") * BASES
     bases = F.substring(F.array_join(F.transform("_x", lambda x: x["bases"]), ""), (offset + 1).cast("int"), (F.col("stop") - F.col("start")).cast("int"))
     window = F.concat(F.repeat(F.lit("-"), (F.col("start") - F.col("origin")).cast("int")), bases)

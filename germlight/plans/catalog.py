@@ -691,7 +691,7 @@ def lca_classify(spark, sf_dir):
 )
 def chain_align(spark, sf_dir):
     """Every fifth genome is there twice; reads lose three bases, gain two, have two replaced, or are whole."""
-    genomes_ = table(spark, sf_dir, "customer").select("c_custkey", F.expr(_GENOME).alias("sequence"))
+    genomes_ = spread(table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", F.expr(_GENOME).alias("sequence"))
     key = F.col("c_custkey")
     name = lambda letter: F.concat(F.lit(letter), key.cast("string"))
     refs = genomes_.select(F.explode(F.when(key % 5 == 0, F.array(name("g"), name("h"))).otherwise(F.array(name("g")))).alias("reference"), "sequence")
@@ -699,8 +699,8 @@ def chain_align(spark, sf_dir):
     head, tail = F.substring(read, 1, 50), lambda at: F.substring(read, at, 100)
     read = F.when(key % 4 == 1, F.concat(head, tail(54))).when(key % 4 == 2, F.concat(head, F.lit("GT"), tail(51))).when(key % 4 == 3, F.overlay(F.overlay(read, F.lit("N"), F.lit(48)), F.lit("N"), F.lit(55))).otherwise(read)
     read = F.when(key % 2 == 1, kmer.complement(read)).otherwise(read)
-    own = spread(genomes_.select(key.cast("string").alias("read_id"), key.cast("long").alias("ordinal"), read.alias("sequence")))
-    found = chain.align(own, chain.build_index(spread(refs)))
+    own = genomes_.select(key.cast("string").alias("read_id"), key.cast("long").alias("ordinal"), read.alias("sequence"))
+    found = chain.align(own, chain.build_index(refs))
     bases = lambda op: F.aggregate(F.regexp_extract_all("cigar", F.lit(rf"(\d+){op}")), F.lit(0), lambda a, n: a + n.cast("int"))
     return found.select("read_id", "reference_name", "reference_start", "reverse", "mismatches", bases("I").alias("inserted"), bases("D").alias("deleted"), (F.col("mapq") >= 30).alias("placed_once"))
 

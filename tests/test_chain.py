@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from germlight.operators import chain
+from germlight.operators import chain, kmer
 from germlight.operators.chain import END_BONUS, EXTEND, MATCH, MISMATCH, OPEN
 
 COMPLEMENT = str.maketrans("ACGT", "TGCA")
@@ -172,3 +172,18 @@ def test_frequent_seeds_stay_bounded(spark):
     got = chain.align(reads, index).collect()
     assert len(got) == 200 and all(r["mapq"] == 0 and r["mismatches"] == 0 and r["reference_name"] == "r0" for r in got)
     assert chain.align(reads.limit(0), index).collect() == []
+
+
+@pytest.mark.parametrize("bases, broadcast", [(99_999, False), (100_000, True)])
+def test_large_references_are_not_broadcast(spark, monkeypatch, bases, broadcast):
+    """The planner's guess of a computed text or of exploded rows is far too low: only counted references may go through the driver, and the result is the same."""
+    for module in (kmer, chain):
+        monkeypatch.setattr(module, "SMALL_BASES", bases)
+    rng = random.Random(8)
+    refs = [(f"r{i}", "".join(rng.choice("ACGT") for _ in range(1000))) for i in range(100)]
+    reads = [(f"q{i}", i, s[100:200]) for i, (_, s) in enumerate(refs)]
+    table, own = spark.createDataFrame(refs, "reference string, sequence string"), spark.createDataFrame(reads, "read_id string, ordinal long, sequence string")
+    votes = kmer.vote(own, table)
+    for found in (chain.align(own, chain.build_index(table)), kmer.align(own, table), votes):
+        assert ("BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()) == broadcast
+        assert {r["read_id"]: r["reference" if found is votes else "reference_name"] for r in found.collect()} == {f"q{i}": f"r{i}" for i in range(100)}
