@@ -9,7 +9,7 @@ to alignments of the whole read: affine gaps in a band around the chain, over ba
 that scores END_BONUS better. The alignment of highest score is reported; ties go to the smaller reference name, start and strand.
 
 Reads are told apart by (read_id, ordinal), neither of which may be null: such reads, and those without a seed, are not aligned. A read's bases are shuffled to
-their seeds and to the pieces of reference that they cover, and never gathered with other reads'.
+their seeds and to the pieces of reference that they cover, and never gathered with other reads'. Reads of equal bases are aligned once.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from germlight.operators.kmer import BASES, SMALL_BASES, is_small, met, pieces
+from germlight.operators.kmer import BASES, SMALL_BASES, complement, is_small, met, pieces
 from germlight.operators.minimizers import K, W, minimizers
 
 MAX_PLACES, CANDIDATES = 64, 4
@@ -262,6 +262,14 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def align(reads: DataFrame, index: Index, max_places: int = MAX_PLACES) -> DataFrame:
     """read_id, ordinal, sequence (as it lies on the reference), reference_name, reference_start (0-based), reverse, cigar, mismatches (edit distance), score and mapq: a row for each read that aligns."""
     own = reads.where("read_id IS NOT NULL AND ordinal IS NOT NULL").select("read_id", F.col("ordinal").cast("long").alias("ordinal"), F.upper("sequence").alias("sequence"))
+    # An alignment depends on the bases alone: one read of each sequence is aligned, and its copies take what it found.
+    first = own.where("sequence IS NOT NULL").groupBy("sequence").agg(F.min(F.struct("read_id", "ordinal")).alias("_x"))
+    found = _aligned(first.select("_x.read_id", "_x.ordinal", "sequence"), index, max_places).drop("read_id", "ordinal")
+    found = found.withColumn("_read", F.when(F.col("reverse"), complement(F.col("sequence"))).otherwise(F.col("sequence")))
+    return own.withColumnRenamed("sequence", "_read").join(met(found, False), "_read").drop("_read")
+
+
+def _aligned(own: DataFrame, index: Index, max_places: int) -> DataFrame:
     probes = minimizers(own, "read_id", "ordinal", k=index.k, w=index.w).withColumn("position", F.col("position").cast("long"))
     seeds = probes.join(met(index.seeds, index.small), "v").groupBy("read_id", "ordinal").agg(F.collect_list(F.struct("position", "flipped", "n", "places")).alias("seeds"))
     chains = own.join(met(seeds, False), ["read_id", "ordinal"]).select("read_id", "ordinal", "sequence", "seeds").mapInArrow(_chains(index.k, max_places), _CHAIN)

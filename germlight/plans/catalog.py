@@ -720,10 +720,12 @@ SELECT species, barcode, n, ka AND ks AS keep FROM counts JOIN masks USING (spec
 )
 def bam_to_matrix(spark, sf_dir):
     """Reads of suppliers that 3 divides are host, the others are of their part's brand; each has 80 bases, one replaced, of a place that its order names, and every other order's are turned."""
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.expr(_BRAND).alias("_microbe"))
+    # Parts meet their reads by shuffle, without the genomes: with them, some hundred MB of parts were broadcast, since the planner counts a computed text as 20 bytes.
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    brands = part.select("p_brand").distinct().select("p_brand", F.expr(_BRAND).alias("_microbe"))
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), F.expr(_HOST).alias("_host"))
     order = F.col("umi").cast("long")
-    own = reads(spark, sf_dir, species=False).join(part, F.col("ordinal_part") == F.col("p_partkey")).join(nations, F.pmod(order, F.lit(25)) == F.col("n_nationkey"))
+    own = reads(spark, sf_dir, species=False).join(part.hint("merge"), F.col("ordinal_part") == F.col("p_partkey")).join(F.broadcast(brands), "p_brand").join(nations, F.pmod(order, F.lit(25)) == F.col("n_nationkey"))
     is_host = F.col("ordinal_supp") % 3 == 0
     bases = F.overlay(F.substring(F.when(is_host, F.col("_host")).otherwise(F.col("_microbe")), (order % 170 + 1).cast("int"), F.lit(80)), F.lit("N"), F.lit(41))
     flag = sum((F.col(c).cast("int") * bit for c, bit in (("is_unmapped", 4), ("is_secondary", 256), ("is_supplementary", 2048))), F.lit(0))
@@ -733,10 +735,13 @@ def bam_to_matrix(spark, sf_dir):
     )
     folder = _folder(spark, "matrix")
     write_bam(rows, f"{folder}/bam", [("chr1", 1000), ("chr2", 1 << 29)])
-    write_fasta(part.select("p_brand", "_microbe").distinct().withColumnRenamed("_microbe", "sequence"), f"{folder}/microbes", name="p_brand")
+    write_fasta(brands.withColumnRenamed("_microbe", "sequence"), f"{folder}/microbes", name="p_brand")
     write_fasta(table(spark, sf_dir, "nation").select("n_name", F.expr(_HOST).alias("sequence")), f"{folder}/host", name="n_name")
     options = Options(aligner="chain", skip_contamination_filter=True)
-    found = pipeline.analyse(spark, pipeline.read_bam(spark, f"{folder}/bam", options), options, host_ref=f"{folder}/host", microbe_ref=f"{folder}/microbes")
-    raw = checkpointed(found.raw_counts)
+    # As pipeline.run does, each step is written as it is made: else every use of the reads decodes the files again.
+    candidates = checkpointed(read_ops.candidate_reads(pipeline.read_bam(spark, f"{folder}/bam", options), options.host_mapq, options.include_unmapped, options.include_low_mapq))
+    clean = checkpointed(pipeline.clean_reads(spark, candidates, options, f"{folder}/host"))
+    assigned = pipeline.assigned_reads(spark, clean, options, f"{folder}/microbes", None)
+    raw = checkpointed(quantify.quantified(assigned, options.quant_method, options.umi_dedup_method, options.umi_threshold))
     masks = contamination.species_masks(raw, "ambient", AMBIENT, specificity_threshold=SPECIFICITY)
     return raw.join(masks.select("species", "keep"), "species").select("species", "barcode", "n", "keep")

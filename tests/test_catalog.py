@@ -30,3 +30,20 @@ def test_scan_is_pruned_and_filtered(spark):
     scan = next(x for x in plan.splitlines() if "lineitem" in x)
     assert "l_comment" not in scan and "l_tax" not in scan.split("ReadSchema")[1]
     assert "PushedFilters: [" in scan and "l_linenumber" in scan.split("PushedFilters")[1]
+
+
+def test_bam_to_matrix_sends_no_parts_through_the_driver(spark, monkeypatch):
+    """Parts grow with the tables and meet their reads by shuffle; genomes are broadcast as one row a brand."""
+    from germlight.plans import catalog
+
+    class Seen(Exception):
+        pass
+
+    def stop(rows, *_):
+        raise Seen(rows._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(catalog, "write_bam", stop)
+    with pytest.raises(Seen) as e:
+        catalog.bam_to_matrix(spark, "/root/testdata/sf0.001")
+    joins = [line for line in str(e.value).splitlines() if "BroadcastHashJoin" in line]
+    assert joins and not any("p_partkey" in line for line in joins)

@@ -6,6 +6,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from germlight.operators import chain, kmer
 from germlight.operators.chain import END_BONUS, EXTEND, MATCH, MISMATCH, OPEN
@@ -187,3 +188,17 @@ def test_large_references_are_not_broadcast(spark, monkeypatch, bases, broadcast
     for found in (chain.align(own, chain.build_index(table)), kmer.align(own, table), votes):
         assert ("BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()) == broadcast
         assert {r["read_id"]: r["reference" if found is votes else "reference_name"] for r in found.collect()} == {f"q{i}": f"r{i}" for i in range(100)}
+
+
+def test_equal_reads_are_aligned_once(spark, monkeypatch):
+    """Copies, whatever their case, take the alignment of one of them, each with its own name."""
+    rng = random.Random(9)
+    genome = "".join(rng.choice("ACGT") for _ in range(600))
+    turned = genome[300:400].translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    kinds = [genome[50:150], genome[50:150].lower(), turned, "N" * 100, None]
+    own = spark.createDataFrame([(f"q{i}", i, kinds[i % 5]) for i in range(500)], "read_id string, ordinal long, sequence string")
+    seen, plain = spark.sparkContext.accumulator(0), chain._aligned
+    monkeypatch.setattr(chain, "_aligned", lambda reads, *rest: plain(reads.where(F.udf(lambda _: seen.add(1) or True, "boolean")("read_id")), *rest))
+    got = {r["read_id"]: (r["ordinal"], r["sequence"], r["reference_start"], r["reverse"], r["mismatches"]) for r in chain.align(own, chain.build_index(spark.createDataFrame([("r", genome)], "reference string, sequence string"))).collect()}
+    assert got == {f"q{i}": (i, genome[50:150], 50, False, 0) if i % 5 < 2 else (i, genome[300:400], 300, True, 0) for i in range(500) if i % 5 < 3}
+    assert 0 < seen.value < 200  # three sequences and one without a seed, as often as the plan uses them; the 500 reads would be more at its first use
