@@ -63,19 +63,49 @@ def _dna(data: np.ndarray, bounds: np.ndarray, k: int, w: int) -> tuple[np.ndarr
 
 
 def _least(words: list[np.ndarray], bounds: np.ndarray, sizes: np.ndarray, w: int) -> np.ndarray:
-    """Places of the least keys, the first of equals, of all windows of w k-mers; a key is a number in each of words, compared in order. sizes: k-mers of each sequence."""
-    # Windows that begin at each place; those of a sequence of fewer than w k-mers end with it.
-    starts = np.concatenate([np.arange(s, s + max(m - w, 0) + 1) for s, m in zip(bounds[:-1].tolist(), sizes.tolist()) if m] or [np.zeros(0, np.int64)])
-    ends = np.minimum(starts + w, np.repeat(bounds[:-1] + sizes, np.where(sizes > 0, np.maximum(sizes - w, 0) + 1, 0)))
-    best = starts.copy()
+    """Places of the least keys, the first of equals, of all windows of w k-mers; a key is a number in each of words, compared in order. sizes: k-mers of each sequence.
+    The least of s places and that of as many further on give the least of twice as many, so a window takes log2(w) steps."""
+    # Windows that begin at each place; a sequence of fewer than w k-mers has one of them all.
+    counts = np.where(sizes >= w, sizes - w + 1, 0)
+    starts = np.arange(counts.sum()) + np.repeat(bounds[:-1] - np.cumsum(counts) + counts, counts)
+    at, least, span = np.arange(len(words[0])), words[0], 1
+    while span < w and len(starts):
+        step = min(span, w - span)
+        x, y = least[step:], least[:-step]
+        less = x < y
+        if words[1:]:
+            tied = np.flatnonzero(x == y)
+            less[tied] = _before(words[1:], at[tied + step], at[tied])
+        at, least, span = np.where(less, at[step:], at[:-step]), np.minimum(x, y), span + step
+    best = at[starts]
+    best = best[np.diff(best, prepend=-1) > 0]  # windows further on have theirs no earlier
+    short = np.flatnonzero((sizes > 0) & (sizes < w))
+    if not len(short):
+        return best
+    first, few = bounds[:-1][short], sizes[short]
+    least_of = first
     for j in range(1, w):
-        at = np.minimum(starts + j, ends - 1)
-        less = words[-1][at] < words[-1][best]
-        for word in words[-2::-1]:
-            x, y = word[at], word[best]
-            less = (x < y) | (x == y) & less
-        best = np.where(less, at, best)
-    return np.unique(best)
+        other = first + np.minimum(j, few - 1)
+        least_of = np.where(_before(words, other, least_of), other, least_of)
+    return np.sort(np.concatenate([best, least_of]))
+
+
+def _before(words: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the keys at places a are less than those at b."""
+    less = words[-1][a] < words[-1][b]
+    for word in words[-2::-1]:
+        x, y = word[a], word[b]
+        less = (x < y) | (x == y) & less
+    return less
+
+
+def _packed(ranks: np.ndarray, m: int, bits: int) -> np.ndarray:
+    """A number of the m ranks from each place on, the first of them in front."""
+    if m == 1:
+        return ranks
+    half = _packed(ranks, m // 2, bits)
+    both = half[: -(m // 2)] << np.uint64(m // 2 * bits) | half[m // 2 :]
+    return both[:-1] << np.uint64(bits) | ranks[m - 1 :] if m % 2 else both
 
 
 def _text(data: bytes, bounds: np.ndarray, k: int, w: int) -> tuple[np.ndarray, pa.Array, list[np.ndarray]]:
@@ -90,10 +120,7 @@ def _text(data: bytes, bounds: np.ndarray, k: int, w: int) -> tuple[np.ndarray,
     bits = max(1, int(there.sum() - 1).bit_length())
     words = []
     for first in range(0, k, 64 // bits):
-        word = np.zeros(n, np.uint64)
-        for j in range(first, min(first + 64 // bits, k)):
-            word = word << np.uint64(bits) | ranks[j : j + n]
-        words.append(word)
+        words.append(_packed(ranks[first:], min(64 // bits, k - first), bits)[:n])
     best = _least(words, bounds, np.maximum(np.diff(bounds) - k + 1, 0), w)
     widths = np.where((points < 0x80) | (points >= 0xDC80) & (points < 0xDD00), 1, np.where(points < 0x800, 2, np.where(points < 0x10000, 3, 4)))
     offsets = np.concatenate([[0], np.cumsum(widths)])
@@ -115,6 +142,19 @@ def _groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield first, len(sizes)
 
 
+def _first_of_each(numbers: list[np.ndarray]) -> np.ndarray:
+    """Places, ascending, of one of each set of equal numbers. Places are sorted by one mixed number; where different ones have the same, which is next to never, by all of them."""
+    key = np.zeros(len(numbers[0]), np.uint64)
+    for x in numbers:
+        key = mixed(key ^ x.astype(np.uint64)).view(np.uint64)
+    order = np.argsort(key)
+    new = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in numbers])
+    if np.any(new & (key[order][1:] == key[order][:-1])):
+        order = np.lexsort(numbers[::-1])
+        new = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in numbers])
+    return np.sort(order[np.concatenate([[True], new])])
+
+
 #: Of some rows: where each begins, and their minimizers' places, keys, flips, and numbers that tell the keys apart.
 Found = tuple[np.ndarray, np.ndarray, pa.Array, pa.Array, list[np.ndarray]]
 
@@ -151,16 +191,14 @@ def _over_batches(pieces: DataFrame, keys: tuple[str, ...], kind: str, rows_of:
                 bounds, at, v, flipped, numbers = found(rows[first:last])
                 row = np.searchsorted(bounds, at, "right") - 1
                 columns = [pa.array((at - bounds[row] + begins[first + row]).astype(np.int64)), v, flipped]
-                if once and len(at):
-                    order = np.lexsort((*numbers, row))
-                    new = np.concatenate([[True], np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in (row, *numbers)])])
-                    keep = order[new]
-                    row, columns = row[keep], [c.take(pa.array(keep)) for c in columns]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(first + row)) for c in keys), *columns], names=[*keys, "position", "v", "flipped"])
+                if once:  # places and flips stay here
+                    keep = _first_of_each([row, *numbers]) if len(at) else np.zeros(0, np.int64)
+                    row, columns = row[keep], [v.take(pa.array(keep))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(first + row)) for c in keys), *columns], names=[*keys, *(["v"] if once else ["position", "v", "flipped"])])
 
     own = pieces.select(*keys, "_at", "_s")
     kinds = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in keys)
-    return own.mapInArrow(each, f"{kinds}, position long, v {kind}, flipped boolean")
+    return own.mapInArrow(each, f"{kinds}, v {kind}" if once else f"{kinds}, position long, v {kind}, flipped boolean")
 
 
 def hashed(kmer: Column) -> Column:
@@ -192,7 +230,7 @@ def distinct_minimizers(df: DataFrame, *keys: str, k: int = K, w: int = W, key:
     if key not in (canonical, alphabetic):
         return minimizers(df, *keys, k=k, w=w, key=key, sequence=sequence).select(*keys, "v").distinct()
     several = df.groupBy(*keys).agg(F.count("*").alias("_n"), F.max(F.length(sequence)).alias("_most")).where((F.col("_n") > 1) | (F.col("_most") > PIECE)).select(*keys)
-    one = _minimizers(df.join(several, [*keys], "left_anti"), keys, k, w, key, sequence, once=True).select(*keys, "v")
+    one = _minimizers(df.join(several, [*keys], "left_anti"), keys, k, w, key, sequence, once=True)
     return one.unionByName(_minimizers(df.join(several, [*keys], "left_semi"), keys, k, w, key, sequence).select(*keys, "v").distinct())
 
 

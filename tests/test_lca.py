@@ -183,3 +183,41 @@ def test_spread_of_one_large_row_group(spark, tmp_path, monkeypatch):
     own = proxy.spread(spark.read.parquet(str(tmp_path / "one")))
     assert own.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
     assert own.count() == 10_000 and own.groupBy(F.spark_partition_id()).count().count() == own.rdd.getNumPartitions()
+
+
+def test_distinct_minimizers_leave_the_row_alone(spark):
+    """Neither places nor flips, which nobody reads, go through the JVM with each distinct minimizer."""
+    from germlight.operators import minimizers
+
+    rows = spark.createDataFrame([(1, "ab cd ab cd ab cd"), (2, "")], "doc_id long, sequence string")
+    plan = minimizers.distinct_minimizers(rows, "doc_id", k=3, w=2, key=minimizers.alphabetic)._jdf.queryExecution().executedPlan().toString()
+    made = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(made) == 2 and sum("position" in line or "flipped" in line for line in made) == 1
+
+
+def test_first_of_each_is_exact_where_mixed_numbers_meet(monkeypatch):
+    import numpy as np
+
+    from germlight.operators import minimizers
+
+    numbers = [np.array([0, 0, 0, 1, 1]), np.array([5, 7, 5, 5, 5], np.uint64)]
+    assert minimizers._first_of_each(numbers).tolist() in ([0, 1, 3], [0, 1, 4], [1, 2, 3], [1, 2, 4])
+    monkeypatch.setattr(minimizers, "mixed", lambda x: np.zeros(len(x), np.int64))
+    kept = minimizers._first_of_each(numbers)
+    assert sorted(zip(*(x[kept].tolist() for x in numbers))) == [(0, 5), (0, 7), (1, 5)]
+
+
+def test_least_windows_equal_brute_force():
+    """Windows of two-word keys, within sequences only; one shorter than a window has its least key."""
+    import numpy as np
+
+    from germlight.operators import minimizers
+
+    random = np.random.default_rng(7)
+    for w in (1, 2, 3, 5, 6, 8, 11):
+        sizes = random.integers(0, 15, 30)
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        words = [random.integers(0, 3, bounds[-1]).astype(np.uint64), random.integers(0, 3, bounds[-1]).astype(np.uint64)]
+        keys = list(zip(*(x.tolist() for x in words)))
+        expected = {min(range(i, min(i + w, first + n)), key=lambda j: (keys[j], j)) for first, n in zip(bounds[:-1].tolist(), sizes.tolist()) if n for i in range(first, first + max(n - w, 0) + 1)}
+        assert minimizers._least(words, bounds, sizes, w).tolist() == sorted(expected)
