@@ -558,9 +558,9 @@ _LINE_READS = "SELECT concat(l_orderkey, '_', l_linenumber) AS name, repeat('ACG
 
 
 def _line_reads(spark, sf_dir) -> DataFrame:
-    """A read for each line item."""
+    """A read for each line item; texts are made after the rows are dealt out."""
     n = F.col("l_quantity").cast("int")
-    return table(spark, sf_dir, "lineitem").select(F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("name"), F.repeat(F.lit("ACGT"), n).alias("sequence"), F.repeat(F.lit("I@#+"), n).alias("quality"))
+    return spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")).select(F.concat_ws("_", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("name"), F.repeat(F.lit("ACGT"), n).alias("sequence"), F.repeat(F.lit("I@#+"), n).alias("quality"))
 
 
 @query(f"{_LINE_READS} WHERE 4 * CAST(l_quantity AS INT) BETWEEN 50 AND 150")

@@ -8,12 +8,14 @@ import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from germlight.sources.bai import bin_of
+from germlight.sources.bai import LEVELS, bin_of
 from germlight.sources.files import _store
 
 #: Fixed values of the format: base codes, operations, most bytes of data in a block, the bin of a record without a place, and the empty block that ends a file.
@@ -25,6 +27,9 @@ FIELDS = ("read_id", "flag", "reference_name", "reference_start", "mapq", "cigar
 
 _CIGAR = re.compile(r"(\d+)([MIDNSHP=X])")
 _NIBBLE = bytes(BASES.find(chr(b).upper()) if BASES.find(chr(b).upper()) >= 0 else 15 for b in range(256))
+_CODES = np.frombuffer(_NIBBLE, np.uint8)
+#: A record's first 36 bytes.
+_CORE = np.dtype([("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("steps", "<u2"), ("flag", "<u2"), ("bases", "<i4"), ("mate", "<i4"), ("mate_pos", "<i4"), ("length", "<i4")])
 
 
 def _block(data: bytes) -> bytes:
@@ -52,24 +57,24 @@ def encoded(read_id: str, flag: int, reference: int, start: int, mapq: int, ciga
     return struct.pack("<i", len(body)) + body
 
 
-def write_blocks(rows: DataFrame, folder: str, suffix: str, head: bytes, encode: Callable[..., bytes]) -> list[str]:
-    """Writes head and then encode(*row) of every row, in order, as gzip blocks that state their length, a file a partition; returns the files' names, in order."""
+def write_blocks(rows: DataFrame, folder: str, suffix: str, head: bytes, encode: Callable[[pa.RecordBatch], bytes]) -> list[str]:
+    """Writes head and then encode(batch) of all rows, in order, as gzip blocks that state their length, a file a partition; returns the files' names, in order."""
     parts = f"_parts-{uuid.uuid4().hex}"
     store, path = _store(folder)
     store.create_dir(f"{path}/{parts}", recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = _store(folder)
-        name, data = f"{TaskContext.get().partitionId():06}-{uuid.uuid4().hex}{suffix}", bytearray(head)
+        name, data = f"{TaskContext.get().partitionId():06}-{uuid.uuid4().hex}{suffix}", head
         with store.open_output_stream(f"{path}/{parts}/{name}", compression=None) as out:
             for batch in batches:
-                for row in zip(*(c.to_pylist() for c in batch.columns)):
-                    data += encode(*row)
-                    while len(data) >= BLOCK:
-                        out.write(_block(bytes(data[:BLOCK])))
-                        del data[:BLOCK]
+                data += encode(batch)
+                full = len(data) // BLOCK * BLOCK
+                for at in range(0, full, BLOCK):
+                    out.write(_block(data[at : at + BLOCK]))
+                data = data[full:]
             if data:
-                out.write(_block(bytes(data)))
+                out.write(_block(data))
             out.write(END)
         yield pa.RecordBatch.from_pydict({"name": [name]})
 
@@ -80,6 +85,73 @@ def write_blocks(rows: DataFrame, folder: str, suffix: str, head: bytes, encode:
     return names
 
 
+def values_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, bytes) of a column of texts or bytes without nulls, one value after another."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return offsets - offsets[0], data
+
+
+def binary(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def records_of(batch: pa.RecordBatch, number: dict[str, int], tags: tuple[str, str]) -> bytes:
+    """encoded() of every row of FIELDS, a column at a time."""
+    n = len(batch)
+    if not n:
+        return b""
+    columns = dict(zip(FIELDS, batch.columns))
+
+    def whole(name: str, missing: int, low: int, high: int) -> np.ndarray:
+        found = pc.fill_null(columns[name].cast(pa.int64()), missing).to_numpy(zero_copy_only=False)
+        if found.min() < low or found.max() > high:
+            raise ValueError(f"{name} from {found.min()} to {found.max()} in a BAM record")
+        return found
+
+    def each(column: pa.Array, of: Callable[[str | None], object]) -> tuple[np.ndarray, list]:
+        """Which of the results, and the results, of a column's different values."""
+        coded = column.dictionary_encode(null_encoding="encode")
+        return coded.indices.to_numpy(zero_copy_only=False), [of(x) for x in coded.dictionary.to_pylist()]
+
+    text = lambda name: columns[name].cast(pa.large_binary())
+    join = lambda *parts: pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.large_binary()))
+    one = lambda value: pa.scalar(value, pa.large_binary())
+    names = pc.fill_null(text("read_id"), b"")
+    names = join(pc.if_else(pc.equal(pc.binary_length(names), 0), one(b"*"), names), one(b"\0"))
+    of_name = np.diff(values_of(names)[0])
+    which, steps = each(columns["cigar"], lambda cigar: _CIGAR.findall(cigar or ""))
+    operations = pa.array([b"".join(struct.pack("<I", int(m) << 4 | OPERATIONS.index(op)) for m, op in x) for x in steps], pa.large_binary()).take(pa.array(which))
+    n_steps, on = (np.array(x, np.int64)[which] for x in ([len(x) for x in steps], [sum(int(m) for m, op in x if op in "MDN=X") for x in steps]))
+    which, found = each(columns["reference_name"], lambda name: number.get(name, -1))
+    reference = np.array(found, np.int64)[which]
+    start, flag, mapq = whole("reference_start", -1, -(1 << 31), (1 << 31) - 1), whole("flag", 0, 0, 0xFFFF), whole("mapq", 0, 0, 0xFF)
+    if columns["flag"].null_count or of_name.max() > 0xFF or n_steps.max() > 0xFFFF:
+        raise ValueError("a flag is missing, or a name or CIGAR is too long for a BAM record")
+    # Two bases a byte; an odd number gets one more of code 0.
+    bases = pc.fill_null(text("sequence"), b"")
+    n_bases = np.diff(values_of(bases)[0])
+    offsets, letters = values_of(join(bases, pc.if_else(pa.array(n_bases % 2 == 1), one(b"="), one(b""))))
+    codes = _CODES[letters]
+    packed = binary(offsets // 2, codes[::2] << 4 | codes[1::2])
+    quality = pc.fill_null(text("quality"), b"")
+    offsets, phred = values_of(quality)
+    if len(phred) and phred.min() < 33:
+        raise ValueError("a quality below ! in a BAM record")
+    none = np.diff(offsets) == 0
+    unknown = np.concatenate([[0], np.cumsum(np.where(none, n_bases, 0))])
+    quality = join(binary(offsets, phred - np.uint8(33)), binary(unknown, np.full(unknown[-1], 0xFF, np.uint8)))
+    extra = [pc.fill_null(join(one(tag.encode() + b"Z"), text(name), one(b"\0")), b"") for tag, name in zip(tags, ("barcode", "umi"))]
+    rest = join(names, operations, packed, quality, *extra)
+    core = np.zeros(n, _CORE)
+    last = np.maximum(start + on, start + 1) - 1
+    core["bin"] = np.where(start < 0, UNPLACED, np.select([start >> bits == last >> bits for _, bits in LEVELS], [first + (start >> bits) for first, bits in LEVELS], 0)) & 0xFFFF
+    for name, values in (("size", np.diff(values_of(rest)[0]) + 32), ("ref", reference), ("pos", start), ("name", of_name), ("mapq", mapq), ("steps", n_steps), ("flag", flag), ("bases", n_bases), ("mate", -1), ("mate_pos", -1)):
+        core[name] = values
+    return values_of(join(binary(np.arange(n + 1) * 36, core.view(np.uint8)), rest))[1].tobytes()
+
+
 def write_bam(reads: DataFrame, folder: str, references: list[tuple[str, int]], barcode_tag: str = "CB", umi_tag: str = "UB", coordinate_sorted: bool = False) -> list[str]:
     """Writes reads (columns FIELDS) and returns the files' names, in order. With coordinate_sorted the records of all files follow each other by place."""
     number = {name: i for i, (name, _) in enumerate(references)}
@@ -87,8 +159,4 @@ def write_bam(reads: DataFrame, folder: str, references: list[tuple[str, int]],
     if coordinate_sorted:
         place = F.create_map(*(F.lit(x) for pair in number.items() for x in pair))[F.col("reference_name")] if number else F.lit(None).cast("int")
         rows = rows.sort(place.asc_nulls_last(), "reference_start", "read_id").select(*FIELDS)
-
-    def encode(read_id, flag, reference, start, mapq, cigar, sequence, quality, barcode, umi) -> bytes:
-        return encoded(read_id, flag, number.get(reference, -1), -1 if start is None else start, mapq or 0, cigar, sequence, quality, {barcode_tag: barcode, umi_tag: umi})
-
-    return write_blocks(rows, folder, ".bam", header(references, "coordinate" if coordinate_sorted else "unsorted"), encode)
+    return write_blocks(rows, folder, ".bam", header(references, "coordinate" if coordinate_sorted else "unsorted"), lambda batch: records_of(batch, number, (barcode_tag, umi_tag)))

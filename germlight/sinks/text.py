@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from germlight.functions.scalar import fasta_text, fastq_text
 from germlight.operators.reads import unique_barcodes
-from germlight.sinks.bam import write_blocks
+from germlight.sinks.bam import values_of, write_blocks
 
 
 def _write(lines: DataFrame, path: str, compress: bool, mode: str) -> None:
@@ -21,7 +21,13 @@ def write_fastq(reads: DataFrame, path: str, compress: bool = False, name: str =
 
 def write_fastq_blocks(reads: DataFrame, path: str, name: str = "read_id") -> list[str]:
     """A folder of .fastq.gz files of gzip blocks, a file a partition; the files' names, in order."""
-    return write_blocks(reads.select(fastq_text(F.col(name), F.col("sequence"), F.col("quality"))), path, ".fastq.gz", b"", lambda text: text.encode() + b"\n")
+
+    def encode(batch) -> bytes:
+        if batch.column(0).null_count:
+            raise ValueError("a read without a name")
+        return values_of(batch.column(0))[1].tobytes()
+
+    return write_blocks(reads.select(F.concat(fastq_text(F.col(name), F.col("sequence"), F.col("quality")), F.lit("\n"))), path, ".fastq.gz", b"", encode)
 
 
 def write_fasta(reads: DataFrame, path: str, compress: bool = False, name: str = "read_id", mode: str = "errorifexists") -> None:

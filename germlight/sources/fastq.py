@@ -11,15 +11,19 @@ import gzip
 import io
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from germlight.schemas import FASTQ
 from germlight.sources.bam import Blocks, find_block, is_block
-from germlight.sources.files import list_files, open_file
+from germlight.sources.files import cuts, open_file
 
 #: Bytes of a file that a task reads.
 SPLIT = 64 << 20
 BATCH = 4096
+#: Bytes that are taken apart at once, where records are plain.
+AT_ONCE = 1 << 20
+NAMES = ["name", "sequence", "plus", "quality"]
 
 
 class Span(InputPartition):
@@ -104,24 +108,66 @@ def find_record(stream) -> None:
                 return
 
 
-def _records_of(file, span: Span) -> Iterator[tuple[str, str, str, str]]:
-    """The span's own records."""
+def _columns(own: Blocks, end: int, at_once: int = AT_ONCE):
+    """Batches of the records that lie whole in the blocks before end, a column at a time; leaves the place of the first one that doesn't, or that isn't four plain lines."""
+    import pyarrow as pa
+
+    least = at_once
+    while True:
+        while own.next < end and len(own.data) - own.at < least and own.more():
+            pass
+        data, begin = own.data, own.at
+        bytes_ = np.frombuffer(data, np.uint8)[begin:]
+        ends = np.flatnonzero(bytes_ == 10)
+        # A record is the span's own if the byte before it is.
+        limit = next((at for at, block in own.starts if block >= end), len(data)) - begin
+        n = min(len(ends) // 4, 1 + int(np.searchsorted(ends[3::4] + 1, limit, "right")))
+        if not n or limit < 0:
+            if len(bytes_) < least:
+                return
+            least *= 2
+            continue
+        ends = ends[: 4 * n]
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        if np.any(bytes_[starts[::4]] != 64) or np.any(bytes_[starts[2::4]] != 43) or data.find(b"\r", begin, begin + int(ends[-1])) >= 0:
+            return
+        # Every byte belongs to one of nine texts of a record: @, four lines, four line ends.
+        edges = np.empty((n, 9), np.int32)
+        edges[:, 0], edges[:, 1] = starts[::4], starts[::4] + 1
+        edges[:, 2::2], edges[:, 3::2] = ends.reshape(n, 4), starts.reshape(n, 4)[:, 1:]
+        texts = pa.StringArray.from_buffers(9 * n, pa.py_buffer(np.append(edges.ravel(), np.int32(ends[-1] + 1))), pa.py_buffer(bytes_))
+        if bytes_.max() > 127:
+            texts.validate(full=True)
+        own.at, least = begin + int(ends[-1]) + 1, at_once
+        yield pa.RecordBatch.from_arrays([texts.take(pa.array(np.arange(i, 9 * n, 9))) for i in (1, 3, 5, 7)], names=NAMES)
+
+
+def _records_of(file, span: Span) -> Iterator:
+    """The span's own records, as rows or as batches of them."""
     if not span.path.endswith(".gz"):
         stream = io.BufferedReader(file)
         if span.start:
             stream.seek(span.start - 1)
             find_record(stream)
-        return records(stream, span.path, span.end)
+        yield from records(stream, span.path, span.end)
+        return
     if not is_block(file, 0, follow=1):
         file.seek(0)
-        return records(io.BufferedReader(gzip.GzipFile(fileobj=file)), span.path) if not span.start else iter(())
+        if not span.start:
+            yield from records(io.BufferedReader(gzip.GzipFile(fileobj=file)), span.path)
+        return
     first = find_block(file, span.start, span.end)
     if first < 0:
-        return iter(())
+        return
     lines = BlockLines(file, first)
     if span.start:
         find_record(lines)
-    return records(lines, span.path, (span.end,))
+    if lines.tell() < (span.end,):
+        own = lines.blocks
+        for batch in _columns(own, span.end):
+            lines.held = next(block for at, block in reversed(own.starts) if at < own.at)
+            yield batch
+        yield from records(lines, span.path, (span.end,))
 
 
 class FastqReader(DataSourceReader):
@@ -129,17 +175,24 @@ class FastqReader(DataSourceReader):
         self.path, self.split = path, split
 
     def partitions(self) -> list[Span]:
-        return [Span(path, at, min(at + self.split, size)) for path, size in list_files(self.path) for at in range(0, size, self.split)]
+        files, split = cuts(self.path, self.split)
+        return [Span(path, at, min(at + split, size)) for path, size in files for at in range(0, size, split)]
 
     def read(self, partition: Span) -> Iterator:
         import pyarrow as pa
 
+        if partition is None:  # Spark's stand-in where there is nothing to read
+            return
+        made = lambda batch: pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*batch)], names=NAMES)
         with open_file(partition.path) as file:
             batch: list[tuple] = []
             for row in _records_of(file, partition):
+                if isinstance(row, pa.RecordBatch):
+                    yield row
+                    continue
                 batch.append(row)
                 if len(batch) == BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*batch)], names=["name", "sequence", "plus", "quality"])
+                    yield made(batch)
                     batch = []
             if batch:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*batch)], names=["name", "sequence", "plus", "quality"])
+                yield made(batch)

@@ -34,3 +34,13 @@ def open_file(path: str):
     """A seekable binary file."""
     store, name = _store(path)
     return store.open_input_file(name)
+
+
+#: Spans that files are cut into, each a task which the driver plans: no more than MOST of them, unless spans of LARGE bytes are more.
+MOST, LARGE = 1024, 64 << 20
+
+
+def cuts(path: str, split: int, suffixes: tuple[str, ...] = ()) -> tuple[list[tuple[str, int]], int]:
+    """The files under path, and the bytes of a span: split, or more where that would make more than MOST spans."""
+    files = list_files(path, suffixes)
+    return files, max(split, min(-(-sum(size for _, size in files) // MOST), LARGE))

@@ -415,3 +415,54 @@ def test_bam_sink_in_coordinate_order(spark, tmp_path):
     assert places == sorted(places) and len(got) == 201 and got[-1]["read_id"] == "u" and got[-1]["umi"] == "U"
     assert {(r["cigar"], r["sequence"], r["quality"], r["barcode"]) for r in got[:-1]} == {("3M1I2S", "ACGTNA", "IIII#I", "AC")}
     assert sorted(x.name for x in (tmp_path / "b").iterdir()) == names
+
+
+def test_fastq_blocks_in_columns_equal_rows(tmp_path, monkeypatch):
+    """Plain records are taken a column at a time, others a line at a time, at every way to cut the file; and few tasks read a file however small the split is."""
+    from germlight.sinks.bam import END, _block
+    from germlight.sources import fastq, files
+
+    odd = {40: "\n@odd\r\nAC\r\n+\r\n@I\r\n", 90: "\n\n"}
+    text = "".join(odd.get(i, "") + f"@r{i} \u00e9\n{'ACGT' * (i % 40)}\n+\n{'@I+#' * (i % 40)}\n" for i in range(160)).encode()
+    expected = list(fastq.records(__import__("io").BytesIO(text), "x"))
+    path = str(tmp_path / "a.fastq.gz")
+    with open(path, "wb") as f:
+        f.write(b"".join(_block(text[at : at + 700]) for at in range(0, len(text), 700)) + END)
+
+    def got(split, **_):
+        reader = fastq.FastqReader(path, split)
+        return [row for span in reader.partitions() for batch in reader.read(span) for row in zip(*(c.to_pylist() for c in batch.columns))]
+
+    for at_once in (1 << 20, 900):
+        monkeypatch.setattr(fastq._columns, "__defaults__", (at_once,))
+        for split in (37, 150, 400, 1000, 1 << 20):
+            assert got(split) == expected
+    monkeypatch.setattr(files, "MOST", 3)
+    assert len(fastq.FastqReader(path, 37).partitions()) == 3 and got(37) == expected
+    calls = []
+    monkeypatch.setattr(fastq, "records", lambda *a: calls.append(a) or iter(()))
+    plain = text.split(b"\n@odd")[0]
+    with open(path, "wb") as f:
+        f.write(b"".join(_block(plain[at : at + 700]) for at in range(0, len(plain), 700)) + END)
+    assert len(got(1 << 20)) == 40 and calls  # all whole records without the reader of lines
+
+
+def test_bam_records_in_columns_equal_rows():
+    import random
+
+    from germlight.sinks import bam
+
+    random.seed(3)
+    some = lambda n, letters: "".join(random.choices(letters, k=n))
+    rows = []
+    for i in range(500):
+        n = random.choice([0, 1, 2, 7, 40])
+        rows.append((random.choice([None, "", f"r{i}", f"\u00fc{i}"]), random.choice([0, 4, 256, 2048]), random.choice([None, "chr1", "chr2", "zz"]), random.choice([None, 0, 5, 70_000, 1 << 20]), random.choice([None, 0, 60]), random.choice([None, "", "40M", "10M100N10M"]), random.choice([None, some(n, "ACGTNacgR\u00e9=")]), random.choice([None, "", some(n, "!IJ#~")]), random.choice([None, "", "AC-1"]), random.choice([None, "GG"])))
+    import pyarrow as pa
+
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.int32(), *[pa.string()] * 5]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=list(bam.FIELDS))
+    number = {"chr1": 0, "chr2": 1}
+    one = lambda name, flag, ref, start, mapq, cigar, seq, qual, cb, ub: bam.encoded(name, flag, number.get(ref, -1), -1 if start is None else start, mapq or 0, cigar, seq, qual, {"CB": cb, "UB": ub})
+    assert bam.records_of(batch, number, ("CB", "UB")) == b"".join(one(*r) for r in rows)
+    assert bam.records_of(batch.slice(100, 50), number, ("CB", "UB")) == b"".join(one(*r) for r in rows[100:150])
