@@ -17,24 +17,35 @@ import io
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StringType, StructField, StructType
 
 from germlight.functions.scalar import SECONDARY, SUPPLEMENTARY, UNMAPPED
 from germlight.schemas import READS
 from germlight.sources import bai, barcodes
-from germlight.sources.files import list_files, open_file
+from germlight.sources.files import cuts, open_file
 
 SPLIT, BATCH = 8 << 20, 4096
+#: Uncompressed bytes whose records are decoded together.
+AT_ONCE = 1 << 20
 #: Fixed values of the format: magic, codes of bases and CIGAR operations, sizes of tag values.
 BLOCK_MAGIC = b"\x1f\x8b\x08\x04"
 MAGIC, BASES, OPERATIONS = b"BAM\1", "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
 TAG_VALUES = {b"A": "c", b"c": "b", b"C": "B", b"s": "h", b"S": "H", b"i": "i", b"I": "I", b"f": "f"}
 _CORE = struct.Struct("<iiBBHHHiiii")
+CORE = np.dtype([("ref", "<i4"), ("pos", "<i4"), ("name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("steps", "<u2"), ("flag", "<u2"), ("bases", "<i4"), ("mate", "<i4"), ("mate_pos", "<i4"), ("length", "<i4")])
+#: Sizes of values by their kind's code, 0 for those without a fixed one; the letters of two packed bases, and of qualities.
+SIZES = np.zeros(256, np.int64)
+for _kind, _letter in TAG_VALUES.items():
+    SIZES[_kind[0]] = struct.calcsize("<" + _letter)
+PAIRS = np.array([[ord(BASES[b >> 4]), ord(BASES[b & 15])] for b in range(256)], np.uint8).view(np.uint16)[:, 0]
 #: Half a byte a base: a hexadecimal digit each. Qualities are written from `!` on.
 _OF_DIGIT = str.maketrans("0123456789abcdef", BASES)
 _OF_PHRED = bytes(min(q + 33, 126) for q in range(256))
+PHRED = np.frombuffer(_OF_PHRED, np.uint8)
 #: Records that must follow one another for a place to count as a record's start, and the longest that one may be.
 CHAIN, LONGEST = 5, 1 << 26
 
@@ -292,10 +303,96 @@ def region_of(text: str) -> tuple[str, int, int]:
     return name, max(0, int(first) - 1), int(last) if last else (bai.LIMIT if dash else int(first))
 
 
-def _end(data: bytes, pos: int, name: int, n_cigar: int) -> int:
-    """Where a record's bases end on its reference: past at least one."""
-    steps = struct.unpack_from(f"<{n_cigar}I", data, 32 + name)
-    return pos + max(1, sum(c >> 4 for c in steps if OPERATIONS[c & 15] in "MDN=X"))
+def _length(operations: bytes) -> int:
+    """Of a record's bases on its reference: at least one."""
+    return max(1, sum(c >> 4 for c in struct.unpack(f"<{len(operations) // 4}I", operations) if OPERATIONS[c & 15] in "MDN=X"))
+
+
+@dataclass
+class Chunk:
+    """Records in data: where the bytes of each begin and end, and the virtual offsets of its start and end."""
+
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+    references: list[tuple[str, int]]
+
+    def core(self) -> np.ndarray:
+        return np.frombuffer(self.data, np.uint8)[self.starts[:, None] + np.arange(32)].view(CORE)[:, 0]
+
+    def some(self, keep: np.ndarray) -> Chunk:
+        return Chunk(self.data, self.starts[keep], self.ends[keep], self.first[keep], self.last[keep], self.references)
+
+
+def _texts(data: bytes, starts: np.ndarray, ends: np.ndarray, has: np.ndarray | None = None):
+    """Stretches of data, one after another, as texts; null where has is false."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    edges = np.empty(2 * len(starts) + 1, np.int32)
+    edges[0:-1:2], edges[1::2] = starts, ends
+    edges[-1] = edges[-2]
+    found = pa.StringArray.from_buffers(2 * len(starts), pa.py_buffer(edges), pa.py_buffer(data)).take(pa.array(np.arange(0, 2 * len(starts), 2)))
+    found.validate(full=True)
+    return found if has is None else pc.if_else(pa.array(has), found, pa.scalar(None, pa.string()))
+
+
+def _bases(data: bytes, bases: np.ndarray, phred: np.ndarray, after: np.ndarray, n: np.ndarray) -> tuple:
+    """(sequences, qualities) of packed bases from `bases` to `phred` and n qualities from there on."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    raw = np.frombuffer(data, np.uint8)
+    ends = np.concatenate([[0], np.cumsum(phred - bases)])
+    letters = PAIRS[raw[np.arange(ends[-1]) + np.repeat(bases - ends[:-1], phred - bases)]].view(np.uint8).tobytes()
+    sequences = _texts(letters, 2 * ends[:-1], 2 * ends[:-1] + n)
+    ends = np.concatenate([[0], np.cumsum(after - phred)])
+    letters = PHRED[raw[np.arange(ends[-1]) + np.repeat(phred - ends[:-1], after - phred)]].tobytes()
+    none = (n > 0) & (raw[np.minimum(phred, len(raw) - 1)] == 0xFF)
+    return sequences, pc.if_else(pa.array(none), "", _texts(letters, ends[:-1], ends[1:]))
+
+
+def _next(places: np.ndarray, at: np.ndarray, none: int) -> np.ndarray:
+    """The first of places at or after each of at; none if there isn't one."""
+    return np.append(places, none)[np.searchsorted(places, at)]
+
+
+def _before_dash(chunk: Chunk, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    dashes = np.flatnonzero(np.frombuffer(chunk.data, np.uint8) == 45)
+    return starts, np.minimum(ends, _next(dashes, starts, len(chunk.data)))
+
+
+def _text_tags(chunk: Chunk, at: np.ndarray, wanted: tuple[str, ...]) -> tuple[list[tuple[tuple[np.ndarray, np.ndarray], np.ndarray]], np.ndarray]:
+    """For each wanted tag ((starts, ends) of its last text, which records have it), its place being the record's end if not; and the records to be decoded alone, since such a tag is no
+    text or one can't be read. The n-th tags of all records are read together."""
+    raw = np.frombuffer(chunk.data, np.uint8)
+    zeros, odd, at = np.flatnonzero(raw == 0), np.zeros(len(at), bool), at.copy()
+    found = [((chunk.ends.copy(), chunk.ends.copy()), np.zeros(len(at), bool)) for _ in wanted]
+    codes = [int.from_bytes(x.encode()) if len(x.encode()) == 2 else -1 for x in wanted]
+    live = np.flatnonzero(at + 3 <= chunk.ends)
+    while len(live):
+        here, end = at[live], chunk.ends[live]
+        name, kind = raw[here].astype(np.int64) << 8 | raw[here + 1], raw[here + 2]
+        text = (kind == 90) | (kind == 72)
+        close = _next(zeros, here + 3, len(raw))
+        after = np.where(text, close + 1, here + 3 + SIZES[kind])
+        array = np.flatnonzero(kind == 66)
+        for i in array.tolist():
+            place = int(here[i]) + 3
+            size = int(SIZES[raw[place]]) if place + 5 <= end[i] else 0
+            after[i] = place + 5 + struct.unpack_from("<i", chunk.data, place + 1)[0] * size if size else 0
+        bad = (after > end) | (after <= here + 3) | (raw[np.minimum(here, len(raw) - 1)] > 127) | (raw[here + 1] > 127)
+        for ((starts, ends), has), code in zip(found, codes):
+            mine = (name == code) & ~bad
+            bad |= mine & ~text
+            mine &= text
+            starts[live[mine]], ends[live[mine]], has[live[mine]] = here[mine] + 3, close[mine], True
+        odd[live[bad]] = True
+        at[live] = after
+        live = live[~bad & (after + 3 <= end)]
+    return found, odd
 
 
 class BamReader(DataSourceReader):
@@ -308,12 +405,13 @@ class BamReader(DataSourceReader):
         self.region: tuple[str, int, int] | None = region_of(options["region"]) if options.get("region") else None
 
     def partitions(self) -> list[Span]:
-        return [span for path, size in list_files(self.path, (".bam",)) for span in self._spans(path, size)]
+        files, split = cuts(self.path, self.split, (".bam",))
+        return [span for path, size in files for span in self._spans(path, size, split)]
 
-    def _spans(self, path: str, size: int) -> Iterator[Span]:
+    def _spans(self, path: str, size: int, split: int) -> Iterator[Span]:
         index = bai.read_index(path) if self.region else None
         if index is None:
-            yield from (Span(path, at, min(at + self.split, size)) for at in range(0, size, self.split))
+            yield from (Span(path, at, min(at + split, size)) for at in range(0, size, split))
             return
         with open_file(path) as raw:
             names = [name for name, _ in read_header(Blocks(io.BufferedReader(raw, 1 << 16)))]
@@ -323,15 +421,8 @@ class BamReader(DataSourceReader):
             for at in range(first >> 16, stop, self.split):
                 yield Span(path, at, min(at + self.split, stop), first & 0xFFFF if at == first >> 16 else None, last)
 
-    def _wanted(self, flag: int, mapq: int) -> bool:
-        if not self.candidates:
-            return True
-        if flag & (SECONDARY | SUPPLEMENTARY):
-            return False
-        return self.unmapped if flag & UNMAPPED else self.low_mapq and mapq < self.mapq
-
-    def records(self, span: Span) -> Iterator[tuple[int, int, list[tuple[str, int]], bytes]]:
-        """(virtual offsets of its start and end, references, bytes) of each record that starts in the span."""
+    def chunks(self, span: Span, at_once: int = AT_ONCE) -> Iterator[Chunk]:
+        """The records that start in the span, many at a time."""
         with open_file(span.path) as raw:
             file = io.BufferedReader(raw, 1 << 20)
             blocks = Blocks(file)
@@ -347,29 +438,109 @@ class BamReader(DataSourceReader):
                 blocks = Blocks(file, first)
                 if not find_record(blocks, span.end, references):
                     return
-            while blocks.need(1):
-                block, inside = blocks.place()
-                ordinal = (block << 16) | inside
-                if block >= span.end or (span.until is not None and ordinal >= span.until):
+            size_of = struct.Struct("<i").unpack_from
+            while True:
+                while len(blocks.data) - blocks.at < at_once and blocks.next < span.end and blocks.more():
+                    pass
+                data, at, starts = blocks.data, blocks.at, []
+                while at + 4 <= len(data):
+                    after = at + 4 + size_of(data, at)[0]
+                    if after > len(data):
+                        break
+                    if after < at + 36:
+                        raise ValueError("a record that is too short")
+                    starts.append(at)
+                    at = after
+                edges = np.array([*starts, at], np.int64)
+                of_data, of_file = (np.array(x, np.int64) for x in zip(*blocks.starts)) if blocks.starts else (np.zeros(0, np.int64),) * 2
+                block = np.searchsorted(of_data, edges, "right") - 1
+                places = of_file[block] << 16 | edges - of_data[block] if len(of_data) else edges
+                if at == len(data):
+                    places[-1] = blocks.next << 16
+                own = (places[:-1] >> 16 < span.end) & ((places[:-1] < span.until) if span.until is not None else True)
+                n = int(np.argmin(own)) if not own.all() else len(own)
+                if n:
+                    blocks.at = int(edges[n])
+                    yield Chunk(data, edges[:n] + 4, edges[1 : n + 1], places[:n], places[1 : n + 1], references)
+                if n < len(own) or (places[n] >> 16) >= span.end or (span.until is not None and places[n] >= span.until):
+                    return
+                if not blocks.more():
+                    if blocks.at < len(blocks.data):
+                        raise ValueError("the file ends within a record")
                     return
-                data = blocks.take(struct.unpack("<i", blocks.take(4))[0])
-                block, inside = blocks.place()
-                yield ordinal, (block << 16) | inside, references, data
 
-    def rows(self, span: Span) -> Iterator[tuple]:
+    def batches(self, span: Span) -> Iterator:
+        """Columns of READS, of many records at once. Records with a tag that isn't plain text where text is looked for are decoded one by one."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         known = barcodes.slots(self.slots) if self.slots else None
-        for ordinal, _, references, data in self.records(span):
-            ref, pos, name, mapq, _, n_cigar, flag, n_bases, _, _, _ = _CORE.unpack_from(data)
-            if not self._wanted(flag, mapq):
-                continue
+        cigars: dict[bytes, tuple[str | None, int]] = {}
+        fields = READS.fieldNames()
+        for chunk in self.chunks(span):
+            data, core = chunk.data, chunk.core()
+            flag, mapq, ref, pos = (core[x].astype(np.int64) for x in ("flag", "mapq", "ref", "pos"))
+            keep = np.ones(len(core), bool)
+            if self.candidates:
+                keep = (flag & (SECONDARY | SUPPLEMENTARY) == 0) & np.where(flag & UNMAPPED != 0, self.unmapped, self.low_mapq & (mapq < self.mapq))
             if self.region is not None:
                 reference, start, end = self.region
-                if flag & UNMAPPED or ref < 0 or references[ref][0] != reference or pos >= end or _end(data, pos, name, n_cigar) <= start:
-                    continue
-            if known is not None and not barcodes.maybe(tag_text(data, 32 + name + 4 * n_cigar + (n_bases + 1) // 2 + n_bases, self.barcode.encode()), known):
+                inside = np.array([name == reference for name, _ in chunk.references] + [False])
+                keep &= (flag & UNMAPPED == 0) & (ref >= 0) & inside[ref] & (pos < end)
+            if not keep.all():
+                chunk, core, flag, mapq, ref, pos = chunk.some(keep), core[keep], flag[keep], mapq[keep], ref[keep], pos[keep]
+            if not len(core):
                 continue
-            row = self._row(data, ordinal, references, ref, pos, name, mapq, n_cigar, flag, n_bases)
-            yield (*row, span.path) if self.with_file else row
+            operations = chunk.starts + 32 + core["name"]
+            bases = operations + 4 * core["steps"].astype(np.int64)
+            phred = bases + (core["bases"].astype(np.int64) + 1) // 2
+            after = phred + core["bases"]
+            if np.any(core["bases"] < 0) or np.any(after > chunk.ends) or np.any(core["name"] < 1):
+                raise ValueError("a record that is shorter than its fields")
+            steps = []
+            for a, b in zip(operations.tolist(), bases.tolist()):
+                own = data[a:b]
+                found = cigars.get(own)
+                if found is None:
+                    codes = struct.unpack(f"<{len(own) // 4}I", own)
+                    found = "".join(f"{c >> 4}{OPERATIONS[c & 15]}" for c in codes) or None, max(1, sum(c >> 4 for c in codes if OPERATIONS[c & 15] in "MDN=X"))
+                    if len(cigars) > BATCH:
+                        cigars.clear()
+                    cigars[own] = found
+                steps.append(found)
+            texts, odd = _text_tags(chunk, after, (self.barcode, self.umi, "CG"))
+            odd |= texts[2][1]
+            keep = np.ones(len(core), bool)
+            if self.region is not None:
+                keep &= pos + np.array([on for _, on in steps], np.int64) > self.region[1]
+            cut, has = texts[0]
+            barcode = _texts(data, *_before_dash(chunk, *cut), has)
+            if known is not None:
+                coded = barcode.cast(pa.binary()).dictionary_encode()
+                slot = np.array([False, *(barcodes.maybe(x, known) for x in coded.dictionary.to_pylist())])
+                keep &= slot[pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False) + 1] | odd
+            for i in np.flatnonzero(odd & keep).tolist() if known is not None else []:
+                keep[i] = barcodes.maybe(tag_text(data[: chunk.ends[i]], int(after[i]), self.barcode.encode()), known)
+            unmapped = flag & UNMAPPED != 0
+            names = pa.array([name for name, _ in chunk.references], pa.string())
+            flags = lambda x: pa.array(np.asarray(x, bool))
+            cut, has = texts[1]
+            columns = {
+                "read_id": _texts(data, chunk.starts + 32, operations - 1), "ordinal": pa.array(chunk.first), "barcode": barcode, "umi": _texts(data, *cut, has), "flag": pa.array(flag.astype(np.int32)), "mapq": pa.array(mapq.astype(np.int32)),
+                "is_unmapped": flags(unmapped), "is_secondary": flags(flag & SECONDARY), "is_supplementary": flags(flag & SUPPLEMENTARY), "reference_name": names.take(pa.array(np.maximum(ref, 0), mask=unmapped | (ref < 0))) if len(names) else pa.nulls(len(core), pa.string()),
+                "reference_start": pa.array(pos.astype(np.int32), mask=unmapped), "cigar": pc.if_else(flags(unmapped), pa.scalar(None, pa.string()), pa.array([x for x, _ in steps], pa.string())),
+            }
+            columns |= dict(zip(("sequence", "quality"), _bases(data, bases, phred, after, core["bases"]))) if self.with_sequence else dict.fromkeys(("sequence", "quality"), pa.nulls(len(core), pa.string()))
+            made = pa.RecordBatch.from_arrays([columns[name] for name in fields], names=fields)
+            if np.any(odd & keep):
+                at = np.flatnonzero(odd & keep)
+                alone = [self._row(data[chunk.starts[i] : chunk.ends[i]], int(chunk.first[i]), chunk.references, int(ref[i]), int(pos[i]), int(core["name"][i]), int(mapq[i]), int(core["steps"][i]), int(flag[i]), int(core["bases"][i])) for i in at.tolist()]
+                order = np.arange(len(core))
+                order[at] = len(core) + np.arange(len(at))
+                made = pa.RecordBatch.from_arrays([pa.concat_arrays([c, pa.array(x, c.type)]) for c, x in zip(made.columns, zip(*alone))], names=fields).take(pa.array(order))
+            if not keep.all():
+                made = made.filter(pa.array(keep))
+            yield made
 
     def _row(self, data, ordinal, references, ref, pos, name, mapq, n_cigar, flag, n_bases) -> tuple:
         at = 32 + name
@@ -397,14 +568,10 @@ class BamReader(DataSourceReader):
 
         if partition is None:  # Spark's stand-in where there is nothing to read
             return
-        schema, batch = to_arrow_schema(self.schema), []
-        for row in self.rows(partition):
-            batch.append(row)
-            if len(batch) == BATCH:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*batch), schema)], schema=schema)
-                batch = []
-        if batch:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*batch), schema)], schema=schema)
+        schema = to_arrow_schema(self.schema)
+        for batch in self.batches(partition):
+            file = [pa.array([partition.path] * len(batch), pa.string())] if self.with_file else []
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([*batch.columns, *file], schema)], schema=schema)
 
 
 class PlacesReader(BamReader):
@@ -428,10 +595,29 @@ class PlacesReader(BamReader):
 class PartsReader(BamReader):
     def rows(self, span: Span) -> Iterator[tuple]:
         def each() -> Iterator[tuple[int, int, int, int, int, int]]:
-            for first, last, _, data in self.records(span):
-                ref, pos, name, _, _, n_cigar, flag, _, _, _, _ = _CORE.unpack_from(data)
-                yield first, last, ref, pos, pos + 1 if flag & UNMAPPED else _end(data, pos, name, n_cigar), flag
+            for chunk in self.chunks(span):
+                core, data = chunk.core(), chunk.data
+                ends: dict[bytes, int] = {}
+                at = chunk.starts + 32 + core["name"]
+                for first, last, ref, pos, flag, a, b in zip(chunk.first.tolist(), chunk.last.tolist(), core["ref"].tolist(), core["pos"].tolist(), core["flag"].tolist(), at.tolist(), (at + 4 * core["steps"].astype(np.int64)).tolist()):
+                    if flag & UNMAPPED:
+                        yield first, last, ref, pos, pos + 1, flag
+                        continue
+                    own = data[a:b]
+                    if (on := ends.get(own)) is None:
+                        on = ends[own] = _length(own)
+                    yield first, last, ref, pos, pos + on, flag
 
         if span.start == 0:
             yield span.path, None, None, None, None, None  # a file without records has an index too
         yield from bai.parts_of(span, each())
+
+    def read(self, partition: Span) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        if partition is None:
+            return
+        schema, rows = to_arrow_schema(self.schema), list(self.rows(partition))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)

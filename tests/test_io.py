@@ -466,3 +466,53 @@ def test_bam_records_in_columns_equal_rows():
     one = lambda name, flag, ref, start, mapq, cigar, seq, qual, cb, ub: bam.encoded(name, flag, number.get(ref, -1), -1 if start is None else start, mapq or 0, cigar, seq, qual, {"CB": cb, "UB": ub})
     assert bam.records_of(batch, number, ("CB", "UB")) == b"".join(one(*r) for r in rows)
     assert bam.records_of(batch.slice(100, 50), number, ("CB", "UB")) == b"".join(one(*r) for r in rows[100:150])
+
+
+def test_bam_batches_equal_single_records(tmp_path):
+    """Columns decoded together equal the records decoded one by one, with tags of all kinds, repeated and missing ones, dashes, odd lengths, and however the file is cut."""
+    import random
+    import struct
+
+    from germlight.sinks import bam as sink
+    from germlight.sources.bam import _CORE, BamReader
+
+    random.seed(5)
+    out = bytearray(sink.header([("chr1", 1 << 29), ("chr2", 1 << 29)], "unsorted"))
+    some = lambda n, letters: "".join(random.choices(letters, k=n))
+    for i in range(700):
+        n = random.choice([0, 1, 2, 7, 40])
+        own = sink.encoded(random.choice(["", f"r{i}"]), random.choice([0, 4, 16, 256, 2048]), random.choice([-1, 0, 1]), random.choice([-1, 0, 5, 70_000]), random.choice([0, 20, 60]), random.choice([None, "40M", "10M100N10M", "5S3=2X1D"]), some(n, "ACGTN"), random.choice([None, some(n, "!IJ#~")]), {})
+        for _ in range(random.choice([0, 1, 2, 3, 5])):
+            k = random.choice([b"CB", b"UB", b"NM"])
+            own += random.choice([k + b"Z" + some(random.randint(0, 9), "ACGT-1").encode() + b"\0"] * 6 + [k + b"i" + struct.pack("<i", 7), k + b"Ax", k + b"C\5", k + b"f" + struct.pack("<f", 1.5), k + b"BI" + struct.pack("<i2I", 2, 160, 17), b"CGBI" + struct.pack("<i2I", 2, 160, 17)])
+        out += struct.pack("<i", len(own) - 4) + own[4:]
+    path = str(tmp_path / "odd.bam")
+    with open(path, "wb") as f:
+        f.write(b"".join(sink._block(bytes(out[at : at + 9000])) for at in range(0, len(out), 9000)) + sink.END)
+    for options in ({}, {"split": "5000"}, {"split": "3000", "sequence": "false"}, {"barcode_tag": "NM", "umi_tag": "CB"}):
+        reader = BamReader({"path": path, **options})
+        got = [row for span in reader.partitions() for batch in reader.read(span) for row in zip(*(c.to_pylist() for c in batch.columns))]
+        alone = []
+        for span in reader.partitions():
+            for chunk in reader.chunks(span, 1):
+                for a, b, first in zip(chunk.starts.tolist(), chunk.ends.tolist(), chunk.first.tolist()):
+                    data = chunk.data[a:b]
+                    ref, pos, name, mapq, _, steps, flag, bases, _, _, _ = _CORE.unpack_from(data)
+                    alone.append(reader._row(data, first, chunk.references, ref, pos, name, mapq, steps, flag, bases))
+        assert len(got) == 700 and got == alone
+
+
+def test_bam_is_read_by_few_tasks(tmp_path, monkeypatch):
+    """However small the split is, the driver plans no more spans than MOST for files of that size."""
+    from germlight.sinks import bam as sink
+    from germlight.sources import files
+    from germlight.sources.bam import BamReader
+
+    path = str(tmp_path / "a.bam")
+    out = sink.header([("chr1", 1000)], "unsorted") + b"".join(sink.encoded(f"r{i}", 0, 0, i, 9, "4M", "ACGT", None, {}) for i in range(900))
+    with open(path, "wb") as f:
+        f.write(b"".join(sink._block(out[at : at + 2000]) for at in range(0, len(out), 2000)) + sink.END)
+    monkeypatch.setattr(files, "MOST", 5)
+    reader = BamReader({"path": path, "split": "50"})
+    assert len(reader.partitions()) <= 5
+    assert [x for span in reader.partitions() for b in reader.read(span) for x in b.column(0).to_pylist()] == [f"r{i}" for i in range(900)]
