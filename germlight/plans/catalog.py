@@ -172,7 +172,8 @@ def sam_parse(spark, sf_dir):
         F.col("l_partkey").cast("string"), F.col("l_quantity").cast("int").cast("string"), F.lit("100M"), F.lit("*"), F.lit("0"), F.lit("0"), F.repeat(F.lit("A"), n), F.lit("*"), F.lit("AS:i:7"),
         F.concat(F.lit("NM:i:"), F.round(F.col("l_discount") * 100).cast("int").cast("string")),
     ]
-    lines = table(spark, sf_dir, "lineitem").select(F.concat_ws("\t", *fields).alias("value"))
+    rows = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_discount"))
+    lines = rows.select(F.concat_ws("\t", *fields).alias("value"))
     lines = lines.unionByName(spark.createDataFrame([("@HD\tVN:1.6",), ("short\tline",)], "value string"))
     return sam.parse_sam(lines).select("read_id", F.length("sequence").alias("length"), "mismatches", "mapq", "flag", "reference_name", "reference_start")
 

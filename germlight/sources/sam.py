@@ -18,7 +18,8 @@ def parse_sam(lines: DataFrame, column: str = "value") -> DataFrame:
     ordinal is the column of that name if lines have one, else the order in which Spark numbers the lines of its input partitions.
     """
     ordinal = F.col("ordinal") if "ordinal" in lines.columns else F.monotonically_increasing_id()
-    part = lines.select(ordinal.alias("ordinal"), F.split(stripped(F.col(column)), "\t").alias("f")).where((F.size("f") >= MANDATORY) & ~F.get("f", F.lit(0)).startswith("@"))
+    # As a generated row, so that a line is split once: filters on the fields would take the split along with each use of it.
+    part = lines.select(ordinal.alias("ordinal"), F.explode(F.array(F.split(stripped(F.col(column)), "\t"))).alias("f")).where((F.size("f") >= MANDATORY) & ~F.get("f", F.lit(0)).startswith("@"))
     tags = F.array_join(F.slice("f", MANDATORY + 1, F.greatest(F.size("f") - MANDATORY, F.lit(0))), "\t")
     f = lambda i, kind="string": F.get("f", F.lit(i)).cast(kind)
     return part.select(

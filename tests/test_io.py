@@ -516,3 +516,14 @@ def test_bam_is_read_by_few_tasks(tmp_path, monkeypatch):
     reader = BamReader({"path": path, "split": "50"})
     assert len(reader.partitions()) <= 5
     assert [x for span in reader.partitions() for b in reader.read(span) for x in b.column(0).to_pylist()] == [f"r{i}" for i in range(900)]
+
+
+def test_sam_lines_are_split_once(spark):
+    """However many fields and filters use the split, the plan holds it once."""
+    from germlight.sources import sam
+
+    lines = spark.createDataFrame([("r\t0\tchr1\t5\t60\t4M\t*\t0\t0\tACGT\t*\tNM:i:2 ",), ("@HD\tVN:1.6",), (None,)], "value string")
+    found = sam.parse_sam(lines).select("read_id", "mismatches", "mapq", "flag", "reference_start")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("regexp_replace(") == 1
+    assert [tuple(r) for r in found.collect()] == [("r", 2, 60, 0, 4)]
