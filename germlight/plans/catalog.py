@@ -520,10 +520,11 @@ def bam_index_totals(spark, sf_dir):
 
 @query(f"WITH {_PLACED_SQL} SELECT read_id, reference_name, reference_start, row_number() OVER (ORDER BY reference_name NULLS LAST, reference_start NULLS FIRST, read_id) AS place FROM placed")
 def bam_sorted_places(spark, sf_dir):
-    """Each record's number in the order of the written files: files are counted first, and numbered inside by their own places."""
-    own = spark.read.format("bam").options(sequence="false", file="true", split="400000").load(_indexed_bam(spark, sf_dir))
+    """Each record's number in the order of the written files: their indexes say how many they hold, and inside they are numbered by their own places."""
+    folder = _indexed_bam(spark, sf_dir)
+    own = spark.read.format("bam").options(sequence="false", file="true", split="400000").load(folder)
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
-    sizes = own.groupBy("file").agg(F.count("*").alias("_n")).select("file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    sizes = bai.index_totals(spark, folder).select("file", (F.col("mapped") + F.col("unmapped")).alias("_n")).select("file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("file").orderBy("ordinal")) + F.col("_before")
     return own.join(sizes, "file").select("read_id", "reference_name", "reference_start", place.alias("place"))
 

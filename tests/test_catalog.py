@@ -47,3 +47,9 @@ def test_bam_to_matrix_sends_no_parts_through_the_driver(spark, monkeypatch):
         catalog.bam_to_matrix(spark, "/root/testdata/sf0.001")
     joins = [line for line in str(e.value).splitlines() if "BroadcastHashJoin" in line]
     assert joins and not any("p_partkey" in line for line in joins)
+
+
+def test_bam_sorted_places_reads_the_files_once(spark):
+    """The files' numbers of records come from their indexes, not from another scan."""
+    plan = QUERIES["bam_sorted_places"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("RelationV2" in line and "read_id" in line for line in plan.splitlines()) == 1 and plan.count("RelationV2") == 1
