@@ -443,13 +443,14 @@ class BamReader(DataSourceReader):
                 while len(blocks.data) - blocks.at < at_once and blocks.next < span.end and blocks.more():
                     pass
                 data, at, starts = blocks.data, blocks.at, []
-                while at + 4 <= len(data):
+                size, append = len(data), starts.append
+                while at + 4 <= size:
                     after = at + 4 + size_of(data, at)[0]
-                    if after > len(data):
+                    if after > size:
                         break
                     if after < at + 36:
                         raise ValueError("a record that is too short")
-                    starts.append(at)
+                    append(at)
                     at = after
                 edges = np.array([*starts, at], np.int64)
                 of_data, of_file = (np.array(x, np.int64) for x in zip(*blocks.starts)) if blocks.starts else (np.zeros(0, np.int64),) * 2
@@ -497,6 +498,22 @@ class BamReader(DataSourceReader):
             after = phred + core["bases"]
             if np.any(core["bases"] < 0) or np.any(after > chunk.ends) or np.any(core["name"] < 1):
                 raise ValueError("a record that is shorter than its fields")
+            texts, odd = _text_tags(chunk, after, (self.barcode, self.umi, "CG"))
+            odd |= texts[2][1]
+            (barcode_at, has_barcode), (umi_at, has_umi) = texts[:2]
+            barcode = _texts(data, *_before_dash(chunk, *barcode_at), has_barcode)
+            if known is not None:
+                # Records of other cells go before anything else of them is decoded.
+                coded = barcode.cast(pa.binary()).dictionary_encode()
+                slot = np.array([False, *(barcodes.maybe(x, known) for x in coded.dictionary.to_pylist())])
+                keep = slot[pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False) + 1] | odd
+                for i in np.flatnonzero(odd).tolist():
+                    keep[i] = barcodes.maybe(tag_text(data[: chunk.ends[i]], int(after[i]), self.barcode.encode()), known)
+                if not keep.any():
+                    continue
+                if not keep.all():
+                    chunk, barcode, umi_at = chunk.some(keep), barcode.filter(pa.array(keep)), tuple(x[keep] for x in umi_at)
+                    core, flag, mapq, ref, pos, operations, bases, phred, after, has_umi, odd = (x[keep] for x in (core, flag, mapq, ref, pos, operations, bases, phred, after, has_umi, odd))
             steps = []
             for a, b in zip(operations.tolist(), bases.tolist()):
                 own = data[a:b]
@@ -508,25 +525,14 @@ class BamReader(DataSourceReader):
                         cigars.clear()
                     cigars[own] = found
                 steps.append(found)
-            texts, odd = _text_tags(chunk, after, (self.barcode, self.umi, "CG"))
-            odd |= texts[2][1]
             keep = np.ones(len(core), bool)
             if self.region is not None:
                 keep &= pos + np.array([on for _, on in steps], np.int64) > self.region[1]
-            cut, has = texts[0]
-            barcode = _texts(data, *_before_dash(chunk, *cut), has)
-            if known is not None:
-                coded = barcode.cast(pa.binary()).dictionary_encode()
-                slot = np.array([False, *(barcodes.maybe(x, known) for x in coded.dictionary.to_pylist())])
-                keep &= slot[pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False) + 1] | odd
-            for i in np.flatnonzero(odd & keep).tolist() if known is not None else []:
-                keep[i] = barcodes.maybe(tag_text(data[: chunk.ends[i]], int(after[i]), self.barcode.encode()), known)
             unmapped = flag & UNMAPPED != 0
             names = pa.array([name for name, _ in chunk.references], pa.string())
             flags = lambda x: pa.array(np.asarray(x, bool))
-            cut, has = texts[1]
             columns = {
-                "read_id": _texts(data, chunk.starts + 32, operations - 1), "ordinal": pa.array(chunk.first), "barcode": barcode, "umi": _texts(data, *cut, has), "flag": pa.array(flag.astype(np.int32)), "mapq": pa.array(mapq.astype(np.int32)),
+                "read_id": _texts(data, chunk.starts + 32, operations - 1), "ordinal": pa.array(chunk.first), "barcode": barcode, "umi": _texts(data, *umi_at, has_umi), "flag": pa.array(flag.astype(np.int32)), "mapq": pa.array(mapq.astype(np.int32)),
                 "is_unmapped": flags(unmapped), "is_secondary": flags(flag & SECONDARY), "is_supplementary": flags(flag & SUPPLEMENTARY), "reference_name": names.take(pa.array(np.maximum(ref, 0), mask=unmapped | (ref < 0))) if len(names) else pa.nulls(len(core), pa.string()),
                 "reference_start": pa.array(pos.astype(np.int32), mask=unmapped), "cigar": pc.if_else(flags(unmapped), pa.scalar(None, pa.string()), pa.array([x for x, _ in steps], pa.string())),
             }

@@ -1,5 +1,6 @@
 """Indexes of BAM files: bins, files, regions against a filtered scan, totals and refusals."""
 
+import hashlib
 import random
 import struct
 
@@ -147,6 +148,27 @@ def test_barcode_lists_drop_records_in_the_scan(spark, tmp_path):
     assert sum(barcodes.maybe(f"C{i}".encode(), found) for i in range(20_000)) < 800
 
 
+def test_bases_of_other_cells_are_not_decoded(tmp_path, monkeypatch):
+    import base64
+    import zlib
+
+    from germlight.sources import bam, barcodes
+    from germlight.sources.bam import Span
+
+    rows = [{"name": f"r{i}", "pos": i, "cigar": [(4, "M")], "sequence": "ACGT", "tags": {"CB": f"CELL{i % 10}-1", "UB": f"U{i}"}} for i in range(200)]
+    path = str(tmp_path / "x.bam")
+    write_bam(path, REFS, [record(**r) for r in rows], block=2000)
+    slot = int.from_bytes(hashlib.md5(b"CELL3").digest()[:4]) % barcodes.SLOTS
+    bits = bytearray(barcodes.SLOTS // 8)
+    bits[slot >> 3] |= 1 << (slot & 7)
+    decoded, bases = [], bam._bases
+    monkeypatch.setattr(bam, "_bases", lambda *x: decoded.append(len(x[-1])) or bases(*x))
+    reader = BamReader({"path": path, "barcode_slots": base64.b64encode(zlib.compress(bytes(bits))).decode()})
+    got = [r for b in reader.batches(Span(path, 0, (tmp_path / "x.bam").stat().st_size)) for r in b.select(["read_id", "umi", "sequence", "reference_start", "cigar"]).to_pylist()]
+    assert got == [{"read_id": f"r{i}", "umi": f"U{i}", "sequence": "ACGT", "reference_start": i, "cigar": "4M"} for i in range(3, 200, 10)]
+    assert sum(decoded) == 20
+
+
 def test_tag_text_is_what_tags_says():
     from germlight.sources.bam import tag_text, tags
 
