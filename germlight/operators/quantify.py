@@ -33,6 +33,12 @@ def quantified(assigned: DataFrame, method: str = "umi", dedup: str = "exact", t
     return valid.select("species", "barcode", "umi").distinct().groupBy("species", "barcode").agg(F.count("*").alias("n"))
 
 
+def quantified_both(assigned: DataFrame) -> DataFrame:
+    """(species, barcode, n_reads, n_umis) of the reads that count by the umi method, reads and distinct molecules from one scan."""
+    molecules = valid_reads(assigned).groupBy("species", "barcode", "umi").agg(F.count("*").alias("_n"))
+    return molecules.groupBy("species", "barcode").agg(F.sum("_n").alias("n_reads"), F.count("*").alias("n_umis"))
+
+
 def quantification_stats(assigned: DataFrame, method: str = "umi") -> DataFrame:
     """One row of counters: unclassified reads leave first and uncounted, then those without a barcode, then those without a UMI."""
     known, barcode, umi = F.coalesce(F.col("classified"), F.lit(False)), present(F.col("barcode")), present(F.col("umi"))

@@ -477,10 +477,9 @@ def bam_barcodes(spark, sf_dir):
     )
 )
 def bam_to_counts(spark, sf_dir):
-    own = _bam(spark, sf_dir, sequence="false").select("barcode", "umi", "mapq", "is_unmapped", "is_secondary", "is_supplementary")
-    valid = read_ops.candidate_reads(own, MAPQ).where(scalar.present(F.col("barcode")) & scalar.present(F.col("umi"))).withColumns({"species": F.lit("any"), "classified": F.lit(True)})
-    both = quantify.quantified(valid, "reads").withColumnRenamed("n", "n_reads").join(quantify.quantified(valid).withColumnRenamed("n", "n_umis"), ["species", "barcode"])
-    return both.select("barcode", "n_reads", "n_umis")
+    own = _bam(spark, sf_dir, candidates="true", sequence="false", mapq=str(MAPQ)).select("barcode", "umi", "mapq", "is_unmapped", "is_secondary", "is_supplementary")
+    valid = read_ops.candidate_reads(own, MAPQ).withColumns({"species": F.lit("any"), "classified": F.lit(True)})
+    return quantify.quantified_both(valid).select("barcode", "n_reads", "n_umis")
 
 
 # Sorted, indexed BAM: line items are reads of three references, some with a gap, and the seventh of an order is unmapped

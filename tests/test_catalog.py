@@ -53,3 +53,9 @@ def test_bam_sorted_places_reads_the_files_once(spark):
     """The files' numbers of records come from their indexes, not from another scan."""
     plan = QUERIES["bam_sorted_places"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert sum("RelationV2" in line and "read_id" in line for line in plan.splitlines()) == 1 and plan.count("RelationV2") == 1
+
+
+def test_bam_to_counts_reads_the_files_once(spark):
+    """Reads and molecules are counted in one scan."""
+    plan = QUERIES["bam_to_counts"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RelationV2") == 1 and "Join" not in plan
