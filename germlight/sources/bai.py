@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import groupby
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,36 +140,62 @@ def read_index(path: str) -> Index | None:
     return None
 
 
-def parts_of(span, rows: Iterable[tuple[int, int, int, int, int, int]]) -> Iterator[tuple]:
-    """The records (first, last, ref, start, end, flag) of a span as rows of PARTS: chunks that meet are one."""
+def bins_of(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """bin_of() of many records."""
+    last = np.maximum(end, start + 1) - 1
+    return np.select([start >> bits == last >> bits for _, bits in LEVELS], [first + (start >> bits) for first, bits in LEVELS], 0)
+
+
+def _runs(*changes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs begin and end (with the last of them), of rows that begin one where any of changes, from the second row on, is true."""
+    begin = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce(changes)]))
+    return begin, np.append(begin[1:], len(changes[0]) + 1) - 1
+
+
+def parts_of(span, records: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[tuple]:
+    """The records of a span, many at a time as columns (first, last, ref, start, end, flag), as rows of PARTS: chunks that meet are one."""
     from germlight.functions.scalar import UNMAPPED
 
     chunks: dict[tuple[int, int], list[list[int]]] = {}
     linear: dict[tuple[int, int], int] = {}
     totals: dict[int, list[int]] = {}
-    key = before = begin = None
-    for first, last, ref, start, end, flag in rows:
+    before = begin = None
+    for first, last, ref, start, end, flag in records:
         # Records without a place come last.
-        key = (ref if ref >= 0 else 1 << 30) << 32 | start + 1
-        if before is None:
-            begin = (first, key)
-        elif key < before:
+        key = np.where(ref >= 0, ref, 1 << 30) << 32 | start + 1
+        if np.any(key[1:] < key[:-1]) or (before is not None and key[0] < before):
             raise ValueError(f"{span.path} isn't sorted by coordinate")
-        before = key
-        own = totals.setdefault(ref, [first, last, 0, 0])
-        own[1] = last
-        own[3 if flag & UNMAPPED else 2] += 1
-        if ref < 0 or start < 0:
+        begin, before = begin or (int(first[0]), int(key[0])), int(key[-1])
+        unmapped = flag & UNMAPPED != 0
+        a, b = _runs(ref[1:] != ref[:-1])
+        n_unmapped = np.add.reduceat(unmapped.astype(np.int64), a)
+        for r, x, y, n, none in zip(ref[a].tolist(), first[a].tolist(), last[b].tolist(), (b - a + 1).tolist(), n_unmapped.tolist()):
+            own = totals.setdefault(r, [x, y, 0, 0])
+            own[1], own[2], own[3] = y, own[2] + n - none, own[3] + none
+        placed = (ref >= 0) & (start >= 0)
+        if not placed.any():
             continue
-        if end > LIMIT:
+        first, last, ref, start, end = (x[placed] for x in (first, last, ref, start, end))
+        if end.max() > LIMIT:
             raise ValueError("positions of 2^29 or more have no bin")
-        known = chunks.setdefault((ref, bin_of(start, end)), [])
-        if known and first >> 16 <= known[-1][1] >> 16:
-            known[-1][1] = last
-        else:
-            known.append([first, last])
-        for w in range(start >> WINDOW, (max(end, start + 1) - 1 >> WINDOW) + 1):
-            linear.setdefault((ref, w), first)
+        number = ref << 32 | bins_of(start, end)
+        order = np.argsort(number, kind="stable")
+        number, x, y = number[order], first[order], last[order]
+        a, b = _runs(number[1:] != number[:-1], x[1:] >> 16 > y[:-1] >> 16)
+        for n, x, y in zip(number[a].tolist(), x[a].tolist(), y[b].tolist()):
+            known = chunks.setdefault((n >> 32, n & 0xFFFFFFFF), [])
+            if known and x >> 16 <= known[-1][1] >> 16:
+                known[-1][1] = y
+            else:
+                known.append([x, y])
+        low, high = start >> WINDOW, np.maximum(end, start + 1) - 1 >> WINDOW
+        # A window's first record is one that reaches into it from before, or one that begins in it.
+        for i in np.flatnonzero(high > low).tolist():
+            for w in range(int(low[i]) + 1, int(high[i]) + 1):
+                linear.setdefault((int(ref[i]), w), int(first[i]))
+        window, at = np.unique(ref << 32 | low, return_index=True)
+        for w, x in zip(window.tolist(), first[at].tolist()):
+            linear[w >> 32, w & 0xFFFFFFFF] = min(x, linear.get((w >> 32, w & 0xFFFFFFFF), x))
     for (ref, number), known in chunks.items():
         for first, last in known:
             yield span.path, CHUNK, ref, number, first, last

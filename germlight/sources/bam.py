@@ -600,19 +600,24 @@ class PlacesReader(BamReader):
 
 class PartsReader(BamReader):
     def rows(self, span: Span) -> Iterator[tuple]:
-        def each() -> Iterator[tuple[int, int, int, int, int, int]]:
+        def each() -> Iterator[tuple[np.ndarray, ...]]:
+            lengths: dict[bytes, int] = {}
             for chunk in self.chunks(span):
                 core, data = chunk.core(), chunk.data
-                ends: dict[bytes, int] = {}
-                at = chunk.starts + 32 + core["name"]
-                for first, last, ref, pos, flag, a, b in zip(chunk.first.tolist(), chunk.last.tolist(), core["ref"].tolist(), core["pos"].tolist(), core["flag"].tolist(), at.tolist(), (at + 4 * core["steps"].astype(np.int64)).tolist()):
-                    if flag & UNMAPPED:
-                        yield first, last, ref, pos, pos + 1, flag
-                        continue
+                ref, pos, flag = (core[x].astype(np.int64) for x in ("ref", "pos", "flag"))
+                mapped = np.flatnonzero(flag & UNMAPPED == 0)
+                at = (chunk.starts + 32 + core["name"])[mapped]
+                on = np.ones(len(core), np.int64)
+                found = []
+                for a, b in zip(at.tolist(), (at + 4 * core["steps"][mapped].astype(np.int64)).tolist()):
                     own = data[a:b]
-                    if (on := ends.get(own)) is None:
-                        on = ends[own] = _length(own)
-                    yield first, last, ref, pos, pos + on, flag
+                    if (n := lengths.get(own)) is None:
+                        if len(lengths) > BATCH:
+                            lengths.clear()
+                        n = lengths[own] = _length(own)
+                    found.append(n)
+                on[mapped] = found
+                yield chunk.first, chunk.last, ref, pos, pos + on, flag
 
         if span.start == 0:
             yield span.path, None, None, None, None, None  # a file without records has an index too

@@ -120,6 +120,44 @@ def test_long_cigars_stand_in_a_tag(spark, tmp_path):
     assert spark.read.format("bam").load(str(tmp_path)).first()["cigar"] == "1M1I" * 40_000
 
 
+@pytest.mark.parametrize("split", [1 << 30, 9000])
+def test_index_parts_are_made_from_columns(tmp_path, monkeypatch, split):
+    """The rows that each span is reduced to, against one record after another; none of the own code's steps goes record by record."""
+    from germlight.sources import bam
+
+    rows = _records(3000, 8)
+    path = str(tmp_path / "x.bam")
+    write_bam(path, REFS, [record(**r) for r in rows], block=3000)
+    monkeypatch.setattr(bam.PartsReader, "chunks", lambda self, span: BamReader.chunks(self, span, 40_000))
+    reader, bin_of = bam.PartsReader({"path": path, "split": str(split)}, bai.PARTS), bai.bin_of
+    monkeypatch.setattr(bai, "bin_of", lambda *_: pytest.fail("one record alone"))
+    done = 0
+    for span in reader.partitions():
+        got = list(reader.rows(span))
+        chunks, linear, totals, keys = {}, {}, {}, []
+        places = [x for chunk in reader.chunks(span) for x in zip(chunk.first.tolist(), chunk.last.tolist())]
+        for (first, last), r in zip(places, rows[done:]):
+            unmapped = r["flag"] == 4
+            start, end = (r["pos"], r["pos"] + 1) if unmapped else _span(r)
+            keys.append(((r["ref"] if r["ref"] >= 0 else 1 << 30) << 32 | start + 1, first))
+            own = totals.setdefault(r["ref"], [first, last, 0, 0])
+            own[1], own[2], own[3] = last, own[2] + (not unmapped), own[3] + unmapped
+            if r["ref"] >= 0:
+                known = chunks.setdefault((r["ref"], bin_of(start, end)), [])
+                if known and first >> 16 <= known[-1][1] >> 16:
+                    known[-1][1] = last
+                else:
+                    known.append([first, last])
+                for w in range(start >> bai.WINDOW, (end - 1 >> bai.WINDOW) + 1):
+                    linear.setdefault((r["ref"], w), first)
+        done += len(places)
+        want = [(path, bai.CHUNK, ref, number, *x) for (ref, number), own in chunks.items() for x in own] + [(path, bai.LINEAR, ref, w, first, 0) for (ref, w), first in linear.items()]
+        want += [x for ref, (first, last, mapped, none) in totals.items() for x in ((path, bai.PLACES, ref, 0, first, last), (path, bai.NUMBERS, ref, 0, mapped, none))]
+        want += [(path, bai.ORDER, -1, keys[0][1], keys[0][0], keys[-1][0])] if keys else []
+        assert sorted(x for x in got if x[1] is not None) == sorted(want)
+    assert done == len(rows)
+
+
 def test_written_records_have_their_bin(tmp_path):
     from germlight.sinks.bam import encoded
 
