@@ -21,6 +21,8 @@ from germlight.sources.files import _store
 #: Fixed values of the format: base codes, operations, most bytes of data in a block, the bin of a record without a place, and the empty block that ends a file.
 BASES, OPERATIONS, BLOCK = "=ACMGRSVTWYHKDBN", "MIDNSHP=X", 0xFF00
 UNPLACED = 4680
+#: zlib's level: 3 takes two fifths of the time of 5 and makes files an eighth larger.
+LEVEL = 3
 END = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 #: The column of each field; sequence, quality, cigar and the tags may be null.
 FIELDS = ("read_id", "flag", "reference_name", "reference_start", "mapq", "cigar", "sequence", "quality", "barcode", "umi")
@@ -33,7 +35,7 @@ _CORE = np.dtype([("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("name", "u1"
 
 
 def _block(data: bytes) -> bytes:
-    deflate = zlib.compressobj(5, zlib.DEFLATED, -15)
+    deflate = zlib.compressobj(LEVEL, zlib.DEFLATED, -15)
     body = deflate.compress(data) + deflate.flush()
     return struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
 

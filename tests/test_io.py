@@ -527,3 +527,16 @@ def test_sam_lines_are_split_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1 and plan.count("regexp_replace(") == 1
     assert [tuple(r) for r in found.collect()] == [("r", 2, 60, 0, 4)]
+
+
+def test_blocks_are_deflated_at_a_fast_level():
+    """Whole, and as level 3 makes them: level 5 took twice the time of encoding the records."""
+    import gzip
+    import zlib
+
+    data = b"".join(b"read_%d\tACGTN%d\n" % (i, i * i % 997) for i in range(2500))
+    deflate = zlib.compressobj(3, zlib.DEFLATED, -15)
+    body = deflate.compress(data) + deflate.flush()
+    other = zlib.compressobj(5, zlib.DEFLATED, -15)
+    assert body != other.compress(data) + other.flush()
+    assert gzip.decompress(_block(data)) == data and _block(data)[18:-8] == body
