@@ -613,8 +613,10 @@ _GENOME = "translate(" + " || ".join(f"md5(concat(c_custkey, '-{i}'))" for i in
 )
 def kmer_align(spark, sf_dir):
     """Reads of 100 bases, some from the other strand and with up to two bases replaced, against genomes that no two customers share."""
-    genomes_ = spread(table(spark, sf_dir, "customer").select("c_custkey")).select("c_custkey", F.expr(_GENOME).alias("sequence"))
-    refs = genomes_.select(F.concat(F.lit("g"), F.col("c_custkey").cast("string")).alias("reference"), "sequence")
+    keys = table(spark, sf_dir, "customer").select("c_custkey")
+    genomes_ = spread(keys).select("c_custkey", F.expr(_GENOME).alias("sequence"))
+    # A key that the table has twice is two reads of one genome.
+    refs = spread(keys.distinct()).select(F.concat(F.lit("g"), F.col("c_custkey").cast("string")).alias("reference"), F.expr(_GENOME).alias("sequence"))
     read = F.expr("substring(sequence, CAST(c_custkey % 100 AS INT) + 1, 100)")
     read = F.when(F.col("c_custkey") % 3 > 0, F.overlay(read, F.lit("N"), F.lit(50))).otherwise(read)
     read = F.when(F.col("c_custkey") % 3 > 1, F.overlay(read, F.lit("N"), F.lit(52))).otherwise(read)

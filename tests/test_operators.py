@@ -305,3 +305,22 @@ def test_votes_take_apart_only_parts_that_may_share(spark):
         assert sorted((r["read_id"], -r["votes"], r["reference"]) for r in found.collect()) == [v for v in votes if v[1]]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_chance_kmers_are_no_second_place(spark):
+    """A genome with one 21-mer of a read takes nothing off its mapping quality, one with most of it does, and a copy of the place takes all."""
+    rng = np.random.default_rng(11)
+    dna = lambda n: "".join(rng.choice(list("ACGT"), n))
+    a, b, c = dna(300), dna(300), dna(300)
+    refs = [("a", a), ("b", b), ("c", c), ("chance", dna(50) + a[100:121] + dna(50)), ("near", b[100:172] + dna(60)), ("twin", dna(40) + c[100:200])]
+    own = [("a", 0, a[100:200]), ("b", 1, b[100:200]), ("c", 2, c[100:200])]
+    got = {r["read_id"]: (r["reference_name"], r["mismatches"], r["mapq"]) for r in kmer.align(spark.createDataFrame(own, "read_id string, ordinal long, sequence string"), spark.createDataFrame(refs, "reference string, sequence string")).collect()}
+    assert got == {"a": ("a", 0, 60), "b": ("b", 0, 21), "c": ("c", 0, 0)}
+
+
+def test_equal_rows_of_a_read_stay_as_many(spark):
+    """Also where a read lies over two pieces of its reference."""
+    genome = "".join(np.random.default_rng(12).choice(list("ACGT"), 2 * kmer.BASES))
+    own = [("p", 0, genome[50:150])] * 3 + [("q", 1, genome[kmer.BASES - 40 : kmer.BASES + 60])] * 2 + [("r", 2, genome[:100])]
+    got = rows(kmer.align(spark.createDataFrame(own, "read_id string, ordinal long, sequence string"), spark.createDataFrame([("g", genome)], "reference string, sequence string")).select("read_id", "reference_start", "mismatches", "mapq"))
+    assert got == [("p", 50, 0, 60)] * 3 + [("q", kmer.BASES - 40, 0, 60)] * 2 + [("r", 0, 0, 60)]
