@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,11 +32,41 @@ def passing_folder(spark: SparkSession, label: str) -> str:
     return f"{path}/data"
 
 
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def freed_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """Shuffle files of queries that run inside are deleted as each one ends. Otherwise they lie there until the driver's garbage collector finds their plans unused."""
+    return _setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+#: Bytes of stored steps that a task reads at most. They take some 20 bytes a row, so that Spark's default of 128 MB would be millions of rows, which sorts of a task spill.
+STEP = 16 << 20
+
+
+def step_by_step(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries that run inside read files by STEP bytes a task, or by fewer where that is set."""
+    name = "spark.sql.files.maxPartitionBytes"
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    return _setting(spark, name, str(min(size, STEP)))
+
+
 def materialised(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """df as Parquet in the shared folder, read back: columnar, so that later uses read the columns they need; and its path, for delete()."""
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path), path
+    """df as Parquet in the shared folder, read back: columnar, so that later uses read the columns they need; and its path, for delete(). What is left is deleted when the application ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    with freed_shuffles(spark), step_by_step(spark):
+        df.write.parquet(path, compression="zstd")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.parquet(path), path
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -9,7 +9,8 @@ to alignments of the whole read: affine gaps in a band around the chain, over ba
 that scores END_BONUS better. The alignment of highest score is reported; ties go to the smaller reference name, start and strand.
 
 Reads are told apart by (read_id, ordinal), neither of which may be null: such reads, and those without a seed, are not aligned. A read's bases are shuffled to
-their seeds and to the pieces of reference that they cover, and never gathered with other reads'. Reads of equal bases are aligned once.
+their seeds and to the pieces of reference that they cover, and never gathered with other reads'. Reads of equal bases are aligned once; each then meets the
+alignment of its bases by their MD5, 16 bytes, or without any shuffle where the reads are known to be of few sequences.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ LOOK_BACK, MAX_GAP, PAD, CELLS = 64, 200, 16, 1 << 21
 #: Scores of short-read alignment.
 MATCH, MISMATCH, OPEN, EXTEND, END_BONUS = 2, 8, 12, 2, 10
 NEVER = -(1 << 28)
+#: Bytes of alignments that may be broadcast.
+SMALL_FOUND = 1 << 24
 COMPLEMENT = str.maketrans("ACGTacgt", "TGCATGCA")
 
 
@@ -259,14 +262,24 @@ def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema)
 
 
-def align(reads: DataFrame, index: Index, max_places: int = MAX_PLACES) -> DataFrame:
-    """read_id, ordinal, sequence (as it lies on the reference), reference_name, reference_start (0-based), reverse, cigar, mismatches (edit distance), score and mapq: a row for each read that aligns."""
+def of_few_sequences(reads: DataFrame) -> bool:
+    """Whether the alignments of all different sequences may be broadcast. Counts them in one scan, without a shuffle: for stored reads."""
+    n, longest = reads.agg(F.approx_count_distinct("sequence"), F.max(F.length("sequence"))).first()
+    return n * (2 * (longest or 0) + 200) <= SMALL_FOUND
+
+
+def align(reads: DataFrame, index: Index, max_places: int = MAX_PLACES, few: bool = False) -> DataFrame:
+    """read_id, ordinal, sequence (as it lies on the reference), reference_name, reference_start (0-based), reverse, cigar, mismatches (edit distance), score and mapq: a row for each read that aligns.
+
+    few: of_few_sequences(reads), if that was asked.
+    """
     own = reads.where("read_id IS NOT NULL AND ordinal IS NOT NULL").select("read_id", F.col("ordinal").cast("long").alias("ordinal"), F.upper("sequence").alias("sequence"))
-    # An alignment depends on the bases alone: one read of each sequence is aligned, and its copies take what it found.
-    first = own.where("sequence IS NOT NULL").groupBy("sequence").agg(F.min(F.struct("read_id", "ordinal")).alias("_x"))
-    found = _aligned(first.select("_x.read_id", "_x.ordinal", "sequence"), index, max_places).drop("read_id", "ordinal")
-    found = found.withColumn("_read", F.when(F.col("reverse"), complement(F.col("sequence"))).otherwise(F.col("sequence")))
-    return own.withColumnRenamed("sequence", "_read").join(met(found, False), "_read").drop("_read")
+    # An alignment depends on the bases alone: each sequence is aligned once, named by its digest, and all reads of it take what was found.
+    digest = F.md5("sequence")
+    each = own.where(F.length("sequence") >= index.k).groupBy("sequence").agg(F.count("*").alias("_n"))  # by hash: no sort of all reads
+    each = each.select(F.when(F.col("_n") > 0, digest).alias("read_id"), F.lit(0).cast("long").alias("ordinal"), "sequence")
+    found = _aligned(each, index, max_places).withColumn("_bases", F.unhex("read_id")).drop("read_id", "ordinal")
+    return own.select("read_id", "ordinal", F.unhex(digest).alias("_bases")).join(met(found, few), "_bases").drop("_bases")
 
 
 def _aligned(own: DataFrame, index: Index, max_places: int) -> DataFrame:

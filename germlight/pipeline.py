@@ -65,26 +65,31 @@ def _references(spark: SparkSession, path: str) -> DataFrame:
     return read_fasta(spark, path).select(F.col("name").alias("reference"), "sequence")
 
 
-def alignments(spark: SparkSession, reads: DataFrame, reference: str, options: Options) -> DataFrame:
-    """Alignment lines of reads to a FASTA reference or, for the chain aligner, to an index of one: natively, or by the external program."""
+def columns_used(options: Options) -> tuple[str, ...]:
+    """What the steps after the candidates read of them."""
+    return ("read_id", "ordinal", "sequence", "barcode", "umi", "mapq", "is_unmapped", *(("quality",) if options.aligner in ("minimap2", "bowtie2", "kraken2") else ()))
+
+
+def alignments(spark: SparkSession, reads: DataFrame, reference: str, options: Options, stored: bool = False) -> DataFrame:
+    """Alignment lines of reads to a FASTA reference or, for the chain aligner, to an index of one: natively, or by the external program. stored: reads may be scanned to count their sequences."""
     if options.aligner in ("minimap2", "bowtie2"):
         if options.aligner == "bowtie2":
             log.warning("bowtie2 isn't driven; minimap2 takes its place")
         return parse_sam(external.lines_of(reads, external.minimap2_command(reference)))
     if options.aligner in ("chain", "lca"):
-        return chain.align(reads, chain.read_index(spark, reference) or chain.build_index(_references(spark, reference)))
+        return chain.align(reads, chain.read_index(spark, reference) or chain.build_index(_references(spark, reference)), few=stored and chain.of_few_sequences(reads))
     return kmer.align(reads, _references(spark, reference))
 
 
-def clean_reads(spark: SparkSession, candidates: DataFrame, options: Options, host_ref: str | None) -> DataFrame:
+def clean_reads(spark: SparkSession, candidates: DataFrame, options: Options, host_ref: str | None, stored: bool = False) -> DataFrame:
     """Candidates that are not host."""
     hits = None
     if host_ref:
-        hits = host.host_hits(alignments(spark, host.host_primary(candidates, options.host_mapq), host_ref, options), options.host_identity, options.host_min_aligned)
+        hits = host.host_hits(alignments(spark, host.host_primary(candidates, options.host_mapq), host_ref, options, stored), options.host_identity, options.host_min_aligned)
     return host.host_filtered(candidates, hits, options.host_mapq, options.host_mode)
 
 
-def assigned_reads(spark: SparkSession, clean: DataFrame, options: Options, microbe_ref: str | None, kraken_db: str | None) -> DataFrame:
+def assigned_reads(spark: SparkSession, clean: DataFrame, options: Options, microbe_ref: str | None, kraken_db: str | None, stored: bool = False) -> DataFrame:
     if options.aligner == "kraken2":
         found = parse_kraken(external.lines_of(clean, external.kraken2_command(kraken_db)), options.kraken_mode)
     elif options.aligner == "lca":
@@ -93,7 +98,9 @@ def assigned_reads(spark: SparkSession, clean: DataFrame, options: Options, micr
         calls = lca.classify(own, known, nodes, "read_id", "ordinal", confidence=options.min_confidence, **settings)
         found = lca.assignments(own, calls, nodes, nodes)
     else:
-        found = taxonomy.alignment_assignments(alignments(spark, clean, microbe_ref, options), options.min_microbe_mapq, options.min_confidence)
+        found = taxonomy.alignment_assignments(alignments(spark, clean, microbe_ref, options, stored), options.min_microbe_mapq, options.min_confidence)
+    if stored:  # what counts need; the last row of an id is chosen with all its columns
+        clean, found = clean.select("read_id", "ordinal", "barcode", "umi"), found.select("read_id", "ordinal", "species", "classified")
     return taxonomy.assign(clean, found)
 
 
@@ -116,7 +123,8 @@ def analyse(spark: SparkSession, reads: DataFrame, options: Options, host_ref: s
 def run(spark: SparkSession, input_path: str, output: str, options: Options | None = None, host_ref: str | None = None, microbe_ref: str | None = None, kraken_db: str | None = None, default_names: bool = False) -> dict:
     """Runs the analysis and writes matrices, statistics and the quality report; returns the statistics.
 
-    The input is decoded once: candidates, reads without host and assignments are written to the shared folder as they are made, and deleted at the end.
+    The input is decoded once: candidates, reads without host and assignments are written to the shared folder as they are made, each with the columns that later
+    steps read, and deleted as soon as the next ones are there.
     """
     options = options or Options()
     validate(options, input_path, microbe_ref, kraken_db)
@@ -130,10 +138,13 @@ def run(spark: SparkSession, input_path: str, output: str, options: Options | No
     choice, seen = (options.host_mapq, options.include_unmapped, options.include_low_mapq), Observation()
     try:
         reads = read_ops.observed_parse_stats(read_bam(spark, input_path, options), seen, *choice)
-        clean = candidates = kept(read_ops.candidate_reads(reads, *choice), "candidates")
+        clean = candidates = kept(read_ops.candidate_reads(reads, *choice).select(*columns_used(options)), "candidates")
         if host_ref:
-            clean = kept(clean_reads(spark, candidates, options, host_ref), "clean")
-        assigned = kept(assigned_reads(spark, clean, options, microbe_ref, kraken_db).select("read_id", "ordinal", "barcode", "umi", "species", "classified"), "assigned")
+            clean = kept(clean_reads(spark, candidates, options, host_ref, True), "clean")
+            delete(spark, paths.pop(0))
+        assigned = kept(assigned_reads(spark, clean, options, microbe_ref, kraken_db, True).select("barcode", "umi", "species", "classified"), "assigned")
+        n_clean = clean.count()
+        delete(spark, paths.pop(0))
         raw = kept(quantify.quantified(assigned, options.quant_method, options.umi_dedup_method, options.umi_threshold), "counts")
         masks, cells, parsed = _masks(raw, options), quantify.cell_dim(raw), seen.get
         counts = raw if masks is None else contamination.decontaminated(raw, masks)
@@ -142,7 +153,7 @@ def run(spark: SparkSession, input_path: str, output: str, options: Options | No
         matrix_sink.write_matrix(counts, output, options.formats, species, cells, default_names=default_names)
         stats = {
             "total_reads": parsed["candidate_reads"],
-            "host_filtered": clean.count(),
+            "host_filtered": n_clean,
             "microbial_aligned": assigned.where("classified").count(),
             "final_matrix_shape": (species.count(), cells.count()),
             "bam_total_reads": parsed["total_reads"],

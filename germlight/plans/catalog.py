@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from germlight.functions import scalar
-from germlight.functions.storage import checkpointed, passing_folder
+from germlight.functions.storage import delete, materialised, passing_folder, step_by_step
 from germlight.operators import chain, contamination, genomes, host, kmer, lca, matrix, minimizers, qc, quantify, reads as read_ops, taxonomy, umi
 from germlight.operators.dedup import last_wins
 from germlight import pipeline
 from germlight.options import Options
-from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, counts, reads, spread, table
+from germlight.plans.proxy import COUNTS_SQL, ORDINAL, READS_SQL, as_reads, counts, reads, spread, table
 from germlight.sinks.bam import write_bam
 from germlight.sinks.matrix import write_mtx, write_tsv
 from germlight.sinks.text import write_fasta, write_fastq, write_fastq_blocks
@@ -728,7 +728,12 @@ def bam_to_matrix(spark, sf_dir):
     brands = part.select("p_brand").distinct().select("p_brand", F.expr(_BRAND).alias("_microbe"))
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"), F.expr(_HOST).alias("_host"))
     order = F.col("umi").cast("long")
-    own = reads(spark, sf_dir, species=False).join(part.hint("merge"), F.col("ordinal_part") == F.col("p_partkey")).join(F.broadcast(brands), "p_brand").join(nations, F.pmod(order, F.lit(25)) == F.col("n_nationkey"))
+    lines = table(spark, sf_dir, "lineitem").join(part.hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
+    # Both joins shuffle the tables' own columns, not the texts made of them. Orders come last, so that lines of an order lie together, and the joined lines are
+    # written, so that no shuffle's files lie beside the BAM.
+    lines = as_reads(lines, table(spark, sf_dir, "orders").hint("merge"), more=("p_brand",))
+    lines, joined = materialised(lines.select("read_id", "ordinal_part", "ordinal_supp", "umi", "tagged_umi", "tagged_barcode", "mapq", "is_unmapped", "is_secondary", "is_supplementary", "p_brand"), "lines")
+    own = lines.join(F.broadcast(brands), "p_brand").join(F.broadcast(nations), F.pmod(order, F.lit(25)) == F.col("n_nationkey"))
     is_host = F.col("ordinal_supp") % 3 == 0
     bases = F.overlay(F.substring(F.when(is_host, F.col("_host")).otherwise(F.col("_microbe")), (order % 170 + 1).cast("int"), F.lit(80)), F.lit("N"), F.lit(41))
     flag = sum((F.col(c).cast("int") * bit for c, bit in (("is_unmapped", 4), ("is_secondary", 256), ("is_supplementary", 2048))), F.lit(0))
@@ -737,14 +742,20 @@ def bam_to_matrix(spark, sf_dir):
         F.when(~F.col("is_unmapped"), F.lit("80M")).alias("cigar"), F.when(order % 2 == 0, bases).otherwise(kmer.complement(bases)).alias("sequence"), F.repeat(F.lit("I"), 80).alias("quality"), F.col("tagged_barcode").alias("barcode"), F.col("tagged_umi").alias("umi"),
     )
     folder = _folder(spark, "matrix")
-    write_bam(rows, f"{folder}/bam", [("chr1", 1000), ("chr2", 1 << 29)])
+    with step_by_step(spark):
+        write_bam(rows, f"{folder}/bam", [("chr1", 1000), ("chr2", 1 << 29)])
+    delete(spark, joined)
     write_fasta(brands.withColumnRenamed("_microbe", "sequence"), f"{folder}/microbes", name="p_brand")
     write_fasta(table(spark, sf_dir, "nation").select("n_name", F.expr(_HOST).alias("sequence")), f"{folder}/host", name="n_name")
     options = Options(aligner="chain", skip_contamination_filter=True)
-    # As pipeline.run does, each step is written as it is made: else every use of the reads decodes the files again.
-    candidates = checkpointed(read_ops.candidate_reads(pipeline.read_bam(spark, f"{folder}/bam", options), options.host_mapq, options.include_unmapped, options.include_low_mapq))
-    clean = checkpointed(pipeline.clean_reads(spark, candidates, options, f"{folder}/host"))
-    assigned = pipeline.assigned_reads(spark, clean, options, f"{folder}/microbes", None)
-    raw = checkpointed(quantify.quantified(assigned, options.quant_method, options.umi_dedup_method, options.umi_threshold))
+    # As pipeline.run does, each step is written as it is made, and deleted once the next one is there: else every use of the reads decodes the files again.
+    found = read_ops.candidate_reads(pipeline.read_bam(spark, f"{folder}/bam", options), options.host_mapq, options.include_unmapped, options.include_low_mapq)
+    candidates, first = materialised(found.select(*pipeline.columns_used(options)), "candidates")
+    delete(spark, f"{folder}/bam")
+    clean, second = materialised(pipeline.clean_reads(spark, candidates, options, f"{folder}/host", True), "clean")
+    delete(spark, first)
+    assigned = pipeline.assigned_reads(spark, clean, options, f"{folder}/microbes", None, True)
+    raw, _ = materialised(quantify.quantified(assigned, options.quant_method, options.umi_dedup_method, options.umi_threshold), "counts")
+    delete(spark, second)
     masks = contamination.species_masks(raw, "ambient", AMBIENT, specificity_threshold=SPECIFICITY)
     return raw.join(masks.select("species", "keep"), "species").select("species", "barcode", "n", "keep")

@@ -35,8 +35,8 @@ def reads(spark: SparkSession, sf_dir: str, cells: bool = True, species: bool =
     return as_reads(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders") if cells else None, table(spark, sf_dir, "part") if species else None)
 
 
-def as_reads(rows: DataFrame, orders: DataFrame | None = None, parts: DataFrame | None = None) -> DataFrame:
-    """Order lines, of a table or a stream, as reads; orders give cells, parts species."""
+def as_reads(rows: DataFrame, orders: DataFrame | None = None, parts: DataFrame | None = None, more: tuple[str, ...] = ()) -> DataFrame:
+    """Order lines, of a table or a stream, as reads; orders give cells, parts species. more: columns of rows that stay as they are."""
     if orders is not None:
         rows = rows.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     if parts is not None:
@@ -63,7 +63,7 @@ def as_reads(rows: DataFrame, orders: DataFrame | None = None, parts: DataFrame
         columns |= {"barcode": cell, "tagged_barcode": F.when(line == 4, F.lit(None)).when(line == 5, F.lit("")).otherwise(cell)}
     if parts is not None:
         columns |= {"species": F.col("p_name")}
-    return rows.select(*(c.alias(k) for k, c in columns.items()))
+    return rows.select(*(c.alias(k) for k, c in columns.items()), *more)
 
 
 READS_SQL = """reads AS (SELECT concat(l_orderkey, '_', l_linenumber) AS read_id, l_partkey AS ordinal_part, l_suppkey AS ordinal_supp, l_extendedprice AS ordinal_price,

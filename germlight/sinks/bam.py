@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from germlight.functions.storage import freed_shuffles
 from germlight.sources.bai import LEVELS, bin_of
 from germlight.sources.files import _store
 
@@ -80,7 +81,8 @@ def write_blocks(rows: DataFrame, folder: str, suffix: str, head: bytes, encode:
             out.write(END)
         yield pa.RecordBatch.from_pydict({"name": [name]})
 
-    names = sorted(r["name"] for r in rows.mapInArrow(write, "name string").collect())  # one short row for each file
+    with freed_shuffles(rows.sparkSession):
+        names = sorted(r["name"] for r in rows.mapInArrow(write, "name string").collect())  # one short row for each file
     for name in names:
         store.move(f"{path}/{parts}/{name}", f"{path}/{name}")
     store.delete_dir(f"{path}/{parts}")

@@ -59,3 +59,39 @@ def test_bam_to_counts_reads_the_files_once(spark):
     """Reads and molecules are counted in one scan."""
     plan = QUERIES["bam_to_counts"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RelationV2") == 1 and "Join" not in plan
+
+
+def test_bam_to_matrix_keeps_no_step_that_is_used_up(spark):
+    """The BAM files and the steps of the reads are gone when the counts are there; the reads were stored without what no later step reads."""
+    import os
+    from pathlib import Path
+
+    from germlight.functions.storage import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(os.listdir(folder))
+    found = QUERIES["bam_to_matrix"](spark, SF)
+    left = [p.relative_to(folder) for p in folder.rglob("*") if p.is_file() and not p.name.startswith(".") and p.relative_to(folder).parts[0] not in before]
+    assert left and not [p for p in left if p.suffix == ".bam" or p.parts[0].split("-")[0] in ("lines", "candidates", "clean")]
+    assert found.count()
+
+
+def test_stored_steps_leave_no_shuffle_files(spark):
+    import time
+
+    from germlight.functions.storage import delete, freed_shuffles, materialised
+
+    blocks = lambda: {x for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if x.endswith(".data")}
+    names = ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.files.maxPartitionBytes")
+    before, settings = blocks(), [spark.conf.get(x) for x in names]
+    found, path = materialised(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "step")
+    assert sorted(r["count"] for r in found.collect()) == [142] + [143] * 6 and [spark.conf.get(x) for x in names] == settings
+    delete(spark, path)
+    for _ in range(100):  # executors delete them in the background
+        if not blocks() - before:
+            break
+        time.sleep(0.1)
+    assert not blocks() - before
+    with pytest.raises(ZeroDivisionError), freed_shuffles(spark):
+        raise ZeroDivisionError
+    assert [spark.conf.get(x) for x in names] == settings

@@ -202,3 +202,22 @@ def test_equal_reads_are_aligned_once(spark, monkeypatch):
     got = {r["read_id"]: (r["ordinal"], r["sequence"], r["reference_start"], r["reverse"], r["mismatches"]) for r in chain.align(own, chain.build_index(spark.createDataFrame([("r", genome)], "reference string, sequence string"))).collect()}
     assert got == {f"q{i}": (i, genome[50:150], 50, False, 0) if i % 5 < 2 else (i, genome[300:400], 300, True, 0) for i in range(500) if i % 5 < 3}
     assert 0 < seen.value < 200  # three sequences and one without a seed, as often as the plan uses them; the 500 reads would be more at its first use
+
+
+def test_reads_of_few_sequences_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Each meets the alignment of its bases where it lies; the result is that of the shuffled join, which carries a digest and no bases."""
+    rng = random.Random(10)
+    genome = "".join(rng.choice("ACGT") for _ in range(900))
+    kinds = [genome[i : i + 100] for i in range(0, 800, 40)] + [genome[5:17], "", None]
+    spark.createDataFrame([(f"q{i}", i, kinds[i % len(kinds)]) for i in range(400)], "read_id string, ordinal long, sequence string").write.parquet(str(tmp_path / "reads"))
+    own, index = spark.read.parquet(str(tmp_path / "reads")), chain.build_index(spark.createDataFrame([("r", genome)], "reference string, sequence string"))
+    assert chain.of_few_sequences(own) and chain.of_few_sequences(own.limit(0))
+    plans = {}
+    for few in (False, True):
+        found = chain.align(own, index, few=few)
+        plans[few] = next(line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [_bases" in line)
+        got = {r["read_id"]: (r["ordinal"], r["sequence"], r["reference_start"]) for r in found.collect()}
+        assert got == {f"q{i}": (i, kinds[i % 23], 40 * (i % 23)) for i in range(400) if i % 23 < 20}
+    assert "SortMergeJoin" in plans[False] and "BroadcastHashJoin" in plans[True]
+    monkeypatch.setattr(chain, "SMALL_FOUND", 20 * 400)
+    assert not chain.of_few_sequences(own)
